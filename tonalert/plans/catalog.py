@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "q_entities",
+    "q_text",
 ]
 
 

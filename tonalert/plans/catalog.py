@@ -7,6 +7,8 @@ import importlib
 _MODULES = [
     "q_entities",
     "q_text",
+    "q_labels",
+    "q_arrays",
 ]
 
 

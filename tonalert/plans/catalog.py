@@ -9,6 +9,7 @@ _MODULES = [
     "q_text",
     "q_labels",
     "q_arrays",
+    "q_splits",
 ]
 
 

@@ -10,6 +10,8 @@ _MODULES = [
     "q_labels",
     "q_arrays",
     "q_splits",
+    "q_metrics",
+    "q_models",
 ]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tonalert.constants import IGNORE_INDEX, MAX_INPUT_LEN, WS
+from tonalert.functions.core import bind
 
 
 def _col(c) -> Column:
@@ -22,7 +23,7 @@ def parse_int_list(c) -> Column:
     body = F.regexp_replace(_col(c), r"^[\[\]]+|[\[\]]+$", "")
     items = F.filter(F.split(body, WS + "+", -1), lambda w: w != "")
     ints = F.transform(items, lambda x: x.try_cast("int"))
-    return F.when(F.exists(ints, lambda x: x.isNull()), F.array().cast("array<int>")).otherwise(ints)
+    return bind(ints, lambda v: F.when(F.exists(v, lambda x: x.isNull()), F.array().cast("array<int>")).otherwise(v))
 
 
 def build_sentence(c) -> Column:
@@ -32,9 +33,11 @@ def build_sentence(c) -> Column:
 
 def zip_shortest(a, b) -> Column:
     """A4: ``array<struct<a, b>>`` of pairs, cut to the shorter array."""
-    a, b = _col(a), _col(b)
-    n = F.coalesce(F.least(F.size(a), F.size(b)), F.lit(0))
-    return F.transform(F.slice(a, 1, F.greatest(n, F.lit(0))), lambda x, i: F.struct(x.alias("a"), F.get(b, i).alias("b")))
+    def zipped(a, b):
+        n = F.coalesce(F.least(F.size(a), F.size(b)), F.lit(0))
+        return F.transform(F.slice(a, 1, F.greatest(n, F.lit(0))), lambda x, i: F.struct(x.alias("a"), F.get(b, i).alias("b")))
+
+    return bind(a, lambda av: bind(b, lambda bv: zipped(av, bv)))
 
 
 def pad_to(ids, length, pad: int = 0) -> Column:

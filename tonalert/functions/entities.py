@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonalert.functions.core import bind
 from tonalert.constants import (
     BIO_LABELS,
     CLEARLY_AT,
@@ -70,23 +71,28 @@ def extract_entities(toks, tags, coded: bool = True) -> Column:
     linear in the number of tokens and runs in the JVM, where a fold with an array accumulator
     would copy the accumulator at every token.
     """
-    toks, tags = _col(toks), _col(tags)
-    n = F.coalesce(F.least(F.size(toks), F.size(tags)), F.lit(0))
-    coded_tags = F.transform(
-        F.slice(tags, 1, F.greatest(n, F.lit(0))),
-        lambda t, i: F.concat(_tag_letter(t, coded), i.cast("string")),
-    )
-    spans = F.regexp_extract_all(F.array_join(coded_tags, ","), F.lit(_SPAN), 0)
     kind = _map_literal(_KIND_OF_LETTER)
 
-    def to_entity(s):
-        idx = F.transform(F.split(s, ","), lambda x: F.substring(x, 2, 1 << 30).cast("int"))
-        raw = F.array_join(F.transform(idx, lambda j: F.get(toks, j)), " ")
-        return F.struct(raw.alias("entity"), F.element_at(kind, F.substring(s, 1, 1)).alias("tag"))
+    def decode(toks, tags):
+        n = F.coalesce(F.least(F.size(toks), F.size(tags)), F.lit(0))
+        coded_tags = F.transform(
+            F.slice(tags, 1, F.greatest(n, F.lit(0))),
+            lambda t, i: F.concat(_tag_letter(t, coded), i.cast("string")),
+        )
+        spans = F.regexp_extract_all(F.array_join(coded_tags, ","), F.lit(_SPAN), 0)
+
+        def to_entity(s):
+            idx = F.transform(F.split(s, ","), lambda x: F.substring(x, 2, 1 << 30).cast("int"))
+            raw = F.array_join(F.transform(idx, lambda j: F.get(toks, j)), " ")
+            return F.struct(raw.alias("entity"), F.element_at(kind, F.substring(s, 1, 1)).alias("tag"))
+
+        # A span whose joined text is empty is never emitted; the rest are stripped of white space.
+        found = F.filter(F.transform(spans, to_entity), lambda e: F.length(e["entity"]) > 0)
+        return F.transform(found, lambda e: F.struct(strip_ws(e["entity"]).alias("entity"), e["tag"].alias("tag")))
 
-    # A span whose joined text is empty is never emitted; the rest are stripped of white space.
-    found = F.filter(F.transform(spans, to_entity), lambda e: F.length(e["entity"]) > 0)
-    return F.transform(found, lambda e: F.struct(strip_ws(e["entity"]).alias("entity"), e["tag"].alias("tag")))
+    # Tokens are read once per span token: bind them (and the tags) so an expression argument
+    # such as split(text) is evaluated once per row.
+    return bind(toks, lambda tk: bind(tags, lambda tg: decode(tk, tg)))
 
 
 def clean_entities(ents) -> Column:
@@ -149,15 +155,19 @@ def build_alert(ents, label, score, key, salt: int = 0, sep: str = "") -> Column
     ORG and LOC are not. No entity at all gives ``No specific entities mentioned.``. Parts are
     glued with ``sep`` (empty in the original).
     """
-    cleaned = clean_entities(ents)
     head = F.concat(F.lit("Alert with a "), confidence_word(score), F.lit(" "), _col(label), F.lit(" tone."))
-    parts = []
-    for kind in ENTITY_KINDS:
-        names = F.array_join(group_entities(cleaned, kind), ", ")
-        if kind in ("PER", "MISC"):
-            names = F.lower(names)
-        part = F.concat(alert_phrase(kind, key, salt), F.lit(" "), names, F.lit("."))
-        parts.append(F.when(F.exists(cleaned, lambda e: e["tag"] == kind), part))
-    body = F.concat_ws(sep, *parts)
-    body = F.when(F.size(cleaned) == 0, F.lit(NO_ENTITIES)).otherwise(body)
-    return F.concat_ws(sep, head, body)
+
+    def body_of(cleaned):
+        parts = []
+        for kind in ENTITY_KINDS:
+            names = F.array_join(group_entities(cleaned, kind), ", ")
+            if kind in ("PER", "MISC"):
+                names = F.lower(names)
+            part = F.concat(alert_phrase(kind, key, salt), F.lit(" "), names, F.lit("."))
+            parts.append(F.when(F.exists(cleaned, lambda e: e["tag"] == kind), part))
+        return F.when(F.size(cleaned) == 0, F.lit(NO_ENTITIES)).otherwise(F.concat_ws(sep, *parts))
+
+    # The cleaned list is bound once (a lambda over a one-element array) rather than rebuilt by
+    # each of the parts that read it.
+    return F.concat_ws(sep, head, bind(clean_entities(ents), body_of))
+

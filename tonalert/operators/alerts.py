@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tonalert.constants import EMOTION_CATEGORIES
 from tonalert.functions import entities as E
+from tonalert.functions.core import bind
 from tonalert.functions import text as T
 
 GOOD_WORDS = [w for w, c in EMOTION_CATEGORIES.items() if c == "good emotion"]
@@ -46,13 +47,57 @@ def lexicon_counts(toks) -> tuple[Column, Column]:
 def lexicon_sentiment(toks) -> Column:
     """M2: ``struct<label, score, pos, neg>``: pos > neg positive, neg > pos negative, else
     neutral; score = max(pos, neg) / (pos + neg), 0.5 with no signal."""
-    pos, neg = lexicon_counts(toks)
-    label = F.when(pos > neg, F.lit("positive")).when(neg > pos, F.lit("negative")).otherwise(F.lit("neutral"))
-    score = F.when(pos + neg == 0, F.lit(0.5)).otherwise(F.greatest(pos, neg) / (pos + neg))
-    return F.struct(label.alias("label"), score.cast("double").alias("score"), pos.alias("pos"), neg.alias("neg"))
+    def from_counts(pn):
+        pos, neg = pn[0], pn[1]
+        label = F.when(pos > neg, F.lit("positive")).when(neg > pos, F.lit("negative")).otherwise(F.lit("neutral"))
+        score = F.when(pos + neg == 0, F.lit(0.5)).otherwise(F.greatest(pos, neg) / (pos + neg))
+        return F.struct(label.alias("label"), score.cast("double").alias("score"), pos.alias("pos"), neg.alias("neg"))
+
+    # Tokens and counts are bound once each; the label and score read them several times.
+    return bind(toks, lambda t: bind(F.array(*lexicon_counts(t)), from_counts))
 
 
 def fuse_caption(df: DataFrame, caps: DataFrame, on, text: str = "text", caption: str = "caption") -> DataFrame:
     """Left join captions on the key and append the caption to the text."""
     joined = df.join(caps, on=on, how="left")
     return joined.withColumn("fused", F.concat_ws(" ", F.col(text), F.col(caption)))
+
+
+def alerts_from_text(df: DataFrame, key: str = "doc_id", text: str = "text", tags: str = "ner_tags",
+                     coded: bool = True, salt: int = 0) -> DataFrame:
+    """R1's row-wise chain: T16 -> M2 for the tone, supplied tags -> E1 for the entities, then E6.
+
+    Every step is a single-row expression, so the same function serves a static DataFrame and a
+    streaming one.
+    """
+    # Two projections: the tone struct is computed once, then read three times (Catalyst keeps
+    # the projections apart because the struct is not cheap to recompute).
+    scored = df.select(
+        key,
+        lexicon_sentiment(T.normalize_tweet(text)).alias("_tone"),
+        E.extract_entities(T.words(text), tags, coded).alias("_ents"),
+    )
+    return scored.select(
+        key,
+        F.col("_tone.label").alias("sentiment"),
+        F.col("_tone.score").alias("sentiment_score"),
+        E.build_alert("_ents", "_tone.label", "_tone.score", key, salt=salt).alias("alert"),
+    )
+
+
+def entity_sentiment(alerts: DataFrame, entities: str = "entities", sentiment: str = "sentiment",
+                     score: str = "sentiment_score") -> DataFrame:
+    """R2: per (entity, tag): mentions, share of negative mentions and mean score.
+
+    The explode stays where the rows are; the grouping is partial-then-final, so a very frequent
+    entity is combined map-side before the shuffle.
+    """
+    e = alerts.select(F.explode(E.clean_entities(entities)).alias("e"), sentiment, score)
+    neg = F.when(F.col(sentiment) == "negative", F.lit(1)).otherwise(F.lit(0))
+    return e.groupBy(F.col("e.entity").alias("entity"), F.col("e.tag").alias("tag")).agg(
+        F.count(F.lit(1)).alias("mentions"),
+        F.sum(neg).alias("negatives"),
+        F.avg(neg.cast("double")).alias("share_negative"),
+        F.avg(score).alias("mean_score"),
+        F.sum(F.round(F.col(score) * 100).cast("bigint")).alias("score_cents"),
+    )

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from tonalert.constants import SCORING_BATCH
 from tonalert.functions import entities as E
 from tonalert.functions import labels as L
+from tonalert.functions.core import bind
 from tonalert.operators.joins import checked_broadcast
 
 # One loaded model per Python worker process, keyed by the loader.
@@ -146,14 +147,16 @@ def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens:
     key) is needed; the gazetteer is broadcast when its measured size allows.
     """
     prev = F.concat(F.array(F.lit(None).cast("string")), F.col(tokens))
-    z = F.transform(tokens, lambda t, i: F.struct(t.alias("tok"), F.get(prev, i).alias("prev")))
-    e = df.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.prev")
+    z = bind(prev, lambda pv: F.transform(tokens, lambda t, i: F.struct(t.alias("tok"), F.get(pv, i).alias("prev"))))
+    e = df.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.prev").alias("e")
+    # The same gazetteer frame on both sides, so both broadcasts share one exchange.
     g = checked_broadcast(gazetteer.select("tok", "kind"))
-    gp = g.select(F.col("tok").alias("prev"), F.col("kind").alias("prev_kind"))
-    j = e.join(g, "tok", "left").join(gp, "prev", "left")
+    g1, g2 = g.alias("g1"), g.alias("g2")
+    j = e.join(g1, F.col("e.tok") == F.col("g1.tok"), "left").join(g2, F.col("e.prev") == F.col("g2.tok"), "left")
+    kind, prev_kind = F.col("g1.kind"), F.col("g2.kind")
     tag = (
-        F.when(F.col("kind").isNull(), F.lit("O"))
-        .when(F.col("prev_kind") == F.col("kind"), F.concat(F.lit("I-"), "kind"))
-        .otherwise(F.concat(F.lit("B-"), "kind"))
+        F.when(kind.isNull(), F.lit("O"))
+        .when(prev_kind == kind, F.concat(F.lit("I-"), kind))
+        .otherwise(F.concat(F.lit("B-"), kind))
     )
-    return j.select(key, "pos", "tok", tag.alias("tag"))
+    return j.select(F.col(f"e.{key}").alias(key), F.col("e.pos").alias("pos"), F.col("e.tok").alias("tok"), tag.alias("tag"))

@@ -57,7 +57,7 @@ def class_banded(p) -> Column:
 
 def class_round(p) -> Column:
     """Round half to even, so p = 0.5 -> 0."""
-    return F.rint(_col(p)).cast("int")
+    return F.rint(_col(p)).try_cast("int")  # NaN -> NULL instead of a failed job
 
 
 def cast_label(c, to: str = "int", safe: bool = True) -> Column:

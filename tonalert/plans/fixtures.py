@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tonalert.functions import entities as E
 from tonalert.functions import text as T
+from tonalert.sources.io import spread
 
 # FIXED VALUES for the fixtures (FIXTURES.md F1 and F2).
 TWEET_SUFFIXES = [
@@ -30,8 +31,14 @@ TRAIN_FRACTION = 0.8
 CAPTION_ITEMS = 50
 
 
+# Text-heavy tables whose per-row work dominates: spread over the cluster when a scan yields
+# too few partitions (a no-op for inputs made of many files).
+_SPREAD = {"documents"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in _SPREAD else df
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,10 +148,10 @@ def alert_phrase(kind: str, key, salt: int = 0) -> Column:
     return F.element_at(F.array(*[F.lit(p) for p in options]), pick.cast("int"))
 
 
-def build_alert(ents, label, score, key, salt: int = 0, sep: str = "") -> Column:
+def build_alert(ents, label, score, key, salt: int = 0, sep: str = "", cleaned: bool = False) -> Column:
     """``Alert with a {word} {label} tone.`` then PER, ORG, LOC, MISC parts.
 
-    ``ents`` are the raw spans; they are cleaned here (E2). PER and MISC names are lower-cased,
+    ``ents`` are the raw spans; they are cleaned here (E2) unless ``cleaned`` says they already are. PER and MISC names are lower-cased,
     ORG and LOC are not. No entity at all gives ``No specific entities mentioned.``. Parts are
     glued with ``sep`` (empty in the original).
     """
@@ -169,5 +169,5 @@ def build_alert(ents, label, score, key, salt: int = 0, sep: str = "") -> Column
 
     # The cleaned list is bound once (a lambda over a one-element array) rather than rebuilt by
     # each of the parts that read it.
-    return F.concat_ws(sep, head, bind(clean_entities(ents), body_of))
+    return F.concat_ws(sep, head, bind(_col(ents) if cleaned else clean_entities(ents), body_of))
 

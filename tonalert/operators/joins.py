@@ -36,8 +36,15 @@ def measured_bytes(df: DataFrame) -> int:
     return int(row["b"] or 0)
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its measured size is within ``limit``, else ``df`` unchanged."""
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, materialize: bool = True) -> DataFrame:
+    """``broadcast(df)`` when its measured size is within ``limit``, else ``df`` unchanged.
+
+    With ``materialize`` the side is first checkpointed (to the shared checkpoint folder), so it is
+    computed once: the size check and the join both read the written rows, and a lost executor
+    does not force the side to be recomputed from its lineage.
+    """
+    if materialize:
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 

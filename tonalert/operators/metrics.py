@@ -2,8 +2,8 @@
 
 Accuracy, agreement and loss are single-pass aggregates (partial aggregation, one tiny shuffle).
 ROUGE-1 is a token count join expressed as two grouped aggregations; ROUGE-L (a longest common
-subsequence, inherently sequential per pair) runs per row in Arrow batches with a NumPy
-recurrence that is vectorised along one text: O(n*m) operations, no shuffle.
+subsequence, inherently sequential per pair) runs per row in Arrow batches with a bit-parallel
+recurrence: O(n*m/64) word operations per pair, no shuffle.
 """
 
 from __future__ import annotations
@@ -98,22 +98,26 @@ def rouge1(df: DataFrame, key: str, pred: str, ref: str, stem: Callable | None =
 
 
 def lcs_length(a, b) -> int:
-    """Longest common subsequence length; one NumPy pass per token of the shorter text:
-    row_j = cummax(max(prev_j, prev_{j-1} + [a_i == b_j]))."""
+    """Longest common subsequence length by the bit-parallel recurrence (Crochemore et al.,
+    2001): one bit per token of ``b``, and for each token of ``a``
+    ``V = (V + (V & M)) | (V & ~M)`` with ``M`` the positions of that token in ``b``; the LCS is
+    the number of zero bits of ``V``. O(len(a) * len(b) / 64) machine-word operations."""
     if len(a) == 0 or len(b) == 0:
         return 0
     if len(a) < len(b):
         a, b = b, a
-    codes: dict = {}
-    bi = np.fromiter((codes.setdefault(t, len(codes)) for t in b), dtype=np.int64, count=len(b))
-    prev = np.zeros(len(bi) + 1, dtype=np.int32)
+    masks: dict = {}
+    for j, t in enumerate(b):
+        masks[t] = masks.get(t, 0) | (1 << j)
+    full = (1 << len(b)) - 1
+    v = full
     for t in a:
-        x = codes.get(t)
-        if x is None:
+        m = masks.get(t)
+        if m is None:
             continue
-        cand = np.maximum(prev[1:], prev[:-1] + (bi == x))
-        prev[1:] = np.maximum.accumulate(cand)
-    return int(prev[-1])
+        u = v & m
+        v = ((v + u) | (v - u)) & full
+    return len(b) - v.bit_count()
 
 
 def _lcs_f1(preds: pd.Series, refs: pd.Series) -> pd.Series:

@@ -51,18 +51,41 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F2 as arrays ``tagged(doc_id, tokens, ner_tags)``: every token, tag codes by a rule."""
+def _sentiment_cols():
+    label = (
+        F.when(F.col("toxic") == 1, F.lit("negative"))
+        .when(F.col("quality") == 1, F.lit("positive"))
+        .otherwise(F.lit("neutral"))
+    )
+    score = (F.pmod(F.col("doc_id") * 37, F.lit(101)) / F.lit(100.0)).cast("double")
+    return label.alias("sentiment"), score.alias("sentiment_score")
+
+
+def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_sentiment: bool = False) -> DataFrame:
+    """F2 as arrays ``tagged(doc_id, tokens, ner_tags)``: every token, tag codes by a rule.
+
+    ``with_sentiment`` adds F4's columns by joining the small ``labels`` table onto the raw
+    document rows first, so the derived arrays are never shuffled.
+    """
     pat = F.array(*[F.lit(x) for x in TAG_PATTERN])
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    extra = []
+    if with_sentiment:
+        docs = docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality"), "doc_id", "left")
+        extra = list(_sentiment_cols())
+    if keep_text:
+        extra.append(F.col("text"))
     toks = T.words(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", toks.alias("tokens")).select(
+    rows = docs.select("doc_id", toks.alias("tokens"), *extra)
+    rest = [c for c in rows.columns if c not in ("doc_id", "tokens")]
+    return rows.select(
         "doc_id",
         "tokens",
         F.transform(
             "tokens",
             lambda w, i: F.element_at(pat, (F.pmod(F.col("doc_id") * 5 + i, F.lit(len(TAG_PATTERN))) + 1).cast("int")),
         ).alias("ner_tags"),
+        *rest,
     )
 
 
@@ -78,13 +101,7 @@ def doc_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 ``doc_sentiment(doc_id, sentiment, sentiment_score)``."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
     labels = table(spark, sf_dir, "labels")
-    label = (
-        F.when(F.col("toxic") == 1, F.lit("negative"))
-        .when(F.col("quality") == 1, F.lit("positive"))
-        .otherwise(F.lit("neutral"))
-    )
-    score = (F.pmod(F.col("doc_id") * 37, F.lit(101)) / F.lit(100.0)).cast("double")
-    return docs.join(labels, "doc_id", "left").select("doc_id", label.alias("sentiment"), score.alias("sentiment_score"))
+    return docs.join(labels, "doc_id", "left").select("doc_id", *_sentiment_cols())
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,19 +119,22 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alerts_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 spans + F4 labels: ``(doc_id, sentence, entities, sentiment, sentiment_score)``."""
-    t = tagged(spark, sf_dir).select(
+    return tagged(spark, sf_dir, with_sentiment=True).select(
         "doc_id",
         T.join_tokens("tokens").alias("sentence"),
         E.extract_entities("tokens", "ner_tags").alias("entities"),
+        "sentiment",
+        "sentiment_score",
     )
-    return t.join(doc_sentiment(spark, sf_dir), "doc_id")
 
 
 def alert_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8 ``alert_predictions(doc_id, prediction, reference)``: salt 1 against salt 0."""
-    a = alerts_input(spark, sf_dir)
+    a = alerts_input(spark, sf_dir).select(
+        "doc_id", "sentiment", "sentiment_score", E.clean_entities("entities").alias("clean"))
+    # Entities are cleaned once and read by both alerts.
     return a.select(
         "doc_id",
-        E.build_alert("entities", "sentiment", "sentiment_score", "doc_id", salt=1).alias("prediction"),
-        E.build_alert("entities", "sentiment", "sentiment_score", "doc_id", salt=0).alias("reference"),
+        E.build_alert("clean", "sentiment", "sentiment_score", "doc_id", salt=1, cleaned=True).alias("prediction"),
+        E.build_alert("clean", "sentiment", "sentiment_score", "doc_id", salt=0, cleaned=True).alias("reference"),
     )

@@ -14,8 +14,7 @@ from tonalert.streaming.streams import sentiment_windows, windows_flat
 
 def _stream_rows(spark, sf_dir):
     """``(doc_id, text, ner_tags)``: documents with F2's tag codes (what a tagged stream carries)."""
-    t = fx.tagged(spark, sf_dir).select("doc_id", "ner_tags")
-    return fx.table(spark, sf_dir, "documents").select("doc_id", "text").join(t, "doc_id")
+    return fx.tagged(spark, sf_dir, keep_text=True).select("doc_id", "text", "ner_tags")
 
 
 def _tone_cte():

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tonalert.functions.core import bind
 from tonalert.constants import (
     CONTRACTIONS,
     DEFAULT_EMOTION,
@@ -28,6 +29,21 @@ def _map_literal(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
+def _when_has(c: Column, needles: list[str], fn) -> Column:
+    """``fn(c)`` only for rows that contain one of the literal ``needles`` (a plain substring
+    test), else the input unchanged: the pattern cannot match without them. The input is bound
+    once, since it is read three times (and is itself a nested expression in the chain)."""
+
+    def guarded(v):
+        test = None
+        for n in needles:
+            t = v.contains(n)
+            test = t if test is None else (test | t)
+        return F.when(test, fn(v)).otherwise(v)
+
+    return bind(c, guarded)
+
+
 def lower_text(c) -> Column:
     """Lower-case."""
     return F.lower(_col(c))
@@ -35,17 +51,20 @@ def lower_text(c) -> Column:
 
 def mask_mentions(c) -> Column:
     """``@word`` -> ``user``."""
-    return F.regexp_replace(_col(c), "@" + WORD + "+", "user")
+    c = _col(c)
+    return _when_has(c, ["@"], lambda v: F.regexp_replace(v, "@" + WORD + "+", "user"))
 
 
 def mask_urls(c) -> Column:
     """``http...`` or ``www...`` up to the next white space -> ``url`` (anywhere in a word)."""
-    return F.regexp_replace(_col(c), "(?:http|www)" + NOT_WS + "+", "url")
+    c = _col(c)
+    return _when_has(c, ["http", "www"], lambda v: F.regexp_replace(v, "(?:http|www)" + NOT_WS + "+", "url"))
 
 
 def mask_hashtags(c) -> Column:
     """T4: ``#word`` -> ``hashtag``."""
-    return F.regexp_replace(_col(c), "#" + WORD + "+", "hashtag")
+    c = _col(c)
+    return _when_has(c, ["#"], lambda v: F.regexp_replace(v, "#" + WORD + "+", "hashtag"))
 
 
 def words(c) -> Column:
@@ -55,7 +74,8 @@ def words(c) -> Column:
 
 def split_possessive(w) -> Column:
     """A whole word ``x's`` (x made of word characters) -> ``x is``."""
-    return F.regexp_replace(_col(w), "^(" + WORD + "+)'s$", "$1 is")
+    w = _col(w)
+    return F.when(w.endswith("'s"), F.regexp_replace(w, "^(" + WORD + "+)'s$", "$1 is")).otherwise(w)
 
 
 def expand_words(c) -> Column:
@@ -94,7 +114,8 @@ def tag_emotions(c) -> Column:
     Pairs are taken leftmost-first within a line (a pair never spans a newline, as with a
     regex whose ``.`` stops at ``\\n``).
     """
-    return F.array_join(F.transform(F.split(_col(c), "\n", -1), _tag_emotions_line), "\n")
+    c = _col(c)
+    return _when_has(c, ["**"], lambda v: F.array_join(F.transform(F.split(v, "\n", -1), _tag_emotions_line), "\n"))
 
 
 def strip_marks(c) -> Column:

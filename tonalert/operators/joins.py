@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonalert.session import reliable_checkpoint
+
 # Default limit for an explicit broadcast: well under executor memory, above typical dictionaries.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
@@ -44,7 +46,7 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, materia
     does not force the side to be recomputed from its lineage.
     """
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = reliable_checkpoint(df)
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 

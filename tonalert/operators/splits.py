@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonalert.operators.joins import checked_broadcast
+from tonalert.session import reliable_checkpoint
 
 BUCKET_HEX = 4  # 16 bits -> 65,536 buckets
 
@@ -41,7 +42,7 @@ def _bucket_table(b: DataFrame) -> tuple[DataFrame, int]:
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     # At most 65,536 rows: checkpointed once (to the shared checkpoint folder) so that the count
     # pass is not repeated by the total and by the join below.
-    cum = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).checkpoint()
+    cum = reliable_checkpoint(counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))))
     total = cum.agg(F.sum("_cnt").alias("n")).first()["n"] or 0
     return F.broadcast(cum), int(total)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from real sizes (a shuffle side that turns
 # out small becomes a broadcast), coalesces small shuffle partitions and splits skewed ones.
@@ -44,3 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tonalert-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Eager ``checkpoint()`` into the shared checkpoint folder (never ``localCheckpoint``):
+    cuts the lineage so a lost executor does not recompute the side from scratch."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

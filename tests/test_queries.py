@@ -46,6 +46,10 @@ def test_query_matches_duckdb(spark, duck, name):
     res = duck.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(dcols)
+    pairs = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        assert pairs.get(f.dataType.simpleString()) == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
     idx = [dcols.index(c) for c in cols]
     want = sorted((tuple(norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert got == want

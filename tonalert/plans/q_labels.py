@@ -59,8 +59,8 @@ def p04_has_suffix(spark, sf_dir):
 
 @register(
     "p05_recode_target",
-    "SELECT doc_id, CASE WHEN toxic * 4 = 4 THEN 2 ELSE toxic * 4 END AS target, "
-    "CASE WHEN quality * 2 = 4 THEN 2 ELSE quality * 2 END AS target_kept FROM labels",
+    "SELECT doc_id, CAST(CASE WHEN toxic * 4 = 4 THEN 2 ELSE toxic * 4 END AS BIGINT) AS target, "
+    "CAST(CASE WHEN quality * 2 = 4 THEN 2 ELSE quality * 2 END AS BIGINT) AS target_kept FROM labels",
 )
 def p05_recode_target(spark, sf_dir):
     lab = fx.table(spark, sf_dir, "labels")
@@ -82,7 +82,7 @@ def p06_loss_label(spark, sf_dir):
 @register(
     "p07_sentiment_to_idx",
     with_ctes(q.doc_sentiment_cte())
-    + "SELECT doc_id, CASE sentiment WHEN 'positive' THEN 1 WHEN 'negative' THEN 0 WHEN 'neutral' THEN 2 END AS idx "
+    + "SELECT doc_id, CAST(CASE sentiment WHEN 'positive' THEN 1 WHEN 'negative' THEN 0 WHEN 'neutral' THEN 2 END AS BIGINT) AS idx "
     "FROM doc_sentiment",
 )
 def p07_sentiment_to_idx(spark, sf_dir):
@@ -91,7 +91,8 @@ def p07_sentiment_to_idx(spark, sf_dir):
 
 @register(
     "p08_sentiment_is_one",
-    "SELECT doc_id, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS is_one, CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS toxic_one "
+    "SELECT doc_id, CAST(CASE WHEN quality = 1 THEN 1 ELSE 0 END AS BIGINT) AS is_one, "
+    "CAST(CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS BIGINT) AS toxic_one "
     "FROM labels",
 )
 def p08_sentiment_is_one(spark, sf_dir):
@@ -122,7 +123,7 @@ def p14_sigmoid(spark, sf_dir):
 
 @register(
     "p15_class_binary",
-    with_ctes(q.logits_cte()) + f"SELECT doc_id, CASE WHEN {_P} >= 0.5 THEN 2 ELSE 0 END AS pred FROM logits",
+    with_ctes(q.logits_cte()) + f"SELECT doc_id, CAST(CASE WHEN {_P} >= 0.5 THEN 2 ELSE 0 END AS BIGINT) AS pred FROM logits",
 )
 def p15_class_binary(spark, sf_dir):
     return normalise(fx.logits(spark, sf_dir).select("doc_id", L.class_binary(L.sigmoid("x")).alias("pred")))
@@ -131,7 +132,7 @@ def p15_class_binary(spark, sf_dir):
 @register(
     "p16_class_banded",
     with_ctes(q.logits_cte())
-    + f"SELECT doc_id, CASE WHEN {_P} < 0.45 THEN 0 WHEN {_P} > 0.55 THEN 2 ELSE 1 END AS pred FROM logits",
+    + f"SELECT doc_id, CAST(CASE WHEN {_P} < 0.45 THEN 0 WHEN {_P} > 0.55 THEN 2 ELSE 1 END AS BIGINT) AS pred FROM logits",
 )
 def p16_class_banded(spark, sf_dir):
     return normalise(fx.logits(spark, sf_dir).select("doc_id", L.class_banded(L.sigmoid("x")).alias("pred")))
@@ -148,8 +149,8 @@ def p17_class_round(spark, sf_dir):
 @register(
     "p19_cast_label",
     with_ctes(q.logits_cte())
-    + "SELECT doc_id, CAST(y AS DOUBLE) AS y_float, TRY_CAST(CAST(y AS VARCHAR) || 'x' AS INTEGER) AS bad_int, "
-    "TRY_CAST(CAST(y AS VARCHAR) AS INTEGER) AS y_int FROM logits",
+    + "SELECT doc_id, CAST(y AS DOUBLE) AS y_float, CAST(TRY_CAST(CAST(y AS VARCHAR) || 'x' AS INTEGER) AS BIGINT) AS bad_int, "
+    "CAST(TRY_CAST(CAST(y AS VARCHAR) AS INTEGER) AS BIGINT) AS y_int FROM logits",
 )
 def p19_cast_label(spark, sf_dir):
     lg = fx.logits(spark, sf_dir)

@@ -154,8 +154,9 @@ def l08_by_epoch(spark, sf_dir):
 @register(
     "m06_compare_scorers",
     with_ctes(q.logits_cte(), q.doc_sentiment_cte())
-    + f"SELECT l.doc_id, d.sentiment, {_BAND} AS predicted_sentiment, "
-    f"CASE WHEN {_BAND} = (CASE d.sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END) THEN 1 ELSE 0 END AS agree "
+    + f"SELECT l.doc_id, d.sentiment, CAST({_BAND} AS BIGINT) AS predicted_sentiment, "
+    f"CAST(CASE WHEN {_BAND} = (CASE d.sentiment WHEN 'negative' THEN 0 WHEN 'neutral' THEN 1 ELSE 2 END) THEN 1 ELSE 0 END "
+    "AS BIGINT) AS agree "
     "FROM logits l JOIN doc_sentiment d ON l.doc_id = d.doc_id",
 )
 def m06_compare_scorers(spark, sf_dir):
@@ -167,7 +168,7 @@ def m06_compare_scorers(spark, sf_dir):
 
 @register(
     "j05_attach_predictions",
-    _LG + f"SELECT d.doc_id, p.pred FROM documents d LEFT JOIN (SELECT doc_id, {_BIN} AS pred FROM logits) p "
+    _LG + f"SELECT d.doc_id, p.pred FROM documents d LEFT JOIN (SELECT doc_id, CAST({_BIN} AS BIGINT) AS pred FROM logits) p "
     "ON d.doc_id = p.doc_id",
 )
 def j05_attach_predictions(spark, sf_dir):
@@ -178,7 +179,8 @@ def j05_attach_predictions(spark, sf_dir):
 
 @register(
     "j06_pair_labels",
-    _LG + f"SELECT doc_id, {_BIN} AS pred, y AS label, CASE WHEN {_BIN} = y THEN 1 ELSE 0 END AS correct FROM logits",
+    _LG + f"SELECT doc_id, CAST({_BIN} AS BIGINT) AS pred, y AS label, CAST(CASE WHEN {_BIN} = y THEN 1 ELSE 0 END AS BIGINT) "
+    "AS correct FROM logits",
 )
 def j06_pair_labels(spark, sf_dir):
     lg = fx.logits(spark, sf_dir)

@@ -43,7 +43,7 @@ def r01_stream_alerts(spark, sf_dir):
 @register(
     "r02_entity_sentiment",
     with_ctes(q.tagged_docs_cte(), q.entity_spans_cte(), q.clean_spans_cte(), q.doc_sentiment_cte())
-    + "SELECT c.entity, c.tag, count(*) AS mentions, sum(CASE WHEN d.sentiment = 'negative' THEN 1 ELSE 0 END) AS negatives, "
+    + "SELECT c.entity, c.tag, count(*) AS mentions, CAST(sum(CASE WHEN d.sentiment = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negatives, "
     "CAST(sum(round(d.sentiment_score * 100)) AS BIGINT) AS score_cents FROM clean_spans c "
     "JOIN doc_sentiment d ON c.doc_id = d.doc_id GROUP BY c.entity, c.tag",
 )

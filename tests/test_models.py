@@ -91,3 +91,20 @@ def test_tag_tokens_gazetteer(spark):
     df = spark.createDataFrame([(1, ["John", "Smith", "in", "Paris", "Paris"])], "doc_id long, tokens array<string>")
     tags = [r["tag"] for r in MD.tag_tokens(df, gaz).orderBy("pos").collect()]
     assert tags == ["B-PER", "I-PER", "O", "B-LOC", "I-LOC"]
+
+
+def make_counting_loader(path):
+    def loader():
+        with open(path, "a") as f:
+            f.write("1\n")
+        return lambda xs: [(len(x),) for x in xs]
+    return loader
+
+
+def test_model_loaded_once_per_worker_not_per_partition(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "loads.txt")
+    df = spark.range(0, 3200, numPartitions=32).select(F.col("id").cast("string").alias("t"))
+    out = MD.score_batches(df, make_counting_loader(path), "t", [T.StructField("n", T.LongType())]).collect()
+    assert len(out) == 3200
+    loads = sum(1 for _ in open(path))
+    assert 1 <= loads < 32

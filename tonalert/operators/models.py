@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -26,15 +27,19 @@ from tonalert.functions import labels as L
 from tonalert.functions.core import bind
 from tonalert.operators.joins import checked_broadcast
 
-# One loaded model per Python worker process, keyed by the loader.
-_LOADED: dict = {}
-
-
-def _model(loader: Callable):
-    key = (getattr(loader, "__module__", ""), getattr(loader, "__qualname__", repr(loader)), id(loader))
-    m = _LOADED.get(key)
+def _model(loader: Callable, key: str):
+    """One loaded model per Python worker process. The cache hangs off ``sys`` (present in every
+    worker), because this module's own globals travel with each task's pickled function and would
+    start empty every time; ``key`` is fixed when the plan is built."""
+    import sys
+
+    cache = getattr(sys, "_tonalert_models", None)
+    if cache is None:
+        cache = {}
+        sys._tonalert_models = cache
+    m = cache.get(key)
     if m is None:
-        m = _LOADED[key] = loader()
+        m = cache[key] = loader()
     return m
 
 
@@ -47,9 +52,10 @@ def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], c
     """
     schema = T.StructType(df.schema.fields + out_fields)
     names = [f.name for f in out_fields]
+    key = uuid.uuid4().hex
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _model(loader)
+        model = _model(loader, key)
         for pdf in frames:
             for start in range(0, len(pdf), batch):
                 chunk = pdf.iloc[start:start + batch]

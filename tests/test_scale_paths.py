@@ -41,3 +41,6 @@ def test_spread_only_when_too_few_partitions(spark):
     assert spread(many) is many
     one = spark.range(0, 100, numPartitions=1)
     assert spread(one, 4).rdd.getNumPartitions() == 4
+    hashed = spread(one, 4, key="id")
+    assert hashed.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in hashed.collect()) == list(range(100))

@@ -45,11 +45,16 @@ VOCAB_SCHEMA = T.StructType([
 ])
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Repartition only when a scan yields fewer partitions than the cluster can run at once
-    (e.g. one large unsplittable file). On many input files this is a no-op: no extra shuffle."""
+    (e.g. one large unsplittable file). On many input files this is a no-op: no extra shuffle.
+
+    With a ``key`` the rows are hash-partitioned on it: deterministic on a retried task without
+    the local sort that round-robin partitioning needs (a sort of whole text rows)."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)
 
 
 def read_tweets(spark: SparkSession, path: str) -> DataFrame:

@@ -83,5 +83,8 @@ IGNORE_INDEX = -100
 # ---------------------------------------------------------------------------------------------
 WORD = r"[\p{L}\p{N}_]"
 WS_CHARS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-WS = "[" + WS_CHARS + "]"
-NOT_WS = "[^" + WS_CHARS + "]"
+# The same set for Java, written as Character.isWhitespace plus the four spaces it leaves out
+# (U+0085, U+00A0, U+2007, U+202F). Equal to WS_CHARS on every code point (tests/test_text.py) and
+# about twice as fast in Java's engine, which tests a long list of ranges one by one.
+WS = r"[\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}]"
+NOT_WS = r"[^\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}]"

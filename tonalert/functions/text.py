@@ -79,10 +79,14 @@ def split_possessive(w) -> Column:
 
 
 def expand_words(c) -> Column:
-    """T5: contraction / slang expansion per word, then T6; rejoined with single spaces."""
+    """T5: contraction / slang expansion per word, then T6; rejoined with single spaces.
+
+    A map literal is searched key by key, so the lookup is guarded by ``isin`` over the same
+    keys, which Catalyst turns into a hash-set test (``InSet``): most words skip the map."""
     table = _map_literal(CONTRACTIONS)
+    keys = list(CONTRACTIONS)
     return F.array_join(
-        F.transform(words(c), lambda w: F.coalesce(F.element_at(table, w), split_possessive(w))),
+        F.transform(words(c), lambda w: F.when(w.isin(keys), F.element_at(table, w)).otherwise(split_possessive(w))),
         " ",
     )
 

@@ -37,10 +37,11 @@ def lexicon_counts(toks) -> tuple[Column, Column]:
     """Counts of good and bad signals among normalised tokens: listed words plus the ``<good`` /
     ``<bad`` halves that the emotion tags leave after tokenising."""
     toks = F.col(toks) if isinstance(toks, str) else toks
-    good = F.array(*[F.lit(w) for w in GOOD_WORDS + ["<good"]])
-    bad = F.array(*[F.lit(w) for w in BAD_WORDS + ["<bad"]])
-    pos = F.size(F.filter(toks, lambda w: F.array_contains(good, w)))
-    neg = F.size(F.filter(toks, lambda w: F.array_contains(bad, w)))
+    # isin over more than ten literals becomes a hash-set test (InSet), not a scan of the list.
+    good = GOOD_WORDS + ["<good"]
+    bad = BAD_WORDS + ["<bad"]
+    pos = F.size(F.filter(toks, lambda w: w.isin(good)))
+    neg = F.size(F.filter(toks, lambda w: w.isin(bad)))
     return pos, neg
 
 

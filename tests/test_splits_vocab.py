@@ -58,3 +58,17 @@ def test_union_splits(spark):
     b = spark.createDataFrame([(2,)], "k int")
     out = sorted((r["k"], r["split"]) for r in S.union_splits({"train": a, "test": b}).collect())
     assert out == [(1, "train"), (2, "test")]
+
+
+def test_batches_fixed_size_in_hash_order(spark):
+    df = spark.range(0, 203).withColumnRenamed("id", "k")
+    got = {r["k"]: (r["batch"], r["slot"]) for r in S.batches(df, "k", 64, 5).collect()}
+    order = md5_order(range(203), 5)
+    assert [got[k] for k in order] == [(i // 64, i % 64) for i in range(203)]
+
+
+def test_longest_first_by_batch(spark):
+    rows = [(1, 0, [1]), (2, 0, [1, 2, 3]), (3, 0, [1, 2, 3]), (4, 1, []), (5, 1, [7, 8])]
+    df = spark.createDataFrame(rows, "k long, batch long, ids array<int>")
+    got = {r["k"]: r["place"] for r in V.longest_first(df, "ids", batch_col="batch", key="k").collect()}
+    assert got == {2: 1, 3: 2, 1: 3, 5: 1, 4: 2}

@@ -136,6 +136,17 @@ def shuffle(df: DataFrame, key: str, seed: int = 42, col: str = "pos") -> DataFr
     return out.drop("_h", "_b", "_cnt", "_before")
 
 
+def batches(df: DataFrame, key: str, size: int, seed: int = 42, col: str = "batch", slot: str = "slot") -> DataFrame:
+    """Fixed-size batches in hash order (shuffled, then cut every ``size`` rows; the last batch
+    may be short): ``batch = pos div size`` and ``slot = pos mod size`` from L6's exact position,
+    so no single-partition sort is needed and a batch never depends on how rows are partitioned."""
+    pos = F.col("_pos")
+    return shuffle(df, key, seed, col="_pos").withColumns({
+        col: F.floor(pos / F.lit(size)).cast("bigint"),
+        slot: F.pmod(pos, F.lit(size)).cast("bigint"),
+    }).drop("_pos")
+
+
 def by_key(df: DataFrame, order: str) -> DataFrame:
     """Sort by a column (a distributed range sort)."""
     return df.orderBy(order)

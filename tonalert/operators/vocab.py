@@ -74,6 +74,14 @@ def pad_sequences(ids: DataFrame, batch_col: str = "batch", col: str = "ids") ->
     })
 
 
-def longest_first(df: DataFrame, col: str = "ids") -> DataFrame:
-    """Inside each partition (a batch), longest sequence first; no global sort."""
-    return df.sortWithinPartitions(F.size(col).desc())
+def longest_first(df: DataFrame, col: str = "ids", batch_col: str | None = None, key: str | None = None,
+                  place: str = "place") -> DataFrame:
+    """Longest sequence first inside a batch.
+
+    Without ``batch_col`` a batch is a partition: a local sort, no shuffle. With it, every row gets
+    its 1-based ``place`` in its batch by (length desc, ``key``): a window over one batch, whose
+    size is fixed (L9), so no window partition can grow with the data."""
+    if batch_col is None:
+        return df.sortWithinPartitions(F.size(col).desc())
+    order = [F.size(col).desc()] + ([F.col(key)] if key else [])
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(batch_col).orderBy(*order)))

@@ -182,3 +182,21 @@ def p18_unmask_labels(spark, sf_dir):
         F.array_join("labels", " ").alias("labels"),
         F.array_join(A.unmask_labels("labels", 0), " ").alias("unmasked"),
     ))
+
+
+@register(
+    "l07_longest_first",
+    _VOC + f", rk AS (SELECT doc_id, (row_number() OVER (ORDER BY md5(CAST(doc_id AS VARCHAR) || ':{fx.SPLIT_SEED}'), "
+    "doc_id) - 1) "
+    f"// {BATCH} AS batch FROM known) "
+    "SELECT k.doc_id, r.batch, len(k.ids) AS length, "
+    "row_number() OVER (PARTITION BY r.batch ORDER BY len(k.ids) DESC, k.doc_id) AS place "
+    "FROM known k JOIN rk r ON k.doc_id = r.doc_id",
+)
+def l07_longest_first(spark, sf_dir):
+    from tonalert.operators.splits import batches
+
+    ids = V.known_indices(fx.tagged(spark, sf_dir), vocab(spark, sf_dir))
+    b = batches(ids, "doc_id", BATCH, fx.SPLIT_SEED)
+    out = V.longest_first(b, "ids", batch_col="batch", key="doc_id")
+    return normalise(out.select("doc_id", "batch", F.size("ids").alias("length"), "place"))

@@ -128,3 +128,15 @@ def u02_complement(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "source")
     smp = S.sample_fraction(docs.select("doc_id"), "doc_id", 0.1, SAMPLE_SEED)
     return normalise(J.not_in(docs, smp, "doc_id"))
+
+
+_TRAIN_BATCH = 64
+
+
+@register(
+    "l09_batches",
+    f"SELECT doc_id, (rn - 1) // {_TRAIN_BATCH} AS batch, (rn - 1) % {_TRAIN_BATCH} AS slot FROM "
+    f"(SELECT doc_id, row_number() OVER (ORDER BY {_md5('doc_id', SEED)}, doc_id) AS rn FROM documents)",
+)
+def l09_batches(spark, sf_dir):
+    return normalise(S.batches(_docs(spark, sf_dir).select("doc_id"), "doc_id", _TRAIN_BATCH, SEED))

@@ -76,8 +76,10 @@ def unigram_overlap(p, r) -> Column:
     """Size of the multiset intersection of two token arrays, in the row: the tokens of both
     sides are sorted together, then folded with a scalar state (current token, its count on each
     side, running overlap). O(n log n) per row, no shuffle, and the state never grows."""
+    # sort_array sorts with the type's native ordering; array_sort without a comparator calls an
+    # interpreted comparator lambda per comparison (about 8x slower here). No element is NULL.
     side = lambda t, sp, sr: F.struct(t.alias("tok"), F.lit(sp).alias("sp"), F.lit(sr).alias("sr"))
-    merged = F.array_sort(F.concat(F.transform(_col(p), lambda t: side(t, 1, 0)),
+    merged = F.sort_array(F.concat(F.transform(_col(p), lambda t: side(t, 1, 0)),
                                    F.transform(_col(r), lambda t: side(t, 0, 1))))
     init = F.struct(F.lit(None).cast("string").alias("tok"), F.lit(0).alias("cp"), F.lit(0).alias("cr"),
                     F.lit(0).alias("ov"))
@@ -185,7 +187,7 @@ def stem_columns(df: DataFrame, cols: list[str], stem: Callable[[str], str]) ->
     for c in cols:
         e = df.select(*key_cols, F.posexplode_outer(c).alias("_pos", "tok")).join(stems, "tok", "left")
         g = e.groupBy(*key_cols).agg(
-            F.array_sort(F.collect_list(F.when(F.col("tok").isNotNull(), F.struct("_pos", "stem")))).alias("_pairs")
+            F.sort_array(F.collect_list(F.when(F.col("tok").isNotNull(), F.struct("_pos", "stem")))).alias("_pairs")
         )
         out = out.drop(c).join(g.select(*key_cols, F.transform("_pairs", lambda p: p["stem"]).alias(c)), key_cols)
     return out

@@ -44,7 +44,7 @@ def known_indices(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: st
     """Indices of the known words of each row, in token order (possibly empty): ``(key, ids)``."""
     j = _indexed_tokens(df, key, toks, vocab)
     grouped = j.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("pos", "idx")))).alias("pairs")
+        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("pos", "idx")))).alias("pairs")
     )
     return grouped.select(key, F.transform("pairs", lambda p: p["idx"]).alias("ids"))
 

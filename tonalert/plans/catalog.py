@@ -13,6 +13,7 @@ _MODULES = [
     "q_metrics",
     "q_models",
     "q_streams",
+    "q_io",
 ]
 
 

@@ -51,3 +51,12 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     cuts the lineage so a lost executor does not recompute the side from scratch."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name inside the shared checkpoint folder, for tables a job writes and reads
+    back (never a machine-local temporary folder on a cluster)."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tonalert-io/{name}-{uuid.uuid4().hex}"

@@ -70,8 +70,10 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def read_captions(spark: SparkSession, path: str, schema: T.StructType = CAPTIONS_SCHEMA) -> DataFrame:
-    """S3: ``|``-separated CSV with a header; spaces around fields are trimmed."""
-    df = (spark.read.schema(schema).option("header", True).option("sep", "|")
+    """S3: ``|``-separated CSV with a header; spaces around unquoted fields are trimmed, quoted
+    fields are kept as written and may span lines."""
+    df = (spark.read.schema(schema).option("header", True).option("sep", "|").option("escape", '"')
+          .option("multiLine", True)
           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
     return df
 
@@ -147,10 +149,17 @@ def _csv_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def _csv_writer(w):
+    # Header, doubled quotes, and values kept exactly: Spark's CSV writer trims leading and
+    # trailing spaces unless told not to.
+    return (w.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """K1: write a table; CSV gets a header and nested columns as JSON text (K6)."""
     if fmt == "csv":
-        _csv_ready(df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        _csv_writer(_csv_ready(df).write.mode(mode)).csv(path)
     else:
         df.write.mode(mode).format(fmt).save(path)
 
@@ -162,7 +171,7 @@ def write_by_split(df: DataFrame, path: str, split: str = "split", fmt: str = "p
         routed = _csv_ready(routed)
     w = routed.write.mode(mode).partitionBy("dir")
     if fmt == "csv":
-        w = w.option("header", True).option("escape", '"')
+        w = _csv_writer(w)
     w.format(fmt).save(path)
 
 

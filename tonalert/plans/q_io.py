@@ -123,3 +123,22 @@ def s08_read_vocab(spark, sf_dir):
     back = io.read_vocab(spark, path)
     return normalise(back.select("word", "idx", F.round(F.get("vector", 0).cast("double"), 6).alias("v0"),
                                  F.size("vector").alias("dim")))
+
+
+@register(
+    "s01_read_tweets",
+    "SELECT CAST((doc_id % 2) * 4 AS BIGINT) AS target, doc_id AS ids, lang AS date, 'NO_QUERY' AS flag, source AS user, "
+    "regexp_replace(text, '[^\\x{00}-\\x{ff}]', '?', 'g') AS text FROM documents",
+)
+def s01_read_tweets(spark, sf_dir):
+    """Tweet rows written as headerless Latin-1 CSV (code points above U+00FF become ``?``, as a
+    Latin-1 encoder writes them), then S1."""
+    path = scratch_path(spark, "tweets")
+    docs = fx.table(spark, sf_dir, "documents")
+    rows = docs.select(
+        (F.pmod("doc_id", F.lit(2)) * 4).cast("int").alias("target"), F.col("doc_id").alias("ids"),
+        F.col("lang").alias("date"), F.lit("NO_QUERY").alias("flag"), F.col("source").alias("user"),
+        F.regexp_replace("text", r"[^\x{00}-\x{ff}]", "?").alias("text"))
+    (rows.write.option("header", False).option("encoding", "ISO-8859-1").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return normalise(io.read_tweets(spark, path))

@@ -57,10 +57,12 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = N
     return df.repartition(want, key) if key else df.repartition(want)
 
 
-def read_tweets(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless CSV, Latin-1, six named columns; doubled quotes escape quotes."""
+def read_tweets(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Headerless CSV, Latin-1, six named columns; doubled quotes escape quotes; quoted texts
+    may span lines. A multi-line file is read by one task, so a large input should be many files
+    (or ``multi_line=False`` when no text holds a line break, which lets Spark split files)."""
     return (spark.read.schema(TWEETS_SCHEMA).option("header", False).option("encoding", "ISO-8859-1")
-            .option("escape", '"').csv(path))
+            .option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

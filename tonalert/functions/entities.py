@@ -157,14 +157,19 @@ def build_alert(ents, label, score, key, salt: int = 0, sep: str = "", cleaned:
     """
     head = F.concat(F.lit("Alert with a "), confidence_word(score), F.lit(" "), _col(label), F.lit(" tone."))
 
-    def body_of(cleaned):
-        parts = []
-        for kind in ENTITY_KINDS:
-            names = F.array_join(group_entities(cleaned, kind), ", ")
+    def part_of(kind):
+        def from_group(group):
+            names = F.array_join(group, ", ")
             if kind in ("PER", "MISC"):
                 names = F.lower(names)
             part = F.concat(alert_phrase(kind, key, salt), F.lit(" "), names, F.lit("."))
-            parts.append(F.when(F.exists(cleaned, lambda e: e["tag"] == kind), part))
+            return F.when(F.size(group) > 0, part)
+
+        return from_group
+
+    def body_of(cleaned):
+        # Each kind's group is built once and tested by its size (no separate scan for presence).
+        parts = [bind(group_entities(cleaned, kind), part_of(kind)) for kind in ENTITY_KINDS]
         return F.when(F.size(cleaned) == 0, F.lit(NO_ENTITIES)).otherwise(F.concat_ws(sep, *parts))
 
     # The cleaned list is bound once (a lambda over a one-element array) rather than rebuilt by

@@ -54,9 +54,19 @@ _KIND_OF_LETTER = {"P": "PER", "G": "ORG", "L": "LOC", "M": "MISC"}
 _SPAN = "|".join(f"{u}\\d+(?:,{u.lower()}\\d+)*" for u in _KIND_OF_LETTER)
 
 
+# Letter of each tag code 0..max (derived from the two tables above): a coded tag is one array
+# access instead of two map-literal scans per token.
+_LETTER_OF_CODE = [_LETTER_OF_NAME.get(BIO_LABELS.get(i, "O"), "O") for i in range(max(BIO_LABELS) + 1)]
+
+
 def _tag_letter(tag: Column, coded: bool) -> Column:
-    name = bio_label(tag) if coded else tag
-    return F.coalesce(F.element_at(_map_literal(_LETTER_OF_NAME), name), F.lit("O"))
+    if coded:
+        # Range-checked before the cast (a huge BIGINT code must not overflow under ANSI); an
+        # out-of-range or NULL code reads as O.
+        letters = F.array(*[F.lit(x) for x in _LETTER_OF_CODE])
+        known = tag.between(0, len(_LETTER_OF_CODE) - 1)
+        return F.coalesce(F.when(known, F.get(letters, tag.cast("int"))), F.lit("O"))
+    return F.coalesce(F.element_at(_map_literal(_LETTER_OF_NAME), tag), F.lit("O"))
 
 
 def extract_entities(toks, tags, coded: bool = True) -> Column:

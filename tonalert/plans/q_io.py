@@ -142,3 +142,18 @@ def s01_read_tweets(spark, sf_dir):
     (rows.write.option("header", False).option("encoding", "ISO-8859-1").option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return normalise(io.read_tweets(spark, path))
+
+
+@register("s07_on_missing", "SELECT doc_id, lang FROM documents")
+def s07_on_missing(spark, sf_dir):
+    """A required input is read under ``error``; an optional one that is absent is reported
+    and skipped under ``skip`` (the rows come from the inputs that exist)."""
+    parts = [
+        io.on_missing(lambda: fx.table(spark, sf_dir, "documents"), "error", "documents"),
+        io.on_missing(lambda: spark.read.parquet(scratch_path(spark, "never-written")), "skip", "optional documents"),
+    ]
+    present = [p.select("doc_id", "lang") for p in parts if p is not None]
+    out = present[0]
+    for p in present[1:]:
+        out = out.unionByName(p)
+    return normalise(out)

@@ -66,6 +66,24 @@ def m03_train_sentiment(spark, sf_dir):
     return normalise(MD.evaluate_sentiment(model, train, "target"))
 
 
+@register("m05_save_load")  # iterative fit: rows-only
+def m05_save_load(spark, sf_dir):
+    """M5: the trained pipeline saved to the shared checkpoint folder and loaded back; every row
+    is scored by both, ``same`` = 1 where the loaded model gives the same probability."""
+    from tonalert.session import scratch_path
+
+    data = _train_data(spark, sf_dir)
+    model = MD.train_sentiment(data.filter(F.col("split") == "train"), "tokens", "target", vector_size=32, max_iter=20)
+    path = scratch_path(spark, "sentiment-model")
+    MD.save_model(model, path)
+    loaded = MD.load_model(path)
+    a = MD.predict_sentiment(model, data).select("doc_id", F.col("p").alias("p0"))
+    b = MD.predict_sentiment(loaded, data).select("doc_id", "p", "pred_binary")
+    j = a.join(b, "doc_id")
+    same = (F.abs(F.col("p") - F.col("p0")) <= F.lit(1e-12)).cast("int")
+    return normalise(j.select("doc_id", "pred_binary", same.alias("same")))
+
+
 @register("m04_evaluate_sentiment")  # iterative fit: rows-only
 def m04_evaluate_sentiment(spark, sf_dir):
     data = _train_data(spark, sf_dir)

@@ -70,3 +70,51 @@ def test_accuracy_loss_and_best_step(spark):
     assert best["best_step"] == 0
     empty = df.filter(F.lit(False)).agg(M.accuracy("x", "y").alias("a")).first()["a"]
     assert empty == 0.0
+
+
+def test_porter_stemmer_documented_examples():
+    from tonalert.functions.porter import stem
+
+    words = ("caresses flies dies mules denied died agreed owned humbled sized meeting stating siezing "
+             "itemization sensational traditional reference colonizer plotted").split()
+    want = "caress fli die mule deni die agre own humbl size meet state siez item sensat tradit refer colon plot"
+    assert " ".join(stem(w) for w in words) == want
+    assert [stem(w) for w in ["skies", "dying", "news", "hopping", "hopeful", "goodness", "roll", "at"]] == \
+        ["sky", "die", "news", "hop", "hope", "good", "roll", "at"]
+
+
+def test_stemmed_rouge_query_against_python(spark):
+    """g09 at sf0.001 against tokens, Porter stems (words over 3 letters), multiset overlap and
+    LCS written out in Python."""
+    import re
+    from collections import Counter
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    from tonalert.functions.porter import stem
+    from tonalert.plans import fixtures as fx
+
+    def toks(t):
+        return [stem(w) if len(w) > 3 else w for w in re.split(r"[^a-z0-9]+", t.lower()) if w]
+
+    def f1(n, a, b):
+        return 0.0 if n == 0 else 2 * (n / len(a)) * (n / len(b)) / (n / len(a) + n / len(b))
+
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            prev = 0
+            for j, y in enumerate(b, 1):
+                cur = row[j]
+                row[j] = prev + 1 if x == y else max(row[j], row[j - 1])
+                prev = cur
+        return row[-1]
+
+    pairs = {r["doc_id"]: (toks(r["prediction"]), toks(r["reference"]))
+             for r in fx.alert_predictions(spark, SF_SMALL).collect()}
+    got = {r["doc_id"]: (r["rouge1"], r["rougeL"]) for r in entry.queries()["g09_stem_rouge"](spark, SF_SMALL).collect()}
+    assert set(got) == set(pairs)
+    for k, (a, b) in pairs.items():
+        r1 = f1(sum((Counter(a) & Counter(b)).values()), a, b) if a and b else 0.0
+        rl = f1(lcs(a, b), a, b) if a and b else 0.0
+        assert abs(got[k][0] - round(r1, 6)) < 1e-9 and abs(got[k][1] - round(rl, 6)) < 1e-9, k

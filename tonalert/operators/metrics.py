@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonalert.functions import labels as L
+from tonalert.functions.porter import stem as porter_stem  # noqa: F401  (G9's default stemmer)
 
 
 def _col(c) -> Column:
@@ -151,6 +152,17 @@ def rougeL(df: DataFrame, key: str, pred: str, ref: str, stem: Callable | None =
     return toks.select(key, _lcs_f1_udf("_p", "_r").alias("rougeL"))
 
 
+def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, stem: Callable | None = None) -> DataFrame:
+    """G7 + G8 per row, ``(key, rouge1, rougeL)``, from one token projection, so a stemmer
+    runs once for both. ``stem=porter_stem`` is the published scorer's ``use_stemmer=True``."""
+    toks = df.select(key, rouge_tokens(pred).alias("_p"), rouge_tokens(ref).alias("_r"))
+    if stem is not None:
+        toks = stem_columns(toks, ["_p", "_r"], stem)
+    j = toks.select(key, unigram_overlap("_p", "_r").cast("double").alias("_ov"), F.size("_p").alias("_np"),
+                    F.size("_r").alias("_nr"), _lcs_f1_udf("_p", "_r").alias("rougeL"))
+    return j.select(key, _f1(F.col("_ov"), F.col("_np"), F.col("_nr")).alias("rouge1"), "rougeL")
+
+
 def evaluate_alerts(df: DataFrame, key: str = "doc_id", pred: str = "prediction", ref: str = "reference",
                     stem: Callable | None = None) -> DataFrame:
     """M9: mean ROUGE-1 and ROUGE-L F1 over rows, x 100, two decimals (one row)."""
@@ -170,27 +182,44 @@ def evaluate_alerts(df: DataFrame, key: str = "doc_id", pred: str = "prediction"
 
 
 def stem_columns(df: DataFrame, cols: list[str], stem: Callable[[str], str]) -> DataFrame:
-    """Apply a stemmer to token arrays. The stemmer runs once per distinct token (Arrow
-    batches); the stems are joined back by token (AQE broadcasts the small side at run time)."""
+    """Apply a stemmer to token arrays (only tokens longer than 3 characters, as the ROUGE
+    scorer does). Other columns of ``df`` identify a row.
+
+    The token frame is checkpointed once (to the shared checkpoint folder), so the two passes
+    over it do not recompute its lineage. The stemmer runs once per *distinct* token in Arrow
+    batches; stems are joined back (broadcast only under a measured size, else a shuffle join
+    whose hot tokens AQE splits), and every row's tokens are regrouped with one shuffle, in
+    order, a row's group bounded by that row."""
 
     @F.pandas_udf(T.StringType())
     def _stem(s: pd.Series) -> pd.Series:
         return s.map(lambda t: stem(t) if len(t) > 3 else t)
 
-    distinct = None
-    for c in cols:
-        d = df.select(F.explode(c).alias("tok"))
-        distinct = d if distinct is None else distinct.unionByName(d)
-    stems = distinct.distinct().select("tok", _stem("tok").alias("stem"))
+    from tonalert.operators.joins import checked_broadcast
+    from tonalert.session import reliable_checkpoint
+
     key_cols = [c for c in df.columns if c not in cols]
-    out = df
-    for c in cols:
-        e = df.select(*key_cols, F.posexplode_outer(c).alias("_pos", "tok")).join(stems, "tok", "left")
-        g = e.groupBy(*key_cols).agg(
-            F.sort_array(F.collect_list(F.when(F.col("tok").isNotNull(), F.struct("_pos", "stem")))).alias("_pairs")
-        )
-        out = out.drop(c).join(g.select(*key_cols, F.transform("_pairs", lambda p: p["stem"]).alias(c)), key_cols)
-    return out
+    base = reliable_checkpoint(df.select(*key_cols, *cols))
+    # Every token of every listed column in one pass: (keys, column number, position, token).
+    # explode_outer keeps rows whose arrays are all empty (they regroup to empty arrays).
+    # (PySpark counts a lambda's parameters, so the column number comes in through a closure.)
+    def entry_of(k):
+        return lambda t, i: F.struct(F.lit(k).alias("c"), i.alias("pos"), t.alias("tok"))
+
+    def of_column(k):
+        return lambda e: e["c"] == k
+
+    tagged = F.concat(*[F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), entry_of(k))
+                        for k, c in enumerate(cols)])
+    ex = base.select(*key_cols, F.explode_outer(tagged).alias("_e"))
+    stems = base.select(F.explode(F.concat(*[F.col(c) for c in cols])).alias("tok")).distinct()
+    stems = stems.select("tok", _stem("tok").alias("stem"))
+    j = ex.join(checked_broadcast(stems), F.col("_e.tok") == F.col("tok"), "left")
+    g = j.groupBy(*key_cols).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_e.c").alias("c"), F.col("_e.pos").alias("pos"),
+                                             F.col("stem")))).alias("_all"))
+    out = [F.transform(F.filter("_all", of_column(k)), lambda e: e["stem"]).alias(c) for k, c in enumerate(cols)]
+    return g.select(*key_cols, *out)
 
 
 def log_metrics(df: DataFrame, step: str, x: str, y: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tonalert.functions import entities as E
 from tonalert.functions import text as T
+from tonalert.operators.joins import checked_broadcast
 from tonalert.sources.io import spread
 
 # FIXED VALUES for the fixtures (FIXTURES.md F1 and F2).
@@ -72,7 +73,10 @@ def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_senti
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     extra = []
     if with_sentiment:
-        docs = docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality"), "doc_id", "left")
+        # Size-checked broadcast: the document texts stay where they are unless the labels
+        # outgrow the limit (then a shuffle join, as a larger table needs anyway).
+        labels = checked_broadcast(table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality"))
+        docs = docs.join(labels, "doc_id", "left")
         extra = list(_sentiment_cols())
     if keep_text:
         extra.append(F.col("text"))

@@ -83,13 +83,16 @@ def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_senti
     toks = T.words(F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", toks.alias("tokens"), *extra)
     rest = [c for c in rows.columns if c not in ("doc_id", "tokens")]
+    # Tag i is PAT[(doc_id*5 + i) mod 17]: the pattern repeated, read from offset (doc_id*5) mod 17
+    # for as many tokens as there are. Native array functions, no lambda per token.
+    period = len(TAG_PATTERN)
+    n = F.size("tokens")
+    offset = F.pmod(F.col("doc_id") * 5, F.lit(period)).cast("int")
+    repeated = F.flatten(F.array_repeat(pat, (F.floor(n / period) + 2).cast("int")))
     return rows.select(
         "doc_id",
         "tokens",
-        F.transform(
-            "tokens",
-            lambda w, i: F.element_at(pat, (F.pmod(F.col("doc_id") * 5 + i, F.lit(len(TAG_PATTERN))) + 1).cast("int")),
-        ).alias("ner_tags"),
+        F.slice(repeated, offset + 1, n).alias("ner_tags"),
         *rest,
     )
 

@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 from tonalert.constants import SCORING_BATCH
 from tonalert.functions import entities as E
 from tonalert.functions import labels as L
-from tonalert.functions.core import bind
 from tonalert.operators.joins import checked_broadcast
 
 def _model(loader: Callable, key: str):
@@ -152,8 +151,9 @@ def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens:
     The previous token is paired in the row before exploding, so no window (and no shuffle by
     key) is needed; the gazetteer is broadcast when its measured size allows.
     """
-    prev = F.concat(F.array(F.lit(None).cast("string")), F.col(tokens))
-    z = bind(prev, lambda pv: F.transform(tokens, lambda t, i: F.struct(t.alias("tok"), F.get(pv, i).alias("prev"))))
+    # Each token beside the one before it (NULL first), zipped natively: no lambda per token.
+    prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col(tokens)), 1, F.size(tokens))
+    z = F.arrays_zip(F.col(tokens).alias("tok"), prev.alias("prev"))
     e = df.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.prev").alias("e")
     # The same gazetteer frame on both sides, so both broadcasts share one exchange.
     g = checked_broadcast(gazetteer.select("tok", "kind"))

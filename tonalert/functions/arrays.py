@@ -21,7 +21,7 @@ def parse_quoted_tokens(c) -> Column:
 def parse_int_list(c) -> Column:
     """A2: ``[1 2 3]`` -> ``[1, 2, 3]``; all-or-nothing: one bad item gives an empty list."""
     body = F.regexp_replace(_col(c), r"^[\[\]]+|[\[\]]+$", "")
-    items = F.filter(F.split(body, WS + "+", -1), lambda w: w != "")
+    items = F.array_remove(F.split(body, WS + "+", -1), "")
     ints = F.transform(items, lambda x: x.try_cast("int"))
     return bind(ints, lambda v: F.when(F.exists(v, lambda x: x.isNull()), F.array().cast("array<int>")).otherwise(v))
 

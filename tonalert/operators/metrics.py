@@ -64,7 +64,7 @@ def n_rows() -> Column:
 
 def rouge_tokens(c) -> Column:
     """Tokens of the published ROUGE tokeniser: lower-case, anything outside a-z0-9 separates."""
-    return F.filter(F.split(F.lower(_col(c)), "[^a-z0-9]+", -1), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(_col(c)), "[^a-z0-9]+", -1), "")
 
 
 def _f1(overlap, n_pred, n_ref) -> Column:

@@ -3,6 +3,8 @@
 R1 is stateless (the alert chain is row-wise), so it runs in append mode with no state store.
 R3 keeps one count per (window, label) in the state store; the watermark lets Spark drop late
 rows and evict finished windows, so state stays bounded by the watermark delay.
+R2 (``operators.alerts.entity_sentiment``) also runs on a stream as it is: an aggregation whose
+state is one row per (entity, tag), so it grows with the distinct entities, not with the rows.
 """
 
 from __future__ import annotations

@@ -63,21 +63,23 @@ def _sentiment_cols():
     return label.alias("sentiment"), score.alias("sentiment_score")
 
 
-def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_sentiment: bool = False) -> DataFrame:
+def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_sentiment: bool = False,
+           docs: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """F2 as arrays ``tagged(doc_id, tokens, ner_tags)``: every token, tag codes by a rule.
 
     ``with_sentiment`` adds F4's columns by joining the small ``labels`` table onto the raw
     document rows first, so the derived arrays are never shuffled.
     """
     pat = F.array(*[F.lit(x) for x in TAG_PATTERN])
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    extra = []
+    # ``docs`` replaces the documents table (it needs doc_id and text); ``carry`` keeps its columns.
+    docs = (table(spark, sf_dir, "documents") if docs is None else docs).select("doc_id", "text", *carry)
+    extra = [F.col(c) for c in carry]
     if with_sentiment:
         # Size-checked broadcast: the document texts stay where they are unless the labels
         # outgrow the limit (then a shuffle join, as a larger table needs anyway).
         labels = checked_broadcast(table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality"))
         docs = docs.join(labels, "doc_id", "left")
-        extra = list(_sentiment_cols())
+        extra += list(_sentiment_cols())
     if keep_text:
         extra.append(F.col("text"))
     toks = T.words(F.coalesce("text", F.lit("")))

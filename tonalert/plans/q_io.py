@@ -65,9 +65,12 @@ def s04_read_tagged(spark, sf_dir):
     """The token corpus written as Parquet, one folder per split, then S4 with its declared schema
     (codes as integers; the corpus here has no part-of-speech or chunk tags, so those read NULL)."""
     path = scratch_path(spark, "tagged")
-    split = S.split_exact(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", fx.TRAIN_FRACTION,
-                          fx.SPLIT_SEED)
-    t = fx.tagged(spark, sf_dir).join(split, "doc_id")
+    # The split is assigned on the document rows (a broadcast bucket table; only rows of buckets
+    # that straddle the cut are ranked and shuffled), then the rows are tokenised and tagged where
+    # they are: the token arrays are never joined or shuffled.
+    docs = S.split_exact(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id",
+                         fx.TRAIN_FRACTION, fx.SPLIT_SEED)
+    t = fx.tagged(spark, sf_dir, docs=docs, carry=("split",))
     corpus = t.select(F.col("doc_id").cast("string").alias("id"), "tokens",
                       F.col("ner_tags").cast("array<int>").alias("ner_tags"), "split")
     corpus.write.partitionBy("split").parquet(path)

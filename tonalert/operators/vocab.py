@@ -31,7 +31,10 @@ def build_vocab(docs: DataFrame, text: str = "text", size: int = 500) -> DataFra
 def attach_vectors(vocab: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Vocabulary rows with their vector (``vectors.vec_id = vocab.idx``)."""
     v = vectors.select(F.col(id_col).alias("idx"), F.col(vec_col).alias("vector"))
-    return vocab.join(v, "idx", "left")
+    # Keep only the vectors the vocabulary uses (a semi-join against its broadcast indices, so the
+    # full vector table is filtered where it lies, never shuffled), then attach them.
+    used = v.join(checked_broadcast(vocab.select("idx")), "idx", "left_semi")
+    return vocab.join(used, "idx", "left")
 
 
 def _indexed_tokens(df: DataFrame, key: str, toks: str, vocab: DataFrame) -> DataFrame:

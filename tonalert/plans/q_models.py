@@ -9,6 +9,7 @@ from tonalert.functions import entities as E
 from tonalert.functions import text as TX
 from tonalert.operators import models as MD
 from tonalert.operators.alerts import BAD_WORDS, GOOD_WORDS, alert_pairs
+from tonalert.operators.joins import checked_broadcast
 from tonalert.operators.splits import split_exact
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
@@ -55,7 +56,7 @@ def m01_score_batches(spark, sf_dir):
 def _train_data(spark, sf_dir):
     tw = fx.tweets(spark, sf_dir).select("doc_id", TX.normalize_tweet("raw").alias("tokens"))
     lab = fx.logits(spark, sf_dir).select("doc_id", F.col("y").alias("target"))
-    return split_exact(tw.join(lab, "doc_id"), "doc_id", 0.8, fx.SPLIT_SEED)
+    return split_exact(tw.join(checked_broadcast(lab), "doc_id"), "doc_id", 0.8, fx.SPLIT_SEED)
 
 
 @register("m03_train_sentiment")  # iterative fit: rows-only

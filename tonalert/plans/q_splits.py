@@ -13,6 +13,7 @@ from tonalert.operators import splits as S
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
+from tonalert.session import reliable_checkpoint
 
 SEED = fx.SPLIT_SEED
 SAMPLE_SEED = 7
@@ -114,7 +115,8 @@ def j02_not_in(spark, sf_dir):
 )
 def u01_union_splits(spark, sf_dir):
     g = _groups(spark, sf_dir).select("doc_id", "split")
-    docs = _docs(spark, sf_dir).select("doc_id", F.size(TX.words("text")).alias("n_words"))
+    # The per-document step runs once; its small result is checkpointed and read by all three splits.
+    docs = reliable_checkpoint(_docs(spark, sf_dir).select("doc_id", F.size(TX.words("text")).alias("n_words")))
     parts = {name: docs.join(g.filter(F.col("split") == name).select("doc_id"), "doc_id", "left_semi")
              for name in ("train", "val", "test")}
     return normalise(S.union_splits(parts).select("doc_id", "split", "n_words"))

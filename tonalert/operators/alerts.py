@@ -65,18 +65,19 @@ def fuse_caption(df: DataFrame, caps: DataFrame, on, text: str = "text", caption
 
 
 def alerts_from_text(df: DataFrame, key: str = "doc_id", text: str = "text", tags: str = "ner_tags",
-                     coded: bool = True, salt: int = 0) -> DataFrame:
+                     coded: bool = True, salt: int = 0, tokens: str | None = None) -> DataFrame:
     """R1's row-wise chain: T16 -> M2 for the tone, supplied tags -> E1 for the entities, then E6.
 
-    Every step is a single-row expression, so the same function serves a static DataFrame and a
-    streaming one.
+    The tags belong to the white-space tokens of the text; a stream that already carries those
+    tokens names them in ``tokens`` and they are not split again. Every step is a single-row
+    expression, so the same function serves a static DataFrame and a streaming one.
     """
     # Two projections: the tone struct is computed once, then read three times (Catalyst keeps
     # the projections apart because the struct is not cheap to recompute).
     scored = df.select(
         key,
         lexicon_sentiment(T.normalize_tweet(text)).alias("_tone"),
-        E.extract_entities(T.words(text), tags, coded).alias("_ents"),
+        E.extract_entities(F.col(tokens) if tokens else T.words(text), tags, coded).alias("_ents"),
     )
     return scored.select(
         key,

@@ -36,7 +36,8 @@ def _tone_cte():
     + "SELECT doc_id, sentiment, round(sentiment_score, 6) AS sentiment_score, alert_0 AS alert FROM alerts",
 )
 def r01_stream_alerts(spark, sf_dir):
-    a = alerts_from_text(_stream_rows(spark, sf_dir), "doc_id", "text", "ner_tags")
+    rows = fx.tagged(spark, sf_dir, keep_text=True).select("doc_id", "text", "tokens", "ner_tags")
+    a = alerts_from_text(rows, "doc_id", "text", "ner_tags", tokens="tokens")
     return normalise(a.select("doc_id", "sentiment", F.round("sentiment_score", 6).alias("sentiment_score"), "alert"))
 
 

@@ -118,3 +118,12 @@ def test_stemmed_rouge_query_against_python(spark):
         r1 = f1(sum((Counter(a) & Counter(b)).values()), a, b) if a and b else 0.0
         rl = f1(lcs(a, b), a, b) if a and b else 0.0
         assert abs(got[k][0] - round(r1, 6)) < 1e-9 and abs(got[k][1] - round(rl, 6)) < 1e-9, k
+
+
+def test_stem_columns_keeps_rows_and_order(spark):
+    from tonalert.functions.porter import stem
+
+    rows = [(1, ["running", "dogs", "the"], []), (2, [], []), (3, ["cats"], ["cats", "running", "cats"])]
+    df = spark.createDataFrame(rows, "k long, a array<string>, b array<string>")
+    got = {r["k"]: (list(r["a"]), list(r["b"])) for r in M.stem_columns(df, ["a", "b"], stem).collect()}
+    assert got == {1: (["run", "dog", "the"], []), 2: ([], []), 3: (["cat"], ["cat", "run", "cat"])}

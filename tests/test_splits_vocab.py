@@ -72,3 +72,11 @@ def test_longest_first_by_batch(spark):
     df = spark.createDataFrame(rows, "k long, batch long, ids array<int>")
     got = {r["k"]: r["place"] for r in V.longest_first(df, "ids", batch_col="batch", key="k").collect()}
     assert got == {2: 1, 3: 2, 1: 3, 5: 1, 4: 2}
+
+
+def test_attach_vectors_only_used_ones(spark):
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 5)], "word string, idx long")
+    vectors = spark.createDataFrame([(0, [0.5]), (1, [1.5]), (2, [2.5]), (3, [3.5])], "vec_id long, embedding array<float>")
+    got = {r["word"]: (r["idx"], None if r["vector"] is None else list(r["vector"]))
+           for r in V.attach_vectors(vocab, vectors).collect()}
+    assert got == {"a": (0, [0.5]), "b": (1, [1.5]), "c": (5, None)}

@@ -33,16 +33,18 @@ def alert_pairs(df: DataFrame, key: str = "doc_id", tokens: str = "tokens", tags
     })
 
 
-def lexicon_counts(toks) -> tuple[Column, Column]:
-    """Counts of good and bad signals among normalised tokens: listed words plus the ``<good`` /
-    ``<bad`` halves that the emotion tags leave after tokenising."""
+def lexicon_counts(toks) -> Column:
+    """``array(pos, neg)``: counts of good and bad signals among normalised tokens (listed words
+    plus the ``<good`` / ``<bad`` halves that the emotion tags leave after tokenising).
+
+    One pass over all tokens keeps the listed ones (usually a handful); both counts then read
+    only those. ``isin`` over more than ten literals is a hash-set test (InSet)."""
     toks = F.col(toks) if isinstance(toks, str) else toks
-    # isin over more than ten literals becomes a hash-set test (InSet), not a scan of the list.
     good = GOOD_WORDS + ["<good"]
     bad = BAD_WORDS + ["<bad"]
-    pos = F.size(F.filter(toks, lambda w: w.isin(good)))
-    neg = F.size(F.filter(toks, lambda w: w.isin(bad)))
-    return pos, neg
+    hits = F.filter(toks, lambda w: w.isin(good + bad))
+    return bind(hits, lambda h: F.array(F.size(F.filter(h, lambda w: w.isin(good))),
+                                        F.size(F.filter(h, lambda w: w.isin(bad)))))
 
 
 def lexicon_sentiment(toks) -> Column:
@@ -54,8 +56,8 @@ def lexicon_sentiment(toks) -> Column:
         score = F.when(pos + neg == 0, F.lit(0.5)).otherwise(F.greatest(pos, neg) / (pos + neg))
         return F.struct(label.alias("label"), score.cast("double").alias("score"), pos.alias("pos"), neg.alias("neg"))
 
-    # Tokens and counts are bound once each; the label and score read them several times.
-    return bind(toks, lambda t: bind(F.array(*lexicon_counts(t)), from_counts))
+    # The counts are bound once; the label and score read them several times.
+    return bind(lexicon_counts(toks), from_counts)
 
 
 def fuse_caption(df: DataFrame, caps: DataFrame, on, text: str = "text", caption: str = "caption") -> DataFrame:

@@ -1,7 +1,7 @@
-"""Round trips through the sources and sinks (S2, S3, S4, S8, K1, K2, K4) over tables that Spark
+"""Round trips through the sources and sinks (S1-S4, S8, K1, K2, K4) over tables that Spark
 derives from the supplied ones: each query writes with a sink into a fresh folder inside the shared
 checkpoint folder, reads the files back with a source, and returns the rows read. The DuckDB text
-states what must come back: the rows that went in."""
+states what must come back: the rows that went in. S7 (the missing-input policy) is here too."""
 
 from __future__ import annotations
 

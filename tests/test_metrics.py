@@ -81,6 +81,9 @@ def test_porter_stemmer_documented_examples():
     assert " ".join(stem(w) for w in words) == want
     assert [stem(w) for w in ["skies", "dying", "news", "hopping", "hopeful", "goodness", "roll", "at"]] == \
         ["sky", "die", "news", "hop", "hope", "good", "roll", "at"]
+    # Multi-step words worked through the published steps (2 -> 3 -> 4, 1a -> 4, 3 alone).
+    words = "generalization relational conditional rational happiness abilities".split()
+    assert [stem(w) for w in words] == ["gener", "relat", "condit", "ration", "happi", "abil"]
 
 
 def test_stemmed_rouge_query_against_python(spark):

@@ -75,3 +75,40 @@ verdict AS (SELECT f.*, NOT base_failed AND x.rid IS NULL AS kept FROM feat f LE
 
 QUALITY_SQL = f"""WITH {quality_features_ctes("documents")}, {quality_verdict_ctes()}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM verdict"""
+
+
+def line_ctes(source: str) -> str:
+    """CTEs up to ``shorter``: the texts of ``source`` (rid, doc_id, t) without their dropped lines."""
+    key = "translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+ln AS (SELECT rid, doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM {source}),
+keyed AS (SELECT *, {key} AS k FROM ln),
+often AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT rid, l.doc_id, line, i, o.k IS NOT NULL AND l.doc_id <> o.keeper AS dropped FROM keyed l LEFT JOIN often o USING (k)),
+shorter AS (SELECT rid, doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS t FROM marked GROUP BY rid, doc_id)"""
+
+
+LINE_SQL = f"""WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {line_ctes("src")}
+SELECT doc_id, n_lines, n_dropped, sha256(t) AS kept_sha256 FROM shorter"""
+
+
+def hit_ctes(source: str) -> str:
+    """CTEs up to ``hits``: per row of ``source`` (rid, doc_id, t) its words, hit words and items."""
+    split = r"string_split_regex(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+dw AS (SELECT rid, doc_id, list_filter({split.format("t")}, lambda w: w <> '') AS ws FROM {source}),
+iw AS (SELECT coalesce(item_id::VARCHAR, '') AS item, list_filter({split.format("coalesce(text, '')")}, lambda w: w <> '') AS ws FROM benchmark),
+iwin AS (SELECT DISTINCT item, ws[k:k + 9] AS win FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS k FROM iw WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS size FROM iwin),
+dwin AS (SELECT rid, k, ws[k:k + size - 1] AS win FROM (
+  SELECT rid, ws, size, unnest(range(1, len(ws) - size + 2)) AS k FROM dw, sizes WHERE len(ws) >= size)),
+found AS (SELECT rid, k, win, item FROM dwin JOIN iwin USING (win)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(k, k + len(win))) AS p FROM found) GROUP BY rid),
+held AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid),
+hits AS (SELECT d.rid, doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items
+  FROM dw d LEFT JOIN covered USING (rid) LEFT JOIN held USING (rid))"""
+
+
+BENCHMARK_SQL = f"""WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {hit_ctes("src")}
+SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, n_hit > 0 AS contaminated FROM hits"""

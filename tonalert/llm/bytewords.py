@@ -118,8 +118,8 @@ def windows(words: Words, size: int):
     top = len(words.hashes) - 1
     for k in range(size):
         part = words.hashes[np.minimum(start + k, top)] + _U(k + 1)
-        out = np.where(k < length, mix(out ^ part) if k else out ^ part, out)
-    return mix(out), first
+        out = np.where(k < length, mix(out ^ part), out)
+    return out, first
 
 
 def hash_words(texts, word_bytes) -> list:

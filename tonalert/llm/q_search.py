@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tonalert.llm.common import table
 from tonalert.llm.decontaminate import contaminated
 from tonalert.llm.registry import register
-from tonalert.llm.sql import BENCHMARK_SQL
+from tonalert.llm.sql import BENCHMARK_SQL, NEAR_SQL
+from tonalert.llm.superminhash import near_duplicates
 
 
 @register("op6_benchmark_decontamination", BENCHMARK_SQL)
@@ -16,3 +17,8 @@ def op6_benchmark_decontamination(spark, sf_dir):
     return hits.select(
         "doc_id", "n_words", F.size("hit").cast("bigint").alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.sort_array("items"), ",").cast("binary"), 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"))
+
+
+@register("op1_superminhash", NEAR_SQL)
+def op1_superminhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row_hash")

@@ -112,3 +112,26 @@ hits AS (SELECT d.rid, doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS
 
 BENCHMARK_SQL = f"""WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {hit_ctes("src")}
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, n_hit > 0 AS contaminated FROM hits"""
+
+
+def near_ctes(source: str) -> str:
+    """CTEs up to ``near``: per row of ``source`` (rid, doc_id, t) its set size and component. All
+    pairs of different sets that share a shingle are compared."""
+    return f"""
+sw AS (SELECT rid, doc_id, list_filter(string_split_regex(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM {source}),
+sets AS MATERIALIZED (SELECT rid, doc_id, list_sort(list_distinct(list_transform(
+         range(1, CASE WHEN len(ws) = 0 THEN 1 ELSE greatest(len(ws) - 4, 1) + 1 END), lambda k: array_to_string(ws[k:k + 4], ' ')))) AS s FROM sw),
+cls AS MATERIALIZED (SELECT min(doc_id) AS id, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+sh AS MATERIALIZED (SELECT id, n, unnest(s) AS g FROM cls),
+pairs AS MATERIALIZED (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.id < b.id
+          WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY ALL),
+near_links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * k >= 85 * (na + nb - k) UNION SELECT b, a FROM pairs WHERE 100 * k >= 85 * (na + nb - k)),
+reach AS (SELECT id, id AS c FROM cls UNION SELECT r.id, l.b FROM reach r JOIN near_links l ON l.a = r.c),
+comp AS (SELECT id, min(c) AS c FROM reach GROUP BY id),
+near AS (SELECT rid, s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(comp.c, s.doc_id) AS component_id
+         FROM sets s LEFT JOIN cls ON s.s = cls.s AND len(s.s) > 0 LEFT JOIN comp ON comp.id = cls.id)"""
+
+
+NEAR_SQL = f"""WITH RECURSIVE src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {near_ctes("src")}
+SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM near"""

@@ -135,3 +135,15 @@ near AS (SELECT rid, s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(comp.c,
 
 NEAR_SQL = f"""WITH RECURSIVE src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), {near_ctes("src")}
 SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM near"""
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('{_BASE32}', 1 +
+    ((('0x' || substr(x, ((i // 4) * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM d"""

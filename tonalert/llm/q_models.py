@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tonalert.llm import compression_quality, toxicity
 from tonalert.llm.bpe import Tokenizer
-from tonalert.llm.common import table
+from tonalert.llm.common import doc_fold, table
 from tonalert.llm.registry import register
 
 
@@ -24,3 +25,20 @@ def bpe_digests(tok: Tokenizer, docs):
 @register("op8_byte_bpe")
 def op8_byte_bpe(spark, sf_dir):
     return bpe_digests(tokenizer(spark), table(spark, sf_dir, "documents"))
+
+
+def _judged(scores, modulus, held_out, cut):
+    fold = doc_fold(modulus)
+    return scores.select("doc_id", (fold == held_out).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+@register("op3_compression_quality")
+def op3_compression_quality(spark, sf_dir):
+    scores = compression_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), doc_fold(3) != 1)
+    return _judged(scores, 3, 1, 0.5)
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    scores = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), doc_fold(4) != 2)
+    return _judged(scores, 4, 2, 0.3)

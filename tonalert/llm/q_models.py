@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tonalert.llm import compression_quality, toxicity
+from tonalert.llm import compression_quality, lm_score, toxicity
 from tonalert.llm.bpe import Tokenizer
 from tonalert.llm.common import doc_fold, table
 from tonalert.llm.registry import register
+from tonalert.llm.sql import LM_SQL
 
 
 def tokenizer(spark) -> Tokenizer:
@@ -42,3 +43,10 @@ def op3_compression_quality(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     scores = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), doc_fold(4) != 2)
     return _judged(scores, 4, 2, 0.3)
+
+
+@register("op10_lm_scores", LM_SQL)
+def op10_lm_scores(spark, sf_dir):
+    scores = lm_score.scored(table(spark, sf_dir, "documents"), doc_fold(5) != 1)
+    return scores.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"))

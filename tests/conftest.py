@@ -18,7 +18,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from tonalert.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8, app="tonalert-tests")
+    # Intermediate tables of tests go to a folder of their own.
+    s = local_session(cores="*", shuffle_partitions=8, app="tonalert-tests", shared=tempfile.mkdtemp(prefix="tonalert-test-"))
     yield s
     s.stop()
 

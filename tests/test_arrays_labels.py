@@ -38,9 +38,18 @@ def test_fix_length_mask_and_unmask(spark):
 
 
 def test_decode_tags_and_text(spark):
-    df = spark.createDataFrame([([0, 2, 9],)], "c array<int>")
-    r = df.select(A.decode_tags("c", ["O", "B", "I"]).alias("d"), A.array_text("c").alias("j")).first()
-    assert list(r["d"]) == ["O", "I", None] and r["j"] == "[0,2,9]"
+    df = spark.createDataFrame([([0, 2, None], ["O", "B", "I"], [9])], "c array<int>, names array<string>, bad array<int>")
+    r = df.select(A.decode_tags("c", ["O", "B", "I"]).alias("d"), A.decode_tags("c", "names").alias("e"), A.array_text("bad").alias("j")).first()
+    assert list(r["d"]) == list(r["e"]) == ["O", "I", None] and r["j"] == "[9]"
+    with pytest.raises(Exception, match="tag code without a name"):
+        df.select(A.decode_tags("bad", ["O"])).collect()
+
+
+def test_parsers_take_nulls_and_lists(spark):
+    df = spark.createDataFrame([(None, None, None), ("['a', 'b']", ["x"], [1, 2])], "t string, a array<string>, i array<int>")
+    rows = df.select(A.parse_quoted_tokens("t"), A.parse_int_list("t"), A.build_sentence("t"), A.parse_quoted_tokens("a", True), A.parse_int_list("i", True),
+                     A.build_sentence("a", True)).collect()
+    assert [tuple(r) for r in rows] == [([], [], "", [], [], ""), (["a", "b"], [], "a b", ["x"], [1, 2], "x")]
 
 
 def test_label_rules(spark):

@@ -66,11 +66,26 @@ def test_missing_policy(spark, tmp_dir):
         IO.on_missing(lambda: spark.read.parquet(missing), "error")
 
 
-def test_read_vocab_fits_once(spark, tmp_dir):
-    docs = spark.createDataFrame([(["a", "b", "c"],), (["b", "c", "d"],)], "tokens array<string>")
+def test_read_vocab(spark, tmp_dir):
     p = os.path.join(tmp_dir, "vocab")
-    v = IO.read_vocab(spark, p, docs, vector_size=4)
-    rows = v.collect()
-    assert sorted(r["word"] for r in rows) == ["a", "b", "c", "d"]
-    assert sorted(r["idx"] for r in rows) == [0, 1, 2, 3] and all(len(r["vector"]) == 4 for r in rows)
-    assert IO.read_vocab(spark, p).count() == 4
+    with pytest.raises(FileNotFoundError):
+        IO.read_vocab(spark, p)
+    IO.ingest_once(spark.createDataFrame([("a", 0, [1.0])], IO.VOCAB_SCHEMA), p)
+    assert [tuple(r) for r in IO.read_vocab(spark, p).collect()] == [("a", 0, [1.0])]
+
+
+def test_images_are_chosen_when_listed(spark, tmp_dir):
+    for name in ("a.jpg", "b.JPG", "c.png", "d.txt"):
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(b"x")
+    names = lambda df: sorted(os.path.basename(r["path"]) for r in df.collect())
+    assert names(IO.read_images(spark, tmp_dir)) == ["a.jpg"]
+    assert names(IO.read_images(spark, tmp_dir, (".jpg", ".png"), ignore_case=True)) == ["a.jpg", "b.JPG", "c.png"]
+
+
+def test_split_files_without_multi_line(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "one.csv")
+    with open(p, "w") as f:
+        f.write("k,v\n" + "".join(f"{i},x\n" for i in range(1000)))
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    assert IO.read_table_csv(spark, p, schema, multi_line=False).count() == IO.read_table_csv(spark, p, schema).count() == 1000

@@ -29,9 +29,11 @@ def test_score_batches_slices_and_keeps_rows(spark):
 def test_train_save_load(spark, tmp_dir):
     rows = [(i, ["happy", "love", "x"] if i % 2 else ["sad", "cry", "x"], 2 if i % 2 else 0) for i in range(60)]
     df = spark.createDataFrame(rows, "k int, tokens array<string>, target int")
-    model = MD.train_sentiment(df, vector_size=8, max_iter=50)
+    vocab = spark.createDataFrame([("happy", [1.0, 0.0]), ("love", [0.5, 0.1]), ("sad", [-1.0, 0.0]), ("cry", [-0.5, 0.3])], "word string, vector array<float>")
+    df = MD.with_features(df, vocab, "k")
+    model = MD.train_sentiment(df, max_iter=50)
     ev = MD.evaluate_sentiment(model, df).first()
-    assert ev["n"] == 60 and 0.0 <= ev["accuracy"] <= 1.0
+    assert ev["n"] == 60 and ev["accuracy"] == 1.0
     path = os.path.join(tmp_dir, "model")
     MD.save_model(model, path)
     again = MD.load_model(path)
@@ -108,3 +110,28 @@ def test_model_loaded_once_per_worker_not_per_partition(spark, tmp_dir):
     assert len(out) == 3200
     loads = sum(1 for _ in open(path))
     assert 1 <= loads < 32
+
+
+def test_latest_model_only(spark):
+    import sys
+
+    first, second = MD._model(lambda: object(), "a"), MD._model(lambda: object(), "b")
+    assert first is not second and sys._tonalert_model == ("b", second)
+
+
+def test_unknown_words_and_unlisted_images(spark, tmp_dir):
+    vocab = spark.createDataFrame([("a", [1.0, 3.0]), ("b", [3.0, 5.0])], "word string, vector array<float>")
+    df = spark.createDataFrame([(1, ["a", "b", "b", "z"]), (2, ["z"]), (3, [])], "doc_id long, tokens array<string>")
+    got = {r["doc_id"]: [round(x, 4) for x in r["features"].toArray()] for r in MD.with_features(df, vocab).collect()}
+    assert got == {1: [2.3333, 4.3333], 2: [0.0, 0.0], 3: [0.0, 0.0]}
+    images = spark.createDataFrame([("p/a.jpg", b"1"), ("p/b.jpg", b"2")], "path string, content binary")
+    out = os.path.join(tmp_dir, "unlisted")
+    IO.write_images_by_split(images, spark.createDataFrame([("a.jpg", "train")], "image_name string, split string"), out)
+    assert {r["image_name"]: r["split"] for r in spark.read.parquet(out).collect()} == {"a.jpg": "train", "b.jpg": "unlisted"}
+
+
+def test_scorers_keep_rows_without_a_reference(spark):
+    scored = spark.createDataFrame([(1, 3.0), (2, 3.0)], "doc_id long, x double")
+    ref = spark.createDataFrame([(1, "positive")], "doc_id long, sentiment string")
+    got = {r["doc_id"]: r["agree"] for r in MD.compare_scorers(scored, ref).collect()}
+    assert got == {1: 1, 2: None}

@@ -6,13 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tonalert.plans import catalog
 
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
-SQL = entry.oracle_sql()
-SLOW_ROWS_ONLY = {"m03_train_sentiment", "m04_evaluate_sentiment", "m05_save_load"}
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -55,13 +55,6 @@ def test_query_matches_duckdb(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQL) - SLOW_ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(SQL)))
 def test_rows_only_queries_run(spark, name):
     assert entry.queries()[name](spark, SF_SMALL).count() >= 1
-
-
-def test_save_load_query_gives_same_scores(spark):
-    out = entry.queries()["m05_save_load"](spark, SF_SMALL)
-    rows = out.collect()
-    n_labelled = spark.read.parquet(f"{SF_SMALL}/labels.parquet").count()
-    assert len(rows) == n_labelled and all(r["same"] == 1 for r in rows)

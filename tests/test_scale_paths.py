@@ -31,7 +31,7 @@ def test_words_to_idx_same_result_with_shuffle_join(spark, monkeypatch):
     vocab = spark.createDataFrame([("a", 0), ("b", 1)], "word string, idx int")
     docs = spark.createDataFrame([(1, ["b", "a", "z"]), (2, ["z"])], "doc_id long, tokens array<string>")
     small = {r["doc_id"]: list(r["ids"]) for r in V.words_to_idx(docs, vocab).collect()}
-    monkeypatch.setattr(V, "checked_broadcast", lambda df: J.checked_broadcast(df, limit=0))
+    monkeypatch.setattr(V, "checked_broadcast", lambda df, **options: J.checked_broadcast(df, limit=0, **options))
     big = {r["doc_id"]: list(r["ids"]) for r in V.words_to_idx(docs, vocab).collect()}
     assert small == big == {1: [1, 0], 2: [0]}
 

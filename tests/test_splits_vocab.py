@@ -80,3 +80,30 @@ def test_attach_vectors_only_used_ones(spark):
     got = {r["word"]: (r["idx"], None if r["vector"] is None else list(r["vector"]))
            for r in V.attach_vectors(vocab, vectors).collect()}
     assert got == {"a": (0, [0.5]), "b": (1, [1.5]), "c": (5, None)}
+
+
+def test_null_keys_stay(spark):
+    df = spark.createDataFrame([(i if i else None, f"r{i}") for i in range(10)], "k bigint, v string")
+    for out in (S.split_exact(df, "k"), S.shuffle(df, "k"), S.batches(df, "k", 3), S.assign_ranges(df, "k", 1, lambda n: [0, n], ["a", "b", "c"])):
+        assert sorted(r["v"] for r in out.collect()) == [f"r{i}" for i in range(10)]
+    sizes = sorted(r["count"] for r in S.split_exact(df, "k").groupBy("split").count().collect())
+    assert sizes == [2, 8]
+    assert {r["split"] for r in S.split_exact(df.limit(0), "k").collect()} == set()
+    assert S.shuffle(df.limit(0), "k").count() == 0
+
+
+def test_split_is_one_narrow_pass(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    plan = S.split_exact(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Union" not in plan and "Join" not in plan
+
+
+def test_every_word_is_numbered(spark):
+    df = spark.createDataFrame([("b a a c",), ("a b",), (None,)], "text string")
+    assert sorted(map(tuple, V.build_vocab(df).collect())) == [("a", 0, 3), ("b", 1, 2), ("c", 2, 1)]
+
+
+def test_numbers_follow_the_order_over_partitions(spark):
+    df = spark.range(5000).repartition(7)
+    rows = V.number_rows(df.withColumn("o", -df["id"]), "o").collect()
+    assert sorted((r["idx"], r["id"]) for r in rows) == [(i, 4999 - i) for i in range(5000)]

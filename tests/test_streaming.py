@@ -74,7 +74,7 @@ def test_entity_sentiment_on_a_stream_equals_batch(spark, tmp_dir):
     rows.repartition(4).write.parquet(src)
     schema = spark.read.parquet(src).schema
     stream = ST.read_stream(spark, src, schema, max_files=1)
-    cols = ["entity", "tag", "mentions", "negatives", "score_cents"]
+    cols = ["entity", "tag", "mentions", "negatives"]
     q = (entity_sentiment(stream).select(*cols).writeStream.format("memory").queryName("r2_stream")
          .outputMode("complete").option("checkpointLocation", os.path.join(tmp_dir, "r2ckpt"))
          .trigger(availableNow=True).start())

@@ -7,28 +7,31 @@ from pyspark.sql import functions as F
 
 from tonalert.constants import IGNORE_INDEX, MAX_INPUT_LEN, WS
 from tonalert.functions.core import bind
+from tonalert.functions.core import col as _col
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def parse_quoted_tokens(c, is_array: bool = False) -> Column:
+    """A1: every ``'...'`` piece of a text list (shortest match, not across a newline); NULL gives an
+    empty list. ``is_array``: the column already holds lists, which pass through."""
+    none = F.array().cast("array<string>")
+    return F.coalesce(_col(c) if is_array else F.regexp_extract_all(_col(c), F.lit(r"(?d)'(.*?)'"), 1), none)
 
 
-def parse_quoted_tokens(c) -> Column:
-    """A1: every ``'...'`` piece of a text list (shortest match, not across a newline)."""
-    return F.regexp_extract_all(_col(c), F.lit(r"(?d)'(.*?)'"), 1)
-
-
-def parse_int_list(c) -> Column:
-    """A2: ``[1 2 3]`` -> ``[1, 2, 3]``; all-or-nothing: one bad item gives an empty list."""
+def parse_int_list(c, is_array: bool = False) -> Column:
+    """A2: ``[1 2 3]`` -> ``[1, 2, 3]``; all-or-nothing: one bad item gives an empty list, and so does
+    NULL. ``is_array``: the column already holds lists, which pass through."""
+    none = F.array().cast("array<int>")
+    if is_array:
+        return F.coalesce(_col(c).cast("array<int>"), none)
     body = F.regexp_replace(_col(c), r"^[\[\]]+|[\[\]]+$", "")
     items = F.array_remove(F.split(body, WS + "+", -1), "")
     ints = F.transform(items, lambda x: x.try_cast("int"))
-    return bind(ints, lambda v: F.when(F.exists(v, lambda x: x.isNull()), F.array().cast("array<int>")).otherwise(v))
+    return F.coalesce(bind(ints, lambda v: F.when(F.exists(v, lambda x: x.isNull()), none).otherwise(v)), none)
 
 
-def build_sentence(c) -> Column:
+def build_sentence(c, is_array: bool = False) -> Column:
     """A3: A1 then joined with one space."""
-    return F.array_join(parse_quoted_tokens(c), " ")
+    return F.array_join(parse_quoted_tokens(c, is_array), " ")
 
 
 def zip_shortest(a, b) -> Column:
@@ -68,10 +71,13 @@ def mask_padding(c, pad: int = 0) -> Column:
     return F.transform(_col(c), lambda x: F.when(x == pad, F.lit(IGNORE_INDEX)).otherwise(x))
 
 
-def decode_tags(codes, names: list[str]) -> Column:
-    """P10: integer codes -> names through a dictionary held as an array literal."""
-    table = F.array(*[F.lit(n) for n in names])
-    return F.transform(_col(codes), lambda i: F.get(table, i))
+def decode_tags(codes, names) -> Column:
+    """P10: integer codes -> names. ``names`` is a Python list or an array column of names by code;
+    a code without a name raises, as the original's list access does; NULL codes stay NULL."""
+    table = F.array(*[F.lit(n) for n in names]) if isinstance(names, list) else _col(names)
+    no_name = F.raise_error(F.lit("tag code without a name"))
+    return F.transform(_col(codes), lambda i: F.when(i.isNull(), F.lit(None).cast("string")).otherwise(
+        F.coalesce(F.get(table, i.cast("int")), no_name.cast("string"))))
 
 
 def n_chars(c) -> Column:

@@ -51,7 +51,8 @@ def strip_ws(c) -> Column:
 _LETTER_OF_NAME = {"B-PER": "P", "I-PER": "p", "B-ORG": "G", "I-ORG": "g",
                    "B-LOC": "L", "I-LOC": "l", "B-MISC": "M", "I-MISC": "m"}
 _KIND_OF_LETTER = {"P": "PER", "G": "ORG", "L": "LOC", "M": "MISC"}
-_SPAN = "|".join(f"{u}\\d+(?:,{u.lower()}\\d+)*" for u in _KIND_OF_LETTER)
+# Possessive quantifiers: the matcher loops over a span instead of recursing once per token.
+_SPAN = "|".join(f"{u}\\d++(?:,{u.lower()}\\d++)*+" for u in _KIND_OF_LETTER)
 
 
 # Letter of each tag code 0..max (derived from the two tables above): a coded tag is one array
@@ -152,10 +153,12 @@ PHRASES = {"PER": PERSON_PHRASES, "ORG": ORG_PHRASES, "LOC": LOC_PHRASES, "MISC"
 
 
 def alert_phrase(kind: str, key, salt: int = 0) -> Column:
-    """E5: one phrase of the kind's list, chosen from the row key (reproducible)."""
+    """E5: one phrase of the kind's list, chosen by a hash of the row key (of any type; reproducible)
+    and the kind, so the kinds do not move in step. A NULL key counts as the empty text."""
     options = PHRASES[kind]
-    pick = F.pmod(_col(key) + F.lit(salt), F.lit(len(options))) + 1
-    return F.element_at(F.array(*[F.lit(p) for p in options]), pick.cast("int"))
+    text = F.concat(F.coalesce(_col(key).cast("string"), F.lit("")), F.lit(f":{salt}:{kind}"))
+    pick = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % len(options)
+    return F.element_at(F.array(*[F.lit(p) for p in options]), (pick + 1).cast("int"))
 
 
 def build_alert(ents, label, score, key, salt: int = 0, sep: str = "", cleaned: bool = False) -> Column:

@@ -13,6 +13,7 @@ from tonalert.constants import EMOTION_CATEGORIES
 from tonalert.functions import entities as E
 from tonalert.functions.core import bind
 from tonalert.functions import text as T
+from tonalert.operators.joins import checked_broadcast
 
 GOOD_WORDS = [w for w, c in EMOTION_CATEGORIES.items() if c == "good emotion"]
 BAD_WORDS = [w for w, c in EMOTION_CATEGORIES.items() if c == "bad emotion"]
@@ -61,8 +62,9 @@ def lexicon_sentiment(toks) -> Column:
 
 
 def fuse_caption(df: DataFrame, caps: DataFrame, on, text: str = "text", caption: str = "caption") -> DataFrame:
-    """Left join captions on the key and append the caption to the text."""
-    joined = df.join(caps, on=on, how="left")
+    """Left join captions on the key and append the caption to the text. Captions are
+    broadcast while their measured size allows, so texts are not shuffled by a key that few values share."""
+    joined = df.join(checked_broadcast(caps, materialize=False), on=on, how="left")
     return joined.withColumn("fused", F.concat_ws(" ", F.col(text), F.col(caption)))
 
 
@@ -103,5 +105,36 @@ def entity_sentiment(alerts: DataFrame, entities: str = "entities", sentiment: s
         F.sum(neg).alias("negatives"),
         F.avg(neg.cast("double")).alias("share_negative"),
         F.avg(score).alias("mean_score"),
-        F.sum(F.round(F.col(score) * 100).cast("bigint")).alias("score_cents"),
     )
+
+
+def alert_pipeline(df: DataFrame, caps: DataFrame, gazetteer: DataFrame, on, key: str = "doc_id", text: str = "text",
+                   salt: int = 0) -> DataFrame:
+    """From raw text to an alert: caption joined and fused (E8), tokens tagged from a gazetteer (E9),
+    spans decoded (E1), tone from the lexicon (M2), alert (E6)."""
+    from tonalert.operators.models import tag_rows
+
+    fused = fuse_caption(df, caps, on, text).select(key, F.col("fused").alias("_text"))
+    rows = tag_rows(fused.withColumn("_tokens", T.words("_text")), gazetteer, key, "_tokens", "_tags")
+    return alerts_from_text(rows, key, "_text", "_tags", coded=False, salt=salt, tokens="_tokens")
+
+
+def alerts_from_words(df: DataFrame, kinds: dict[str, str], key: str = "doc_id", text: str = "text", salt: int = 0) -> DataFrame:
+    """The untagged form for streams: entities come from a small supplied dictionary word -> kind
+    (E9's rule in the row, no join), so rows need no tags and nothing is stateful."""
+    listed = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
+    tokens = T.words(F.coalesce(F.col(text), F.lit("")))
+
+    def tagged(words):
+        def kind(i):
+            return F.element_at(listed, F.get(words, i))
+
+        def tag(w, i):
+            own = F.element_at(listed, w)
+            mark = F.when(F.coalesce(kind(i - 1) == own, F.lit(False)), F.lit("I-")).otherwise(F.lit("B-"))
+            return F.coalesce(F.concat(mark, own), F.lit("O"))
+
+        return F.transform(words, tag)
+
+    rows = df.select(key, text, tokens.alias("_tokens")).select(key, text, "_tokens", tagged(F.col("_tokens")).alias("_tags"))
+    return alerts_from_text(rows, key, text, "_tags", coded=False, salt=salt, tokens="_tokens")

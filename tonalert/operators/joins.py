@@ -41,25 +41,31 @@ def measured_bytes(df: DataFrame) -> int:
 def checked_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, materialize: bool = True) -> DataFrame:
     """``broadcast(df)`` when its measured size is within ``limit``, else ``df`` unchanged.
 
-    With ``materialize`` the side is first checkpointed (to the shared checkpoint folder), so it is
-    computed once: the size check and the join both read the written rows, and a lost executor
-    does not force the side to be recomputed from its lineage.
+    The size is measured first, by one aggregate (a job runs when the plan is built), so a side
+    that is too large is never copied. With ``materialize`` a side that passed is written to the shared
+    folder, so that the join does not compute it again; plain tables need no copy.
     """
-    if materialize:
-        df = reliable_checkpoint(df)
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    if measured_bytes(df) > limit:
+        return df
+    return F.broadcast(reliable_checkpoint(df) if materialize else df)
 
 
 def keep_split(df: DataFrame, members: DataFrame, key: str, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Semi-join: rows whose key is among ``members``."""
+    """Semi-join: rows whose key is among ``members``. Runs a job to measure them."""
     return df.join(checked_broadcast(members.select(key).distinct(), limit), key, "left_semi")
 
 
 def not_in(df: DataFrame, part: DataFrame, key: str, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Anti-join: rows whose key is not in ``part`` (duplicates kept, unlike EXCEPT)."""
+    """Anti-join: rows whose key is not in ``part`` (duplicates kept, unlike EXCEPT). Where
+    the rows carry their split, ``outside_split`` needs no join."""
     return df.join(checked_broadcast(part.select(key).distinct(), limit), key, "left_anti")
 
 
+def outside_split(df: DataFrame, part: str, col: str = "split") -> DataFrame:
+    """J2 / U2 over labelled rows: those of every other split, rows without a label included."""
+    return df.filter(~F.col(col).eqNullSafe(F.lit(part)))
+
+
 def attach_predictions(df: DataFrame, preds: DataFrame, key: str) -> DataFrame:
     """Predictions put back on their rows by key (never by position)."""
     return df.join(preds, key, "left")

@@ -95,11 +95,15 @@ def unigram_overlap(p, r) -> Column:
     return F.aggregate(merged, init, step, lambda acc: acc["ov"] + F.least(acc["cp"], acc["cr"]))
 
 
+def _token_columns(df: DataFrame, keys: list[str], pred: str, ref: str, stem: Callable | None) -> DataFrame:
+    """(keys, _p, _r): the tokens of both texts, stemmed if asked for."""
+    toks = df.select(*keys, rouge_tokens(pred).alias("_p"), rouge_tokens(ref).alias("_r"))
+    return toks if stem is None else stem_columns(toks, ["_p", "_r"], stem)
+
+
 def rouge1(df: DataFrame, key: str, pred: str, ref: str, stem: Callable | None = None) -> DataFrame:
     """G7 per row: ``(key, rouge1)`` = F1 of the unigram multiset overlap (computed in the row)."""
-    toks = df.select(key, rouge_tokens(pred).alias("_p"), rouge_tokens(ref).alias("_r"))
-    if stem is not None:
-        toks = stem_columns(toks, ["_p", "_r"], stem)
+    toks = _token_columns(df, [key], pred, ref, stem)
     # The overlap gets its own projection: the F1 formula reads it several times.
     ov = toks.select(key, unigram_overlap("_p", "_r").cast("double").alias("_ov"),
                      F.size("_p").alias("_np"), F.size("_r").alias("_nr"))
@@ -146,80 +150,47 @@ _lcs_f1_udf = F.pandas_udf(_lcs_f1, T.DoubleType())
 
 def rougeL(df: DataFrame, key: str, pred: str, ref: str, stem: Callable | None = None) -> DataFrame:
     """G8 per row: ``(key, rougeL)`` = F1 of the longest common subsequence of tokens."""
-    toks = df.select(key, rouge_tokens(pred).alias("_p"), rouge_tokens(ref).alias("_r"))
-    if stem is not None:
-        toks = stem_columns(toks, ["_p", "_r"], stem)
-    return toks.select(key, _lcs_f1_udf("_p", "_r").alias("rougeL"))
+    return _token_columns(df, [key], pred, ref, stem).select(key, _lcs_f1_udf("_p", "_r").alias("rougeL"))
 
 
-def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, stem: Callable | None = None) -> DataFrame:
+def rouge_scores(df: DataFrame, key, pred: str, ref: str, stem: Callable | None = None) -> DataFrame:
     """G7 + G8 per row, ``(key, rouge1, rougeL)``, from one token projection, so a stemmer
-    runs once for both. ``stem=porter_stem`` is the published scorer's ``use_stemmer=True``."""
-    toks = df.select(key, rouge_tokens(pred).alias("_p"), rouge_tokens(ref).alias("_r"))
-    if stem is not None:
-        toks = stem_columns(toks, ["_p", "_r"], stem)
-    j = toks.select(key, unigram_overlap("_p", "_r").cast("double").alias("_ov"), F.size("_p").alias("_np"),
-                    F.size("_r").alias("_nr"), _lcs_f1_udf("_p", "_r").alias("rougeL"))
-    return j.select(key, _f1(F.col("_ov"), F.col("_np"), F.col("_nr")).alias("rouge1"), "rougeL")
-
-
-def evaluate_alerts(df: DataFrame, key: str = "doc_id", pred: str = "prediction", ref: str = "reference",
-                    stem: Callable | None = None) -> DataFrame:
-    """M9: mean ROUGE-1 and ROUGE-L F1 over rows, x 100, two decimals (one row)."""
-    toks = df.select(key, rouge_tokens(pred).alias("_p"), rouge_tokens(ref).alias("_r"))
-    if stem is not None:
-        toks = stem_columns(toks, ["_p", "_r"], stem)
-    # Both scores from the same token columns, in one projection: no join between them.
-    j = toks.select(
-        unigram_overlap("_p", "_r").cast("double").alias("_ov"), F.size("_p").alias("_np"),
-        F.size("_r").alias("_nr"), _lcs_f1_udf("_p", "_r").alias("rougeL"),
-    ).select(_f1(F.col("_ov"), F.col("_np"), F.col("_nr")).alias("rouge1"), "rougeL")
-    return j.agg(
+    runs once for both. ``key``: a column or several. ``stem=porter_stem`` is the published scorer's
+    ``use_stemmer=True``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    j = _token_columns(df, keys, pred, ref, stem).select(
+        *keys, unigram_overlap("_p", "_r").cast("double").alias("_ov"), F.size("_p").alias("_np"),
+        F.size("_r").alias("_nr"), _lcs_f1_udf("_p", "_r").alias("rougeL"))
+    return j.select(*keys, _f1(F.col("_ov"), F.col("_np"), F.col("_nr")).alias("rouge1"), "rougeL")
+
+
+def evaluate_alerts(df: DataFrame, pred: str = "prediction", ref: str = "reference", stem: Callable | None = None,
+                    split: str | None = None) -> DataFrame:
+    """M9: mean ROUGE-1 and ROUGE-L F1 over rows, x 100, two decimals: one row, or one per value of
+    ``split`` (train, validation and test apart)."""
+    keys = [split] if split else []
+    return rouge_scores(df, keys, pred, ref, stem).groupBy(*keys).agg(
         F.round(F.avg("rouge1") * 100, 2).alias("rouge1"),
         F.round(F.avg("rougeL") * 100, 2).alias("rougeL"),
         F.count(F.lit(1)).alias("n"),
     )
 
 
+STEM_CACHE = 200_000  # stems kept per Python worker
+
+
 def stem_columns(df: DataFrame, cols: list[str], stem: Callable[[str], str]) -> DataFrame:
     """Apply a stemmer to token arrays (only tokens longer than 3 characters, as the ROUGE
-    scorer does). Other columns of ``df`` identify a row.
-
-    The token frame is checkpointed once (to the shared checkpoint folder), so the two passes
-    over it do not recompute its lineage. The stemmer runs once per *distinct* token in Arrow
-    batches; stems are joined back (broadcast only under a measured size, else a shuffle join
-    whose hot tokens AQE splits), and every row's tokens are regrouped with one shuffle, in
-    order, a row's group bounded by that row."""
-
-    @F.pandas_udf(T.StringType())
-    def _stem(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: stem(t) if len(t) > 3 else t)
-
-    from tonalert.operators.joins import checked_broadcast
-    from tonalert.session import reliable_checkpoint
-
-    key_cols = [c for c in df.columns if c not in cols]
-    base = reliable_checkpoint(df.select(*key_cols, *cols))
-    # Every token of every listed column in one pass: (keys, column number, position, token).
-    # explode_outer keeps rows whose arrays are all empty (they regroup to empty arrays).
-    # (PySpark counts a lambda's parameters, so the column number comes in through a closure.)
-    def entry_of(k):
-        return lambda t, i: F.struct(F.lit(k).alias("c"), i.alias("pos"), t.alias("tok"))
-
-    def of_column(k):
-        return lambda e: e["c"] == k
-
-    tagged = F.concat(*[F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), entry_of(k))
-                        for k, c in enumerate(cols)])
-    ex = base.select(*key_cols, F.explode_outer(tagged).alias("_e"))
-    stems = base.select(F.explode(F.concat(*[F.col(c) for c in cols])).alias("tok")).distinct()
-    stems = stems.select("tok", _stem("tok").alias("stem"))
-    j = ex.join(checked_broadcast(stems), F.col("_e.tok") == F.col("tok"), "left")
-    g = j.groupBy(*key_cols).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_e.c").alias("c"), F.col("_e.pos").alias("pos"),
-                                             F.col("stem")))).alias("_all"))
-    out = [F.transform(F.filter("_all", of_column(k)), lambda e: e["stem"]).alias(c) for k, c in enumerate(cols)]
-    return g.select(*key_cols, *out)
+    scorer does), in the row: no token leaves its row and nothing is shuffled. The arrays go
+    through Arrow, and a bounded cache per batch stems a frequent token once."""
+    from functools import lru_cache
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def stemmed(arrays: pd.Series) -> pd.Series:
+        known = lru_cache(STEM_CACHE)(stem)
+        return arrays.map(lambda a: None if a is None else [known(t) if len(t) > 3 else t for t in a])
+
+    return df.withColumns({c: F.coalesce(stemmed(c), F.array().cast("array<string>")) for c in cols})
 
 
 def log_metrics(df: DataFrame, step: str, x: str, y: str) -> DataFrame:

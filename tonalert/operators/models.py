@@ -2,8 +2,9 @@
 
 * User models (sentiment scorer, captioner, alert generator) run inside ``mapInPandas``: Arrow
   batches in, the model loaded once per Python worker, called on fixed-size slices (L9).
-* The trainable sentiment model is an MLlib pipeline (Word2Vec -> LogisticRegression), trained
-  on the executors with tree aggregation, in place of a single-GPU recurrent network.
+* The trainable sentiment model is logistic regression (MLlib, trained on the executors with tree
+  aggregation) over the mean of a text's prepared word vectors, in place of a recurrent network. The
+  vectors are joined to the words; nothing is collected to the driver.
 * The default alert generator is the native alert expression (E6), so no Python runs at all.
 """
 
@@ -15,8 +16,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,28 +28,27 @@ from tonalert.functions import labels as L
 from tonalert.operators.joins import checked_broadcast
 
 def _model(loader: Callable, key: str):
-    """One loaded model per Python worker process. The cache hangs off ``sys`` (present in every
+    """The loaded model of a Python worker process, the latest one only. The cache hangs off ``sys`` (present in every
     worker), because this module's own globals travel with each task's pickled function and would
     start empty every time; ``key`` is fixed when the plan is built."""
     import sys
 
-    cache = getattr(sys, "_tonalert_models", None)
-    if cache is None:
-        cache = {}
-        sys._tonalert_models = cache
-    m = cache.get(key)
-    if m is None:
-        m = cache[key] = loader()
-    return m
+    cache = getattr(sys, "_tonalert_model", None)
+    if cache is None or cache[0] != key:
+        cache = sys._tonalert_model = (key, loader())
+    return cache[1]
 
 
 def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], col: str,
-                  out_fields: list[T.StructField], batch: int = SCORING_BATCH) -> DataFrame:
+                  out_fields: list[T.StructField], batch: int = SCORING_BATCH,
+                  keep: list[str] | None = None) -> DataFrame:
     """Distributed batch inference.
 
     ``loader()`` returns ``model(values: list) -> list`` of tuples (one per value, matching
     ``out_fields``); it runs once per Python worker, and the model sees ``batch`` rows at a time.
+    ``keep``: columns that go through Python and come back beside the result (all by default).
     """
+    df = df if keep is None else df.select(*dict.fromkeys([*keep, col]))
     schema = T.StructType(df.schema.fields + out_fields)
     names = [f.name for f in out_fields]
     key = uuid.uuid4().hex
@@ -65,13 +65,27 @@ def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], c
     return df.mapInPandas(run, schema)
 
 
-def train_sentiment(df: DataFrame, tokens: str = "tokens", label: str = "target", vector_size: int = 64,
-                    min_count: int = 1, max_iter: int = 30, seed: int = 42) -> PipelineModel:
-    """M3: averaged word vectors -> logistic regression; label 2 reads as 1."""
-    data = df.withColumn("_label", L.loss_label(label))
-    w2v = Word2Vec(vectorSize=vector_size, minCount=min_count, inputCol=tokens, outputCol="_features", seed=seed)
-    lr = LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter)
-    return Pipeline(stages=[w2v, lr]).fit(data)
+def doc_vectors(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", col: str = "features") -> DataFrame:
+    """Mean vector of each row's known words, ``(key, col, n_known)``; rows without a known word have
+    none. ``vocab``: (word, vector), broadcast only if measured small. Sums are partial per task."""
+    words = df.select(key, F.explode(tokens).alias("word"))
+    known = words.join(checked_broadcast(vocab.select("word", array_to_vector("vector").alias("_v")), materialize=False), "word")
+    return known.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias(col), F.count(F.lit(1)).alias("n_known"))
+
+
+def with_features(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """``df`` without its tokens, with ``features``; a zero vector where no word is known."""
+    means = doc_vectors(df, vocab, key, tokens)
+    width = vocab.select(F.size("vector").alias("n")).first()
+    zero = array_to_vector(F.array_repeat(F.lit(0.0), width["n"] if width else 1))
+    out = df.drop(tokens).join(means, key, "left")
+    return out.withColumn("features", F.coalesce("features", zero)).drop("n_known")
+
+
+def train_sentiment(df: DataFrame, label: str = "target", max_iter: int = 30) -> PipelineModel:
+    """M3: logistic regression on ``features``; label 2 reads as 1."""
+    data = df.select("features", L.loss_label(label).cast("double").alias("_label"))
+    return Pipeline(stages=[LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter)]).fit(data)
 
 
 def predict_sentiment(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -81,7 +95,7 @@ def predict_sentiment(model: PipelineModel, df: DataFrame) -> DataFrame:
     raw = F.get(vector_to_array("rawPrediction"), 1)
     return out.withColumns({
         "p": p, "logit": raw, "pred_binary": L.class_binary(p), "pred_banded": L.class_banded(p),
-    }).drop("_features", "rawPrediction", "probability", "prediction")
+    }).drop("features", "rawPrediction", "probability", "prediction")
 
 
 def evaluate_sentiment(model: PipelineModel, df: DataFrame, label: str = "target") -> DataFrame:
@@ -105,13 +119,14 @@ def load_model(path: str) -> PipelineModel:
 
 def compare_scorers(scored: DataFrame, reference: DataFrame, key: str = "doc_id", logit: str = "x",
                     sentiment: str = "sentiment") -> DataFrame:
-    """M6: own model (a logit per row) against reference text labels, joined by key.
+    """M6: own model (a logit per row) against reference text labels, joined by key. Rows without a
+    reference label stay, with ``agree`` NULL.
 
     One coding for both sides: negative 0, neutral 1, positive 2 (the banded class of P16).
     """
     code = F.when(F.col(sentiment) == "negative", 0).when(F.col(sentiment) == "neutral", 1).when(
         F.col(sentiment) == "positive", 2)
-    j = scored.select(key, logit).join(reference.select(key, sentiment), key)
+    j = scored.select(key, logit).join(reference.select(key, sentiment), key, "left")
     pred = L.class_banded(L.sigmoid(logit))
     return j.select(key, sentiment, pred.alias("predicted_sentiment"),
                     (pred == code).cast("int").alias("agree"))
@@ -134,7 +149,8 @@ def generate_alerts(df: DataFrame, generator: Callable[[], Callable[[list], list
         pred = E.build_alert("entities", "sentiment", "sentiment_score", key, salt=1)
         return df.select(key, "input_text", pred.alias("prediction"), F.col("target_text").alias("reference"))
     base = df.select(key, "input_text", F.col("target_text").alias("reference"))
-    return score_batches(base, generator, "input_text", [T.StructField("prediction", T.StringType())], batch)
+    return score_batches(base, generator, "input_text", [T.StructField("prediction", T.StringType())], batch,
+                         keep=[key, "input_text", "reference"])
 
 
 def gazetteer_from_spans(spans: DataFrame, entity: str = "entity", tag: str = "tag") -> DataFrame:
@@ -144,25 +160,33 @@ def gazetteer_from_spans(spans: DataFrame, entity: str = "entity", tag: str = "t
     return words.filter(F.col("tok") != "").groupBy("tok").agg(F.min("kind").alias("kind"))
 
 
-def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """Tag tokens from a gazetteer: a listed word opens a span (B-) unless the word before it
-    is listed with the same kind (I-); others are O. Returns ``(key, pos, tok, tag)``.
+def tag_rows(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens", col: str = "tags") -> DataFrame:
+    """E9 in rows: ``df`` with ``col``, one tag name per token: a listed word opens a span (B-) unless
+    the word before it is listed with the same kind (I-); others are O.
 
-    The previous token is paired in the row before exploding, so no window (and no shuffle by
-    key) is needed; the gazetteer is broadcast when its measured size allows.
-    """
-    # Each token beside the one before it (NULL first), zipped natively: no lambda per token.
-    prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col(tokens)), 1, F.size(tokens))
-    z = F.arrays_zip(F.col(tokens).alias("tok"), prev.alias("prev"))
-    e = df.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.prev").alias("e")
-    # The same gazetteer frame on both sides, so both broadcasts share one exchange.
-    g = checked_broadcast(gazetteer.select("tok", "kind"))
-    g1, g2 = g.alias("g1"), g.alias("g2")
-    j = e.join(g1, F.col("e.tok") == F.col("g1.tok"), "left").join(g2, F.col("e.prev") == F.col("g2.tok"), "left")
-    kind, prev_kind = F.col("g1.kind"), F.col("g2.kind")
-    tag = (
-        F.when(kind.isNull(), F.lit("O"))
-        .when(prev_kind == kind, F.concat(F.lit("I-"), kind))
-        .otherwise(F.concat(F.lit("B-"), kind))
-    )
-    return j.select(F.col(f"e.{key}").alias(key), F.col("e.pos").alias("pos"), F.col("e.tok").alias("tok"), tag.alias("tag"))
+    Only listed tokens leave their row: they are joined (the gazetteer is broadcast when its measured
+    size allows), regrouped per row (a row's group is bounded by its tokens) and come back
+    by the unique ``key``; a NULL key has no listed word. Tags are written out from the gaps between
+    the listed tokens, without a look-up per token."""
+    g = checked_broadcast(gazetteer.select(F.col("tok").alias("_tok"), F.col("kind").alias("_kind")), materialize=False)
+    hits = df.select(key, F.posexplode(tokens).alias("_pos", "_tok")).join(g, "_tok")
+    hits = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_kind"))).alias("_hits"))
+    rows = df.join(hits, key, "left")
+
+    def written(h, i):
+        before = F.get("_hits", i - 1)
+        follows = F.coalesce((before["_pos"] == h["_pos"] - 1) & (before["_kind"] == h["_kind"]), F.lit(False))
+        gap = h["_pos"] - F.coalesce(before["_pos"], F.lit(-1)) - 1
+        return F.concat(F.array_repeat(F.lit("O"), gap), F.array(F.concat(F.when(follows, F.lit("I-")).otherwise(F.lit("B-")), h["_kind"])))
+
+    last = F.coalesce(F.get("_hits", F.size("_hits") - 1)["_pos"], F.lit(-1))
+    rest = F.array_repeat(F.lit("O"), F.size(tokens) - last - 1)
+    tags = F.concat(F.coalesce(F.flatten(F.transform("_hits", written)), F.array().cast("array<string>")), rest)
+    return rows.withColumn(col, tags).drop("_hits")
+
+
+def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
+    """E9 exploded: ``(key, pos, tok, tag)``."""
+    z = F.arrays_zip(F.col(tokens).alias("tok"), F.col("_tags").alias("tag"))
+    tagged = tag_rows(df.select(key, tokens), gazetteer, key, tokens, "_tags")
+    return tagged.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.tag")

@@ -1,4 +1,4 @@
-"""Splitting, sampling and ordering (L1-L8, U1, U2) by a reproducible hash order.
+"""Splitting, sampling and ordering (L1-L9, U1, U2) by a reproducible hash order.
 
 The original draws random permutations; Spark cannot replay those (different generators), so
 rows are ordered by ``md5(key || ':' || seed)`` instead, with the same split sizes.
@@ -6,14 +6,15 @@ rows are ordered by ``md5(key || ':' || seed)`` instead, with the same split siz
 Exact sizes need a global rank, but a window over the whole table would put every row in one
 task. Instead:
 
-1. every row gets a bucket = the first 16 bits of its hash (uniform, at most 65,536 buckets);
-2. rows are counted per bucket (partial aggregation, a 65,536-row result) and the counts are
-   accumulated, so each bucket knows how many rows precede it;
-3. a bucket that lies wholly inside one split range is labelled from that count alone;
-4. only the few buckets that straddle a cut point are ranked row by row, by a window
-   partitioned by bucket (about N / 65,536 rows each).
+1. every row gets a bucket = the first 16 bits of its hash (uniform, at most 65,536 buckets, and
+   one for NULL keys, which come first);
+2. rows are counted per bucket (partial aggregation, a result of at most 65,537 rows);
+3. only the buckets that hold a cut point are ranked row by row (about N / 65,536 rows each), which
+   gives the exact hash and key at the cut;
+4. all rows are labelled by comparing their (hash, key) with the cuts: one narrow pass, no join.
 
-The bucket table is bounded by a constant (not by the data), so broadcasting it is safe.
+Rows that share a key (NULL included) stay together, so a cut that falls among them moves to their
+end. Building such a DataFrame runs the counting jobs.
 """
 
 from __future__ import annotations
@@ -22,52 +23,68 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonalert.operators.joins import checked_broadcast
-from tonalert.session import reliable_checkpoint
 
 BUCKET_HEX = 4  # 16 bits -> 65,536 buckets
 
 
 def hash_order(key, seed: int) -> "F.Column":
+    """The order key of a row; NULL keys get the empty string."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(k.cast("string"), F.lit(f":{seed}")))
+    return F.coalesce(F.md5(F.concat(k.cast("string"), F.lit(f":{seed}"))), F.lit(""))
 
 
 def _bucketed(df: DataFrame, key: str, seed: int) -> DataFrame:
-    h = hash_order(key, seed)
-    return df.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, BUCKET_HEX), 16, 10).cast("int"))
-
-
-def _bucket_table(b: DataFrame) -> tuple[DataFrame, int]:
-    counts = b.groupBy("_b").agg(F.count("*").alias("_cnt"))
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 65,536 rows: checkpointed once (to the shared checkpoint folder) so that the count
-    # pass is not repeated by the total and by the join below.
-    cum = reliable_checkpoint(counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))))
-    total = cum.agg(F.sum("_cnt").alias("n")).first()["n"] or 0
-    return F.broadcast(cum), int(total)
+    number = F.conv(F.substring("_h", 1, BUCKET_HEX), 16, 10).cast("int")
+    return df.withColumn("_h", hash_order(key, seed)).withColumn("_b", F.when(F.col("_h") == "", F.lit(-1)).otherwise(number))
+
+
+def _bucket_counts(b: DataFrame) -> list[tuple[int, int]]:
+    """(bucket, rows) in order: at most 65,537 of them, whatever the size of the table."""
+    return sorted((r["_b"], r["n"]) for r in b.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _cut_rows(b: DataFrame, key: str, cuts: list[int], counts: list[tuple[int, int]]) -> list:
+    """For each cut (a 1-based rank) the (hash, key) of its row, None for a cut before all rows."""
+    want: dict[int, set] = {}
+    place = {}
+    for c in cuts:
+        before = 0
+        for bucket, n in counts:
+            if before < c <= before + n:
+                want.setdefault(bucket, set()).add(c - before)
+                place[c] = (bucket, c - before)
+                break
+            before += n
+    if not want:
+        return [None for _ in cuts]
+    inside = b.filter(F.col("_b").isin(list(want))).select("_b", "_h", F.col(key).alias("_k"))
+    ranked = inside.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", "_k")))
+    at = F.lit(False)
+    for bucket, ranks in want.items():
+        at = at | ((F.col("_b") == bucket) & F.col("_r").isin(list(ranks)))
+    found = {(r["_b"], r["_r"]): (r["_h"], r["_k"]) for r in ranked.filter(at).collect()}  # one row per cut
+    return [found[place[c]] if c in place else None for c in cuts]
 
 
 def assign_ranges(df: DataFrame, key: str, seed: int, cuts_of_n, labels: list[str], col: str = "split") -> DataFrame:
     """Label rows by their exact rank r (1-based) in hash order: ``labels[i]`` when
     ``cuts[i-1] < r <= cuts[i]``; ``cuts_of_n(N)`` gives the len(labels)-1 cut points."""
-    b = _bucketed(df, key, seed)
-    cum, n = _bucket_table(b)
+    narrow = _bucketed(df.select(key), key, seed)
+    counts = _bucket_counts(narrow)
+    n = sum(c for _, c in counts)
     cuts = [int(c) for c in cuts_of_n(n)]
-    cut_arr = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    names = F.array(*[F.lit(x) for x in labels])
-    j = b.join(cum, "_b")
-    straddles = F.exists(cut_arr, lambda c: (F.col("_before") < c) & (c < F.col("_before") + F.col("_cnt")))
-    whole = j.filter(~straddles).withColumn(
-        col, F.element_at(names, (F.size(F.filter(cut_arr, lambda c: c <= F.col("_before"))) + 1).cast("int"))
-    )
-    w = Window.partitionBy("_b").orderBy("_h", key)
-    edge = (
-        j.filter(straddles)
-        .withColumn("_r", F.col("_before") + F.row_number().over(w))
-        .withColumn(col, F.element_at(names, (F.size(F.filter(cut_arr, lambda c: c < F.col("_r"))) + 1).cast("int")))
-        .drop("_r")
-    )
-    return whole.unionByName(edge).drop("_h", "_b", "_cnt", "_before")
+    rows = _cut_rows(narrow, key, cuts, counts)
+    h, kind = hash_order(key, seed), df.schema[key].dataType
+    label = F.lit(labels[-1])
+    for c, row, name in reversed(list(zip(cuts, rows, labels))):
+        if row is None:  # nothing before the cut, or everything
+            within = F.lit(c >= n and n > 0)
+        elif row[1] is None:
+            within = h <= F.lit(row[0])
+        else:
+            within = (h < F.lit(row[0])) | ((h == F.lit(row[0])) & (F.col(key) <= F.lit(row[1]).cast(kind)))
+        label = F.when(within, F.lit(name)).otherwise(label)
+    return df.withColumn(col, label)
 
 
 def py_round(x: float) -> int:
@@ -99,7 +116,8 @@ def split_groups(df: DataFrame, group: str, fracs=(0.8, 0.1, 0.1), seed: int = 4
         return out
 
     assigned = assign_ranges(groups, group, seed, cuts, list(labels), col)
-    return df.join(checked_broadcast(assigned), group, "left")
+    side = checked_broadcast(assigned.withColumnRenamed(group, "_group"))
+    return df.join(side, F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def split_nested(df: DataFrame, key: str, subset: float = 0.1, frac: float = 0.8, seed: int = 42,
@@ -127,13 +145,17 @@ def shuffle(df: DataFrame, key: str, seed: int = 42, col: str = "pos") -> DataFr
     """Rows in hash order with their exact position (0-based).
 
     Every row is ranked within its bucket (a shuffle by bucket, which a reshuffle needs anyway),
-    plus the count of rows in earlier buckets.
+    plus the count of rows in earlier buckets (a table of at most 65,537 rows, broadcast).
     """
     b = _bucketed(df, key, seed)
-    cum, _ = _bucket_table(b)
+    before, rows = 0, []
+    for bucket, n in _bucket_counts(_bucketed(df.select(key), key, seed)):
+        rows.append((bucket, before))
+        before += n
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, "_b int, _before bigint"))
     w = Window.partitionBy("_b").orderBy("_h", key)
-    out = b.join(cum, "_b").withColumn(col, F.col("_before") + F.row_number().over(w) - 1)
-    return out.drop("_h", "_b", "_cnt", "_before")
+    out = b.join(table, "_b").withColumn(col, F.col("_before") + F.row_number().over(w) - 1)
+    return out.drop("_h", "_b", "_before")
 
 
 def batches(df: DataFrame, key: str, size: int, seed: int = 42, col: str = "batch", slot: str = "slot") -> DataFrame:

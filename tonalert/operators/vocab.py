@@ -1,9 +1,9 @@
 """Vocabulary operators (J3, J4, A5, A6): word -> index, index -> vector, padded batches.
 
-Plan shape of ``words_to_idx``: tokens are exploded where the documents already are (no shuffle),
-joined with the vocabulary (broadcast when its measured size allows, else a shuffle join whose
-hot words AQE splits), and regrouped per row with one shuffle of small integers. Partial
-aggregation runs before that shuffle, and a row's group is bounded by the row's own token count.
+Plan shape of ``words_to_idx``: tokens are exploded where the documents already are and joined inner
+with the vocabulary (broadcast when its measured size allows, else a shuffle join whose hot words AQE
+splits), so only hits move on; they are regrouped per row (partial aggregation first, a row's group
+is bounded by the row's own token count) and put back beside the row keys.
 """
 
 from __future__ import annotations
@@ -14,54 +14,64 @@ from pyspark.sql import functions as F
 from tonalert.functions import arrays as A
 from tonalert.functions import text as TX
 from tonalert.operators.joins import checked_broadcast
+from tonalert.session import reliable_checkpoint
 
+_PART_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
-def build_vocab(docs: DataFrame, text: str = "text", size: int = 500) -> DataFrame:
-    """F5 / S8 fallback: the ``size`` most frequent words (count desc, then word), ``idx`` from 0.
 
-    Word counts are a partial-then-final aggregation (hot words are combined map-side); the
-    limit keeps only ``size`` rows, so the final numbering runs over ``size`` rows.
-    """
-    counts = docs.select(F.explode(TX.words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("cnt"))
-    top = counts.orderBy(F.col("cnt").desc(), F.col("word")).limit(size)
-    w = Window.orderBy(F.col("cnt").desc(), F.col("word"))
-    return top.select("word", (F.row_number().over(w) - 1).alias("idx"), "cnt")
+def number_rows(df: DataFrame, *order, col: str = "idx") -> DataFrame:
+    """``col`` = 0, 1, 2, ... in the order given, without a sort in one task: a range sort, row numbers
+    per range kept in a table (so the ranges stay as they are), and the rows before each range.
+    The range counts are one row per partition. Jobs run when this is called."""
+    ranged = reliable_checkpoint(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", _PART_BITS)
+    sizes = ranged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    out = ranged.withColumn("_p", part).join(offsets, "_p")
+    return out.withColumn(col, F.col("_before") + F.col("_at").bitwiseAND((1 << _PART_BITS) - 1)).drop("_p", "_at", "_before")
+
+
+def build_vocab(docs: DataFrame, text: str = "text") -> DataFrame:
+    """every word (count desc, then word), ``idx`` from 0. Word counts are a partial-then-final
+    aggregation (hot words are combined map-side)."""
+    words = TX.words(F.coalesce(F.col(text), F.lit("")))
+    counts = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return number_rows(counts, F.col("cnt").desc(), F.col("word")).select("word", "idx", "cnt")
 
 
-def attach_vectors(vocab: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """Vocabulary rows with their vector (``vectors.vec_id = vocab.idx``)."""
+def attach_vectors(vocab: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                   known_only: bool = False) -> DataFrame:
+    """Vocabulary rows with their vector (``vectors.vec_id = vocab.idx``); ``known_only``: words that
+    have one."""
     v = vectors.select(F.col(id_col).alias("idx"), F.col(vec_col).alias("vector"))
-    # Keep only the vectors the vocabulary uses (a semi-join against its broadcast indices, so the
-    # full vector table is filtered where it lies, never shuffled), then attach them.
-    used = v.join(checked_broadcast(vocab.select("idx")), "idx", "left_semi")
-    return vocab.join(used, "idx", "left")
+    return vocab.join(v, "idx", "inner" if known_only else "left")
 
 
-def _indexed_tokens(df: DataFrame, key: str, toks: str, vocab: DataFrame) -> DataFrame:
-    words = vocab.select("word", "idx")
-    exploded = df.select(key, F.posexplode_outer(toks).alias("pos", "word"))
-    return exploded.join(checked_broadcast(words), "word", "left")
+def _hits(df: DataFrame, key: str, toks: str, table: DataFrame, *cols: str) -> DataFrame:
+    """(key, pos, *cols) of the tokens that ``table`` (word, *cols) knows."""
+    exploded = df.select(key, F.posexplode(toks).alias("pos", "word"))
+    return exploded.join(checked_broadcast(table.select("word", *cols), materialize=False), "word").select(key, "pos", *cols)
 
 
 def known_indices(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: str = "tokens") -> DataFrame:
-    """Indices of the known words of each row, in token order (possibly empty): ``(key, ids)``."""
-    j = _indexed_tokens(df, key, toks, vocab)
-    grouped = j.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("pos", "idx")))).alias("pairs")
-    )
-    return grouped.select(key, F.transform("pairs", lambda p: p["idx"]).alias("ids"))
+    """Indices of the known words of each row, in token order (possibly empty): ``(key, ids)``.
+    ``key`` is unique; a NULL key has no hits."""
+    hits = _hits(df, key, toks, vocab, "idx").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("_hits"))
+    j = df.select(key).join(hits, key, "left")
+    return j.select(key, F.coalesce(F.transform("_hits", lambda p: p["idx"]), F.array().cast("array<bigint>")).alias("ids"))
 
 
 def words_to_idx(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: str = "tokens") -> DataFrame:
     """Word -> index; unknown words dropped, order kept; no known word -> ``[0]``."""
     k = known_indices(df, vocab, key, toks)
-    return k.select(key, F.when(F.size("ids") == 0, F.array(F.lit(0).cast("int"))).otherwise(F.col("ids")).alias("ids"))
+    return k.select(key, F.when(F.size("ids") == 0, F.array(F.lit(0).cast("bigint"))).otherwise(F.col("ids")).alias("ids"))
 
 
 def idx_to_vector(ids: DataFrame, vocab_vectors: DataFrame, key: str = "doc_id", col: str = "ids") -> DataFrame:
     """One row per position with its vector: ``(key, pos, idx, vector)``."""
     e = ids.select(key, F.posexplode(col).alias("pos", "idx"))
-    return e.join(checked_broadcast(vocab_vectors.select("idx", "vector")), "idx", "left")
+    return e.join(checked_broadcast(vocab_vectors.select("idx", "vector"), materialize=False), "idx", "left")
 
 
 def pad_sequences(ids: DataFrame, batch_col: str = "batch", col: str = "ids") -> DataFrame:

@@ -27,9 +27,10 @@ TWEET_SUFFIXES = [
     "   ",
 ]
 TAG_PATTERN = [0, 1, 2, 2, 0, 3, 4, 0, 5, 1, 8, 7, 8, 3, 2, 0, 4]
+LONG_SPAN_EVERY, LONG_SPAN_AT = 50, 7  # these documents are one span from end to end
 SPLIT_SEED = 42
 TRAIN_FRACTION = 0.8
-CAPTION_ITEMS = 50
+MISSING_CAPTIONS = 10  # keys beyond the captions, so that some rows find none
 
 
 # Text-heavy tables whose per-row work dominates: spread over the cluster when a scan yields
@@ -77,7 +78,7 @@ def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_senti
     if with_sentiment:
         # Size-checked broadcast: the document texts stay where they are unless the labels
         # outgrow the limit (then a shuffle join, as a larger table needs anyway).
-        labels = checked_broadcast(table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality"))
+        labels = checked_broadcast(table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality"), materialize=False)
         docs = docs.join(labels, "doc_id", "left")
         extra += list(_sentiment_cols())
     if keep_text:
@@ -91,12 +92,10 @@ def tagged(spark: SparkSession, sf_dir: str, keep_text: bool = False, with_senti
     n = F.size("tokens")
     offset = F.pmod(F.col("doc_id") * 5, F.lit(period)).cast("int")
     repeated = F.flatten(F.array_repeat(pat, (F.floor(n / period) + 2).cast("int")))
-    return rows.select(
-        "doc_id",
-        "tokens",
-        F.slice(repeated, offset + 1, n).alias("ner_tags"),
-        *rest,
-    )
+    one_span = F.slice(F.concat(F.array(F.lit(1)), F.array_repeat(F.lit(2), n)), 1, n)
+    by_rule = F.slice(repeated, offset + 1, n)
+    tags = F.when(F.pmod("doc_id", F.lit(LONG_SPAN_EVERY)) == LONG_SPAN_AT, one_span).otherwise(by_rule)
+    return rows.select("doc_id", "tokens", tags.alias("ner_tags"), *rest)
 
 
 def tagged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +121,12 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.select("doc_id", x.alias("x"), y.alias("y"))
 
 
+def caption_key(spark: SparkSession, sf_dir: str):
+    """Which caption a document has: every caption is used, and some keys have none."""
+    n = table(spark, sf_dir, "benchmark").count()
+    return F.pmod("doc_id", F.lit(n + MISSING_CAPTIONS))
+
+
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captions keyed by item: ``benchmark(item_id, text)`` read as ``(item_id, caption)``."""
     return table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("caption"))

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tonalert.constants import IGNORE_INDEX, MAX_INPUT_LEN
 from tonalert.functions import arrays as A
+from tonalert.functions import entities as E
+from tonalert.functions import text as TX
 from tonalert.operators import vocab as V
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
+from tonalert.session import reliable_checkpoint
 
-VOCAB_SIZE = 500
 BATCH = 64
 
 # Legacy text lists, as the original CSV files held them: "['a', 'b']" and "[1 2 3]".
@@ -76,14 +78,20 @@ def k06_array_text(spark, sf_dir):
 # ---------------------------------------------------------------- vocabulary ------------------
 
 def vocab(spark, sf_dir):
-    return V.build_vocab(fx.table(spark, sf_dir, "documents"), size=VOCAB_SIZE)
+    """Every word of the corpus, numbered."""
+    return V.build_vocab(fx.table(spark, sf_dir, "documents"))
+
+
+def known_vocab(spark, sf_dir):
+    """The words that have a row in ``embeddings``, with their vector; written once and read again."""
+    return reliable_checkpoint(V.attach_vectors(vocab(spark, sf_dir), fx.table(spark, sf_dir, "embeddings"), known_only=True))
 
 
 def _vocab_cte():
     return (
-        f"vocab AS (SELECT word, CAST(row_number() OVER (ORDER BY cnt DESC, word) - 1 AS BIGINT) AS idx, cnt FROM "
-        f"(SELECT word, count(*) AS cnt FROM (SELECT unnest({q.words('text')}) AS word FROM documents) "
-        f"GROUP BY word ORDER BY cnt DESC, word LIMIT {VOCAB_SIZE}))"
+        "all_words AS (SELECT word, CAST(row_number() OVER (ORDER BY cnt DESC, word) - 1 AS BIGINT) AS idx, cnt FROM "
+        f"(SELECT word, count(*) AS cnt FROM (SELECT unnest({q.words('coalesce(text, chr(32))')}) AS word FROM documents) GROUP BY word)), "
+        "vocab AS (SELECT word, idx, cnt FROM all_words WHERE idx IN (SELECT vec_id FROM embeddings))"
     )
 
 
@@ -100,7 +108,7 @@ def _known_cte():
 _VOC = with_ctes(q.tagged_docs_cte(), _vocab_cte(), _known_cte())
 
 
-@register("f05_vocab", with_ctes(_vocab_cte()) + "SELECT word, idx, cnt FROM vocab")
+@register("f05_vocab", with_ctes(_vocab_cte()) + "SELECT word, idx, cnt FROM all_words")
 def f05_vocab(spark, sf_dir):
     return normalise(vocab(spark, sf_dir))
 
@@ -111,7 +119,7 @@ def f05_vocab(spark, sf_dir):
     "(SELECT doc_id, CASE WHEN len(ids) = 0 THEN [0] ELSE ids END AS ids2 FROM known)",
 )
 def j03_words_to_idx(spark, sf_dir):
-    j = V.words_to_idx(fx.tagged(spark, sf_dir), vocab(spark, sf_dir))
+    j = V.words_to_idx(fx.tagged(spark, sf_dir), known_vocab(spark, sf_dir))
     return normalise(j.select("doc_id", F.size("ids").alias("n"), F.array_join("ids", " ").alias("ids")))
 
 
@@ -120,12 +128,13 @@ def j03_words_to_idx(spark, sf_dir):
     _VOC + ", emb AS (SELECT vec_id AS idx, embedding FROM embeddings) "
     "SELECT k.doc_id, CAST(p - 1 AS BIGINT) AS pos, k.ids[p] AS idx, round(CAST(e.embedding[1] AS DOUBLE), 6) AS v0, "
     "round(CAST(list_sum(e.embedding) AS DOUBLE), 4) AS vsum, len(e.embedding) AS dim "
-    "FROM (SELECT doc_id, ids, unnest(range(1, len(ids) + 1)) AS p FROM known) k "
+    "FROM (SELECT doc_id, ids, unnest(range(1, len(ids) + 1)) AS p FROM (SELECT doc_id, CASE WHEN len(ids) = 0 THEN [0] ELSE ids END AS ids "
+    "FROM known)) k "
     "LEFT JOIN vocab v ON k.ids[p] = v.idx LEFT JOIN emb e ON v.idx = e.idx",
 )
 def j04_idx_to_vector(spark, sf_dir):
-    voc = V.attach_vectors(vocab(spark, sf_dir), fx.table(spark, sf_dir, "embeddings"))
-    ids = V.known_indices(fx.tagged(spark, sf_dir), voc)
+    voc = known_vocab(spark, sf_dir)
+    ids = V.words_to_idx(fx.tagged(spark, sf_dir), voc)
     out = V.idx_to_vector(ids, voc)
     vsum = F.aggregate("vector", F.lit(0.0).cast("float"), lambda a, x: a + x)
     return normalise(out.select(
@@ -143,7 +152,7 @@ def j04_idx_to_vector(spark, sf_dir):
     "array_to_string(ids || list_transform(range(L - len(ids)), lambda x: 0), ' ') AS padded FROM b",
 )
 def a05_pad_sequences(spark, sf_dir):
-    ids = V.known_indices(fx.tagged(spark, sf_dir), vocab(spark, sf_dir))
+    ids = V.known_indices(fx.tagged(spark, sf_dir), known_vocab(spark, sf_dir))
     ids = ids.withColumn("batch", F.floor(F.col("doc_id") / BATCH))
     p = V.pad_sequences(ids)
     return normalise(p.select("doc_id", "batch", "length", F.size("padded").alias("width"),
@@ -153,30 +162,54 @@ def a05_pad_sequences(spark, sf_dir):
 _FIX_SQL = f"(ids[1:{MAX_INPUT_LEN}] || list_transform(range({MAX_INPUT_LEN} - len(ids[1:{MAX_INPUT_LEN}])), lambda x: {{pad}}))"
 
 
+_TARGETS = (
+    with_ctes(q.tagged_docs_cte(), q.doc_sentiment_cte(), q.entity_spans_cte(), q.clean_spans_cte(), q.alerts_cte((0,)), _vocab_cte())
+    + f", t_lists AS (SELECT doc_id, {q.words('alert_0')} AS toks FROM alerts), "
+    + "both_lists AS (SELECT doc_id, 'input' AS side, toks FROM tok_lists UNION ALL SELECT doc_id, 'target' AS side, toks FROM t_lists), "
+    "tok_pos AS (SELECT doc_id, side, p, toks[p] AS word FROM (SELECT doc_id, side, toks, unnest(range(1, len(toks) + 1)) AS p FROM both_lists)), "
+    "found AS (SELECT l.doc_id, l.side, coalesce(list(v.idx ORDER BY t.p) FILTER (WHERE v.idx IS NOT NULL), []) AS ids "
+    "FROM both_lists l LEFT JOIN tok_pos t ON l.doc_id = t.doc_id AND l.side = t.side LEFT JOIN vocab v ON t.word = v.word GROUP BY l.doc_id, l.side), "
+    "known AS (SELECT i.doc_id, i.ids, t.ids AS tids FROM found i JOIN found t ON i.doc_id = t.doc_id AND i.side = 'input' AND t.side = 'target') "
+)
+
+
+def _model_rows(spark, sf_dir):
+    """Word indices of the input text and of the target text (the alert) of every document."""
+    voc = known_vocab(spark, sf_dir)
+    rows = fx.alerts_input(spark, sf_dir).select(
+        "doc_id", F.split("sentence", " ").alias("tokens"),
+        TX.words(E.build_alert("entities", "sentiment", "sentiment_score", "doc_id")).alias("target"))
+    rows = reliable_checkpoint(rows)
+    target = V.known_indices(rows, voc, toks="target").withColumnRenamed("ids", "tids")
+    return V.known_indices(rows, voc).join(target, "doc_id")
+
+
+_LABELS_SQL = _FIX_SQL.replace("ids", "tids")
+
+
 @register(
     "a06_fix_length",
-    _VOC + f"SELECT doc_id, array_to_string({_FIX_SQL.format(pad=0)}, ' ') AS input_ids, "
+    _TARGETS + f"SELECT doc_id, array_to_string({_FIX_SQL.format(pad=0)}, ' ') AS input_ids, "
     f"array_to_string(list_transform(range({MAX_INPUT_LEN}), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END), ' ') "
-    "AS attention_mask FROM known",
+    f"AS attention_mask, array_to_string({_LABELS_SQL.format(pad=IGNORE_INDEX)}, ' ') AS labels FROM known",
 )
 def a06_fix_length(spark, sf_dir):
-    ids = V.known_indices(fx.tagged(spark, sf_dir), vocab(spark, sf_dir))
-    return normalise(ids.select(
+    return normalise(_model_rows(spark, sf_dir).select(
         "doc_id",
         F.array_join(A.fix_length("ids", MAX_INPUT_LEN, 0), " ").alias("input_ids"),
         F.array_join(A.attention_mask("ids", MAX_INPUT_LEN), " ").alias("attention_mask"),
+        F.array_join(A.fix_length("tids", MAX_INPUT_LEN, IGNORE_INDEX), " ").alias("labels"),
     ))
 
 
 @register(
     "p18_unmask_labels",
-    _VOC + f"SELECT doc_id, array_to_string({_FIX_SQL.format(pad=IGNORE_INDEX)}, ' ') AS labels, "
-    f"array_to_string(list_transform({_FIX_SQL.format(pad=IGNORE_INDEX)}, lambda x: CASE WHEN x = {IGNORE_INDEX} THEN 0 ELSE x END), ' ') "
+    _TARGETS + f"SELECT doc_id, array_to_string({_LABELS_SQL.format(pad=IGNORE_INDEX)}, ' ') AS labels, "
+    f"array_to_string(list_transform({_LABELS_SQL.format(pad=IGNORE_INDEX)}, lambda x: CASE WHEN x = {IGNORE_INDEX} THEN 0 ELSE x END), ' ') "
     "AS unmasked FROM known",
 )
 def p18_unmask_labels(spark, sf_dir):
-    ids = V.known_indices(fx.tagged(spark, sf_dir), vocab(spark, sf_dir))
-    lab = ids.select("doc_id", A.fix_length("ids", MAX_INPUT_LEN, IGNORE_INDEX).alias("labels"))
+    lab = _model_rows(spark, sf_dir).select("doc_id", A.fix_length("tids", MAX_INPUT_LEN, IGNORE_INDEX).alias("labels"))
     return normalise(lab.select(
         "doc_id",
         F.array_join("labels", " ").alias("labels"),
@@ -196,7 +229,7 @@ def p18_unmask_labels(spark, sf_dir):
 def l07_longest_first(spark, sf_dir):
     from tonalert.operators.splits import batches
 
-    ids = V.known_indices(fx.tagged(spark, sf_dir), vocab(spark, sf_dir))
+    ids = V.known_indices(fx.tagged(spark, sf_dir), known_vocab(spark, sf_dir))
     b = batches(ids, "doc_id", BATCH, fx.SPLIT_SEED)
     out = V.longest_first(b, "ids", batch_col="batch", key="doc_id")
     return normalise(out.select("doc_id", "batch", F.size("ids").alias("length"), "place"))

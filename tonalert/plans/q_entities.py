@@ -81,7 +81,7 @@ def e04_build_prompt(spark, sf_dir):
 
 def _phrase_sql(salt):
     cols = ", ".join(
-        f"{q.sql_list(E.PHRASES[k])}[((doc_id + {salt}) % {len(E.PHRASES[k])}) + 1] AS {k.lower()}_phrase"
+        f"{q.phrase_pick('doc_id', k, E.PHRASES[k], salt)} AS {k.lower()}_phrase"
         for k in E.ENTITY_KINDS
     )
     return f"SELECT doc_id, {cols} FROM documents"
@@ -131,11 +131,11 @@ def p09_sentiment_label(spark, sf_dir):
 @register(
     "p10_decode_tags",
     with_ctes(q.tagged_docs_cte())
-    + f"SELECT doc_id, array_to_string(list(coalesce({q.sql_map(E.BIO_LABELS)}[tag], 'O') ORDER BY pos), ' ') AS tag_names, "
-    "count(*) AS n FROM tagged_docs GROUP BY doc_id",
+    + f", names AS (SELECT doc_id, string_agg({q.sql_map(E.BIO_LABELS)}[tag], ' ' ORDER BY pos) AS tag_names FROM tagged_docs GROUP BY doc_id) "
+    "SELECT l.doc_id, coalesce(tag_names, '') AS tag_names, len(toks) AS n FROM tok_lists l LEFT JOIN names USING (doc_id)",
 )
 def p10_decode_tags(spark, sf_dir):
-    t = fx.tagged(spark, sf_dir).filter(F.size("ner_tags") > 0)
+    t = fx.tagged(spark, sf_dir)
     names = A.decode_tags("ner_tags", list(E.BIO_LABELS.values()))
     return normalise(t.select("doc_id", F.array_join(names, " ").alias("tag_names"), F.size("ner_tags").alias("n")))
 
@@ -165,16 +165,15 @@ def p13_confidence_word(spark, sf_dir):
     "a04_zip_shortest",
     with_ctes(q.tagged_docs_cte())
     + "SELECT t.doc_id, t.pos, t.tok, t.tag FROM tagged_docs t JOIN tok_lists l ON t.doc_id = l.doc_id "
-    "WHERE t.pos < length(l.toks[1]) + 3",
+    "WHERE t.pos < len(l.toks) - t.doc_id % 4",
 )
 def a04_zip_shortest(spark, sf_dir):
-    # Tags cut to (length of the first token + 3) elements, so the zip is decided by the shorter side.
+    # doc_id mod 4 tags are missing at the end, so the zip is decided by the shorter side.
     t = fx.tagged(spark, sf_dir)
-    short = F.slice("ner_tags", 1, F.coalesce(F.char_length(F.get("tokens", 0)), F.lit(0)) + 3)
+    left = F.greatest(F.size("ner_tags") - F.pmod("doc_id", F.lit(4)), F.lit(0)).cast("int")
+    short = F.slice("ner_tags", 1, left)
     z = A.zip_shortest("tokens", short)
     return normalise(
         t.select("doc_id", F.posexplode(z).alias("pos", "p")).select("doc_id", "pos", F.col("p.a").alias("tok"), F.col("p.b").alias("tag"))
     )
 
-
-_ = T  # text functions are used by the fixtures

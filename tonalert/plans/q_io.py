@@ -8,11 +8,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonalert.constants import BIO_LABELS
+from tonalert.functions import arrays as A
 from tonalert.operators import splits as S
-from tonalert.operators import vocab as V
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
-from tonalert.plans.q_arrays import VOCAB_SIZE, _vocab_cte
+from tonalert.plans.q_arrays import _vocab_cte, known_vocab
 from tonalert.plans.registry import normalise, register, with_ctes
 from tonalert.session import scratch_path
 from tonalert.sources import io
@@ -89,7 +90,7 @@ def s04_read_tagged(spark, sf_dir):
     "glab AS (SELECT source, CASE WHEN rk <= CAST(floor(0.8 * n) AS BIGINT) THEN 'train' "
     "WHEN rk <= CAST(floor(0.8 * n) AS BIGINT) + CAST(floor(0.1 * n) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM gr) "
     "SELECT d.doc_id, g.split, CASE WHEN g.split = 'test' THEN 'test' ELSE 'train' END AS dir "
-    "FROM documents d JOIN glab g ON d.source = g.source",
+    "FROM documents d LEFT JOIN glab g ON d.source IS NOT DISTINCT FROM g.source",
 )
 def k02_write_by_split(spark, sf_dir):
     """K2 over a three-way split by group (L2): test rows go to ``test``, train and val to ``train``."""
@@ -114,14 +115,12 @@ def k04_ingest_once(spark, sf_dir):
     "s08_read_vocab",
     with_ctes(_vocab_cte())
     + "SELECT v.word, v.idx, round(CAST(e.embedding[1] AS DOUBLE), 6) AS v0, CAST(len(e.embedding) AS BIGINT) AS dim "
-    "FROM vocab v LEFT JOIN embeddings e ON e.vec_id = v.idx",
+    "FROM vocab v JOIN embeddings e ON e.vec_id = v.idx",
 )
 def s08_read_vocab(spark, sf_dir):
-    """The prepared vector table written once (K4), then read by S8 (which only fits a model when
-    the table is absent)."""
+    """The prepared vector table written once (K4), then read by S8."""
     path = scratch_path(spark, "vocab")
-    voc = V.attach_vectors(V.build_vocab(fx.table(spark, sf_dir, "documents"), size=VOCAB_SIZE),
-                           fx.table(spark, sf_dir, "embeddings"))
+    voc = known_vocab(spark, sf_dir)
     io.ingest_once(voc.select("word", F.col("idx").cast("long"), F.col("vector").cast("array<float>")), path)
     back = io.read_vocab(spark, path)
     return normalise(back.select("word", "idx", F.round(F.get("vector", 0).cast("double"), 6).alias("v0"),
@@ -144,7 +143,96 @@ def s01_read_tweets(spark, sf_dir):
         F.regexp_replace("text", r"[^\x{00}-\x{ff}]", "?").alias("text"))
     (rows.write.option("header", False).option("encoding", "ISO-8859-1").option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    return normalise(io.read_tweets(spark, path))
+    return normalise(io.read_tweets(spark, path, multi_line=True))
+
+
+@register(
+    "s05_read_tag_names",
+    with_ctes(q.tagged_docs_cte())
+    + ", ns AS (SELECT 'pos_tags' AS feature, list(DISTINCT lang ORDER BY lang) AS names FROM documents "
+    "UNION ALL SELECT 'chunk_tags', list(DISTINCT source ORDER BY source) FROM documents "
+    f"UNION ALL SELECT 'ner_tags', {q.sql_list(list(BIO_LABELS.values()))}) "
+    "SELECT l.doc_id, array_to_string(list_transform(toks, lambda t, i: p.names[(doc_id + i - 1) % len(p.names) + 1]), ' ') AS pos_names, "
+    "array_to_string(list_transform(toks, lambda t, i: c.names[(doc_id * 3 + i - 1) % len(c.names) + 1]), ' ') AS chunk_names, "
+    "coalesce((SELECT string_agg(n.names[g.tag + 1], ' ' ORDER BY g.pos) FROM tagged_docs g WHERE g.doc_id = l.doc_id), '') AS ner_names "
+    "FROM tok_lists l, ns p, ns c, ns n WHERE p.feature = 'pos_tags' AND c.feature = 'chunk_tags' AND n.feature = 'ner_tags'",
+)
+def s05_read_tag_names(spark, sf_dir):
+    """A dataset description is written with the names of three tag columns (languages,
+    sources and the entity tags), read back, and decodes the codes of all three columns."""
+    docs = fx.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "description")
+
+    kinds = docs.agg(F.sort_array(F.collect_set("lang")).alias("l"), F.sort_array(F.collect_set("source")).alias("s"))
+    info = kinds.select(F.struct(
+        F.struct(F.struct(F.col("l").alias("names")).alias("feature")).alias("pos_tags"),
+        F.struct(F.struct(F.col("s").alias("names")).alias("feature")).alias("chunk_tags"),
+        F.struct(F.struct(F.array(*[F.lit(n) for n in BIO_LABELS.values()]).alias("names")).alias("feature")).alias("ner_tags")).alias("features"))
+    info.write.json(path)
+    read = io.read_tag_names(spark, path)
+    table = read.groupBy().pivot("feature", ["pos_tags", "chunk_tags", "ner_tags"]).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("idx", "name"))), lambda x: x["name"]))
+    n = {f: F.size(f"{f}_names") for f in ("pos_tags", "chunk_tags")}
+    rows = fx.tagged(spark, sf_dir).crossJoin(F.broadcast(table.toDF("pos_tags_names", "chunk_tags_names", "ner_tags_names")))  # one row
+    codes = {"pos_tags": F.transform("tokens", lambda t, i: F.pmod(F.col("doc_id") + i, n["pos_tags"])),
+             "chunk_tags": F.transform("tokens", lambda t, i: F.pmod(F.col("doc_id") * 3 + i, n["chunk_tags"])), "ner_tags": F.col("ner_tags")}
+    return normalise(rows.select("doc_id", *[F.array_join(A.decode_tags(codes[f], F.col(f"{f}_names")), " ").alias(f.replace("tags", "names")) for f in codes]))
+
+
+@register(
+    "s06_read_images",
+    "SELECT CAST(sum(octet_length(encode(text || chr(10)))) AS BIGINT) AS bytes, CAST(1 AS BIGINT) AS only_listed FROM documents",
+)
+def s06_read_images(spark, sf_dir):
+    """Files that Spark writes from the documents; those with another extension are never listed."""
+    path = scratch_path(spark, "binary")
+    docs = fx.table(spark, sf_dir, "documents").select("text")
+    docs.write.option("compression", "none").text(f"{path}/a")
+    docs.write.json(f"{path}/b")
+    found = io.read_images(spark, f"{path}/*", (".TXT",), ignore_case=True)
+    return normalise(found.agg(F.sum("length").alias("bytes"), F.min(F.col("path").endswith(".txt").cast("int")).alias("only_listed")))
+
+
+_PAGE_SPLIT = (
+    f"pg AS (SELECT page_id, row_number() OVER (ORDER BY md5(page_id || '.html' || ':{fx.SPLIT_SEED}'), page_id || '.html') AS rk, count(*) OVER () AS n FROM pages "
+    "WHERE page_id % 10 <> 3), "
+    "pages_split AS (SELECT page_id, CASE WHEN rk <= CAST(floor(0.8 * n) AS BIGINT) THEN 'train' "
+    "WHEN rk <= CAST(floor(0.8 * n) AS BIGINT) + CAST(floor(0.1 * n) AS BIGINT) THEN 'val' ELSE 'test' END AS split FROM pg) "
+)
+
+
+def _page_files(spark, sf_dir):
+    """Pages as files: path and bytes."""
+    return fx.table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("store/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.col("html").cast("binary").alias("content"))
+
+
+@register(
+    "k05_write_images_by_split",
+    "WITH " + _PAGE_SPLIT + "SELECT p.page_id || '.html' AS image_name, coalesce(s.split, 'unlisted') AS split, "
+    "CAST(octet_length(encode(p.html)) AS BIGINT) AS bytes FROM pages p LEFT JOIN pages_split s USING (page_id)",
+)
+def k05_write_images_by_split(spark, sf_dir):
+    """K5: pages as files, the manifest from a split by name (L2) that lists nine in ten."""
+    path = scratch_path(spark, "images")
+    files = _page_files(spark, sf_dir)
+    listed = fx.table(spark, sf_dir, "pages").where("page_id % 10 <> 3").select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("image_name"))
+    io.write_images_by_split(files, S.split_groups(listed, "image_name", seed=fx.SPLIT_SEED), path)
+    return normalise(spark.read.parquet(path).select("image_name", "split", F.octet_length("content").cast("bigint").alias("bytes")))
+
+
+@register(
+    "m07_caption_images",
+    "SELECT page_id || '.html' AS image_name, octet_length(encode(html)) || ' bytes' AS caption FROM pages",
+)
+def m07_caption_images(spark, sf_dir):
+    """M7 with a stand-in captioner (the length of the bytes)."""
+    from tonalert.operators.models import caption_images
+
+    def loader():
+        return lambda contents: [(f"{len(c)} bytes",) for c in contents]
+
+    return normalise(caption_images(_page_files(spark, sf_dir), loader, batch=50))
 
 
 @register("s07_on_missing", "SELECT doc_id, lang FROM documents")

@@ -35,10 +35,10 @@ def p02_with_derived(spark, sf_dir):
 @register(
     "p03_fill_text",
     f"SELECT d.doc_id, coalesce(b.text, '') AS caption FROM documents d LEFT JOIN benchmark b "
-    f"ON b.item_id = d.doc_id % {fx.CAPTION_ITEMS}",
+    f"ON b.item_id = {q.CAPTION_KEY}",
 )
 def p03_fill_text(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents").withColumn("item_id", F.pmod("doc_id", F.lit(fx.CAPTION_ITEMS)))
+    d = fx.table(spark, sf_dir, "documents").withColumn("item_id", fx.caption_key(spark, sf_dir))
     j = d.join(fx.captions(spark, sf_dir), "item_id", "left")
     return normalise(j.select("doc_id", tb.fill_text("caption").alias("caption")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +14,9 @@ from tonalert.operators.joins import checked_broadcast
 from tonalert.operators.splits import split_exact
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
+from tonalert.plans.q_arrays import _vocab_cte, known_vocab
 from tonalert.plans.registry import normalise, register, with_ctes
+from tonalert.session import reliable_checkpoint, scratch_path
 
 
 def lexicon_model():
@@ -54,42 +57,71 @@ def m01_score_batches(spark, sf_dir):
 
 
 def _train_data(spark, sf_dir):
-    tw = fx.tweets(spark, sf_dir).select("doc_id", TX.normalize_tweet("raw").alias("tokens"))
+    """Labelled documents with their mean word vector and split, written once."""
+    tw = split_exact(fx.tweets(spark, sf_dir), "doc_id", fx.TRAIN_FRACTION, fx.SPLIT_SEED)
     lab = fx.logits(spark, sf_dir).select("doc_id", F.col("y").alias("target"))
-    return split_exact(tw.join(checked_broadcast(lab), "doc_id"), "doc_id", 0.8, fx.SPLIT_SEED)
+    rows = tw.join(checked_broadcast(lab, materialize=False), "doc_id").select("doc_id", "target", "split", TX.normalize_tweet("raw").alias("tokens"))
+    return reliable_checkpoint(MD.with_features(rows, known_vocab(spark, sf_dir)))
 
 
-@register("m03_train_sentiment")  # iterative fit: rows-only
+def _model(data):
+    return MD.train_sentiment(data.filter(F.col("split") == "train"), "target", max_iter=20)
+
+
+_LABELLED = with_ctes(q.logits_cte(), q.splits_cte()) + "SELECT {} FROM logits l JOIN splits s ON l.doc_id = s.doc_id WHERE s.split = '{}'"
+_EVALUATED = ("count(*) AS n, count(*) FILTER (y = 2) AS n_positive, CAST(1 AS BIGINT) AS accuracies_in_range, "
+              "CAST(0 AS BIGINT) AS rows_without_class")
+
+
+def _evaluated(model, rows):
+    """Row and class counts, and whether what the model says lies where it must."""
+    ev = MD.evaluate_sentiment(model, rows, "target")
+    counts = MD.predict_sentiment(model, rows).agg(
+        F.sum((F.col("target") == 2).cast("bigint")).alias("n_positive"),
+        F.sum((~(F.col("pred_banded").isin(0, 1, 2) & F.col("p").between(0, 1))).cast("bigint")).alias("rows_without_class"))
+    ok = (F.col("accuracy").between(0, 1) & F.col("accuracy3").between(0, 1)).cast("bigint")
+    return normalise(ev.crossJoin(counts).select("n", "n_positive", ok.alias("accuracies_in_range"), "rows_without_class"))  # one row each
+
+
+@register(
+    "m03_features",
+    with_ctes(q.tagged_docs_cte(), _vocab_cte())
+    + ", w AS (SELECT doc_id, unnest(toks) AS word FROM tok_lists) "
+    "SELECT w.doc_id, count(*) AS n_known, round(avg(CAST(e.embedding[1] AS DOUBLE)), 5) AS v0, "
+    "round(avg(CAST(e.embedding[len(e.embedding)] AS DOUBLE)), 5) AS v_last "
+    "FROM w JOIN vocab v USING (word) JOIN embeddings e ON e.vec_id = v.idx GROUP BY w.doc_id",
+)
+def m03_features(spark, sf_dir):
+    """M3's input: the mean vector of each document's known words."""
+    voc = known_vocab(spark, sf_dir)
+    means = MD.doc_vectors(fx.tagged(spark, sf_dir), voc).select("doc_id", "n_known", vector_to_array("features").alias("v"))
+    return normalise(means.select("doc_id", "n_known", F.round(F.get("v", F.lit(0)), 5).alias("v0"),
+                                  F.round(F.element_at("v", -1), 5).alias("v_last")))
+
+
+@register("m03_train_sentiment", _LABELLED.format(_EVALUATED, "train"))
 def m03_train_sentiment(spark, sf_dir):
     data = _train_data(spark, sf_dir)
-    train = data.filter(F.col("split") == "train")
-    model = MD.train_sentiment(train, "tokens", "target", vector_size=32, max_iter=20)
-    return normalise(MD.evaluate_sentiment(model, train, "target"))
+    return _evaluated(_model(data), data.filter(F.col("split") == "train"))
 
 
-@register("m05_save_load")  # iterative fit: rows-only
+@register("m05_save_load", "SELECT l.doc_id, CAST(1 AS BIGINT) AS same FROM labels l JOIN documents d ON l.doc_id = d.doc_id")
 def m05_save_load(spark, sf_dir):
-    """M5: the trained pipeline saved to the shared checkpoint folder and loaded back; every row
-    is scored by both, ``same`` = 1 where the loaded model gives the same probability."""
-    from tonalert.session import scratch_path
-
+    """M5: the trained pipeline saved to the shared folder and loaded back; every row is scored by
+    both, ``same`` = 1 where the loaded model gives the same probability."""
     data = _train_data(spark, sf_dir)
-    model = MD.train_sentiment(data.filter(F.col("split") == "train"), "tokens", "target", vector_size=32, max_iter=20)
+    model = _model(data)
     path = scratch_path(spark, "sentiment-model")
     MD.save_model(model, path)
-    loaded = MD.load_model(path)
-    a = MD.predict_sentiment(model, data).select("doc_id", F.col("p").alias("p0"))
-    b = MD.predict_sentiment(loaded, data).select("doc_id", "p", "pred_binary")
-    j = a.join(b, "doc_id")
-    same = (F.abs(F.col("p") - F.col("p0")) <= F.lit(1e-12)).cast("int")
-    return normalise(j.select("doc_id", "pred_binary", same.alias("same")))
+    both = MD.predict_sentiment(model, data).select("doc_id", F.col("p").alias("p0")).join(
+        MD.predict_sentiment(MD.load_model(path), data).select("doc_id", "p"), "doc_id")
+    return normalise(both.select("doc_id", (F.abs(F.col("p") - F.col("p0")) <= F.lit(1e-12)).cast("int").alias("same")))
 
 
-@register("m04_evaluate_sentiment")  # iterative fit: rows-only
+@register("m04_evaluate_sentiment", _LABELLED.format(_EVALUATED, "test"))
 def m04_evaluate_sentiment(spark, sf_dir):
     data = _train_data(spark, sf_dir)
-    model = MD.train_sentiment(data.filter(F.col("split") == "train"), "tokens", "target", vector_size=32, max_iter=20)
-    return normalise(MD.evaluate_sentiment(model, data.filter(F.col("split") == "test"), "target"))
+    return _evaluated(_model(data), data.filter(F.col("split") == "test"))
 
 
 @register(

@@ -13,10 +13,10 @@ from tonalert.operators import splits as S
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
-from tonalert.session import reliable_checkpoint
 
 SEED = fx.SPLIT_SEED
 SAMPLE_SEED = 7
+_TEXT = "coalesce(d.text, '')"
 
 
 def _md5(key, seed):
@@ -46,7 +46,7 @@ def _groups(spark, sf_dir):
 
 @register(
     "l02_split_groups",
-    with_ctes(_GROUPS) + "SELECT d.doc_id, d.source, glab.split FROM documents d LEFT JOIN glab ON d.source = glab.source",
+    with_ctes(_GROUPS) + "SELECT d.doc_id, d.source, glab.split FROM documents d LEFT JOIN glab ON d.source IS NOT DISTINCT FROM glab.source",
 )
 def l02_split_groups(spark, sf_dir):
     return normalise(_groups(spark, sf_dir).select("doc_id", "source", "split"))
@@ -104,22 +104,18 @@ def j01_keep_split(spark, sf_dir):
 )
 def j02_not_in(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "lang")
-    train = S.split_exact(docs.select("doc_id"), "doc_id", fx.TRAIN_FRACTION, SEED).filter(F.col("split") == "train")
-    return normalise(J.not_in(docs, train, "doc_id"))
+    return normalise(J.outside_split(S.split_exact(docs, "doc_id", fx.TRAIN_FRACTION, SEED), "train").drop("split"))
 
 
 @register(
     "u01_union_splits",
-    with_ctes(_GROUPS) + f"SELECT d.doc_id, glab.split, len({q.words('d.text')}) AS n_words FROM documents d "
-    "JOIN glab ON d.source = glab.source",
+    with_ctes(_GROUPS) + f"SELECT d.doc_id, glab.split, len({q.words(_TEXT)}) AS n_words FROM documents d "
+    "LEFT JOIN glab ON d.source IS NOT DISTINCT FROM glab.source",
 )
 def u01_union_splits(spark, sf_dir):
-    g = _groups(spark, sf_dir).select("doc_id", "split")
-    # The per-document step runs once; its small result is checkpointed and read by all three splits.
-    docs = reliable_checkpoint(_docs(spark, sf_dir).select("doc_id", F.size(TX.words("text")).alias("n_words")))
-    parts = {name: docs.join(g.filter(F.col("split") == name).select("doc_id"), "doc_id", "left_semi")
-             for name in ("train", "val", "test")}
-    return normalise(S.union_splits(parts).select("doc_id", "split", "n_words"))
+    """All splits in one pass: the rows carry their split as a column."""
+    docs = S.split_groups(_docs(spark, sf_dir).select("doc_id", "source", "text"), "source", (0.8, 0.1, 0.1), SEED)
+    return normalise(docs.select("doc_id", "split", F.size(TX.words(F.coalesce("text", F.lit("")))).alias("n_words")))
 
 
 @register(
@@ -128,8 +124,8 @@ def u01_union_splits(spark, sf_dir):
 )
 def u02_complement(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "source")
-    smp = S.sample_fraction(docs.select("doc_id"), "doc_id", 0.1, SAMPLE_SEED)
-    return normalise(J.not_in(docs, smp, "doc_id"))
+    marked = S.assign_ranges(docs, "doc_id", SAMPLE_SEED, lambda n: [S.py_round(0.1 * n)], ["in", "out"], "part")
+    return normalise(J.outside_split(marked, "in", "part").drop("part"))
 
 
 _TRAIN_BATCH = 64

@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tonalert.operators.alerts import BAD_WORDS, GOOD_WORDS, alerts_from_text, entity_sentiment
+from tonalert.functions import entities as E
+from tonalert.operators.alerts import BAD_WORDS, GOOD_WORDS, alert_pipeline, alerts_from_text, alerts_from_words, entity_sentiment
+from tonalert.operators.models import gazetteer_from_spans
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
+from tonalert.session import reliable_checkpoint
 from tonalert.streaming.streams import sentiment_windows, windows_flat
 
 
@@ -17,11 +20,11 @@ def _stream_rows(spark, sf_dir):
     return fx.tagged(spark, sf_dir, keep_text=True).select("doc_id", "text", "ner_tags")
 
 
-def _tone_cte():
+def _tone_cte(source="documents"):
     good = q.sql_list(GOOD_WORDS + ["<good"])
     bad = q.sql_list(BAD_WORDS + ["<bad"])
     return (
-        f"pre AS (SELECT doc_id, string_split({q.pre_squeeze('text')}, '') AS ch FROM documents), "
+        f"pre AS (SELECT doc_id, string_split({q.pre_squeeze('text')}, '') AS ch FROM {source}), "
         f"normed AS (SELECT doc_id, list_filter(string_split({q.squeeze_chars('ch')}, ' '), lambda w: w <> '') AS tk FROM pre), "
         f"counted AS (SELECT doc_id, len(list_filter(tk, lambda w: list_contains({good}, w))) AS pos, "
         f"len(list_filter(tk, lambda w: list_contains({bad}, w))) AS neg FROM normed), "
@@ -45,15 +48,15 @@ def r01_stream_alerts(spark, sf_dir):
     "r02_entity_sentiment",
     with_ctes(q.tagged_docs_cte(), q.entity_spans_cte(), q.clean_spans_cte(), q.doc_sentiment_cte())
     + "SELECT c.entity, c.tag, count(*) AS mentions, CAST(sum(CASE WHEN d.sentiment = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negatives, "
-    "CAST(sum(round(d.sentiment_score * 100)) AS BIGINT) AS score_cents FROM clean_spans c "
+    "round(avg(CASE WHEN d.sentiment = 'negative' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) + 1e-9, 4) AS share_negative, "
+    "round(avg(d.sentiment_score) + 1e-9, 4) AS mean_score FROM clean_spans c "
     "JOIN doc_sentiment d ON c.doc_id = d.doc_id GROUP BY c.entity, c.tag",
 )
 def r02_entity_sentiment(spark, sf_dir):
-    # Compared through exact integer sums (share = negatives / mentions, mean = score_cents /
-    # (100 * mentions)): the means themselves can fall on a rounding tie that two engines summing
-    # in different orders break differently.
+    # The small constant moves means off rounding ties, which two engines could break differently.
     es = entity_sentiment(fx.alerts_input(spark, sf_dir))
-    return normalise(es.select("entity", "tag", "mentions", "negatives", "score_cents"))
+    return normalise(es.select("entity", "tag", "mentions", "negatives", F.round(F.col("share_negative") + 1e-9, 4).alias("share_negative"),
+                               F.round(F.col("mean_score") + 1e-9, 4).alias("mean_score")))
 
 
 @register(
@@ -64,3 +67,52 @@ def r02_entity_sentiment(spark, sf_dir):
 def r03_sentiment_windows(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("label"))
     return normalise(windows_flat(sentiment_windows(ev, "ts", "label", "1 day")))
+
+
+_KINDS = {"idiot": "PER", "the": "MISC", "der": "ORG", "de": "LOC", "la": "LOC"}
+_GAZETTEER = (
+    "gaz AS (SELECT tok, min(kind) AS kind FROM (SELECT unnest(string_split(entity, ' ')) AS tok, tag AS kind FROM spans) "
+    "WHERE tok <> '' GROUP BY tok), "
+    f"fused AS (SELECT d.doc_id, concat_ws(' ', d.text, b.text) AS text FROM documents d LEFT JOIN benchmark b ON b.item_id = {q.CAPTION_KEY}), "
+)
+
+
+def _chain_ctes(source):
+    """Alerts from raw text: words of ``source`` tagged by ``gaz``, spans, tone, alert."""
+    words = (
+        f"tl AS (SELECT doc_id, {q.words('text')} AS toks FROM {source}), "
+        "tw AS (SELECT doc_id, CAST(p - 1 AS BIGINT) AS pos, toks[p] AS tok, CASE WHEN p > 1 THEN toks[p - 1] END AS prev "
+        "FROM (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS p FROM tl)), "
+    )
+    named = ("SELECT tw.doc_id, tw.pos, tw.tok, CASE WHEN g.kind IS NULL THEN 'O' WHEN gp.kind = g.kind THEN 'I-' || g.kind "
+             "ELSE 'B-' || g.kind END AS name FROM tw LEFT JOIN gaz g ON tw.tok = g.tok LEFT JOIN gaz gp ON tw.prev = gp.tok")
+    return words + ", ".join([q.entity_spans_cte(named, "_x"), q.clean_spans_cte("_x"), _tone_cte(source), q.alerts_cte((0,))])
+
+
+_ALERT_COLUMNS = " SELECT doc_id, sentiment, round(sentiment_score, 6) AS sentiment_score, alert_0 AS alert FROM alerts"
+
+
+def _rounded(a):
+    return normalise(a.select("doc_id", "sentiment", F.round("sentiment_score", 6).alias("sentiment_score"), "alert"))
+
+
+@register(
+    "x01_alert_pipeline",
+    with_ctes(q.tagged_docs_cte(), q.entity_spans_cte()) + ", " + _GAZETTEER + _chain_ctes("fused") + _ALERT_COLUMNS,
+)
+def x01_alert_pipeline(spark, sf_dir):
+    """End to end: caption, fused text, entities by a gazetteer, tone, alert."""
+    t = fx.tagged(spark, sf_dir)
+    spans = t.select(F.explode(E.extract_entities("tokens", "ner_tags")).alias("e")).select("e.entity", "e.tag")
+    gaz = reliable_checkpoint(gazetteer_from_spans(spans))
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("item_id", fx.caption_key(spark, sf_dir))
+    return _rounded(alert_pipeline(docs, fx.captions(spark, sf_dir), gaz, "item_id"))
+
+
+@register(
+    "x02_alerts_from_words",
+    "WITH gaz(tok, kind) AS (VALUES " + ", ".join(f"('{w}', '{k}')" for w, k in _KINDS.items()) + "), " + _chain_ctes("documents") + _ALERT_COLUMNS,
+)
+def x02_alerts_from_words(spark, sf_dir):
+    """The untagged stream's chain in batch form."""
+    return _rounded(alerts_from_words(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), _KINDS))

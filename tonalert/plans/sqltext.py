@@ -19,7 +19,7 @@ from tonalert.constants import (
     PERSON_PHRASES,
     WORD,
 )
-from tonalert.plans.fixtures import CAPTION_ITEMS, SPLIT_SEED, TAG_PATTERN, TRAIN_FRACTION, TWEET_SUFFIXES
+from tonalert.plans.fixtures import LONG_SPAN_AT, LONG_SPAN_EVERY, MISSING_CAPTIONS, SPLIT_SEED, TAG_PATTERN, TRAIN_FRACTION, TWEET_SUFFIXES
 
 WS = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
 NOT_WS = "[^" + WS[1:]
@@ -114,6 +114,9 @@ def pre_squeeze(x):
 
 # ------------------------------------------------------------------ fixtures -------------------
 
+CAPTION_KEY = f"d.doc_id % (SELECT count(*) + {MISSING_CAPTIONS} FROM benchmark)"
+
+
 def tweets_cte():
     sfx = sql_list(TWEET_SUFFIXES)
     return f"tweets AS (SELECT doc_id, coalesce(text, '') || {sfx}[doc_id % 8 + 1] AS raw FROM documents)"
@@ -124,7 +127,8 @@ def tagged_docs_cte():
     return (
         f"tok_lists AS (SELECT doc_id, {words('coalesce(text, ' + chr(39) * 2 + ')')} AS toks FROM documents), "
         f"tagged_docs AS (SELECT doc_id, CAST(p - 1 AS BIGINT) AS pos, toks[p] AS tok, "
-        f"CAST({pat}[((doc_id * 5 + p - 1) % {len(TAG_PATTERN)}) + 1] AS BIGINT) AS tag "
+        f"CAST(CASE WHEN doc_id % {LONG_SPAN_EVERY} = {LONG_SPAN_AT} THEN (CASE WHEN p = 1 THEN 1 ELSE 2 END) "
+        f"ELSE {pat}[((doc_id * 5 + p - 1) % {len(TAG_PATTERN)}) + 1] END AS BIGINT) AS tag "
         f"FROM (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS p FROM tok_lists))"
     )
 
@@ -153,21 +157,22 @@ def splits_cte():
     )
 
 
-def entity_spans_cte():
-    """E1 by windows over ``tagged_docs``: group = running count of non-I tags, head = first tag
+def entity_spans_cte(named: str | None = None, sfx: str = ""):
+    """E1 by windows over ``tagged_docs`` (or the rows of ``named``: doc_id, pos, tok, name): group = running count of non-I tags, head = first tag
     of the group, broken = an I- of another kind seen so far. Empty-text spans are dropped."""
     labels = sql_map(BIO_LABELS)
+    named = named or f"SELECT doc_id, pos, tok, coalesce({labels}[tag], 'O') AS name FROM tagged_docs"
     return (
-        f"named AS (SELECT doc_id, pos, tok, coalesce({labels}[tag], 'O') AS name FROM tagged_docs), "
-        "grouped AS (SELECT *, sum(CASE WHEN name LIKE 'I-%' THEN 0 ELSE 1 END) OVER "
-        "(PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS grp FROM named), "
-        "headed AS (SELECT *, first_value(name) OVER (PARTITION BY doc_id, grp ORDER BY pos "
-        "ROWS UNBOUNDED PRECEDING) AS head FROM grouped), "
-        "marked AS (SELECT *, max(CASE WHEN name LIKE 'I-%' AND substr(name, 3) <> substr(head, 3) THEN 1 ELSE 0 END) "
-        "OVER (PARTITION BY doc_id, grp ORDER BY pos ROWS UNBOUNDED PRECEDING) AS bad FROM headed), "
-        "spans_raw AS (SELECT doc_id, grp, string_agg(tok, ' ' ORDER BY pos) AS raw, substr(max(head), 3) AS tag "
-        "FROM marked WHERE head LIKE 'B-%' AND bad = 0 GROUP BY doc_id, grp), "
-        f"spans AS (SELECT doc_id, grp, {strip_ws('raw')} AS entity, tag FROM spans_raw WHERE length(raw) > 0)"
+        f"named{sfx} AS ({named}), "
+        f"grouped{sfx} AS (SELECT *, sum(CASE WHEN name LIKE 'I-%' THEN 0 ELSE 1 END) OVER "
+        f"(PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS grp FROM named{sfx}), "
+        f"headed{sfx} AS (SELECT *, first_value(name) OVER (PARTITION BY doc_id, grp ORDER BY pos "
+        f"ROWS UNBOUNDED PRECEDING) AS head FROM grouped{sfx}), "
+        f"marked{sfx} AS (SELECT *, max(CASE WHEN name LIKE 'I-%' AND substr(name, 3) <> substr(head, 3) THEN 1 ELSE 0 END) "
+        f"OVER (PARTITION BY doc_id, grp ORDER BY pos ROWS UNBOUNDED PRECEDING) AS bad FROM headed{sfx}), "
+        f"spans_raw{sfx} AS (SELECT doc_id, grp, string_agg(tok, ' ' ORDER BY pos) AS raw, substr(max(head), 3) AS tag "
+        f"FROM marked{sfx} WHERE head LIKE 'B-%' AND bad = 0 GROUP BY doc_id, grp), "
+        f"spans{sfx} AS (SELECT doc_id, grp, {strip_ws('raw')} AS entity, tag FROM spans_raw{sfx} WHERE length(raw) > 0)"
     )
 
 
@@ -175,10 +180,10 @@ def strip_ws(x):
     return f"regexp_replace({x}, {s('^' + WS + '+|' + WS + '+$')}, '', 'g')"
 
 
-def clean_spans_cte():
+def clean_spans_cte(sfx: str = ""):
     stop = sql_list(ENTITY_STOPWORDS)
     return (
-        f"clean_spans AS (SELECT doc_id, grp, {strip_ws('entity')} AS entity, tag FROM spans "
+        f"clean_spans AS (SELECT doc_id, grp, {strip_ws('entity')} AS entity, tag FROM spans{sfx} "
         f"WHERE length({strip_ws('entity')}) >= 2 AND NOT regexp_matches({strip_ws('entity')}, '^[^\\p{{L}}\\p{{N}}]+$') "
         f"AND NOT list_contains({stop}, lower({strip_ws('entity')})))"
     )
@@ -189,6 +194,12 @@ def confidence_word(x):
             f"WHEN {x} >= 0.7 THEN 'moderately' ELSE 'slightly' END")
 
 
+def phrase_pick(key, kind, phrases, salt):
+    """E5: the phrase that the md5 of key, salt and kind points at."""
+    number = f"('0x' || substr(md5(coalesce({key}::VARCHAR, '') || ':{salt}:{kind}'), 1, 8))::BIGINT"
+    return f"{sql_list(phrases)}[({number} % {len(phrases)}) + 1]"
+
+
 def alerts_cte(salts=(0,)):
     """E6 per document for each salt: needs ``clean_spans`` and ``doc_sentiment``."""
     phrases = {"PER": PERSON_PHRASES, "ORG": ORG_PHRASES, "LOC": LOC_PHRASES, "MISC": MISC_PHRASES}
@@ -203,7 +214,7 @@ def alerts_cte(salts=(0,)):
             names = f"g.{k.lower()}_names"
             if k in ("PER", "MISC"):
                 names = f"lower({names})"
-            pick = f"{sql_list(ph)}[((d.doc_id + {salt}) % {len(ph)}) + 1]"
+            pick = phrase_pick("d.doc_id", k, ph, salt)
             parts.append(f"CASE WHEN g.{k.lower()}_names IS NOT NULL THEN {pick} || ' ' || {names} || '.' ELSE '' END")
         head = f"'Alert with a ' || {confidence_word('d.sentiment_score')} || ' ' || d.sentiment || ' tone.'"
         body = f"CASE WHEN coalesce(g.n, 0) = 0 THEN {s(NO_ENTITIES)} ELSE " + " || ".join(parts) + " END"
@@ -227,4 +238,4 @@ def rouge_tokens(x):
     return f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda w: w <> '')"
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["CAPTION_ITEMS"]
+__all__ = [n for n in dir() if not n.startswith("_")] + ["MISSING_CAPTIONS", "LONG_SPAN_AT", "LONG_SPAN_EVERY"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,47 +17,47 @@ SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tonalert") -> SparkSession:
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tonalert", shared: str | None = None) -> SparkSession:
+    """A local session; ``shared``: folder for intermediate tables (``spark.checkpoint.dir``)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("TONALERT_DRIVER_MEMORY", "16g"))
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only a local test run gets its own."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="tonalert-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session or its context, else
+    a folder inside the warehouse, which every executor reaches as well. Nothing is set on the
+    caller's session."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tonalert-intermediate"
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Eager ``checkpoint()`` into the shared checkpoint folder (never ``localCheckpoint``):
-    cuts the lineage so a lost executor does not recompute the side from scratch."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as Parquet to the shared folder and read back (a job runs now): cuts the
+    lineage, so that a lost executor does not recompute the side from scratch."""
+    path = scratch_path(df.sparkSession, "checkpoint")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name inside the shared checkpoint folder, for tables a job writes and reads
-    back (never a machine-local temporary folder on a cluster)."""
-    import uuid
+    """A fresh folder name inside the shared folder, for tables a job writes and reads back (never
+    a machine-local temporary folder). ``remove_scratch`` deletes them."""
+    return f"{shared_folder(spark).rstrip('/')}/tonalert-io/{name}-{uuid.uuid4().hex}"
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tonalert-io/{name}-{uuid.uuid4().hex}"
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of the shared folder, once nothing that reads them is left
+    (DataFrames read them lazily, so the operators cannot do it themselves)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/tonalert-io")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonalert.functions.arrays import array_text
+from tonalert.operators.joins import checked_broadcast
 
 log = logging.getLogger(__name__)
 
@@ -57,27 +58,26 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = N
     return df.repartition(want, key) if key else df.repartition(want)
 
 
-def read_tweets(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Headerless CSV, Latin-1, six named columns; doubled quotes escape quotes; quoted texts
-    may span lines. A multi-line file is read by one task, so a large input should be many files
-    (or ``multi_line=False`` when no text holds a line break, which lets Spark split files)."""
+def read_tweets(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Headerless CSV, Latin-1, six named columns; doubled quotes escape quotes. Files are split
+    among tasks; with ``multi_line`` quoted texts may span lines and each file is one task."""
     return (spark.read.schema(TWEETS_SCHEMA).option("header", False).option("encoding", "ISO-8859-1")
             .option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
-def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header row; quoted fields may span lines."""
+def read_table_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with a header row. With ``multi_line`` quoted fields may span lines and a file is one
+    task (write many files); without it, files are split among tasks."""
     return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("multiLine", True).csv(path))
+            .option("multiLine", multi_line).csv(path))
 
 
-def read_captions(spark: SparkSession, path: str, schema: T.StructType = CAPTIONS_SCHEMA) -> DataFrame:
+def read_captions(spark: SparkSession, path: str, schema: T.StructType = CAPTIONS_SCHEMA, multi_line: bool = True) -> DataFrame:
     """S3: ``|``-separated CSV with a header; spaces around unquoted fields are trimmed, quoted
-    fields are kept as written and may span lines."""
-    df = (spark.read.schema(schema).option("header", True).option("sep", "|").option("escape", '"')
-          .option("multiLine", True)
-          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
-    return df
+    fields are kept as written and, with ``multi_line``, may span lines (see S2)."""
+    return (spark.read.schema(schema).option("header", True).option("sep", "|").option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
 
 
 def read_tagged(spark: SparkSession, path: str) -> DataFrame:
@@ -86,26 +86,22 @@ def read_tagged(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tag_names(spark: SparkSession, path: str, features=("pos_tags", "chunk_tags", "ner_tags")) -> DataFrame:
-    """Label names out of a dataset description JSON -> ``(feature, idx, name)``."""
-    info = spark.read.option("multiLine", True).json(path)
-    parts = [
-        info.select(F.lit(f).alias("feature"),
-                    F.posexplode(F.col(f"features.{f}.feature.names")).alias("idx", "name"))
-        for f in features
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Label names out of a dataset description JSON -> ``(feature, idx, name)``, in one read
+    with a declared schema."""
+    names = T.StructType([T.StructField("feature", T.StructType([T.StructField("names", T.ArrayType(T.StringType()))]))])
+    schema = T.StructType([T.StructField("features", T.StructType([T.StructField(f, names) for f in features]))])
+    info = spark.read.schema(schema).option("multiLine", True).json(path)
+    parts = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"features.{f}.feature.names").alias("names")) for f in features])
+    return info.select(F.explode(parts).alias("f")).select("f.feature", F.posexplode("f.names").alias("idx", "name"))
 
 
 def read_images(spark: SparkSession, path: str, exts=(".jpg",), ignore_case: bool = False) -> DataFrame:
     """List image files by extension and load their bytes (``path, modificationTime,
-    length, content``). Only the listed files' bytes are read."""
-    df = spark.read.format("binaryFile").load(path)
-    alts = "|".join(e.lstrip(".").replace(".", r"\.") for e in exts)
-    pattern = ("(?i)" if ignore_case else "") + rf"\.({alts})$"
-    return df.filter(F.col("path").rlike(pattern))
+    length, content``). Other files are left out when the folder is listed, so they are not read."""
+    def spelled(ext):
+        return "".join(f"[{c.lower()}{c.upper()}]" if ignore_case and c.isalpha() else c for c in ext.lstrip("."))
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.{" + ",".join(map(spelled, exts)) + "}").load(path)
 
 
 def on_missing(reader: Callable[[], DataFrame], policy: str = "error", what: str = "input") -> DataFrame | None:
@@ -121,26 +117,9 @@ def on_missing(reader: Callable[[], DataFrame], policy: str = "error", what: str
         raise FileNotFoundError(f"{what} not found") from e
 
 
-def read_vocab(spark: SparkSession, path: str, docs: DataFrame | None = None, tokens: str = "tokens",
-               vector_size: int = 64, seed: int = 42) -> DataFrame:
-    """The prepared ``(word, idx, vector)`` table; when absent and ``docs`` is given, a
-    Word2Vec model is fitted on the executors, its vectors written to ``path`` once, and read."""
-    existing = on_missing(lambda: spark.read.schema(VOCAB_SCHEMA).parquet(path), "skip", "vocabulary")
-    if existing is not None:
-        return existing
-    if docs is None:
-        raise FileNotFoundError(f"no vocabulary at {path} and no documents to fit one")
-    from pyspark.ml.feature import Word2Vec
-
-    from tonalert.operators.splits import shuffle
-
-    model = Word2Vec(vectorSize=vector_size, minCount=1, inputCol=tokens, outputCol="_v", seed=seed).fit(docs)
-    from pyspark.ml.functions import vector_to_array
-
-    vecs = model.getVectors().select("word", vector_to_array("vector", "float32").alias("vector"))
-    indexed = shuffle(vecs, "word", seed, "idx").select("word", F.col("idx").cast("long"), "vector")
-    ingest_once(indexed, path)
-    return spark.read.schema(VOCAB_SCHEMA).parquet(path)
+def read_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """The prepared ``(word, idx, vector)`` table; an absent one raises (see on_missing)."""
+    return on_missing(lambda: spark.read.schema(VOCAB_SCHEMA).parquet(path), "error", "vocabulary")
 
 
 def _csv_ready(df: DataFrame) -> DataFrame:
@@ -182,8 +161,12 @@ def ingest_once(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("ignore").format(fmt).save(path)
 
 
-def write_images_by_split(images: DataFrame, splits: DataFrame, path: str, name: str = "image_name") -> None:
-    """K5: each image's bytes into its split's folder. ``splits`` is the manifest
-    ``(image_name, split)``; the join is by name, the write partitioned by split."""
+def write_images_by_split(images: DataFrame, splits: DataFrame, path: str, name: str = "image_name",
+                          unlisted: str = "unlisted") -> None:
+    """K5: each image's bytes into its split's folder. ``splits`` is the manifest ``(image_name,
+    split)``, broadcast when its measured size allows, so the bytes stay where they are; images it
+    does not list go to a folder of their own."""
     named = images.withColumn(name, F.element_at(F.split("path", "/"), -1))
-    named.join(splits.select(name, "split"), name).write.mode("overwrite").partitionBy("split").parquet(path)
+    side = checked_broadcast(splits.select(name, "split"), materialize=False)
+    out = named.join(side, name, "left").withColumn("split", F.coalesce("split", F.lit(unlisted)))
+    out.write.mode("overwrite").partitionBy("split").parquet(path)

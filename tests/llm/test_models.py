@@ -1,0 +1,180 @@
+"""Operators 3, 8, 9 and 10: exactness against brute force, held-out accuracy, edge cases."""
+
+import math
+import random
+import re
+import zlib
+from array import array
+from collections import Counter
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from tonalert.llm import bpe, compression_quality as cq, lm_score as lm, toxicity as tx
+from tonalert.llm.common import doc_fold
+from tonalert.llm.q_models import tokenizer
+
+SF_MID = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
+
+
+@pytest.fixture(scope="module")
+def vocabulary(ranks):
+    return bpe.Vocabulary(ranks)
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_pieces_encode_like_the_library(vocabulary, library):
+    rng = random.Random(1)
+    for k in range(2500):
+        letters = ["etaoinshr", "aab", " .,-!1", "éüñß日本😀", "aeh tho\n"][k % 5]
+        piece = "".join(rng.choice(letters) for _ in range(rng.randint(1, 40))).encode()
+        assert vocabulary.encode(piece) == library._encode_single_piece(piece)
+    assert vocabulary.encode(b"a" * 3000) == library._encode_single_piece(b"a" * 3000)
+
+
+def test_appends_and_edits_are_exact(vocabulary):
+    rng = random.Random(2)
+    e = bpe.PrefixEncoder(vocabulary, b"thequickbrownfox" * 40)
+    looked = []
+    for k in range(150):
+        if k % 3 == 0:
+            e.append(bytes(rng.choice(b"aehtnos ") for _ in range(rng.randint(0, 6))))
+        else:
+            a = rng.randint(0, len(e.data))
+            looked.append(e.edit(a, min(len(e.data), a + rng.randint(0, 3)), bytes(rng.choice(b"aehtnos") for _ in range(rng.randint(0, 5)))))
+        assert e.last == bpe.PrefixEncoder(vocabulary, e.data).last
+        assert vocabulary.decode(e.ids()) == e.data
+    assert max(looked) < len(e.data) / 2  # an edit is not encoded to the end
+
+
+def test_bpe_of_tables(spark, library):
+    texts = [None, "", " ", "Hello  world\n\n", "<|endoftext|>", "é" * 5000, "ab " * 20000, "x\x00y", "it's 2024"]
+    d = spark.createDataFrame([(i if i else None, t, "clash") for i, t in enumerate(texts)] + [(8, texts[8], "z")], "doc_id bigint, text string, ids string")
+    tok = tokenizer(spark)
+    out = tok.decode(tok.encode(d)).collect()
+    assert out[0].__fields__ == ["doc_id", "text", "ids", "decoded"] and len(out) == 10
+    for r in out:
+        assert array("I", r["ids"]).tolist() == library.encode_ordinary(r["text"] or "")
+        assert bytes(r["decoded"]) == (r["text"] or "").encode()
+    assert tok.encode(d.limit(0)).count() == 0
+
+
+def test_ranks_file_is_bounded(tmp_path, monkeypatch):
+    (tmp_path / "r").write_bytes(b"YQ== 0\n" * 10)
+    monkeypatch.setattr(bpe, "MAX_RANKS_BYTES", 20)
+    with pytest.raises(ValueError):
+        bpe.read_ranks(str(tmp_path / "r"))
+
+
+def plain_scores(rows, mass):
+    low = {c: c + 32 for c in range(65, 91)}
+    toks = [(WORD.findall((t or "").translate(low)) + [None], zlib.crc32(str("" if i is None else i).encode()) % 5 != 1) for i, t in rows]
+    uni, bi, starts = Counter(), Counter(), sum(train for _, train in toks)
+    for w, train in toks:
+        if train:
+            uni.update(w)
+            bi.update(zip(["<s>", *w], w))
+    n, v = sum(uni.values()), len(uni)
+    out = []
+    for (i, _), (w, train) in zip(rows, toks):
+        base = model = 0.0
+        for a, b in zip([0, *w], w):
+            p0 = (uni[b] + 0.5) / (n + 0.5 * (v + 1))
+            before, pair = (starts, bi["<s>", b]) if a == 0 else (uni[a], bi[a, b])
+            base += math.log10(p0)
+            model += math.log10((pair + mass * p0) / (before + mass))
+        out.append((i, train, len(w), sum(uni[x] > 0 for x in w), n, round(base, 6), round(model, 6)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block", [8_000_000, 200])
+def test_lm_scores_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm, "RANGE_TOKENS", 50)
+    rng = random.Random(4)
+    rows = [(None, None), (1, ""), (2, " \n"), (3, "A a A"), (3, "A a A")]
+    rows += [(i, " ".join(rng.choice(["the", "THE", "of", "é", "x1", f"w{rng.randint(0, 60)}"]) for _ in range(rng.randint(0, 90)))) for i in range(10, 60)]
+    rows += [(99, "long " * 5000)]
+    d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, block int")
+    got = lm.scored(d, doc_fold(5) != 1).collect()
+    assert sorted(((r["doc_id"], r["train"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=repr) == plain_scores(rows, lm.MASS)
+
+
+def test_lm_without_rows_or_training(spark):
+    d = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
+    assert lm.scored(d.limit(0), F.lit(True)).count() == 0
+    r = lm.scored(d, F.lit(False)).first()
+    assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (3, 0, 0) and r["score"] == pytest.approx(0.0)
+
+
+def test_lm_beats_unigrams_on_held_out_texts(spark):
+    d = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    r = lm.scored(d, doc_fold(5) != 1).where("NOT train").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert r["s"] > r["b"]
+
+
+def accuracy(spark, scores, label, fold, cut):
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    held = scores.where(fold).join(labels, "doc_id").select("doc_id", ((F.col("score") >= cut).cast("int")).alias("p"), F.col(label).alias("y")).collect()
+    return sum(r["p"] == r["y"] for r in held) / len(held), [r for r in held if r["p"] != r["y"]]
+
+
+def test_compression_classifier_on_held_out_rows(spark):
+    d, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    scores = cq.scored(d, labels, doc_fold(3) != 1)
+    assert scores.where("score < 0 OR score > 1 OR score IS NULL").isEmpty()
+    assert accuracy(spark, scores, "quality", doc_fold(3) == 1, 0.5)[0] > 0.95
+
+
+def test_toxicity_on_held_out_rows(spark):
+    d, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    scores = tx.scored(d, labels, doc_fold(4) != 2)
+    share, wrong = accuracy(spark, scores, "toxic", doc_fold(4) == 2, 0.3)
+    assert share > 0.9 and not [r for r in wrong if r["y"] == 0]
+
+
+@pytest.mark.parametrize("module, label", [(cq, "quality"), (tx, "toxic")])
+def test_classifiers_take_nulls_and_missing_classes(spark, module, label):
+    texts = [None, "", " ", "word " * 30, "x" * 100_000, "same", "same"]
+    d = spark.createDataFrame([(i if i != 5 else None, t, 0.5) for i, t in enumerate(texts)], "doc_id bigint, text string, score double")
+    few = spark.createDataFrame([(3, 1), (6, None), (None, 1), (77, 0)], f"doc_id bigint, {label} int")
+    for labels in (few, few.limit(0)):
+        rows = module.scored(d, labels, F.lit(True)).collect()
+        assert len(rows) == 7 and all(0 <= r["score"] <= 1 for r in rows)
+    assert module.scored(d.limit(0), few, F.lit(True)).count() == 0
+
+
+def insult_model():
+    words = ["idiot", "stupid", "loser", "pathetic", "the", "other", "worthless", "people", "are", "reading", "noon", "book", "moron"]
+    grams = Counter()
+    for w in words:
+        w = f"^^{w}^"
+        grams.update(w[i:i + 3] for i in range(len(w) - 2))
+    return tx.CharModel({g: n * 50 for g, n in grams.items()})
+
+
+@pytest.mark.parametrize("disguised, plain", [
+    ("1d10t", "idiot"), ("$tup1d", "stupid"), ("l0ser", "loser"), ("i d i o t", "idiot"), ("s.t.u.p.i.d", "stupid"), ("stuuuupid", "stupid"),
+    ("m-o-r-0-n", "moron"), ("p@thet1c", "pathetic"), ("looooser", "loser"), ("idiot", "idiot"), ("b00k", "book"), ("l 0 s 3 r", "loser")])
+def test_disguised_words_are_restored(disguised, plain):
+    model = insult_model()
+    assert tx.restore(disguised, model) == plain
+    assert plain in tx.tokens(f"You, {disguised.upper()}! and others", tx._memo(model))
+
+
+def test_plain_words_stay():
+    model = insult_model()
+    assert tx.tokens("The Other, (people) reading: noon 2024 été", tx._memo(model)) >= {"the", "other", "people", "reading", "noon", "2024", "été"}
+    assert tx.restore("", model) == "" and len(tx.restore("a1" * 5000, model)) <= 10_000

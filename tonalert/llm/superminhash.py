@@ -8,16 +8,16 @@ stops as soon as each place has a rank (early stopping); its later levels could
 
 1. One pass over the texts: set size, a 128-bit digest of the set, band hashes of the signature.
 2. Documents with equal sets are one class, stood for by its smallest doc_id.
-3. Classes that share a band hash are candidates. A bucket never emits all its pairs: in each
-   round its smallest class is paired with the classes outside its component, then leaves the
-   bucket; SMALL_BUCKET members or fewer finish at once. Buckets within one component are done.
-   Rounds go on until no bucket is left, so every pair of classes that share a band is either
-   verified or already connected.
-4. Pairs are verified on the full sets. The sets, computed once for classes in shared buckets, are
-   joined by the member first and by the pair's leader last, so a leader's set is not copied
-   through a shuffle.
-5. Verified links are grouped by union-find as DataFrame steps: hooking on the smallest neighbour
-   and pointer jumping, each step a table in the shared folder.
+3. Classes that share a band hash are a bucket. Each member brings its full set to its buckets. A
+   bucket with many or long sets is cut into blocks, and each pair of blocks is a unit of work of bounded size,
+   so no bucket has to fit in one task.
+4. A unit of work verifies its pairs with a union-find of its own: pairs in the first band that
+   they share, whose set sizes and sketches (two bits of each place) leave 0.85 possible, and which are not
+   connected yet, are compared on their full sets. Only links that connect something are returned, at most one
+   per member and unit, never all pairs. A pair of similarity 0.85 fails the sketch test
+   (more than MAX_DIFFER of 126 places) once in about 100,000 times.
+5. The links are grouped by union-find as DataFrame steps: hooking on the smallest neighbour and
+   pointer jumping, each step a table in the shared folder.
 
 At a similarity of 0.85 a pair shares one of 21 bands of 6 rows with probability over 0.9999.
 
@@ -39,8 +39,10 @@ from tonalert.operators.joins import checked_broadcast
 SHINGLE = 5
 BANDS, ROWS = 21, 6
 PLACES = BANDS * ROWS
+SKETCH = -(-PLACES // 32)  # 64-bit words of two bits per place
 PERCENT = 85
-SMALL_BUCKET = 12
+MAX_DIFFER = 30
+UNIT_SHINGLES = 1_000_000  # shingles of one block of a bucket (8 bytes each)
 BLOCK_BYTES = 2_000_000
 _CHUNK = 32_768  # elements whose permutations are held at a time
 _U = np.uint64
@@ -118,7 +120,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, row_hash, n_shingles, d1, d2 (digest of the set), bands array<bigint>."""
+    """doc_id, row_hash, n_shingles, d1, d2 (digest of the set), bands array<bigint>, sketch array<bigint>."""
 
     def measured(batches):
         import pyarrow as pa
@@ -135,15 +137,22 @@ def features(docs: DataFrame) -> DataFrame:
                 sig[np.isinf(sig)] = 0
                 bits = mix(sig.view(np.uint64) ^ weights)
                 bands = mix(bits.reshape(n, BANDS, ROWS).sum(axis=2, dtype=np.uint64)).view(np.int64)
+                two = np.zeros((n, SKETCH * 32), np.uint64)
+                two[:, :PLACES] = bits & _U(3)
+                sketch = (two.reshape(n, SKETCH, 32) << (2 * np.arange(32)).astype(np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
                 full = sizes > 0
-                offsets = np.append(0, np.cumsum(np.where(full, BANDS, 0))).astype(np.int32)
+
+                def lists(values):
+                    offsets = np.append(0, np.cumsum(np.where(full, values.shape[1], 0))).astype(np.int32)
+                    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[full].reshape(-1)))
+
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(at, n), batch.column("row_hash").slice(at, n), pa.array(sizes.astype(np.int64)), pa.array(d1), pa.array(d2),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[full].reshape(-1)))],
-                    names=["doc_id", "row_hash", "n_shingles", "d1", "d2", "bands"])
+                     lists(bands), lists(sketch)],
+                    names=["doc_id", "row_hash", "n_shingles", "d1", "d2", "bands", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row_hash"), "text")
-    return rows.mapInArrow(measured, "doc_id bigint, row_hash bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>")
+    return rows.mapInArrow(measured, "doc_id bigint, row_hash bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -162,15 +171,6 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(made, "doc_id bigint, shingles array<bigint>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose sets have at least ``percent`` per cent in common."""
-    a, b = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(b, "b").join(a, "a").where(100 * small >= percent * large)
-    return joined.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-
-
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b): the smallest id reachable. Each round hooks
     every component on the smallest component next to it and then shortens the paths; a round at
@@ -196,60 +196,103 @@ def components(links: DataFrame) -> DataFrame:
         labels = stored(new, "components")
 
 
-def _shared_buckets(classes: DataFrame) -> DataFrame:
-    """(band, key, id) of the band hashes that more than one class has."""
-    rows = classes.select(F.col("id"), F.posexplode("bands").alias("band", "key"))
-    often = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return stored(rows.join(often, ["band", "key"]), "buckets")
-
-
-def _label(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return members.withColumn("c", F.col("id"))
-    return members.join(labels.withColumnRenamed("component", "l"), "id", "left").select("band", "key", "id", F.coalesce("l", "id").alias("c"))
-
-
-def candidate_links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
-    """Verified links between classes (id, bands): enough of them to connect all that are linked."""
-    members = _shared_buckets(classes)
-    if members.isEmpty():
-        return None
-    wanted = checked_broadcast(stored(members.select(F.col("id").alias("doc_id")).distinct(), "wanted"), materialize=False)
-    sets = stored(full_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "shingle-sets")
-    links, labels = None, None
-    while True:
-        own = _label(members, labels)
-        per = own.groupBy("band", "key").agg(F.min(F.struct("id", "c")).alias("lead"), F.count(F.lit(1)).alias("n"),
-                                             F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1")
-        per = stored(per.select("band", "key", F.col("lead.id").alias("a"), F.col("lead.c").alias("ca"), "n"), "bucket-leaders")
-        if per.isEmpty():
-            return links
-        open_rows = stored(own.join(per, ["band", "key"]), "bucket-rows")
-        led = open_rows.where("c <> ca").select("a", F.col("id").alias("b"))
-        small = open_rows.where(F.col("n") <= SMALL_BUCKET).select("band", "key", "id", "c")
-        other = small.select("band", "key", F.col("id").alias("b"), F.col("c").alias("cb"))
-        finish = small.join(other, ["band", "key"]).where("id < b AND c <> cb").select(F.col("id").alias("a"), "b")
-        pairs = led.union(finish).distinct()
-        found = stored(verified(stored(pairs, "pairs"), sets), "verified")
-        links = found if links is None else links.union(found)
-        labels = stored(components(links), "labels") if not links.isEmpty() else None
-        # The leader has met every class of its bucket; small buckets are done.
-        members = stored(open_rows.where((F.col("n") > SMALL_BUCKET) & (F.col("id") != F.col("a"))).select("band", "key", "id"), "buckets")
+def _units(classes: DataFrame) -> DataFrame:
+    """(band, key, i, j, id): the members of buckets that more than one class is in, once for each
+    pair of blocks (i <= j) that the member's block is in."""
+    rows = classes.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    often = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")).where("n > 1")
+    blocks = F.ceil(F.col("size") / UNIT_SHINGLES).cast("int").alias("blocks")
+    members = rows.join(often.select("band", "key", blocks), ["band", "key"])
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    members = members.select("band", "key", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return stored(members.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id"), "bucket-units")
+
+
+def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent: int = PERCENT) -> list:
+    """Links that connect the members of a unit. ``own``: each member's block; within one block
+    all pairs count, between two blocks only those across."""
+    parent = list(range(len(ids)))
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    sizes = np.array([len(s) for s in sets])
+    odd = _U(0x5555555555555555)
+    links = []
+    for x in range(len(ids) - 1):
+        diff = sketches[x + 1:] ^ sketches[x]
+        differ = np.bitwise_count((diff | (diff >> _U(1))) & odd).sum(axis=1)
+        small, large = np.minimum(sizes[x + 1:], sizes[x]), np.maximum(sizes[x + 1:], sizes[x])
+        maybe = (differ <= MAX_DIFFER) & (100 * small >= percent * large) & ((bands[x + 1:] == bands[x]).argmax(axis=1) == band)
+        if not within:
+            maybe &= own[x + 1:] != own[x]
+        at = np.flatnonzero(maybe)
+        for y in (at[np.argsort(differ[at], kind="stable")] + x + 1).tolist():
+            a, b = root(x), root(y)
+            if a != b:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (sizes[x] + sizes[y] - both):
+                    parent[max(a, b)] = min(a, b)
+                    links.append((ids[x], ids[y]))
+    return links
+
+
+_UNIT = ["band", "key", "i", "j"]
+
+
+def _linked(batches):
+    """Streams the rows of units, which lie together, and returns the links of each unit."""
+    import pyarrow as pa
+
+    unit, rows = None, []
+
+    def close():
+        rows.sort(key=lambda r: r[0])
+        ids, own = [r[0] for r in rows], np.array([r[1] for r in rows])
+        bands, sketches = np.array([r[2] for r in rows]), np.array([r[3] for r in rows]).view(np.uint64)
+        found = unit_links(unit[0], ids, own, bands, sketches, [r[4] for r in rows], unit[2] == unit[3])
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        keys = list(zip(*[batch.column(c).to_pylist() for c in _UNIT]))
+        values = [batch.column(c) for c in ("id", "own", "bands", "sketch", "shingles")]
+        ids, own = values[0].to_pylist(), values[1].to_pylist()
+        arrays = [[x.values.to_numpy(zero_copy_only=False) for x in v] for v in values[2:]]
+        for k, key in enumerate(keys):
+            if key != unit:
+                if len(rows) > 1:
+                    yield close()
+                unit, rows = key, []
+            rows.append((ids[k], own[k], *[a[k].copy() for a in arrays]))
+    if len(rows) > 1:
+        yield close()
+
+
+def class_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links (a, b) between classes (id, n_shingles, bands, sketch): enough of them to
+    connect all linked classes that share a band."""
+    units = _units(classes)
+    wanted = checked_broadcast(stored(units.select(F.col("id").alias("doc_id")).distinct(), "wanted"), materialize=False)
+    sets = full_sets(docs.join(wanted, "doc_id", "left_semi")).groupBy(F.col("doc_id").alias("id")).agg(F.max("shingles").alias("shingles"))
+    sets = stored(sets.join(classes.select("id", "bands", "sketch"), "id"), "shingle-sets")  # one set per id, also where an id has several texts
+    work = units.join(sets, "id").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+    return stored(work.select(*_UNIT, "id", "own", "bands", "sketch", "shingles").mapInArrow(_linked, "a bigint, b bigint").distinct(), "verified")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, row_hash, n_shingles, component_id, kept: one row per row of ``docs``."""
     found = stored(features(docs), "minhash")
     usable = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "bands")).alias("m"))
-    classes = stored(classes.select("n_shingles", "d1", "d2", F.col("m.doc_id").alias("id"), F.col("m.bands").alias("bands")), "classes")
-    links = candidate_links(classes, docs)
-    member = classes.select("n_shingles", "d1", "d2", "id")
-    if links is not None and not links.isEmpty():
-        member = member.join(components(links), "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component", "id").alias("id"))
+    classes = usable.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("m"))
+    classes = stored(classes.select("n_shingles", "d1", "d2", F.col("m.doc_id").alias("id"), "m.bands", "m.sketch"), "classes")
+    labels = components(class_links(classes, docs))
+    member = classes.join(labels, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component", "id").alias("id"))
     # Most classes have one document; the others' key may be that of very many rows, and the class
     # side of this join has one row per key.
-    out = found.drop("bands").join(member, ["n_shingles", "d1", "d2"], "left")
+    out = found.drop("bands", "sketch").join(member, ["n_shingles", "d1", "d2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "row_hash", "n_shingles", F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(component).alias("component_id"))
     return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))

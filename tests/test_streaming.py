@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tonalert.operators.alerts import alerts_from_text
+from tonalert.operators.alerts import alerts_from_text, alerts_from_words
 from tonalert.streaming import streams as ST
 
 from conftest import SF_SMALL
@@ -33,6 +33,18 @@ def test_stream_alerts_equal_batch(spark, tmp_dir):
     assert spark.read.parquet(out).count() == len(batch)
 
 
+def test_untagged_stream_equals_batch(spark, tmp_dir):
+    kinds = {"the": "MISC", "de": "LOC", "der": "ORG"}
+    src = os.path.join(tmp_dir, "plain")
+    spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").repartition(3).write.parquet(src)
+    schema = T.StructType(ROWS_SCHEMA.fields[:2])
+    out, ckpt = os.path.join(tmp_dir, "plain-out"), os.path.join(tmp_dir, "plain-ckpt")
+    ST.run_available(alerts_from_words(ST.read_stream(spark, src, schema, max_files=1), kinds), out, ckpt)
+    streamed = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    batch = sorted(tuple(r) for r in alerts_from_words(spark.read.schema(schema).parquet(src), kinds).collect())
+    assert streamed == batch and any("No specific entities" not in r[3] for r in batch)
+
+
 EV_SCHEMA = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("label", T.StringType())])
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tonalert.functions import arrays as A
 from tonalert.functions import entities as E
-from tonalert.functions import text as T
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes

@@ -39,7 +39,7 @@ GRID = {
 }
 RULES = list(GRID)
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_TEMP = ["_t", "_w", "_lines", "_tri", "_at"]
+_TEMP = ["_t", "_w", "_lines", "_tri", "_at", "_n", "_n_lines", "_shouts", "_capitals", "_row"]
 
 
 def _chars(text: Column, chars: str) -> Column:
@@ -47,40 +47,44 @@ def _chars(text: Column, chars: str) -> Column:
     return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("bigint")
 
 
+def _fixed(df: DataFrame, keep: list, **cols: Column) -> DataFrame:
+    """``keep`` and new columns that are computed here, once per row: an explode of one element. A
+    filter above a plain projection would be pushed below it with the expressions written out again,
+    here inside lambdas, where an array would be sorted once per element."""
+    one = F.explode(F.array(F.struct(*[c.alias(name) for name, c in cols.items()]))).alias("_row")
+    return df.select(*keep, one).select(*keep, *[F.col(f"_row.{name}").alias(name) for name in cols])
+
+
 def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts of COUNTS and one real column ``f_<rule>`` per rule."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in COUNTS + _TEMP + ["n_lines"] + [f"f_{r}" for r in RULES]]
+    made = [*COUNTS, *_TEMP, *[f"f_{r}" for r in RULES]]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in made]
     t = F.col("_t")
     df = docs.select(*keep, text_or_empty(f"`{text}`").alias("_t"))
-    df = df.select(
-        *keep, t, F.regexp_extract_all(t, F.lit(WORD), F.lit(0)).alias("_w"),
-        F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD)).alias("_lines"))
+    df = _fixed(df, [*keep, t], _w=F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), _lines=F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD)))
     n = F.size("_w")
     tri = F.transform(
         F.sequence(F.lit(0), n - 3),
         lambda i: F.struct(F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).alias("h"), i.alias("p")))
-    df = df.select(*keep, t, "_w", "_lines", F.when(n >= 3, F.sort_array(tri)).alias("_tri"))
+    df = _fixed(df, [*keep, t, F.col("_lines")], _n=n, _tri=F.when(n >= 3, F.sort_array(tri)))
     # A window found twice has an equal neighbour once the windows are sorted by hash.
     s = F.col("_tri")
     twice = F.filter(s, lambda x, i: (x["h"] == F.get(s, i + 1)["h"]) | (x["h"] == F.get(s, i - 1)["h"]))
-    df = df.select(*keep, t, "_w", "_lines", F.sort_array(F.transform(twice, lambda x: x["p"])).alias("_at"))
+    df = _fixed(df, [*keep, t, F.col("_lines"), F.col("_n")], _at=F.sort_array(F.transform(twice, lambda x: x["p"])))
     start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n"))
     covered = F.aggregate("_at", start, lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")),
                           lambda a: a["n"])
-    df = df.select(
-        *keep, t, F.size("_w").cast("bigint").alias("n_words"),
-        F.char_length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("bigint").alias("word_chars"),
-        _chars(t, "#*$%&|<>").alias("n_symbols"),
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
-        _chars(t, "!").alias("_shouts"), _chars(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("_capitals"))
+    df = _fixed(
+        df, keep, n_words=F.col("_n").cast("bigint"), word_chars=F.char_length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("bigint"),
+        n_symbols=_chars(t, "#*$%&|<>"), n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
+        n_repeat_words=F.coalesce(covered, F.lit(0)).cast("bigint"), _n_lines=F.size("_lines").cast("bigint"),
+        _shouts=_chars(t, "!"), _capitals=_chars(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 
     def ratio(top, below):
         return F.col(top) / F.greatest(F.col(below), F.lit(1))
 
     return df.select(
-        *keep, *COUNTS, ratio("n_symbols", "n_words").alias("f_symbols"), ratio("n_dup_lines", "n_lines").alias("f_dup_lines"),
+        *keep, *COUNTS, ratio("n_symbols", "n_words").alias("f_symbols"), ratio("n_dup_lines", "_n_lines").alias("f_dup_lines"),
         ratio("n_repeat_words", "n_words").alias("f_repeats"), ratio("_shouts", "n_words").alias("f_shouts"),
         ratio("_capitals", "word_chars").alias("f_capitals"))
 

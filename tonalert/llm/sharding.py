@@ -97,7 +97,7 @@ def shards_by_bytes(docs: DataFrame, shards: int = SHARDS, min_ranges: int = MIN
     placed = rows.select("*", upto.alias("in_bytes"), (F.row_number().over(inside) - 1).alias("in_rows")).join(
         checked_broadcast(places, materialize=False), "range")
     middle = (F.col("bytes_before") + F.col("in_bytes")) * 2 + F.col("size")
-    shard = F.least(F.lit(shards - 1), F.expr("0")) if shards == 1 else F.floor(middle.cast("decimal(38,0)") * shards / (F.col("total") * 2)).cast("int")
+    shard = F.floor(middle.cast("decimal(38,0)") * shards / (F.col("total") * 2)).cast("int")
     placed = stored(placed.select("doc_id", "size", "text_crc32", F.least(F.lit(shards - 1), shard).alias("shard"),
                                   (F.col("rows_before") + F.col("in_rows")).alias("place")), "shard-placed")
     first = placed.groupBy("shard").agg(F.min("place").alias("first"))  # one row per shard

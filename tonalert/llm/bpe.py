@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from tonalert.llm.common import text_or_empty
 
 MAX_RANKS_BYTES = 16_000_000
-CACHE_ITEMS = 300_000
-PAIR_ITEMS = 2_000_000
+CACHE_ITEMS = 250_000
+PAIR_ITEMS = 500_000
 CACHED_CHARS = 48
 ROWS_OUT = 512
 _NONE = -1
@@ -52,8 +52,16 @@ class Vocabulary:
                 self.pairs[tuple(parts)] = r
             elif len(parts) == 1:
                 self.halves[r] = None  # a single byte
-        # Tokens that merges can reach; others stand only for a whole match.
-        self.reached = {t: r for t, r in ranks.items() if r in self.halves}
+        # Tokens that merges can reach; others stand only for a whole match. The automaton finds all
+        # of them that end at a byte, the longest first (bytes as Latin-1 text).
+        import ahocorasick
+
+        self._ends = ahocorasick.Automaton()
+        for t, r in ranks.items():
+            if r in self.halves:
+                self._ends.add_word(t.decode("latin-1"), (len(t), r))
+        self._ends.make_automaton()
+        self._count = len(self.tokens)
         self._fits: dict = {}
 
     def _parts(self, token: bytes, below: int) -> list:
@@ -69,11 +77,9 @@ class Vocabulary:
     def fits(self, left: int, right: int) -> bool:
         """May ``right`` follow ``left`` in an encoding? Both are taken apart at the seam, the later
         merge first; a merge across the seam that would have come before rules the pair out."""
-        known = self._fits.get((left, right))
-        if known is None:
-            if len(self._fits) >= PAIR_ITEMS:
-                self._fits.clear()
-            known = self._fits[left, right] = self._seam_holds(left, right)
+        if len(self._fits) >= PAIR_ITEMS:
+            self._fits.clear()
+        known = self._fits[left * self._count + right] = self._seam_holds(left, right)
         return known
 
     def _seam_holds(self, left: int, right: int) -> bool:
@@ -104,13 +110,22 @@ class Vocabulary:
 
     def extend(self, data: bytes, last: list, start: int, stop: int) -> None:
         """Fill ``last[i]`` (token that ends the prefix of i bytes) for start < i <= stop."""
-        known, fits, longest = self.reached.get, self.fits, self.longest
-        for i in range(start + 1, stop + 1):
-            for j in range(max(0, i - longest), i):
-                t = known(data[j:i])
-                if t is not None and (j == 0 or (last[j] != _NONE and fits(last[j], t))):
-                    last[i] = t
-                    break
+        last[start + 1:stop + 1] = [_NONE] * (stop - start)
+        known, count, done = self._fits.get, self._count, start
+        begin = max(0, start + 1 - self.longest)
+        for end, (size, t) in self._ends.iter(data[begin:stop].decode("latin-1")):
+            i = begin + end + 1
+            if i <= done:
+                continue
+            before = last[i - size] if i > size else _NONE
+            if i > size:
+                if before == _NONE:
+                    continue
+                ok = known(before * count + t)
+                if not (self.fits(before, t) if ok is None else ok):
+                    continue
+            last[i] = t
+            done = i
 
     def walk_back(self, last: list) -> list:
         out, i = [], len(last) - 1
@@ -174,15 +189,15 @@ def read_ranks(path: str) -> dict:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in raw.splitlines() if line)}
 
 
-_opened: dict = {}
-
+def _vocabulary(shipped, key: str):
+    """(vocabulary, cache of encoded matches), one per Python worker: the last one used. They hang
+    off ``sys``, which outlives a task; this module's globals travel with each task's function."""
+    import sys
 
-def _vocabulary(shipped, key: str) -> Vocabulary:
-    """One vocabulary per Python worker (the last one used)."""
-    if key not in _opened:
-        _opened.clear()
-        _opened[key] = Vocabulary(shipped.value)
-    return _opened[key]
+    opened = getattr(sys, "_tonalert_bpe", None)
+    if opened is None or opened[0] != key:
+        opened = sys._tonalert_bpe = (key, Vocabulary(shipped.value), {})
+    return opened[1:]
 
 
 class Tokenizer:
@@ -203,7 +218,7 @@ class Tokenizer:
             import pyarrow as pa
             import regex
 
-            voc, split, cache = _vocabulary(shipped, key), regex.compile(pattern).findall, {}
+            (voc, cache), split = _vocabulary(shipped, key), regex.compile(pattern).findall
 
             def pack(piece):
                 out = array("I", voc.encode(piece.encode())).tobytes()
@@ -232,7 +247,7 @@ class Tokenizer:
         def decoded(batches):
             import pyarrow as pa
 
-            voc = _vocabulary(shipped, key)
+            voc, _ = _vocabulary(shipped, key)
             for batch in batches:
                 for at in range(0, batch.num_rows, ROWS_OUT):
                     part = batch.slice(at, ROWS_OUT)

@@ -150,5 +150,5 @@ def m08_generate_alerts(spark, sf_dir):
 def e09_tag_tokens(spark, sf_dir):
     t = fx.tagged(spark, sf_dir)
     spans = t.select(F.explode(E.extract_entities("tokens", "ner_tags")).alias("e")).select("e.entity", "e.tag")
-    gaz = MD.gazetteer_from_spans(spans)
+    gaz = reliable_checkpoint(MD.gazetteer_from_spans(spans))  # computed once, then measured and joined
     return normalise(MD.tag_tokens(t.select("doc_id", "tokens"), gaz))

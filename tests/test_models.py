@@ -90,8 +90,9 @@ def test_generate_alerts_with_generator(spark):
 def test_tag_tokens_gazetteer(spark):
     gaz = spark.createDataFrame([("John", "PER"), ("Smith", "PER"), ("Paris", "LOC")], "tok string, kind string")
     df = spark.createDataFrame([(1, ["John", "Smith", "in", "Paris", "Paris"])], "doc_id long, tokens array<string>")
-    tags = [r["tag"] for r in MD.tag_tokens(df, gaz).orderBy("pos").collect()]
-    assert tags == ["B-PER", "I-PER", "O", "B-LOC", "I-LOC"]
+    for limit in (1 << 20, 0):  # looked up in place, and by the listed tokens only
+        tags = [r["tag"] for r in MD.tag_tokens(df, gaz, limit=limit).orderBy("pos").collect()]
+        assert tags == ["B-PER", "I-PER", "O", "B-LOC", "I-LOC"]
 
 
 def make_counting_loader(path):

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tonalert.constants import SCORING_BATCH
 from tonalert.functions import entities as E
 from tonalert.functions import labels as L
-from tonalert.operators.joins import checked_broadcast
+from tonalert.operators.joins import BROADCAST_LIMIT_BYTES, checked_broadcast, measured_bytes
 
 def _model(loader: Callable, key: str):
     """The loaded model of a Python worker process, the latest one only. The cache hangs off ``sys`` (present in every
@@ -185,8 +185,23 @@ def tag_rows(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: s
     return rows.withColumn(col, tags).drop("_hits")
 
 
-def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
-    """E9 exploded: ``(key, pos, tok, tag)``."""
-    z = F.arrays_zip(F.col(tokens).alias("tok"), F.col("_tags").alias("tag"))
-    tagged = tag_rows(df.select(key, tokens), gazetteer, key, tokens, "_tags")
-    return tagged.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.tag")
+def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens",
+               limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """E9 exploded: ``(key, pos, tok, tag)``. A gazetteer of at most ``limit`` measured bytes is
+    broadcast and looked up for each token and the one before it, where the tokens are; beyond that
+    only listed tokens leave their row (``tag_rows``)."""
+    g = gazetteer.select("tok", "kind")
+    if measured_bytes(g) > limit:
+        z = F.arrays_zip(F.col(tokens).alias("tok"), F.col("_tags").alias("tag"))
+        tagged = tag_rows(df.select(key, tokens), g, key, tokens, "_tags")
+        return tagged.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.tag")
+    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col(tokens)), 1, F.size(tokens))
+    z = F.arrays_zip(F.col(tokens).alias("tok"), before.alias("before"))
+    e = df.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.before")
+    own = F.broadcast(g.toDF("_tok", "_kind"))
+    e = e.join(own, F.col("tok") == F.col("_tok"), "left").drop("_tok")
+    e = e.join(own.toDF("_tok", "_kind_before"), F.col("before") == F.col("_tok"), "left")
+    tag = (F.when(F.col("_kind").isNull(), F.lit("O"))
+           .when(F.col("_kind_before") == F.col("_kind"), F.concat(F.lit("I-"), F.col("_kind")))
+           .otherwise(F.concat(F.lit("B-"), F.col("_kind"))))
+    return e.select(key, "pos", "tok", tag.alias("tag"))

@@ -20,6 +20,9 @@ from tonalert.llm.q_models import bpe_digests, tokenizer
 from tonalert.llm.superminhash import near_duplicates
 from tonalert.operators.joins import checked_broadcast
 
+# Stages call texts near copies from a Jaccard similarity of 0.8; 0.85 is the contract of query op1 alone.
+NEAR_PERCENT = 80
+
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` less the rows of ``rejected`` (doc_id, row_hash)."""
@@ -49,8 +52,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 3: of each group of near-duplicates the smallest doc_id stays."""
-    return _without(docs, near_duplicates(docs).where(~F.col("kept")))
+    """Stage 3: of each group of near-duplicates (NEAR_PERCENT of five-word shingles or more) the
+    smallest doc_id stays."""
+    return _without(docs, near_duplicates(docs, NEAR_PERCENT).where(~F.col("kept")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """The pipeline against its SQL (stages 1 to 4) and a tokenizer library (stage 5)."""
 
 import hashlib
+import random
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline as cp
@@ -67,3 +69,55 @@ def test_stages_take_nulls_and_no_rows(spark):
         kept = cp.quality_rules(spark, docs, SF).collect()
         assert [r["doc_id"] for r in kept] == [3, 3][: len(rows)]
         assert cp.byte_bpe(spark, docs, SF).count() == len(rows)
+
+
+def test_near_dedup_drops_copies_from_four_fifths(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows, similar = [], {}
+    for k in range(60):  # pairs of 0.76 to 0.87 by their changed tail
+        base = [word() for _ in range(204)]
+        cut = rng.randint(14, 26)
+        copy = base[:-cut] + [word() for _ in range(cut)]
+        a, b = ({tuple(t[i:i + 5]) for i in range(len(t) - 4)} for t in (base, copy))
+        similar[2 * k] = (100 * len(a & b), len(a | b))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    dropped = {k + 1 for k, (both, union) in similar.items() if both >= 80 * union}
+    assert any(80 * union <= both < 85 * union for both, union in similar.values())
+    assert any(both < 80 * union for both, union in similar.values())
+    kept = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), SF).collect()
+    assert {i for i, _ in rows} - {r["doc_id"] for r in kept} == dropped
+
+
+def test_near_links_at_the_lower_threshold():
+    """Bands and sketches let pairs at the threshold through (brute force over planted sets)."""
+    from tonalert.llm import superminhash as sm
+
+    rng = np.random.default_rng(4)
+    n_bands, n_rows, max_differ = sm.BANDING[80]
+    pairs, both, own = 2000, 160, 20  # 160 of 200 shared
+    pool = rng.integers(0, 1 << 63, (pairs, both + 2 * own), dtype=np.uint64)
+    sets = np.stack([pool[:, :both + own], np.concatenate([pool[:, :both], pool[:, both + own:]], axis=1)], axis=1)
+    first = np.arange(2 * pairs + 1) * (both + own)
+    sig = sm.signatures(sets.reshape(-1), first, n_bands * n_rows).reshape(pairs, 2, n_bands, n_rows)
+    same = sig[:, 0] == sig[:, 1]
+    assert same.all(axis=2).any(axis=1).sum() >= pairs - 1
+    bits = sm.mix(sig.reshape(pairs, 2, -1).view(np.uint64)) & np.uint64(3)
+    assert ((bits[:, 0] != bits[:, 1]).sum(axis=1) <= max_differ).all()
+
+
+@pytest.fixture(scope="module")
+def con_at_four_fifths():
+    """The SQL of the stages with the near-dedup stage's own threshold in place of op1's."""
+    with pytest.MonkeyPatch.context() as m:
+        near = sql.near_ctes
+        m.setattr(sql, "near_ctes", lambda source: near(source).replace("85", str(cp.NEAR_PERCENT)))
+        return stages_in_sql(SF)
+
+
+def test_stages_match_sql_at_four_fifths(spark, con_at_four_fifths):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for k, (name, stage) in enumerate(cp.STAGES[:-1], 1):
+        docs = cp.stored(stage(spark, docs, SF), f"test-{name}")
+        got = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+        assert got == sorted(con_at_four_fifths.execute(f"SELECT doc_id, text FROM s{k}").fetchall()), name

@@ -12,14 +12,16 @@ stops as soon as each place has a rank (early stopping); its later levels could
    bucket with many or long sets is cut into blocks, and each pair of blocks is a unit of work of bounded size,
    so no bucket has to fit in one task.
 4. A unit of work verifies its pairs with a union-find of its own: pairs in the first band that
-   they share, whose set sizes and sketches (two bits of each place) leave 0.85 possible, and which are not
-   connected yet, are compared on their full sets. Only links that connect something are returned, at most one
-   per member and unit, never all pairs. A pair of similarity 0.85 fails the sketch test
-   (more than MAX_DIFFER of 126 places) once in about 100,000 times.
+   they share, whose set sizes and sketches (two bits of each place) leave the threshold possible, and which are
+   not connected yet, are compared on their full sets. Only links that connect something are returned, at most
+   one per member and unit, never all pairs. A pair at the threshold fails the sketch test at most twice in
+   about 100,000 times.
 5. The links are grouped by union-find as DataFrame steps: hooking on the smallest neighbour and
    pointer jumping, each step a table in the shared folder.
 
-At a similarity of 0.85 a pair shares one of 21 bands of 6 rows with probability over 0.9999.
+The threshold is a whole percentage with banding in BANDING: 85, op1's contract, and 80, the pipeline
+stage's. A pair at 0.85 shares one of 21 bands of 6 rows, and a pair at 0.80 one of 25 bands of 5 rows,
+with probability over 0.9999.
 
 Edge cases: a NULL or wordless text has an empty set, links with nothing and is its own component.
 A NULL doc_id stands as its own component and is kept. Rows that repeat a doc_id count as one
@@ -37,11 +39,9 @@ from tonalert.llm.common import stored, text_or_empty
 from tonalert.operators.joins import checked_broadcast
 
 SHINGLE = 5
-BANDS, ROWS = 21, 6
-PLACES = BANDS * ROWS
-SKETCH = -(-PLACES // 32)  # 64-bit words of two bits per place
 PERCENT = 85
-MAX_DIFFER = 30
+BANDING = {85: (21, 6, 30), 80: (25, 5, 38)}  # bands, rows of a band, places of a sketch that may differ
+PLACES = BANDING[PERCENT][0] * BANDING[PERCENT][1]
 UNIT_SHINGLES = 1_000_000  # shingles of one block of a bucket (8 bytes each)
 BLOCK_BYTES = 2_000_000
 _CHUNK = 32_768  # elements whose permutations are held at a time
@@ -119,13 +119,16 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.mean(a == b))
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_hash, n_shingles, d1, d2 (digest of the set), bands array<bigint>, sketch array<bigint>."""
+    n_bands, n_rows, _ = BANDING[percent]
+    places = n_bands * n_rows
+    words = -(-places // 32)  # 64-bit words of two bits per place
 
     def measured(batches):
         import pyarrow as pa
 
-        weights = mix(np.arange(1, PLACES + 1, dtype=np.uint64))
+        weights = mix(np.arange(1, places + 1, dtype=np.uint64))
         for batch in batches:
             ids, column = batch.column("doc_id"), batch.column("text")
             for at, n, data, ends in text_blocks(column, BLOCK_BYTES):
@@ -133,13 +136,13 @@ def features(docs: DataFrame) -> DataFrame:
                 sizes = np.diff(first)
                 sums = [np.append(_U(0), np.cumsum(mix(hashes + _U(seed)))) for seed in (11, 29)]
                 d1, d2 = ((s[first[1:]] - s[first[:-1]]).astype(np.int64) for s in sums)
-                sig = signatures(hashes, first)
+                sig = signatures(hashes, first, places)
                 sig[np.isinf(sig)] = 0
                 bits = mix(sig.view(np.uint64) ^ weights)
-                bands = mix(bits.reshape(n, BANDS, ROWS).sum(axis=2, dtype=np.uint64)).view(np.int64)
-                two = np.zeros((n, SKETCH * 32), np.uint64)
-                two[:, :PLACES] = bits & _U(3)
-                sketch = (two.reshape(n, SKETCH, 32) << (2 * np.arange(32)).astype(np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
+                bands = mix(bits.reshape(n, n_bands, n_rows).sum(axis=2, dtype=np.uint64)).view(np.int64)
+                two = np.zeros((n, words * 32), np.uint64)
+                two[:, :places] = bits & _U(3)
+                sketch = (two.reshape(n, words, 32) << (2 * np.arange(32)).astype(np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
                 full = sizes > 0
 
                 def lists(values):
@@ -212,6 +215,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
     """Links that connect the members of a unit. ``own``: each member's block; within one block
     all pairs count, between two blocks only those across."""
     parent = list(range(len(ids)))
+    max_differ = BANDING[percent][2]
 
     def root(x):
         while parent[x] != x:
@@ -226,7 +230,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
         diff = sketches[x + 1:] ^ sketches[x]
         differ = np.bitwise_count((diff | (diff >> _U(1))) & odd).sum(axis=1)
         small, large = np.minimum(sizes[x + 1:], sizes[x]), np.maximum(sizes[x + 1:], sizes[x])
-        maybe = (differ <= MAX_DIFFER) & (100 * small >= percent * large) & ((bands[x + 1:] == bands[x]).argmax(axis=1) == band)
+        maybe = (differ <= max_differ) & (100 * small >= percent * large) & ((bands[x + 1:] == bands[x]).argmax(axis=1) == band)
         if not within:
             maybe &= own[x + 1:] != own[x]
         at = np.flatnonzero(maybe)
@@ -243,7 +247,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
 _UNIT = ["band", "key", "i", "j"]
 
 
-def _linked(batches):
+def _linked(batches, percent):
     """Streams the rows of units, which lie together, and returns the links of each unit."""
     import pyarrow as pa
 
@@ -253,7 +257,7 @@ def _linked(batches):
         rows.sort(key=lambda r: r[0])
         ids, own = [r[0] for r in rows], np.array([r[1] for r in rows])
         bands, sketches = np.array([r[2] for r in rows]), np.array([r[3] for r in rows]).view(np.uint64)
-        found = unit_links(unit[0], ids, own, bands, sketches, [r[4] for r in rows], unit[2] == unit[3])
+        found = unit_links(unit[0], ids, own, bands, sketches, [r[4] for r in rows], unit[2] == unit[3], percent)
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
     for batch in batches:
@@ -271,7 +275,7 @@ def _linked(batches):
         yield close()
 
 
-def class_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def class_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified links (a, b) between classes (id, n_shingles, bands, sketch): enough of them to
     connect all linked classes that share a band."""
     units = _units(classes)
@@ -279,16 +283,17 @@ def class_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     sets = full_sets(docs.join(wanted, "doc_id", "left_semi")).groupBy(F.col("doc_id").alias("id")).agg(F.max("shingles").alias("shingles"))
     sets = stored(sets.join(classes.select("id", "bands", "sketch"), "id"), "shingle-sets")  # one set per id, also where an id has several texts
     work = units.join(sets, "id").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
-    return stored(work.select(*_UNIT, "id", "own", "bands", "sketch", "shingles").mapInArrow(_linked, "a bigint, b bigint").distinct(), "verified")
+    return stored(work.select(*_UNIT, "id", "own", "bands", "sketch", "shingles").mapInArrow(lambda batches: _linked(batches, percent), "a bigint, b bigint").distinct(), "verified")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, row_hash, n_shingles, component_id, kept: one row per row of ``docs``."""
-    found = stored(features(docs), "minhash")
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, row_hash, n_shingles, component_id, kept: one row per row of ``docs``. Sets link at a
+    Jaccard similarity of ``percent`` hundredths or more."""
+    found = stored(features(docs, percent), "minhash")
     usable = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = usable.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("m"))
     classes = stored(classes.select("n_shingles", "d1", "d2", F.col("m.doc_id").alias("id"), "m.bands", "m.sketch"), "classes")
-    labels = components(class_links(classes, docs))
+    labels = components(class_links(classes, docs, percent))
     member = classes.join(labels, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component", "id").alias("id"))
     # Most classes have one document; the others' key may be that of very many rows, and the class
     # side of this join has one row per key.

@@ -114,6 +114,18 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == want
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rng = random.Random(6)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    copy = lambda t: " ".join([*t[:-2], "other", "end"])
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(10, " ".join(a)), (10, " ".join(b)), (20, copy(a)), (30, copy(b)), (5, " ".join(c)), (40, copy(c)), (40, " ".join(d))]
+    got = sm.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "text", "xxhash64(text) AS row_hash")
+    found = {(r["doc_id"], r["text"]): (r["component_id"], r["kept"]) for r in got.join(texts, ["doc_id", "row_hash"]).collect()}
+    assert [found[r] for r in rows] == [(10, True), (10, True), (10, False), (10, False), (5, True), (5, False), (40, True)]
+
+
 def test_near_duplicates_of_few_rows(spark):
     schema = "doc_id bigint, text string"
     assert sm.near_duplicates(spark.createDataFrame([], schema)).count() == 0

@@ -7,7 +7,7 @@ later level, so all elements of all documents of a block are handled level by le
 stops as soon as each place has a rank (early stopping); its later levels could change nothing.
 
 1. One pass over the texts: set size, a 128-bit digest of the set, band hashes of the signature.
-2. Documents with equal sets are one class, stood for by its smallest doc_id.
+2. Documents with equal sets are one class, stood for by its smallest (doc_id, row_hash).
 3. Classes that share a band hash are a bucket. Each member brings its full set to its buckets. A
    bucket with many or long sets is cut into blocks, and each pair of blocks is a unit of work of bounded size,
    so no bucket has to fit in one task.
@@ -24,8 +24,10 @@ stage's. A pair at 0.85 shares one of 21 bands of 6 rows, and a pair at 0.80 one
 with probability over 0.9999.
 
 Edge cases: a NULL or wordless text has an empty set, links with nothing and is its own component.
-A NULL doc_id stands as its own component and is kept. Rows that repeat a doc_id count as one
-document as far as components go, and each row is reported. Extra columns are ignored.
+A NULL doc_id stands as its own component and is kept. Rows that repeat a doc_id with another text
+are judged each by itself and a component is reported by its smallest doc_id, so all rows of a
+component with that id are kept. (The SQL knows classes by doc_id only and merges such rows: it
+holds where a doc_id has one text.) Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -119,6 +121,10 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.mean(a == b))
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row_hash"), "text")
+
+
 def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_hash, n_shingles, d1, d2 (digest of the set), bands array<bigint>, sketch array<bigint>."""
     n_bands, n_rows, _ = BANDING[percent]
@@ -154,12 +160,11 @@ def features(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                      lists(bands), lists(sketch)],
                     names=["doc_id", "row_hash", "n_shingles", "d1", "d2", "bands", "sketch"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row_hash"), "text")
-    return rows.mapInArrow(measured, "doc_id bigint, row_hash bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>")
+    return _rows(docs).mapInArrow(measured, "doc_id bigint, row_hash bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and its shingle hashes as array<bigint>."""
+def full_sets(rows: DataFrame) -> DataFrame:
+    """Of rows (doc_id, row_hash, text): doc_id, row_hash and the shingle hashes as array<bigint>."""
 
     def made(batches):
         import pyarrow as pa
@@ -168,10 +173,10 @@ def full_sets(docs: DataFrame) -> DataFrame:
             for at, n, data, ends in text_blocks(batch.column("text"), BLOCK_BYTES):
                 hashes, first = shingle_sets(data, ends)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, n), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                    names=["doc_id", "shingles"])
+                    [batch.column("doc_id").slice(at, n), batch.column("row_hash").slice(at, n), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))],
+                    names=["doc_id", "row_hash", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(made, "doc_id bigint, shingles array<bigint>")
+    return rows.mapInArrow(made, "doc_id bigint, row_hash bigint, shingles array<bigint>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -258,13 +263,14 @@ def _linked(batches, percent):
         ids, own = [r[0] for r in rows], np.array([r[1] for r in rows])
         bands, sketches = np.array([r[2] for r in rows]), np.array([r[3] for r in rows]).view(np.uint64)
         found = unit_links(unit[0], ids, own, bands, sketches, [r[4] for r in rows], unit[2] == unit[3], percent)
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+        ends = [pa.array([link[end][part] for link in found], pa.int64()) for end in (0, 1) for part in (0, 1)]
+        return pa.RecordBatch.from_arrays(ends, names=["a", "a_row", "b", "b_row"])
 
     for batch in batches:
         keys = list(zip(*[batch.column(c).to_pylist() for c in _UNIT]))
-        values = [batch.column(c) for c in ("id", "own", "bands", "sketch", "shingles")]
-        ids, own = values[0].to_pylist(), values[1].to_pylist()
-        arrays = [[x.values.to_numpy(zero_copy_only=False) for x in v] for v in values[2:]]
+        values = [batch.column(c) for c in ("doc_id", "row_hash", "own", "bands", "sketch", "shingles")]
+        ids, own = list(zip(values[0].to_pylist(), values[1].to_pylist())), values[2].to_pylist()
+        arrays = [[x.values.to_numpy(zero_copy_only=False) for x in v] for v in values[3:]]
         for k, key in enumerate(keys):
             if key != unit:
                 if len(rows) > 1:
@@ -277,13 +283,17 @@ def _linked(batches, percent):
 
 def class_links(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Verified links (a, b) between classes (id, n_shingles, bands, sketch): enough of them to
-    connect all linked classes that share a band."""
+    connect all linked classes that share a band. An id is a struct (doc_id, row_hash)."""
     units = _units(classes)
-    wanted = checked_broadcast(stored(units.select(F.col("id").alias("doc_id")).distinct(), "wanted"), materialize=False)
-    sets = full_sets(docs.join(wanted, "doc_id", "left_semi")).groupBy(F.col("doc_id").alias("id")).agg(F.max("shingles").alias("shingles"))
-    sets = stored(sets.join(classes.select("id", "bands", "sketch"), "id"), "shingle-sets")  # one set per id, also where an id has several texts
+    key = ["doc_id", "row_hash"]
+    wanted = checked_broadcast(stored(units.select("id.*").distinct(), "wanted"), materialize=False)
+    sets = full_sets(_rows(docs).join(wanted, key, "left_semi")).groupBy(F.struct(*key).alias("id")).agg(F.max("shingles").alias("shingles"))
+    sets = stored(sets.join(classes.select("id", "bands", "sketch"), "id"), "shingle-sets")  # one set per id, also where rows repeat
     work = units.join(sets, "id").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
-    return stored(work.select(*_UNIT, "id", "own", "bands", "sketch", "shingles").mapInArrow(lambda batches: _linked(batches, percent), "a bigint, b bigint").distinct(), "verified")
+    found = work.select(*_UNIT, "id.*", "own", "bands", "sketch", "shingles").mapInArrow(
+        lambda batches: _linked(batches, percent), "a bigint, a_row bigint, b bigint, b_row bigint").distinct()
+    ends = [F.struct(F.col(x).alias("doc_id"), F.col(f"{x}_row").alias("row_hash")).alias(x) for x in ("a", "b")]
+    return stored(found.select(*ends), "verified")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -291,10 +301,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Jaccard similarity of ``percent`` hundredths or more."""
     found = stored(features(docs, percent), "minhash")
     usable = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("m"))
-    classes = stored(classes.select("n_shingles", "d1", "d2", F.col("m.doc_id").alias("id"), "m.bands", "m.sketch"), "classes")
+    classes = usable.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "row_hash", "bands", "sketch")).alias("m"))
+    classes = stored(classes.select("n_shingles", "d1", "d2", F.struct("m.doc_id", "m.row_hash").alias("id"), "m.bands", "m.sketch"), "classes")
     labels = components(class_links(classes, docs, percent))
-    member = classes.join(labels, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component", "id").alias("id"))
+    member = classes.join(labels, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component", "id")["doc_id"].alias("id"))
     # Most classes have one document; the others' key may be that of very many rows, and the class
     # side of this join has one row per key.
     out = found.drop("bands", "sketch").join(member, ["n_shingles", "d1", "d2"], "left")

@@ -178,3 +178,16 @@ def test_plain_words_stay():
     model = insult_model()
     assert tx.tokens("The Other, (people) reading: noon 2024 été", tx._memo(model)) >= {"the", "other", "people", "reading", "noon", "2024", "été"}
     assert tx.restore("", model) == "" and len(tx.restore("a1" * 5000, model)) <= 10_000
+
+
+def test_restore_keeps_a_rare_beginning_until_the_end():
+    from tonalert.llm import toxicity as tx
+
+    # The other 24 readings of '**' as two vowels are likelier than 'uo' at first; only 'uo' goes on with 'ts'.
+    words = {a + b: 50 for a in "aeiou" for b in "aeiou" if a + b != "uo"} | {"uots": 1}
+    grams = Counter()
+    for w, n in words.items():
+        w = f"^^{w}^"
+        for i in range(len(w) - 2):
+            grams[w[i:i + 3]] += n
+    assert tx.restore("**ts", tx.CharModel(grams)) == "uots"

@@ -6,6 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tonalert.llm import sql
@@ -21,7 +22,7 @@ def stages_in_sql(sf):
                 "SELECT d.* FROM verdict v JOIN documents d USING (doc_id) WHERE kept")
     rows = "src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM {})"
     con.execute(f"CREATE TABLE s2 AS WITH {rows.format('s1')}, {sql.line_ctes('src')} SELECT doc_id, t AS text FROM shorter")
-    con.execute(f"CREATE TABLE s3 AS WITH RECURSIVE {rows.format('s2')}, {sql.near_ctes('src')} "
+    con.execute(f"CREATE TABLE s3 AS WITH RECURSIVE {rows.format('s2')}, {sql.near_ctes('src', cp.NEAR_PERCENT)} "
                 "SELECT s2.* FROM near JOIN s2 USING (doc_id) WHERE near.doc_id = component_id")
     con.execute(f"CREATE TABLE s4 AS WITH {rows.format('s3')}, {sql.hit_ctes('src')} SELECT s3.* FROM hits JOIN s3 USING (doc_id) WHERE n_hit = 0")
     return con
@@ -106,18 +107,14 @@ def test_near_links_at_the_lower_threshold():
     assert ((bits[:, 0] != bits[:, 1]).sum(axis=1) <= max_differ).all()
 
 
-@pytest.fixture(scope="module")
-def con_at_four_fifths():
-    """The SQL of the stages with the near-dedup stage's own threshold in place of op1's."""
-    with pytest.MonkeyPatch.context() as m:
-        near = sql.near_ctes
-        m.setattr(sql, "near_ctes", lambda source: near(source).replace("85", str(cp.NEAR_PERCENT)))
-        return stages_in_sql(SF)
-
-
-def test_stages_match_sql_at_four_fifths(spark, con_at_four_fifths):
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that stages and operators use themselves pass through with their own values."""
+    names = ["_id", "_row", "_lines", "_s", "_all", "row", "row_hash", "stratum", "n_words", "n_lines", "n_dropped", "kept", "f_symbols", "base_failed", "a.b"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for k, (name, stage) in enumerate(cp.STAGES[:-1], 1):
-        docs = cp.stored(stage(spark, docs, SF), f"test-{name}")
-        got = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-        assert got == sorted(con_at_four_fifths.execute(f"SELECT doc_id, text FROM s{k}").fetchall()), name
+    named = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in cp.STAGES[:-1]:
+        docs, named = cp.stored(stage(spark, docs, SF), f"test-{name}"), cp.stored(stage(spark, named, SF), f"test-{name}")
+        assert named.columns == [*docs.columns, *names], name
+        rows = named.collect()
+        assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted((r["doc_id"], r["text"]) for r in docs.collect()), name
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names), name

@@ -270,3 +270,17 @@ def test_warc_round_trip(spark, monkeypatch, least):
 def test_warc_without_rows(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.read_archives(warc.write_archives(pages)).count() == 0
+
+
+def test_words_across_runs(monkeypatch):
+    """Texts hashed a few bytes at a time: words, texts and empty texts on either side of a run's end."""
+    import tonalert.llm.bytewords as bw
+
+    monkeypatch.setattr(bw, "RUN_BYTES", 7)
+    rng = random.Random(2)
+    for _ in range(500):
+        texts = ["".join(rng.choice("aAb \n") for _ in range(rng.choice([0, 0, 1, 3, 6, 7, 8, 20, 40]))) for _ in range(rng.randint(0, 6))]
+        words = [SPACE_WORD.findall(lower(t)) for t in texts]
+        got = hash_words(texts, NOT_SPACE)
+        assert [len(h) for h in got] == [len(w) for w in words]
+        assert [int(h) for row in got for h in row] == [int(hash_words([w], NOT_SPACE)[0][0]) for row in words for w in row]

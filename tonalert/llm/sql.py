@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tonalert.llm import lm_score as lm
 from tonalert.llm import quality_rules as qr
+from tonalert.llm import superminhash as sm
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -84,8 +85,8 @@ def line_ctes(source: str) -> str:
     return f"""
 ln AS (SELECT rid, doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM {source}),
 keyed AS (SELECT *, {key} AS k FROM ln),
-often AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
-marked AS (SELECT rid, l.doc_id, line, i, o.k IS NOT NULL AND l.doc_id <> o.keeper AS dropped FROM keyed l LEFT JOIN often o USING (k)),
+often AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 3),
+marked AS (SELECT rid, l.doc_id, line, i, o.k IS NOT NULL AND l.doc_id IS DISTINCT FROM o.keeper AS dropped FROM keyed l LEFT JOIN often o USING (k)),
 shorter AS (SELECT rid, doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '') AS t FROM marked GROUP BY rid, doc_id)"""
 
@@ -115,9 +116,9 @@ BENCHMARK_SQL = f"""WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coa
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, n_hit > 0 AS contaminated FROM hits"""
 
 
-def near_ctes(source: str) -> str:
+def near_ctes(source: str, percent: int = sm.PERCENT) -> str:
     """CTEs up to ``near``: per row of ``source`` (rid, doc_id, t) its set size and component. All
-    pairs of different sets that share a shingle are compared."""
+    pairs of different sets that share a shingle are compared with ``percent``."""
     return f"""
 sw AS (SELECT rid, doc_id, list_filter(string_split_regex(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM {source}),
@@ -126,8 +127,8 @@ sets AS MATERIALIZED (SELECT rid, doc_id, list_sort(list_distinct(list_transform
 cls AS MATERIALIZED (SELECT min(doc_id) AS id, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
 sh AS MATERIALIZED (SELECT id, n, unnest(s) AS g FROM cls),
 pairs AS MATERIALIZED (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.id < b.id
-          WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY ALL),
-near_links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * k >= 85 * (na + nb - k) UNION SELECT b, a FROM pairs WHERE 100 * k >= 85 * (na + nb - k)),
+          WHERE 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY ALL),
+near_links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * k >= {percent} * (na + nb - k) UNION SELECT b, a FROM pairs WHERE 100 * k >= {percent} * (na + nb - k)),
 reach AS (SELECT id, id AS c FROM cls UNION SELECT r.id, l.b FROM reach r JOIN near_links l ON l.a = r.c),
 comp AS (SELECT id, min(c) AS c FROM reach GROUP BY id),
 near AS (SELECT rid, s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(comp.c, s.doc_id) AS component_id

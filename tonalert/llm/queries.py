@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tonalert.llm import q_models, q_native, q_search  # noqa: F401
+from tonalert.llm import q_audit, q_models, q_native, q_search  # noqa: F401
 from tonalert.llm.registry import ORACLES, QUERIES
 
 

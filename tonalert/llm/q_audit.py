@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from tonalert.llm import secret_scan
+from tonalert.llm import filter_audit, secret_scan
 from tonalert.llm.common import table
 from tonalert.llm.registry import register
+from tonalert.llm.sql import AUDIT_SQL
+
+
+@register("op11_filter_audit", AUDIT_SQL)
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @register("op13_secret_scan")

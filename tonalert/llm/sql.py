@@ -166,3 +166,26 @@ val AS (SELECT rid, u.c IS NOT NULL AS known, (coalesce(u.c, 0) + 0.5::DOUBLE) /
 SELECT doc_id, NOT train AS held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_known, any_value(n)::BIGINT AS train_tokens,
   round(sum(log10(p0)), 6) AS base_score, round(sum(log10((cb + {lm.MASS}::DOUBLE * p0) / (cs + {lm.MASS}::DOUBLE))), 6) AS score
 FROM val JOIN src USING (rid) CROSS JOIN tot GROUP BY rid, doc_id, train"""
+
+
+# Every document through every order: the first filter of the order that it fails removes it.
+AUDIT_SQL = """
+WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+cut AS (SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS eldest FROM src),
+failed AS (SELECT rid, doc_id, part,
+    CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > eldest THEN 'E' ELSE '' END AS fs FROM cut),
+lab AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+rows AS (SELECT part, fs, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM failed LEFT JOIN lab USING (doc_id)),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM f a, f b, f c, f d, f e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+walked AS (SELECT part, o, fs, good, toxic, coalesce(list_min(list_transform(string_split(nullif(fs, ''), ''), lambda x: instr(o, x))), 6) AS gone FROM rows, orders),
+steps AS (SELECT part, o, k, substr(o, k, 1) AS x,
+    count(*) FILTER (gone > k) AS kept, count(*) FILTER (gone = k) AS removed, count(*) FILTER (gone < k AND contains(fs, substr(o, k, 1))) AS redundant,
+    count(*) FILTER (fs = substr(o, k, 1)) AS unique_fails, count(*) FILTER (gone = k AND good = 1) AS good_lost,
+    count(*) FILTER (gone = k AND toxic = 1) AS toxic_lost
+  FROM walked, range(1, 6) r(k) GROUP BY ALL)
+SELECT part, o AS filter_order, k::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM steps"""

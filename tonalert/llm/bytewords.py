@@ -34,16 +34,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 _VALUES = mix((np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)))[_LOWER]
 _BASE = _U(0xD1342543DE82EF95)
 _BASE_INVERSE = _U(pow(0xD1342543DE82EF95, -1, 1 << 64))
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+RUN_BYTES = 1 << 18  # bytes whose words are hashed at a time: bounds the memory of a text of any length
 
 
-def _power(n: int):
-    if len(_powers["up"]) < n:
-        for k, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers["up"][:n], _powers["down"][:n]
+def _powers(base):
+    steps = np.full(RUN_BYTES, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+_UP, _DOWN = _powers(_BASE), _powers(_BASE_INVERSE)
 
 
 class Words:
@@ -58,29 +58,53 @@ class Words:
         return np.diff(self.first)
 
 
-def words_of(data: np.ndarray, ends: np.ndarray, word_bytes: np.ndarray) -> Words:
-    """``data``: the bytes of some texts in a row; ``ends``: where each text ends."""
+def word_runs(data: np.ndarray, ends: np.ndarray, word_bytes: np.ndarray):
+    """``data``: the bytes of some texts in a row; ``ends``: where each text ends. Yields (hashes,
+    texts) of the words in order, RUN_BYTES bytes at a time: their hashes and the texts they are in.
+    A word that lies across runs is carried on and comes with the run that ends it."""
     n = len(data)
-    starts_of_text = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-    if not n:
-        return Words(np.empty(0, np.uint64), np.zeros(len(ends) + 1, np.int64))
-    inside = word_bytes[data]
-    begin = inside.copy()
-    begin[1:] &= ~inside[:-1]
-    at = starts_of_text[starts_of_text < n]
-    begin[at] = inside[at]  # a text starts a new word
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
-    at = ends[ends > 0] - 1
-    last[at] = inside[at]
-    b, e = np.flatnonzero(begin), np.flatnonzero(last) + 1
-    up, down = _power(n)
-    total = np.cumsum(_VALUES[data] * up)
-    sums = total[e - 1]
-    sums[b > 0] -= total[b[b > 0] - 1]
-    hashes = mix(sums * down[b] + (e - b).astype(np.uint64))
-    first = np.searchsorted(b, np.concatenate((starts_of_text, [n])))
-    return Words(hashes, first.astype(np.int64))
+    starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+    carried = (0, 0, 0)  # polynomial, bytes and start of the word that the run before left open
+    is_open = False
+    for at in range(0, n, RUN_BYTES):
+        part = data[at:at + RUN_BYTES]
+        size = len(part)
+        inside = word_bytes[part]
+        cuts = starts[np.searchsorted(starts, at):np.searchsorted(starts, at + size)] - at  # texts that start here
+        begin = inside.copy()
+        begin[1:] &= ~inside[:-1]
+        begin[cuts] = inside[cuts]
+        last = inside.copy()
+        last[:-1] &= ~inside[1:]
+        last[cuts[cuts > 0] - 1] = inside[cuts[cuts > 0] - 1]
+        b, e = np.flatnonzero(begin), np.flatnonzero(last) + 1
+        total = np.cumsum(_VALUES[part] * _UP[:size])
+        sums = total[e - 1]
+        sums[b > 0] -= total[b[b > 0] - 1]
+        sums *= _DOWN[b]
+        lengths, b = (e - b).astype(np.uint64), b + at
+        if is_open:
+            value, length, begun = carried
+            sums[0] = _U((value + pow(int(_BASE), length, 1 << 64) * int(sums[0])) & 0xFFFFFFFFFFFFFFFF)
+            lengths[0] += _U(length)
+            b[0] = begun
+        after = at + size
+        is_open = after < n and bool(inside[-1] and word_bytes[data[after]]) and not (starts[np.searchsorted(starts, after):][:1] == after).any()
+        if is_open:
+            carried = (int(sums[-1]), int(lengths[-1]), int(b[-1]))
+            sums, lengths, b = sums[:-1], lengths[:-1], b[:-1]
+        if len(sums):
+            yield mix(sums + lengths), np.searchsorted(starts, b, side="right") - 1
+
+
+def words_of(data: np.ndarray, ends: np.ndarray, word_bytes: np.ndarray) -> Words:
+    """All words of the texts at once."""
+    runs = list(word_runs(data, ends, word_bytes))
+    counts = np.zeros(len(ends), np.int64)
+    for _, texts in runs:
+        counts[texts[0]:texts[-1] + 1] += np.bincount(texts - texts[0])
+    hashes = np.concatenate([h for h, _ in runs]) if runs else np.empty(0, np.uint64)
+    return Words(hashes, np.concatenate(([0], np.cumsum(counts))).astype(np.int64))
 
 
 def text_blocks(batch_column, max_bytes: int):

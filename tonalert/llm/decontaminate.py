@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonalert.llm.bytewords import ALNUM, hash_words, text_blocks, words_of
+from tonalert.llm.bytewords import ALNUM, hash_words, text_blocks, word_runs
 from tonalert.llm.common import stored, text_or_empty
 
 WINDOW = 10
@@ -45,20 +45,25 @@ def build_index(docs: DataFrame, terms: np.ndarray | None = None) -> DataFrame:
         for batch in batches:
             ids, rows, column = batch.column("doc_id"), batch.column("row_hash"), batch.column("text")
             for at, n, data, ends in text_blocks(column, SEGMENT_BYTES):
-                words = words_of(data, ends, ALNUM)
-                counts = words.counts()
-                gaps = GAP * np.arange(n)
-                hashes, position = words.hashes, np.arange(len(words.hashes)) + np.repeat(gaps, counts)
-                if terms is not None:
-                    known = listed(terms, hashes) >= 0
-                    hashes, position = hashes[known], position[known]
+                counts, n_words, parts = np.zeros(n, np.int64), 0, []
+                for hashes, texts in word_runs(data, ends, ALNUM):
+                    counts[texts[0]:texts[-1] + 1] += np.bincount(texts - texts[0])
+                    position = n_words + np.arange(len(hashes)) + GAP * texts
+                    n_words += len(hashes)
+                    if terms is not None:
+                        known = listed(terms, hashes) >= 0
+                        hashes, position = hashes[known], position[known]
+                    parts.append((hashes, position.astype("<i4")))
+                hashes = np.concatenate([h for h, _ in parts] or [np.empty(0, np.uint64)])
+                position = np.concatenate([p for _, p in parts] or [np.empty(0, "<i4")])
+                starts = np.concatenate(([0], np.cumsum(counts)[:-1])) + GAP * np.arange(n)
                 order = np.argsort(hashes, kind="stable")
                 hashes, position = hashes[order], position[order]
                 new = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.empty(0, np.int64)
                 own = ids.slice(at, n)
                 row = [own.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"), own.is_null().to_numpy(zero_copy_only=False),
-                       rows.slice(at, n).to_numpy(zero_copy_only=False).astype("<i8"), (words.first[:-1] + gaps).astype("<i8"),
-                       counts.astype("<i8"), hashes[new].astype("<u8"), np.append(new, len(hashes)).astype("<i8"), position.astype("<i4")]
+                       rows.slice(at, n).to_numpy(zero_copy_only=False).astype("<i8"), starts.astype("<i8"),
+                       counts.astype("<i8"), hashes[new].astype("<u8"), np.append(new, len(hashes)).astype("<i8"), position]
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], names=_FIELDS)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row_hash"), "text")
@@ -127,8 +132,9 @@ class Segment:
 
 
 def _opened(batch):
-    for row in batch.to_pylist():
-        yield Segment(row)
+    """The segments of a batch one after the other, read where they lie in Arrow's buffers."""
+    for k in range(batch.num_rows):
+        yield Segment({f: batch.column(f)[k].as_py() if f == "segment" else batch.column(f)[k].as_buffer() for f in batch.schema.names})
 
 
 def term_counts(index: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -140,9 +146,9 @@ def term_counts(index: DataFrame, terms: np.ndarray) -> np.ndarray:
 
         total = np.zeros(len(terms), np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
-                at = listed(terms, np.frombuffer(row["terms"], "<u8"))
-                total[at[at >= 0]] += np.diff(np.frombuffer(row["offsets"], "<i8"))[at >= 0]
+            for k in range(batch.num_rows):
+                at = listed(terms, np.frombuffer(batch.column("terms")[k].as_buffer(), "<u8"))
+                total[at[at >= 0]] += np.diff(np.frombuffer(batch.column("offsets")[k].as_buffer(), "<i8"))[at >= 0]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
@@ -182,8 +188,12 @@ def search(index: DataFrame, owners: dict) -> DataFrame:
     terms = np.array(sorted({w for words in owners for w in words}), np.uint64)
     rarity = dict(zip(terms.tolist(), term_counts(index, terms).tolist()))
     # A term that occurs nowhere ends its phrase here.
-    phrases = [(words, sorted(range(len(words)), key=lambda k: rarity[words[k]]), sorted(items))
-               for words, items in owners.items() if all(rarity[w] for w in words)]
+    phrases: dict = {}  # by the rarest term
+    for words, items in owners.items():
+        if all(rarity[w] for w in words):
+            order = sorted(range(len(words)), key=lambda k: rarity[words[k]])
+            phrases.setdefault(words[order[0]], []).append((words, order, sorted(items)))
+    rarest = np.array(sorted(phrases), np.uint64)
 
     def found(batches):
         import pyarrow as pa
@@ -193,7 +203,8 @@ def search(index: DataFrame, owners: dict) -> DataFrame:
                 n = len(s.doc_ids)
                 cover, items = [set() for _ in range(n)], [set() for _ in range(n)]
                 where = {t: i for i, t in enumerate(s.terms.tolist())}
-                for words, order, held_by in phrases:
+                here = s.terms[listed(rarest, s.terms) >= 0].tolist()
+                for words, order, held_by in (x for t in here for x in phrases[t]):
                     lists = [where.get(w, -1) for w in words]
                     if min(lists) < 0:
                         continue

@@ -12,7 +12,8 @@ as (word, bits of the kept lines); words not listed keep all their lines. No tex
 Keys are compared by two 64-bit hashes. A document is a doc_id; NULL is one more document, never
 the one that keeps a line unless it is the only one. Rows that repeat a doc_id with the same text
 get the same bitmap; with different texts each gets its own, and they count as one document. A NULL
-or empty text is one empty line, which has no key. Extra columns pass through ``drop_lines``.
+or empty text is one empty line, which has no key. Extra columns of any name pass through
+``drop_lines``, but ``n_lines`` and ``n_dropped``, which are replaced.
 """
 
 from __future__ import annotations
@@ -81,15 +82,14 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with ``text`` less its dropped lines, ``n_lines`` (before) and ``n_dropped``. The
     bitmaps are joined by (doc_id, hash of the text), broadcast only if measured small. A text that
     loses no line stays as it is (NULL becomes empty only where the caller asks for the text)."""
-    side = checked_broadcast(stored(bitmaps.select(
-        F.col("doc_id").alias("_id"), F.col("row_hash").alias("_row"), F.col("n_dropped").alias("_n"), F.col("words").alias("_words")),
-        "line-bitmaps"), materialize=False)
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "_hash", "_id", "_row", "_n", "_words")]
-    own = docs.select(*keep, F.xxhash64(text_or_empty()).alias("_hash"))
-    df = own.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row")), "left")
-    df = df.select(*keep, "_n", "_words", _lines(text_or_empty()).alias("_lines"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), dropped_positions(F.col("_words")))
-    shorter = F.array_join(F.transform(stay, lambda p: F.get("_lines", p)), "\n")
-    text = F.when(F.col("_n").isNull(), F.col("text")).otherwise(shorter)
-    return df.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", "_hash", "_id", "_row", "_n", "_words")],
-                     F.size("_lines").cast("bigint").alias("n_lines"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_dropped"))
+    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    row = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("_row")  # no name can clash in there
+    own = docs.select(row, "doc_id", "text", F.xxhash64(text_or_empty()).alias("row_hash"))
+    side = checked_broadcast(stored(bitmaps, "line-bitmaps"), materialize=False)
+    match = own["doc_id"].eqNullSafe(side["doc_id"]) & (own["row_hash"] == side["row_hash"])
+    df = own.join(side, match, "left").select("_row", "text", "n_dropped", "words", _lines(text_or_empty()).alias("lines"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), dropped_positions(F.col("words")))
+    shorter = F.array_join(F.transform(stay, lambda p: F.get("lines", p)), "\n")
+    text = F.when(F.col("n_dropped").isNull(), F.col("text")).otherwise(shorter)
+    return df.select(*[text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in names],
+                     F.size("lines").cast("bigint").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"))

@@ -12,8 +12,9 @@ A stratum without enough labelled rows certifies nothing and keeps what the base
 Edge cases: a NULL or wordless text has all counts 0 and fails the base rule (fewer than 50 words).
 A NULL or unseen stratum value is a stratum of its own ('') or without certified rules. Label rows
 that are NULL or without a document are ignored, repeated ones count once by their smallest label.
-Rows repeated in the input are judged each. Extra columns are kept by ``with_verdict`` unless they
-carry one of the feature names, which are replaced. An empty table gives an empty result.
+Rows repeated in the input are judged each. Extra columns of any name pass through, but those named
+like a result (a count, ``f_<rule>``, ``base_failed``, ``kept``) are replaced by it. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +40,6 @@ GRID = {
 }
 RULES = list(GRID)
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_TEMP = ["_t", "_w", "_lines", "_tri", "_at", "_n", "_n_lines", "_shouts", "_capitals", "_row"]
 
 
 def _chars(text: Column, chars: str) -> Column:
@@ -55,12 +55,15 @@ def _fixed(df: DataFrame, keep: list, **cols: Column) -> DataFrame:
     return df.select(*keep, one).select(*keep, *[F.col(f"_row.{name}").alias(name) for name in cols])
 
 
+def _packed(df: DataFrame, results: list):
+    """``df``'s columns as one struct, less those that a result replaces: no name can clash there."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in results]).alias("_all")
+
+
 def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts of COUNTS and one real column ``f_<rule>`` per rule."""
-    made = [*COUNTS, *_TEMP, *[f"f_{r}" for r in RULES]]
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in made]
-    t = F.col("_t")
-    df = docs.select(*keep, text_or_empty(f"`{text}`").alias("_t"))
+    keep, t = [F.col("_all")], F.col("_t")
+    df = docs.select(_packed(docs, [*COUNTS, *[f"f_{r}" for r in RULES]]), text_or_empty(f"`{text}`").alias("_t"))
     df = _fixed(df, [*keep, t], _w=F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), _lines=F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD)))
     n = F.size("_w")
     tri = F.transform(
@@ -84,7 +87,7 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.col(top) / F.greatest(F.col(below), F.lit(1))
 
     return df.select(
-        *keep, *COUNTS, ratio("n_symbols", "n_words").alias("f_symbols"), ratio("n_dup_lines", "_n_lines").alias("f_dup_lines"),
+        "_all.*", *COUNTS, ratio("n_symbols", "n_words").alias("f_symbols"), ratio("n_dup_lines", "_n_lines").alias("f_dup_lines"),
         ratio("n_repeat_words", "n_words").alias("f_repeats"), ratio("_shouts", "n_words").alias("f_shouts"),
         ratio("_capitals", "word_chars").alias("f_capitals"))
 
@@ -187,8 +190,8 @@ def thresholds(features: DataFrame, labels: DataFrame, stratum: str = "lang") ->
 def with_verdict(features: DataFrame, rules: DataFrame, stratum: str = "lang") -> DataFrame:
     """``features`` with ``base_failed`` and ``kept``. The rules (one row per stratum) are broadcast
     only if measured small."""
-    keep = [F.col(f"`{c}`") for c in features.columns if c not in ("base_failed", "kept", "_stratum", "_rules")]
-    side = checked_broadcast(rules.select(F.col("stratum").alias("_stratum"), F.col("rules").alias("_rules")), materialize=False)
-    df = features.select(*keep, base_failed().alias("base_failed"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_s"))
-    df = df.join(side, F.col("_s") == F.col("_stratum"), "left")
-    return df.select(*keep, "base_failed", (~F.col("base_failed") & (_first_rule(F.col("_rules")) == 0)).alias("kept"))
+    side = checked_broadcast(rules.select("stratum", F.col("rules").alias("_rules")), materialize=False)
+    df = features.select(_packed(features, ["base_failed", "kept"]), base_failed().alias("base_failed"),
+                         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), *[f"f_{r}" for r in RULES])
+    df = df.join(side, "stratum", "left")
+    return df.select("_all.*", "base_failed", (~F.col("base_failed") & (_first_rule(F.col("_rules")) == 0)).alias("kept"))

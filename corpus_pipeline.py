@@ -26,29 +26,36 @@ NEAR_PERCENT = 80
 
 def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` less the rows of ``rejected`` (doc_id, row_hash)."""
-    gone = rejected.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_row")).distinct()
-    side = checked_broadcast(stored(gone, "rejected"), materialize=False)
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_row"))
-    return docs.join(side, match, "left_anti")
+    side = checked_broadcast(stored(rejected.select("doc_id", "row_hash").distinct(), "rejected"), materialize=False)
+    own = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("row_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    match = own["doc_id"].eqNullSafe(side["doc_id"]) & (own["row_hash"] == side["row_hash"])
+    return own.join(side, match, "left_anti").select("row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Stage 1: documents that the certified rules reject go. The rules are fitted on the labelled
-    documents only; then all texts are judged in one pass without a shuffle."""
-    labels = table(spark, sf_dir, "labels")
-    known = checked_broadcast(labels.select("doc_id").distinct(), materialize=False)
-    rules = qr.thresholds(qr.with_features(docs.join(known, "doc_id", "left_semi")).drop("text"), labels)
-    return qr.with_verdict(qr.with_features(docs), rules).where("kept").select(*docs.columns)
+    """Stage 1: documents that the certified rules reject go. Texts are measured once, in one pass without
+    a shuffle; the rules are fitted on the labelled ones among them."""
+    rows = docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    features = stored(qr.with_features(rows).drop("text"), "quality-features")
+    rules = qr.thresholds(features, table(spark, sf_dir, "labels"))
+    return qr.with_verdict(features, rules).where("kept").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 2: lines that many documents share stay in one; ``n_chars`` follows the text. A
     document that loses all its lines stays, with an empty text."""
-    out = drop_lines(docs, keep_bitmaps(docs))
-    if "n_chars" in docs.columns:
-        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = drop_lines(rows, keep_bitmaps(docs))
+
+    def own(c):
+        if c == "text":
+            return F.col("text")
+        kept = F.col(f"row.`{c}`")
+        if c == "n_chars":
+            kept = F.when(F.col("n_dropped") > 0, F.char_length("text").cast(docs.schema[c].dataType)).otherwise(kept)
+        return kept.alias(c)
+
+    return out.select(*[own(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

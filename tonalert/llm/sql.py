@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tonalert.llm import conversation_trie as ct
 from tonalert.llm import lm_score as lm
 from tonalert.llm import quality_rules as qr
 from tonalert.llm import superminhash as sm
@@ -189,3 +190,25 @@ steps AS (SELECT part, o, k, substr(o, k, 1) AS x,
   FROM walked, range(1, 6) r(k) GROUP BY ALL)
 SELECT part, o AS filter_order, k::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM steps"""
+
+
+# A node is the list of its turns; a node's subtree is found through the smallest member's own prefixes.
+TRIE_SQL = f"""
+WITH src AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, role, t, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || t)) - 1 AS pos FROM src),
+conv AS (SELECT DISTINCT conv_id, conv_id - conv_id % {ct.SHARED} AS base, {crc32_sql("conv_id::VARCHAR")} % {ct.HEAD} AS h FROM src),
+parts AS (
+  SELECT c.conv_id, 0 AS side, pos, role, t FROM conv c JOIN own o ON o.conv_id = c.base AND o.pos < c.h
+  UNION ALL SELECT c.conv_id, 1, pos, role, t FROM conv c JOIN own o ON o.conv_id = c.conv_id AND o.pos >= c.h),
+whole AS (SELECT conv_id, list({{'r': role, 't': t}} ORDER BY side, pos) AS ts FROM parts GROUP BY conv_id),
+paths AS MATERIALIZED (SELECT conv_id, d, coalesce(ts[:d], []) AS p, d = coalesce(len(ts), 0) AS ends
+  FROM (SELECT conv_id, ts FROM conv LEFT JOIN whole USING (conv_id)), range(0, coalesce(len(ts), 0) + 1) u(d)),
+node AS MATERIALIZED (SELECT d, p, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+  FROM paths GROUP BY d, p),
+kids AS (SELECT d - 1 AS d, p[:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS MATERIALIZED (SELECT node.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(p[d].t) END AS w FROM node LEFT JOIN kids USING (d, p)),
+sub AS (SELECT a.d, a.p, count(*) FILTER (u.n_children = 0) AS n_leaves, sum(u.w)::BIGINT AS saved
+  FROM full_node u JOIN paths a ON a.conv_id = u.conv_id AND a.d <= u.d GROUP BY a.d, a.p)
+SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved AS saved_tokens, sha256(f.ids) AS ends_sha256
+FROM full_node f JOIN sub USING (d, p) LEFT JOIN node up ON up.d = f.d - 1 AND up.p = f.p[:f.d - 1]"""

@@ -44,3 +44,35 @@ def test_spread_only_when_too_few_partitions(spark):
     hashed = spread(one, 4, key="id")
     assert hashed.rdd.getNumPartitions() == 4
     assert sorted(r.id for r in hashed.collect()) == list(range(100))
+
+
+def test_measured_bytes_of_nested_types(spark):
+    """Texts inside arrays, structs and maps, and vectors, count with what they hold."""
+    from pyspark.ml.functions import array_to_vector
+
+    n, text = 50, F.repeat(F.lit("x"), 1000)
+    df = spark.range(n)
+    wide = {
+        "array<string>": F.array_repeat(text, 4), "struct": F.struct(text.alias("a"), F.struct(text.alias("b"), text.alias("c"), text.alias("d")).alias("s")),
+        "array<struct>": F.array_repeat(F.struct(text.alias("a"), F.col("id")), 4), "map": F.create_map(text, F.array(text, text, text)),
+        "array<array>": F.array_repeat(F.array_repeat(F.lit(1.0), 125), 4), "vector": array_to_vector(F.array_repeat(F.lit(1.0), 500)),
+    }
+    for name, c in wide.items():
+        assert 4000 * n <= J.measured_bytes(df.select(c.alias("c"))) <= 4400 * n, name
+    nothing = df.select(*[F.lit(None).cast(t).alias("c") for t in ("array<string>", "struct<a:string>", "map<string,int>", "string")])
+    assert J.measured_bytes(nothing) == 32 * n
+    assert J.measured_bytes(df.where("id < 0")) == 0
+
+
+def test_vectors_beyond_the_limit_are_not_broadcast(spark, monkeypatch):
+    from tonalert.operators import models as M
+
+    monkeypatch.setattr(M, "checked_broadcast", lambda df, **options: J.checked_broadcast(df, limit=100_000, **options))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vocab = spark.range(200).select(F.col("id").cast("string").alias("word"), F.array_repeat(F.lit(1.0), 100).alias("vector"))
+        docs = spark.createDataFrame([(1, ["1", "2", "x"])], "doc_id long, tokens array<string>")
+        means = M.doc_vectors(docs, vocab)
+        assert not _has_broadcast(means) and means.first()["n_known"] == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -115,7 +115,7 @@ def alert_pipeline(df: DataFrame, caps: DataFrame, gazetteer: DataFrame, on, key
     from tonalert.operators.models import tag_rows
 
     fused = fuse_caption(df, caps, on, text).select(key, F.col("fused").alias("_text"))
-    rows = tag_rows(fused.withColumn("_tokens", T.words("_text")), gazetteer, key, "_tokens", "_tags")
+    rows = tag_rows(fused.withColumn("_tokens", T.words("_text")), gazetteer, "_tokens", "_tags")
     return alerts_from_text(rows, key, "_text", "_tags", coded=False, salt=salt, tokens="_tokens")
 
 

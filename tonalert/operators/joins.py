@@ -6,6 +6,8 @@ join stays a shuffle join, where AQE (``spark.sql.adaptive.skewJoin.enabled``) s
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,26 +17,44 @@ from tonalert.session import reliable_checkpoint
 # Default limit for an explicit broadcast: well under executor memory, above typical dictionaries.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
+_FIXED = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
 
 
-def _width(field: T.StructField):
-    c = F.col(f"`{field.name}`")
-    dt = field.dataType
+def _is_fixed(dt: T.DataType) -> bool:
+    return not isinstance(dt, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.UserDefinedType, T.VariantType))
+
+
+def _bytes(c, dt: T.DataType):
+    """Bytes of a value: texts and binaries by length, arrays, maps and structs by what they hold, ML
+    vectors by their number of values. NULL counts as nothing."""
+    if _is_fixed(dt):
+        return F.lit(_FIXED.get(type(dt), 8)).cast("bigint")
     if isinstance(dt, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0))
-    if isinstance(dt, T.ArrayType):
-        inner = 4 if isinstance(dt.elementType, (T.IntegerType, T.FloatType)) else 8
-        return F.coalesce(F.size(c), F.lit(0)) * inner
-    return F.lit(8)
+        size = F.octet_length(c) + 16
+    elif isinstance(dt, T.ArrayType):
+        if _is_fixed(dt.elementType):
+            size = F.size(c) * _bytes(c, dt.elementType) + 16
+        else:
+            size = F.aggregate(c, F.lit(16).cast("bigint"), lambda a, x: a + _bytes(x, dt.elementType) + 8)
+    elif isinstance(dt, T.MapType):
+        size = _bytes(F.map_keys(c), T.ArrayType(dt.keyType)) + _bytes(F.map_values(c), T.ArrayType(dt.valueType))
+    elif isinstance(dt, T.StructType):
+        size = F.lit(8).cast("bigint")
+        for f in dt.fields:
+            size = size + _bytes(c.getField(f.name), f.dataType)
+    elif isinstance(dt, VectorUDT):
+        size = F.size(vector_to_array(c)) * 8 + 32
+    else:
+        size = F.octet_length(c.cast("string"))
+    return F.when(c.isNull(), F.lit(0)).otherwise(size).cast("bigint")
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Exact-enough in-memory size of ``df``: one aggregate job over the (small) side."""
-    widths = [_width(f) for f in df.schema.fields] or [F.lit(0)]
-    total = widths[0]
-    for w in widths[1:]:
-        total = total + w
-    row = df.select(F.sum(total + _ROW_OVERHEAD).alias("b")).first()
+    total = F.lit(_ROW_OVERHEAD).cast("bigint")
+    for k, f in enumerate(df.schema.fields):
+        total = total + _bytes(F.col(f"c{k}"), f.dataType)
+    row = df.toDF(*[f"c{k}" for k in range(len(df.columns))]).select(F.sum(total).alias("b")).first()
     return int(row["b"] or 0)
 
 

@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 from tonalert.constants import SCORING_BATCH
 from tonalert.functions import entities as E
 from tonalert.functions import labels as L
-from tonalert.operators.joins import BROADCAST_LIMIT_BYTES, checked_broadcast, measured_bytes
+from tonalert.operators.joins import checked_broadcast
+from tonalert.operators.taggers import TRIE_LIMIT_BYTES, Gazetteer
 
 def _model(loader: Callable, key: str):
     """The loaded model of a Python worker process, the latest one only. The cache hangs off ``sys`` (present in every
@@ -160,48 +161,20 @@ def gazetteer_from_spans(spans: DataFrame, entity: str = "entity", tag: str = "t
     return words.filter(F.col("tok") != "").groupBy("tok").agg(F.min("kind").alias("kind"))
 
 
-def tag_rows(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens", col: str = "tags") -> DataFrame:
-    """E9 in rows: ``df`` with ``col``, one tag name per token: a listed word opens a span (B-) unless
-    the word before it is listed with the same kind (I-); others are O.
-
-    Only listed tokens leave their row: they are joined (the gazetteer is broadcast when its measured
-    size allows), regrouped per row (a row's group is bounded by its tokens) and come back
-    by the unique ``key``; a NULL key has no listed word. Tags are written out from the gaps between
-    the listed tokens, without a look-up per token."""
-    g = checked_broadcast(gazetteer.select(F.col("tok").alias("_tok"), F.col("kind").alias("_kind")), materialize=False)
-    hits = df.select(key, F.posexplode(tokens).alias("_pos", "_tok")).join(g, "_tok")
-    hits = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "_kind"))).alias("_hits"))
-    rows = df.join(hits, key, "left")
-
-    def written(h, i):
-        before = F.get("_hits", i - 1)
-        follows = F.coalesce((before["_pos"] == h["_pos"] - 1) & (before["_kind"] == h["_kind"]), F.lit(False))
-        gap = h["_pos"] - F.coalesce(before["_pos"], F.lit(-1)) - 1
-        return F.concat(F.array_repeat(F.lit("O"), gap), F.array(F.concat(F.when(follows, F.lit("I-")).otherwise(F.lit("B-")), h["_kind"])))
-
-    last = F.coalesce(F.get("_hits", F.size("_hits") - 1)["_pos"], F.lit(-1))
-    rest = F.array_repeat(F.lit("O"), F.size(tokens) - last - 1)
-    tags = F.concat(F.coalesce(F.flatten(F.transform("_hits", written)), F.array().cast("array<string>")), rest)
-    return rows.withColumn(col, tags).drop("_hits")
-
-
-def tag_tokens(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", tokens: str = "tokens",
-               limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """E9 exploded: ``(key, pos, tok, tag)``. A gazetteer of at most ``limit`` measured bytes is
-    broadcast and looked up for each token and the one before it, where the tokens are; beyond that
-    only listed tokens leave their row (``tag_rows``)."""
-    g = gazetteer.select("tok", "kind")
-    if measured_bytes(g) > limit:
-        z = F.arrays_zip(F.col(tokens).alias("tok"), F.col("_tags").alias("tag"))
-        tagged = tag_rows(df.select(key, tokens), g, key, tokens, "_tags")
-        return tagged.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.tag")
-    before = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col(tokens)), 1, F.size(tokens))
-    z = F.arrays_zip(F.col(tokens).alias("tok"), before.alias("before"))
-    e = df.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.before")
-    own = F.broadcast(g.toDF("_tok", "_kind"))
-    e = e.join(own, F.col("tok") == F.col("_tok"), "left").drop("_tok")
-    e = e.join(own.toDF("_tok", "_kind_before"), F.col("before") == F.col("_tok"), "left")
-    tag = (F.when(F.col("_kind").isNull(), F.lit("O"))
-           .when(F.col("_kind_before") == F.col("_kind"), F.concat(F.lit("I-"), F.col("_kind")))
-           .otherwise(F.concat(F.lit("B-"), F.col("_kind"))))
-    return e.select(key, "pos", "tok", tag.alias("tag"))
+def phrases_from_spans(spans: DataFrame, entity: str = "entity", tag: str = "tag") -> DataFrame:
+    """A gazetteer of whole names ``(tok, kind)`` from decoded spans, one kind per name (the smallest on conflict)."""
+    return spans.groupBy(F.col(entity).alias("tok")).agg(F.min(tag).alias("kind"))
+
+
+def tag_rows(df: DataFrame, tagger, tokens: str = "tokens", col: str = "tags", limit: int = TRIE_LIMIT_BYTES) -> DataFrame:
+    """E9 in rows: ``df`` with ``col``, one tag name per token. ``tagger``: a gazetteer table (tok, kind), whose ``tok`` may
+    have several words, or anything with ``tag(df, tokens, col)`` (``taggers.Gazetteer``, ``taggers.Hmm``, a user's own)."""
+    own = Gazetteer(tagger, limit=limit) if isinstance(tagger, DataFrame) else tagger
+    return own.tag(df, tokens, col)
+
+
+def tag_tokens(df: DataFrame, tagger, key: str = "doc_id", tokens: str = "tokens", limit: int = TRIE_LIMIT_BYTES) -> DataFrame:
+    """E9 exploded: ``(key, pos, tok, tag)`` of every token, by ``tag_rows``; keys may repeat or be NULL."""
+    z = F.arrays_zip(F.col(tokens).alias("tok"), F.col("_tags").alias("tag"))
+    tagged = tag_rows(df.select(key, tokens), tagger, tokens, "_tags", limit)
+    return tagged.select(key, F.posexplode(z).alias("pos", "z")).select(key, "pos", "z.tok", "z.tag")

@@ -12,6 +12,7 @@ _MODULES = [
     "q_splits",
     "q_metrics",
     "q_models",
+    "q_taggers",
     "q_streams",
     "q_io",
 ]

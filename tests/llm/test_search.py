@@ -1,14 +1,17 @@
 """Operators 1, 2 and 6 against brute force, and their edge cases."""
 
 import base64
+import gzip
 import hashlib
 import io
+import os
 import random
 import re
 import zipfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tonalert.llm import decontaminate as dc
 from tonalert.llm import superminhash as sm
@@ -237,7 +240,9 @@ def test_zip_of_another_writer():
         z.comment = b"with a comment"
     f = io.BytesIO(raw.getvalue())
     members = warc.zip_members(f, len(raw.getvalue()))
-    assert list(members) == ["one"] and warc.read_range(f, *members["one"]) == b"stored"
+    assert members["two"] is None and warc.read_range(f, *members["one"]) == b"stored"
+    with pytest.raises(ValueError, match="compressed"):
+        warc.stored_member(members, "two")
 
 
 def plain_warc(rows, least=0):
@@ -267,6 +272,57 @@ def test_warc_round_trip(spark, monkeypatch, least):
         assert r["payload"] is None or (len(r["payload"]) == r["payload_bytes"] and warc.base32_sha1(bytes(r["payload"])) == r["payload_digest"])
 
 
+def package(folder, name, members):
+    path = f"{folder}/{name}.wacz"
+    with zipfile.ZipFile(path, "w") as z:
+        for member, body, packed in members:
+            z.writestr(member, body, zipfile.ZIP_DEFLATED if packed else zipfile.ZIP_STORED)
+    return path, os.path.getsize(path)
+
+
+def archive(ids):
+    """(bytes of an archive, (offset, length) of its records)."""
+    raw, places = b"", []
+    for i in ids:
+        record = gzip.compress(warc.record_bytes(i, f"http://x/{i}", f"page {i}".encode()))
+        places.append((len(raw), len(record)))
+        raw += record
+    return raw, places
+
+
+def test_packages_of_other_writers(spark, tmp_path, monkeypatch):
+    """Two archives in one package, an index each or one for both; what cannot be read is an error."""
+    monkeypatch.setattr(warc, "READ_RECORDS", 3)
+    one, two = archive(range(10)), archive(range(10, 15))
+
+    def line(file, place, full=False):
+        name = f"archive/{file}" if full else file
+        return f'com,x)/ 20240101000000 {{"url": "http://x", "filename": "{name}", "offset": "{place[0]}", "length": {place[1]}}}\n'.encode()
+
+    lines = [b"".join(line("a.warc.gz", p) for p in one[1]), b"".join(line("b.warc.gz", p, True) for p in two[1])]
+    data = [("archive/a.warc.gz", one[0], False), ("archive/b.warc.gz", two[0], False), ("datapackage.json", b"{}", True)]
+    good = [package(tmp_path, "apart", [*data, ("indexes/a.cdxj", lines[0], False), ("indexes/b.cdx", lines[1], False)]),
+            package(tmp_path, "both", [*data, ("indexes/index.cdxj", lines[0] + lines[1], False)])]
+    for path, size in good:
+        out = warc.read_archives(spark.createDataFrame([(path, size)], "path string, size bigint")).collect()
+        assert sorted((r["page_id"], bytes(r["payload"]).decode(), r["url"]) for r in out) == [(i, f"page {i}", f"http://x/{i}") for i in range(15)]
+    bad = [package(tmp_path, "lost", [*data, ("indexes/a.cdxj", lines[0], False)]),
+           package(tmp_path, "packed", [("archive/a.warc.gz", one[0], True), ("indexes/a.cdxj", lines[0], False)]),
+           package(tmp_path, "packed-index", [data[0], ("indexes/a.cdxj", lines[0], True)]),
+           package(tmp_path, "none", [("indexes/a.cdxj", lines[0], False)])]
+    for path, size in bad:
+        with pytest.raises(Exception, match="no index names|compressed|not in the package"):
+            warc.read_archives(spark.createDataFrame([(path, size)], "path string, size bigint")).collect()
+
+
+def test_records_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_RECORDS", 50)
+    pages = spark.range(1000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("string").alias("html"))
+    out = warc.read_archives(warc.write_archives(pages.coalesce(1)))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert out.rdd.getNumPartitions() == 20 and out.count() == 1000
+
+
 def test_warc_without_rows(spark):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.read_archives(warc.write_archives(pages)).count() == 0

@@ -1,11 +1,12 @@
 """Operator 2, WARC records in ZIP packages: writer, and a reader that never extracts.
 
-A package is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz`` (one gzip
-member per WARC record) and ``indexes/index.cdxj`` (one line per record: id, offset, length). The
-reader opens a package at its end, parses the end record, the ZIP64 locator and end record where they
-are needed, and the central directory; takes member offsets from the local headers; reads the
-index; and then range-reads single records. Records are dealt to tasks by ranges, so one large
-package is read by many tasks.
+A package is a ZIP file whose members are stored, not compressed: archives (``archive/*.warc.gz``, one gzip
+member per WARC record) and indexes (``indexes/*.cdxj`` or ``*.cdx``, a line per record: key, timestamp and a JSON
+object with filename, offset and length). The reader opens a package at its end, parses the end record, the ZIP64
+locator and end record where they are needed, and the central directory; takes member offsets from the local
+headers; cuts every index into slices of READ_RECORDS lines; and then range-reads the records of a slice. Slices are
+dealt to tasks by their number, so one large package is read by many tasks. What cannot be read is an error, never left out:
+a compressed archive or index, an archive that no index names, an index line whose archive is missing.
 
 Writing: the digest (SHA-1) and length of every payload are grouped, summed per task before the shuffle;
 the largest id of equal payloads of at least ``min_revisit_bytes`` is the response, the others are
@@ -36,7 +37,8 @@ from tonalert.operators.joins import checked_broadcast
 from tonalert.session import scratch_path
 
 ROLL_BYTES = 64_000_000
-READ_RECORDS = 2_000  # records per range of a reading task
+READ_RECORDS = 2_000  # records per slice that a task reads
+MOST_TASKS = 100_000  # beyond that a task reads several slices
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _EOCD, _EOCD64, _LOCATOR, _CENTRAL, _LOCAL = (b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04")
 _FULL = 0xFFFFFFFF
@@ -111,7 +113,7 @@ def read_range(f, start: int, length: int) -> bytes:
 
 
 def zip_members(f, size: int) -> dict:
-    """name -> (start of the stored bytes, length), by the central directory."""
+    """name -> (start of the stored bytes, length), by the central directory; None for a compressed member."""
     tail_at = max(0, size - 65_557)  # end record and the longest comment
     tail = read_range(f, tail_at, size - tail_at)
     end = tail.rfind(_EOCD)
@@ -140,7 +142,9 @@ def zip_members(f, size: int) -> dict:
                 plain = values.pop(0) if plain == _FULL else plain
                 packed = values.pop(0) if packed == _FULL else packed
                 start = values.pop(0) if start == _FULL else start
-        if method == 0:
+        if method:
+            out[name] = None
+        else:
             local = struct.unpack("<4sHHHHHIIIHH", read_range(f, start, 30))
             out[name] = (start + 30 + local[9] + local[10], packed)
     return out
@@ -222,7 +226,8 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
                 revisit = r["refers_to"] is not None
                 deflate = zlib.compressobj(1, zlib.DEFLATED, 31)
                 packed = deflate.compress(record_bytes(r["page_id"], r["url"], r["payload"], r["refers_to"], revisit)) + deflate.flush()
-                lines.append(json.dumps({"id": r["page_id"], "offset": pack.at - pack.data, "length": len(packed)}) + "\n")
+                at = {"filename": DATA.split("/")[1], "offset": pack.at - pack.data, "length": len(packed)}
+                lines.append(f"page:{r['page_id']} 19700101000000 {json.dumps(at)}\n")  # pages carry no time
                 pack.write(packed)
                 if pack.at >= ROLL_BYTES:
                     yield close()
@@ -233,11 +238,57 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     return stored(rows.mapInArrow(written, "path string, size bigint, records bigint, data_bytes bigint"), "warc-manifest")
 
 
+def stored_member(members: dict, name: str) -> tuple:
+    if members.get(name) is None:
+        raise ValueError(f"{name} is {'compressed in the package' if name in members else 'not in the package'}")
+    return members[name]
+
+
+def index_entries(lines: bytes):
+    """(archive member, offset, length) of each line of an index."""
+    for line in lines.splitlines():
+        if line.strip():
+            at = json.loads(line[line.index(b"{"):])
+            yield f"archive/{at['filename'].split('/')[-1]}", int(at["offset"]), int(at["length"])
+
+
+def index_slices(f, size: int):
+    """(start, bytes) of every run of READ_RECORDS lines of a package's indexes."""
+    members = zip_members(f, size)
+    indexes = [m for m in members if m.startswith("indexes/") and ".cdx" in m]
+    named = set()
+    for index in indexes:
+        start, length = stored_member(members, index)
+        lines = read_range(f, start, length).splitlines(keepends=True)
+        named |= {archive for archive, _, _ in index_entries(b"".join(lines))}
+        for i in range(0, len(lines), READ_RECORDS):
+            part = sum(map(len, lines[i:i + READ_RECORDS]))
+            yield start, part
+            start += part
+    missing = {m for m in members if m.startswith("archive/") and ".warc" in m} - named
+    if missing:
+        raise ValueError(f"no index names {sorted(missing)}")
+
+
 def read_archives(manifest: DataFrame) -> DataFrame:
-    """Every record of the packages of ``manifest`` (path, size, records): page_id, url, payload_bytes,
-    payload_digest, record_type, refers_to, payload (NULL in a revisit)."""
-    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("records") - 1, F.lit(0)), F.lit(READ_RECORDS).cast("bigint"))
-    ranges = manifest.where("records > 0").select("path", "size", F.explode(starts).alias("first")).repartition("path", "first")
+    """Every record of the packages of ``manifest`` (path, size): page_id, url, payload_bytes,
+    payload_digest, record_type, refers_to, payload (NULL in a revisit). Runs a job that lists the packages' indexes."""
+
+    def listed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, size in zip(batch.column("path").to_pylist(), batch.column("size").to_pylist()):
+                fs, local = open_fs(path)
+                with fs.open_input_file(local) as f:
+                    rows = [{"path": path, "size": size, "at": at, "bytes": n} for at, n in index_slices(f, size)]
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("size", pa.int64()), ("at", pa.int64()), ("bytes", pa.int64())]))
+
+    packages = manifest.select("path", F.col("size").cast("bigint").alias("size"))
+    packages = packages.repartition(max(1, min(manifest.count(), MOST_TASKS)), "path")
+    slices = stored(packages.mapInArrow(listed, "path string, size bigint, at bigint, bytes bigint"), "warc-slices")
+    # A number of its own: rows this small would otherwise be merged into one partition and read by one task.
+    ranges = slices.repartition(max(1, min(slices.count(), MOST_TASKS)), "path", "at")
 
     def read(batches):
         import pyarrow as pa
@@ -247,12 +298,10 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 fs, path = open_fs(r["path"])
                 with fs.open_input_file(path) as f:
                     members = zip_members(f, r["size"])
-                    index = read_range(f, *members[INDEX]).splitlines()
-                    data = members[DATA][0]
                     out = []
-                    for line in index[r["first"]:r["first"] + READ_RECORDS]:
-                        at = json.loads(line)
-                        x = parse_record(zlib.decompress(read_range(f, data + at["offset"], at["length"]), 31))
+                    for archive, offset, length in index_entries(read_range(f, r["at"], r["bytes"])):
+                        data = stored_member(members, archive)[0]
+                        x = parse_record(zlib.decompress(read_range(f, data + offset, length), 31))
                         out.append({"page_id": _page(x["warc-record-id"]), "url": x["warc-target-uri"], "payload_bytes": x["http-length"],
                                     "payload_digest": x["warc-payload-digest"].removeprefix("sha1:"), "record_type": x["warc-type"],
                                     "refers_to": _page(x["warc-refers-to"]) if "warc-refers-to" in x else None, "payload": x["payload"]})

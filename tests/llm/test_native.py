@@ -116,7 +116,10 @@ def test_line_dedup(spark):
     assert any(r[3] for r in got)
 
 
-def test_line_dedup_long_and_hot(spark):
+@pytest.mark.parametrize("share", [1000, 20, 1])
+def test_line_dedup_long_and_hot(spark, monkeypatch, share):
+    """Lines all broadcast, some, and all joined."""
+    monkeypatch.setattr(ld, "HOT_SHARE", share)
     lines = [f"this is the shared line number {k}" for k in range(300)]
     rows = [(i, "\n".join(lines + [f"own {i}"] + lines[:65])) for i in range(6)] + [(None, lines[0])]
     d = spark.createDataFrame(rows, "doc_id bigint, text string")

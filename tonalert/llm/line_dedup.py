@@ -29,6 +29,7 @@ from tonalert.operators.joins import checked_broadcast
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+HOT_SHARE = 1000
 
 
 def line_key(line: Column) -> Column:
@@ -52,7 +53,8 @@ def occurrences(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def occurrence_index(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The occurrences in range order, with ``first`` on the first one of each key in each
     document. The window needs no exchange of its own: the ranges keep (h1, h2, doc_id) together."""
-    ranged = occurrences(docs, min_chars).repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "pos")
+    # The texts are split once: the ranges are sampled from the stored occurrences.
+    ranged = stored(occurrences(docs, min_chars), "line-occurrences").repartitionByRange("h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "pos")
     stream = W.partitionBy("h1", "h2", "doc_id").orderBy("pos")
     return stored(ranged.withColumn("first", F.row_number().over(stream) == 1), "line-index")
 
@@ -61,8 +63,13 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     """(doc_id, row_hash, n_dropped, words array<struct<word, keep>>) of the documents that lose lines."""
     index = occurrence_index(docs, min_chars)
     counts = index.where("first").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
-    often = counts.where(F.col("n") >= min_docs).drop("n")
-    lost = index.drop("first").join(often, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    often = stored(counts.where(F.col("n") >= min_docs), "line-often")
+    # Keys of more than one in HOT_SHARE occurrences are at most HOT_SHARE: they are broadcast, so no task gets all lines of
+    # one. The others are joined by key.
+    share = F.lit(index.count()) < F.col("n") * HOT_SHARE
+    hot, rare = F.broadcast(often.where(share).drop("n")), often.where(~share).drop("n")
+    rest = index.join(hot.drop("keeper"), ["h1", "h2"], "left_anti").join(rare, ["h1", "h2"])
+    lost = index.join(hot, ["h1", "h2"]).unionByName(rest).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     bit = F.expr("shiftleft(1L, pos % 64)")
     words = lost.select("doc_id", "row_hash", (F.col("pos") / 64).cast("int").alias("word"), bit.alias("bit")).groupBy(
         "doc_id", "row_hash", "word").agg(F.bit_or("bit").alias("bits"))

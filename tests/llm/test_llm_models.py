@@ -174,6 +174,38 @@ def test_disguised_words_are_restored(disguised, plain):
     assert plain in tx.tokens(f"You, {disguised.upper()}! and others", tx._memo(model))
 
 
+@pytest.mark.parametrize("text", ["you are a s t u p i d person", "s,t,u,p,i,d", "s / t / u / p / i / d", "I s-t-u-p-i-d a", "st/up/id", "x s't'u'p'i'd"])
+def test_spaced_words_beside_words_of_one_letter(text):
+    assert "stupid" in tx.tokens(text, tx._memo(insult_model()))
+
+
+def test_disguise_is_told_in_linear_time():
+    import time
+
+    assert tx.disguised("a1b") and tx.disguised("$tupid") and tx.disguised("aaab") and tx.disguised("a.b") and tx.disguised("x" * 9000 + "1y")
+    assert not any(map(tx.disguised, ["", "abc", "123", "a1", "1a", "abc.", ".a", "é", "...a"]))
+    began = time.perf_counter()
+    for token in ("a" + "1" * 1_000_000, "1" * 1_000_000, "a" + "." * 1_000_000, "ab" * 500_000, "a1" * 300_000 + "é"):
+        tx.disguised(token)
+    assert time.perf_counter() - began < 5
+
+
+def test_sample_skips_unusable_rows_and_spreads_over_long_texts(spark):
+    from tonalert.llm.training import labelled_sample
+
+    long = " ".join(f"w{i}" for i in range(60_000))
+    docs = [(i, None if i % 3 else ("" if i % 2 else f"short {i}")) for i in range(300)] + [(500 + i, long + f" é{i}") for i in range(5)]
+    labels = [(i, 1) for i in range(300)] + [(500 + i, 0) for i in range(5)] + [(9000 + i, 0) for i in range(50)]
+    out = labelled_sample(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"), "toxic", F.lit(True), 20, 4096).collect()
+    assert sum(r["y"] for r in out) == 20 and len(out) == 25
+    for r in out:
+        assert r["text"] and len(r["text"].encode()) <= 4096
+        if not r["y"]:
+            words = r["text"].split()
+            places = [int(w[1:]) for w in words if w[0] == "w"]
+            assert set(words) <= {*long.split(), "é0", "é1", "é2", "é3", "é4"} and len({p // 6000 for p in places}) == 10
+
+
 def test_plain_words_stay():
     model = insult_model()
     assert tx.tokens("The Other, (people) reading: noon 2024 été", tx._memo(model)) >= {"the", "other", "people", "reading", "noon", "2024", "été"}

@@ -5,8 +5,8 @@ piece by piece (CHUNK bytes, all of it) with each; pieces are short, so that the
 not the text's own earlier parts explain it. The score is a logistic calibration of the normalised
 difference of the two compressed sizes, with the compressed size per byte beside it (texts that
 repeat themselves are short under both dictionaries). Dictionaries and calibration are
-fitted on different halves of a sample of at most SAMPLE_ROWS labelled rows per class with texts of at
-most SAMPLE_BYTES; everything is scored.
+fitted on different halves of a sample of at most SAMPLE_ROWS labelled rows per class, of long texts on
+pieces of SAMPLE_BYTES in all; whole texts are scored.
 
 Edge cases: NULL and empty texts have difference 0 and size 1 per byte and get the score of that;
 with labels of one class only (or none) every score is that class's share (0.5 without labels).

@@ -7,16 +7,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+PIECES = 16  # parts of a long text that a sample holds
+
+
+def spread_pieces(text: Column, max_bytes: int) -> Column:
+    """``text`` if it has at most ``max_bytes``, else PIECES whole-word pieces spread evenly over it, of as many bytes in all at most."""
+    piece = max_bytes // (4 * PIECES) - 1  # a code point has at most four bytes
+    step = (F.char_length(text) - piece) / (PIECES - 1)
+    cut = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.regexp_replace(F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(piece)), r"^\S*\s|\s\S*$", ""))
+    return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.array_join(cut, "\n"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, rows: int, max_bytes: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``rows`` labelled documents per class: those whose hashed ids
-    are smallest among the ``allowed`` (a condition on doc_id), with texts of at most ``max_bytes``.
-    Rows without an id, a text or a 0/1 label are left out; a doc_id counts once."""
+    """(doc_id, text, y) of at most ``rows`` labelled documents per class: of the ``allowed`` (a condition on doc_id) that
+    have a text, those whose hashed ids are smallest. Of a text of more than ``max_bytes`` pieces from all over it are
+    taken (``spread_pieces``). Rows without an id, a text or a 0/1 label are left out before any are chosen; a doc_id counts once."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & allowed)
     known = known.groupBy("doc_id").agg(F.max(label).alias("y")).withColumn("_order", F.xxhash64(F.lit(7), "doc_id"))
-    parts = [known.where(F.col("y") == y).orderBy("_order", "doc_id").limit(rows) for y in (0, 1)]
+    usable = docs.where("octet_length(text) > 0").select("doc_id").join(known, "doc_id").dropDuplicates(["doc_id"])
+    parts = [usable.where(F.col("y") == y).orderBy("_order", "doc_id").limit(rows) for y in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))  # at most 2 * rows ids
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").where(F.octet_length("text") <= max_bytes)
-    return sample.dropDuplicates(["doc_id"]).select("doc_id", "text", "y", "_order")
+    sample = docs.where("octet_length(text) > 0").select("doc_id", "text").join(chosen, "doc_id")
+    return sample.dropDuplicates(["doc_id"]).select("doc_id", spread_pieces(F.col("text"), max_bytes).alias("text"), "y", "_order")
 
 
 class Logistic:

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -130,3 +131,40 @@ def test_stem_columns_keeps_rows_and_order(spark):
     df = spark.createDataFrame(rows, "k long, a array<string>, b array<string>")
     got = {r["k"]: (list(r["a"]), list(r["b"])) for r in M.stem_columns(df, ["a", "b"], stem).collect()}
     assert got == {1: (["run", "dog", "the"], []), 2: ([], []), 3: (["cat"], ["cat", "run", "cat"])}
+
+
+def test_bootstrap_intervals_against_python(spark):
+    import hashlib
+
+    from tonalert.operators import metrics as M
+
+    rows = [(f"k{i}", "a" if i % 3 else None, (i * 37 % 101) / 100, (i * 11 % 7) / 7) for i in range(200)] + [(None, "z", 0.5, 0.25)]
+    df = spark.createDataFrame(rows, "id string, part string, r1 double, rl double")
+    got = {r["part"]: r.asDict() for r in M.bootstrap_intervals(df, "id", ["r1", "rl"], "part", replicates=30).collect()}
+
+    def weight(key, b):
+        u = int(hashlib.md5(f"{key or ''}:{(b - 1) // 4}".encode()).hexdigest()[(b - 1) % 4 * 8:][:8], 16)
+        return sum(u >= x for x in M.POISSON_STEPS)
+
+    for part in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == part]
+        for v, at in (("r1", 2), ("rl", 3)):
+            means = []
+            for b in range(1, 31):
+                w = [weight(r[0], b) for r in own]
+                if sum(w):
+                    means.append(sum(x * r[at] for x, r in zip(w, own)) / sum(w))
+            means.sort()
+            want = (means[max(math.ceil(len(means) * 0.025 - 1e-9), 1) - 1], sum(r[at] for r in own) / len(own), means[math.ceil(len(means) * 0.975 - 1e-9) - 1])
+            assert all(abs(a - b) < 1e-9 for a, b in zip((got[part][f"{v}_low"], got[part][f"{v}_mid"], got[part][f"{v}_high"]), want)), (part, v)
+        assert got[part]["n"] == len(own)
+    assert got["a"]["r1_low"] < got["a"]["r1_mid"] < got["a"]["r1_high"]
+    assert M.bootstrap_intervals(df.limit(0), "id", ["r1"], "part").count() == 0
+
+
+def test_poisson_numbers_have_mean_and_variance_one(spark):
+    from tonalert.operators import metrics as M
+
+    w = [x for r in spark.range(500).select(M.poisson_weights(F.col("id").cast("string"), 101).alias("w")).collect() for x in r["w"]]
+    mean = sum(w) / len(w)
+    assert len(w) == 500 * 101 and abs(mean - 1) < 0.02 and abs(sum((x - mean) ** 2 for x in w) / len(w) - 1) < 0.04

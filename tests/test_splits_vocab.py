@@ -107,3 +107,45 @@ def test_numbers_follow_the_order_over_partitions(spark):
     df = spark.range(5000).repartition(7)
     rows = V.number_rows(df.withColumn("o", -df["id"]), "o").collect()
     assert sorted((r["idx"], r["id"]) for r in rows) == [(i, 4999 - i) for i in range(5000)]
+
+
+def test_fitted_vectors_of_synonyms_lie_close(spark, tmp_path):
+    """Words that stand in the same places are nearest neighbours; the sums match a plain loop."""
+    import hashlib
+    import random
+    from collections import Counter
+
+    from tonalert.operators import vocab as V
+    from tonalert.sources import io as IO
+
+    rng = random.Random(2)
+    pairs = [("car", "auto"), ("big", "large"), ("ship", "boat")]
+    docs = []
+    for _ in range(400):
+        k = rng.randrange(3)
+        w = rng.choice(pairs[k])
+        docs.append([f"l{k}{rng.randrange(4)}", f"m{k}{rng.randrange(4)}", w, f"n{k}{rng.randrange(4)}", f"o{k}{rng.randrange(4)}", f"x{rng.randrange(40)}"])
+    docs += [[], None, ["alone"], [None, "car"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, tokens array<string>")
+    sums = Counter()
+    for t in docs:
+        for i, w in enumerate(t or []):
+            for j in range(max(0, i - 2), min(len(t), i + 3)):
+                if i != j and w is not None and t[j] is not None:
+                    h = hashlib.md5(t[j].encode()).hexdigest()
+                    sums[w, int(h[:8], 16) % 64] += 1 if int(h[8:16], 16) % 2 else -1
+    got = {(r["word"], r["dim"]): r["total"] for r in V.context_sums(df).collect()}
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in sums.items() if v}
+
+    path = str(tmp_path / "vectors")
+    calls = []
+    fit = lambda: calls.append(1) or V.fit_vectors(df)
+    rows = IO.read_vocab_or_fit(spark, path, fit).collect()
+    assert IO.read_vocab_or_fit(spark, path, fit).count() == len(rows) and calls == [1]  # the second call reads what the first wrote
+    (tmp_path / "vectors" / "_SUCCESS").unlink()
+    assert IO.read_vocab_or_fit(spark, path, fit).count() == len(rows) and calls == [1, 1]  # a write that did not end is made again
+    vec = {r["word"]: r["vector"] for r in rows}
+    assert "alone" not in vec and sorted(r["idx"] for r in rows) == list(range(len(rows))) and all(len(v) == 64 for v in vec.values())
+    for a, b in pairs:
+        near = max((w for w in vec if w != a), key=lambda w: sum(x * y for x, y in zip(vec[a], vec[w])))
+        assert near == b

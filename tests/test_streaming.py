@@ -94,3 +94,53 @@ def test_entity_sentiment_on_a_stream_equals_batch(spark, tmp_dir):
     streamed = sorted(tuple(r) for r in spark.table("r2_stream").collect())
     batch = sorted(tuple(r) for r in entity_sentiment(spark.read.parquet(src)).select(*cols).collect())
     assert streamed == batch and len(batch) > 0
+
+
+def test_metrics_of_a_stream_count_each_row_once(spark, tmp_dir):
+    """A batch that is run again after a failure between its write and its commit replaces itself."""
+    from tonalert.operators import metrics as M
+
+    schema = "step long, x double, y long"
+    rows = [(k % 3, (k % 7 - 3) / 2, 2 * (k % 2)) for k in range(60)] + [(None, 0.5, 2), (1, None, 0), (1, 0.25, None)]
+    src, log, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "log", "ckpt"))
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(src)
+    stream = lambda: ST.read_stream(spark, src, T._parse_datatype_string(schema), max_files=1)
+    ran = []
+
+    def failing(batch, number):
+        ST.metric_states(batch, "step", "x", "y").write.mode("overwrite").parquet(f"{log}/batch={number}")
+        ran.append(number)
+        if number == 2:
+            raise RuntimeError("lost after the write")
+
+    q = stream().writeStream.foreachBatch(failing).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    try:
+        q.awaitTermination()
+        raise AssertionError("the batch did not fail")
+    except Exception as e:
+        assert "lost after the write" in str(e)
+    ST.log_metrics_stream(stream(), log, ckpt, "step", "x", "y")
+    ST.log_metrics_stream(stream(), log, ckpt, "step", "x", "y")  # nothing new
+    assert ran == [0, 1, 2] and len([d for d in os.listdir(log) if d.startswith("batch=")]) == 5
+    got = {r["step"]: (r["n"], r["accuracy"], r["loss"]) for r in ST.metric_log(spark, log, "step").collect()}
+    want = {r["step"]: (r["n"], r["accuracy"], r["loss"]) for r in M.log_metrics(spark.read.schema(schema).parquet(src), "step", "x", "y").collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0] and all(abs(a - b) < 1e-12 for a, b in zip(got[k][1:], want[k][1:]))
+
+
+def test_bursts_of_a_stream_close_behind_the_watermark(spark, tmp_dir):
+    base = dt.datetime(2024, 1, 1)
+    minutes = [0, 5, 9, 60, 61, 200, 2000, 5000]
+    files = [[(base + dt.timedelta(minutes=m), "view") for m in part] for part in (minutes[:4], minutes[4:6], minutes[6:])]
+    src = os.path.join(tmp_dir, "bursts")
+    for k, part in enumerate(files):
+        spark.createDataFrame(part, EV_SCHEMA).coalesce(1).write.parquet(os.path.join(src, str(k)))
+    every = spark.read.schema(EV_SCHEMA).parquet(*[os.path.join(src, str(k)) for k in range(3)])
+    batch = sorted(tuple(r) for r in ST.bursts(every, gap="20 minutes").collect())
+    assert [(r[1], r[2], r[3]) for r in batch] == [(base + dt.timedelta(minutes=a), base + dt.timedelta(minutes=b), n) for a, b, n in
+                                                   ((0, 9, 3), (60, 61, 2), (200, 200, 1), (2000, 2000, 1), (5000, 5000, 1))]
+    stream = spark.readStream.schema(EV_SCHEMA).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    out, ckpt = os.path.join(tmp_dir, "bursts-out"), os.path.join(tmp_dir, "bursts-ckpt")
+    ST.run_available(ST.bursts(stream, gap="20 minutes", late="1 day"), out, ckpt)
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == batch[:-1]  # the last one is still open

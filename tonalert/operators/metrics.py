@@ -176,6 +176,55 @@ def evaluate_alerts(df: DataFrame, pred: str = "prediction", ref: str = "referen
     )
 
 
+# 2^32 times the probability that a Poisson(1) number is 0, at most 1, at most 2, ...
+POISSON_STEPS = [1580030169, 3160060338, 3950075422, 4213413784, 4279248374, 4292415292, 4294609778, 4294923276, 4294962463]
+_DRAWS = 4  # draws of 32 bits in an MD5
+
+
+def poisson_weights(key: Column, replicates: int) -> Column:
+    """``replicates`` Poisson(1) numbers of a row, array<int>, drawn from the MD5 of its key: the same on every run and engine."""
+    def numbers(k):
+        digest = F.md5(F.concat_ws(":", key, k.cast("string")).cast("binary"))
+        draws = [F.conv(F.substring(digest, 8 * d + 1, 8), 16, 10).cast("bigint") for d in range(_DRAWS)]
+        steps = F.array(*[F.lit(x) for x in POISSON_STEPS])
+        return F.array(*[F.size(F.filter(steps, lambda x: x <= u)) for u in draws])
+
+    blocks = F.sequence(F.lit(0), F.lit(-(-replicates // _DRAWS) - 1))
+    return F.slice(F.flatten(F.transform(blocks, numbers)), 1, replicates)
+
+
+def bootstrap_intervals(scores: DataFrame, key: str | list[str], values: list[str], split: str | None = None, replicates: int = 100,
+                        level: float = 0.95) -> DataFrame:
+    """Low, middle and high of the means of ``values`` by a Poisson bootstrap, per ``split``, and ``n``.
+
+    Every row draws how often it is in each replicate from its ``key``, so replicates are sums that add up over tasks
+    in any order: one pass, partial sums before the shuffle, one row per replicate and split after it. The low and high
+    end are the replicates at (1 - level) / 2 and (1 + level) / 2 by rank, the middle is the mean of all rows. A replicate
+    without rows is left out."""
+    keys, by = ([key] if isinstance(key, str) else list(key)), ([split] if split else [])
+    name = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    rows = scores.select(*by, *values, F.posexplode(F.concat(F.array(F.lit(1)), poisson_weights(name, replicates))).alias("_b", "_w"))  # number 0: the rows themselves
+    sums = rows.where("_w > 0").groupBy(*by, "_b").agg(F.sum("_w").alias("_n"), *[(F.sum(F.col("_w") * F.col(v)) / F.sum("_w")).alias(v) for v in values])
+    tail = (1 - level) / 2
+
+    def at(v, share):
+        means = F.sort_array(F.collect_list(F.when(F.col("_b") > 0, F.col(v))))  # at most ``replicates`` numbers
+        return F.element_at(means, F.greatest(F.ceil(F.size(means) * F.lit(share) - 1e-9), F.lit(1)).cast("int"))
+
+    own = lambda c: F.max(F.when(F.col("_b") == 0, F.col(c)))
+    return sums.groupBy(*by).agg(own("_n").alias("n"), *[c for v in values for c in (
+        at(v, tail).alias(f"{v}_low"), own(v).alias(f"{v}_mid"), at(v, 1 - tail).alias(f"{v}_high"))])
+
+
+def alert_intervals(df: DataFrame, key: str | list[str], pred: str = "prediction", ref: str = "reference", stem: Callable | None = None,
+                    split: str | None = None, replicates: int = 100) -> DataFrame:
+    """M9 with intervals: ROUGE-1 and ROUGE-L (x 100, two decimals) as low, middle and high per ``split``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    scores = rouge_scores(df, [*keys, *([split] if split else [])], pred, ref, stem)
+    out = bootstrap_intervals(scores, keys, ["rouge1", "rougeL"], split, replicates)
+    return out.select(*[c if c in ("n", split) else F.round(F.col(c) * 100 + 1e-9, 2).alias(c) for c in out.columns])
+
+
 STEM_CACHE = 200_000  # stems kept per Python worker
 
 

@@ -98,3 +98,30 @@ def longest_first(df: DataFrame, col: str = "ids", batch_col: str | None = None,
         return df.sortWithinPartitions(F.size(col).desc())
     order = [F.size(col).desc()] + ([F.col(key)] if key else [])
     return df.withColumn(place, F.row_number().over(Window.partitionBy(batch_col).orderBy(*order)))
+
+
+def context_sums(df: DataFrame, tokens: str = "tokens", dims: int = 64, reach: int = 2) -> DataFrame:
+    """(word, dim, total): the words around each word, projected at random. A neighbour within ``reach`` places adds one, with the
+    sign and at the place that the MD5 of its text gives. Pairs are counted first, so a frequent word is combined before
+    the shuffle, and no vocabulary leaves the tasks."""
+    offsets = [o for o in range(-reach, reach + 1) if o]
+    around = F.transform(tokens, lambda w, i: F.struct(w.alias("word"), F.filter(
+        F.array(*[F.when(i + o >= 0, F.get(tokens, i + o)) for o in offsets]), lambda c: c.isNotNull()).alias("near")))
+    near = df.select(F.explode(around).alias("a")).where("a.word IS NOT NULL").select("a.word", F.explode("a.near").alias("near"))
+    pairs = near.groupBy("word", "near").agg(F.count(F.lit(1)).alias("n"))
+    digest = F.md5(F.col("near").cast("binary"))
+    number = lambda at: F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint")
+    sign = F.when(number(9) % 2 == 1, F.col("n")).otherwise(-F.col("n"))
+    return pairs.groupBy("word", (number(1) % dims).cast("int").alias("dim")).agg(F.sum(sign).alias("total"))
+
+
+def fit_vectors(df: DataFrame, tokens: str = "tokens", dims: int = 64, reach: int = 2) -> DataFrame:
+    """S8 where no table is given: (word, idx, vector) of every word with a neighbour. ``vector``: its sums of contexts
+    (``context_sums``) at length 1; ``idx`` by frequency, then word. Words that stand in like places lie close together."""
+    sums = context_sums(df, tokens, dims, reach)
+    per = sums.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("dim", "total"))).alias("_m"),  # at most ``dims`` entries
+                                   F.sqrt(F.sum(F.col("total").cast("double") * F.col("total"))).alias("_length"))
+    each = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.coalesce(F.element_at("_m", d), F.lit(0)) / F.greatest("_length", F.lit(1e-9)))
+    counts = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    vectors = counts.join(per, "word").select("word", "cnt", each.alias("vector"))
+    return number_rows(vectors, F.col("cnt").desc(), F.col("word")).select("word", "idx", F.col("vector").cast("array<float>").alias("vector"))

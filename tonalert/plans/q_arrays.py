@@ -12,7 +12,8 @@ from tonalert.operators import vocab as V
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
-from tonalert.session import reliable_checkpoint
+from tonalert.session import reliable_checkpoint, scratch_path
+from tonalert.sources.io import read_vocab_or_fit
 
 BATCH = 64
 
@@ -233,3 +234,28 @@ def l07_longest_first(spark, sf_dir):
     b = batches(ids, "doc_id", BATCH, fx.SPLIT_SEED)
     out = V.longest_first(b, "ids", batch_col="batch", key="doc_id")
     return normalise(out.select("doc_id", "batch", F.size("ids").alias("length"), "place"))
+
+
+_NEAR = "('0x' || substr(md5(near), {}, 8))::BIGINT"
+
+
+@register(
+    "s08_fit_vectors",
+    with_ctes(q.tagged_docs_cte())
+    + ", pairs AS (SELECT a.tok AS word, b.tok AS near, count(*) AS n FROM tagged_docs a JOIN tagged_docs b ON a.doc_id = b.doc_id "
+    "AND b.pos BETWEEN a.pos - 2 AND a.pos + 2 AND a.pos <> b.pos GROUP BY ALL), "
+    f"sums AS (SELECT word, {_NEAR.format(1)} % 64 AS dim, sum(CASE WHEN {_NEAR.format(9)} % 2 = 1 THEN n ELSE -n END)::BIGINT AS total FROM pairs GROUP BY ALL), "
+    "counts AS (SELECT tok AS word, count(*) AS cnt FROM tagged_docs WHERE tok IN (SELECT word FROM sums) GROUP BY tok), "
+    "numbered AS (SELECT word, row_number() OVER (ORDER BY cnt DESC, word) - 1 AS idx FROM counts) "
+    "SELECT word, idx, count(*) AS n_dims, sum(total * total)::BIGINT AS squares, md5(string_agg(dim || ':' || total, ',' ORDER BY dim)) AS sums_md5 "
+    "FROM numbered JOIN sums USING (word) GROUP BY word, idx",
+)
+def s08_fit_vectors(spark, sf_dir):
+    """S8 without a prepared table: vectors fitted from all documents, written, read back; beside them the exact sums."""
+    docs = fx.tagged(spark, sf_dir).select("tokens")
+    known = read_vocab_or_fit(spark, scratch_path(spark, "vectors"), lambda: V.fit_vectors(docs)).select("word", "idx")
+    sums = V.context_sums(docs).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n_dims"), F.sum(F.col("total") * F.col("total")).alias("squares"),
+        F.sort_array(F.collect_list(F.struct("dim", "total"))).alias("s"))
+    line = F.array_join(F.transform("s", lambda x: F.concat_ws(":", x["dim"].cast("string"), x["total"].cast("string"))), ",")
+    return normalise(known.join(sums, "word").select("word", "idx", "n_dims", "squares", F.md5(line.cast("binary")).alias("sums_md5")))

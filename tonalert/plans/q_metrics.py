@@ -10,9 +10,12 @@ from tonalert.functions import labels as L
 from tonalert.operators import joins as J
 from tonalert.operators import metrics as M
 from tonalert.operators.alerts import fuse_caption
+from tonalert.operators.splits import split_exact
 from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
+from tonalert.session import scratch_path
+from tonalert.streaming import streams as ST
 
 _LG = with_ctes(q.logits_cte())
 _P = "(1.0 / (1.0 + exp(-x)))"
@@ -133,8 +136,14 @@ def _turns(spark, sf_dir):
         "conv_id", "turn", F.coalesce("text", F.lit("")).alias("prediction"), F.coalesce(following, F.lit("")).alias("reference"), split.alias("split"))
 
 
-@register("g08_rougeL", "WITH " + _TURNS + "SELECT conv_id, CAST(turn AS BIGINT) AS turn, round(rl, 6) AS rougeL FROM scores")
+@register("g08_rougeL")  # over whole documents: LCS in SQL is cubic there; its rows are held against Python, g08_rougeL_turns against SQL
 def g08_rougeL(spark, sf_dir):
+    r = M.rougeL(fx.alert_predictions(spark, sf_dir), "doc_id", "prediction", "reference")
+    return normalise(r.select("doc_id", F.round("rougeL", 6).alias("rougeL")))
+
+
+@register("g08_rougeL_turns", "WITH " + _TURNS + "SELECT conv_id, CAST(turn AS BIGINT) AS turn, round(rl, 6) AS rougeL FROM scores")
+def g08_rougeL_turns(spark, sf_dir):
     r = M.rouge_scores(_turns(spark, sf_dir), ["conv_id", "turn"], "prediction", "reference")
     return normalise(r.select("conv_id", F.col("turn").cast("bigint").alias("turn"), F.round("rougeL", 6).alias("rougeL")))
 
@@ -145,15 +154,44 @@ def g09_stem_rouge(spark, sf_dir):
     return normalise(r.select("doc_id", F.round("rouge1", 6).alias("rouge1"), F.round("rougeL", 6).alias("rougeL")))
 
 
+@register("m09_evaluate_alerts")  # over whole documents (see g08); m09_evaluate_turns has the SQL
+def m09_evaluate_alerts(spark, sf_dir):
+    """M9 over the alerts of whole documents, per split."""
+    rows = split_exact(fx.alert_predictions(spark, sf_dir), "doc_id", fx.TRAIN_FRACTION, fx.SPLIT_SEED)
+    return normalise(M.evaluate_alerts(rows, split="split"))
+
+
 @register(
-    "m09_evaluate_alerts",
+    "m09_evaluate_turns",
     "WITH " + _TURNS + "SELECT split, round(avg(r1) * 100 + 1e-9, 2) AS rouge1, round(avg(rl) * 100 + 1e-9, 2) AS rougeL, count(*) AS n FROM scores GROUP BY split",
 )
-def m09_evaluate_alerts(spark, sf_dir):
+def m09_evaluate_turns(spark, sf_dir):
     """M9 per split, without stems (SQL has no stemmer; g09 and the tests cover them)."""
     return normalise(M.evaluate_alerts(_turns(spark, sf_dir), split="split"))
 
 
+REPLICATES = 100
+_DRAWN = " + ".join(f"(u >= {x})::INT" for x in M.POISSON_STEPS)
+
+
+@register(
+    "m09_alert_intervals",
+    "WITH " + _TURNS + ", draws AS (SELECT split, r1, rl, b, ('0x' || substr(md5(conv_id::VARCHAR || '/' || turn::VARCHAR || ':' || ((b - 1) // 4)::VARCHAR), "
+    f"((b - 1) % 4) * 8 + 1, 8))::BIGINT AS u FROM scores, range(1, {REPLICATES + 1}) r(b)), "
+    f"weighted AS (SELECT split, b, r1, rl, {_DRAWN} AS w FROM draws), "
+    "means AS (SELECT split, b, sum(w * r1) / sum(w) AS m1, sum(w * rl) / sum(w) AS ml FROM weighted WHERE w > 0 GROUP BY split, b), "
+    "ranked AS (SELECT split, list_sort(list(m1)) AS l1, list_sort(list(ml)) AS ll FROM means GROUP BY split), "
+    "whole AS (SELECT split, count(*) AS n, avg(r1) AS m1, avg(rl) AS ml FROM scores GROUP BY split) "
+    "SELECT split, n, " + ", ".join(
+        f"round(100 * {l}[greatest(ceil(len({l}) * 0.025 - 1e-9), 1)::INT] + 1e-9, 2) AS {v}_low, round(100 * {m} + 1e-9, 2) AS {v}_mid, "
+        f"round(100 * {l}[greatest(ceil(len({l}) * 0.975 - 1e-9), 1)::INT] + 1e-9, 2) AS {v}_high" for l, m, v in (("l1", "m1", "rouge1"), ("ll", "ml", "rougeL")))
+    + " FROM ranked JOIN whole USING (split)",
+)
+def m09_alert_intervals(spark, sf_dir):
+    """M9 with bootstrap intervals per split."""
+    return normalise(M.alert_intervals(_turns(spark, sf_dir), ["conv_id", "turn"], split="split", replicates=REPLICATES))
+
+
 _STEPS = (
     f"m AS (SELECT doc_id % 10 AS step, {_acc_sql(_BIN, 'y')} AS accuracy, avg({_LOSS}) AS loss, count(*) AS n "
     "FROM logits GROUP BY doc_id % 10)"
@@ -254,3 +292,18 @@ def j07_join_captions(spark, sf_dir):
     c = fx.captions(spark, sf_dir)
     j = d.join(c, d["key"] == c["item_id"], "left")
     return normalise(j.select("doc_id", "item_id", "caption"))
+
+
+@register(
+    "g10_log_stream",
+    _LG + f", {_STEPS} SELECT step, round(accuracy, 6) AS accuracy, round(loss, 6) AS loss, n FROM m",
+)
+def g10_log_stream(spark, sf_dir):
+    """G10 written while rows stream in: the labelled rows as files, a few at a time, sums per micro-batch, one log."""
+    folder = scratch_path(spark, "metric-stream")
+    rows = fx.logits(spark, sf_dir).select(F.pmod("doc_id", F.lit(10)).alias("step"), "x", "y")
+    rows.repartition(4).write.parquet(f"{folder}/rows")
+    stream = ST.read_stream(spark, f"{folder}/rows", rows.schema, max_files=2)
+    ST.log_metrics_stream(stream, f"{folder}/log", f"{folder}/checkpoint", "step", "x", "y")
+    m = ST.metric_log(spark, f"{folder}/log", "step")
+    return normalise(m.select("step", F.round("accuracy", 6).alias("accuracy"), F.round("loss", 6).alias("loss"), "n"))

@@ -12,7 +12,7 @@ from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
 from tonalert.session import reliable_checkpoint
-from tonalert.streaming.streams import sentiment_windows, windows_flat
+from tonalert.streaming.streams import bursts, sentiment_windows, windows_flat
 
 
 def _stream_rows(spark, sf_dir):
@@ -69,6 +69,19 @@ def r03_sentiment_windows(spark, sf_dir):
     return normalise(windows_flat(sentiment_windows(ev, "ts", "label", "1 day")))
 
 
+@register(
+    "r03_bursts",
+    "WITH e AS (SELECT event_type AS label, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before FROM events WHERE ts IS NOT NULL), "
+    "runs AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 20 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY label ORDER BY ts "
+    "ROWS UNBOUNDED PRECEDING) AS run FROM e) "
+    "SELECT label, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last, count(*) AS n FROM runs GROUP BY label, run",
+)
+def r03_bursts(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events").select("ts", F.col("event_type").alias("label"))
+    b = bursts(ev, "ts", "label", "20 minutes")
+    return normalise(b.select("label", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("first", "last")], "n"))
+
+
 _KINDS = {"idiot": "PER", "the": "MISC", "der": "ORG", "de": "LOC", "la": "LOC"}
 _GAZETTEER = (
     "gaz AS (SELECT tok, min(kind) AS kind FROM (SELECT unnest(string_split(entity, ' ')) AS tok, tag AS kind FROM spans) "

@@ -122,6 +122,15 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return on_missing(lambda: spark.read.schema(VOCAB_SCHEMA).parquet(path), "error", "vocabulary")
 
 
+def read_vocab_or_fit(spark: SparkSession, path: str, fit: Callable[[], DataFrame]) -> DataFrame:
+    """The prepared table, or, where there is none, the table that ``fit`` makes (``vocab.fit_vectors``), written to
+    ``path`` for the next time. A folder that a failed write left without its marker is fitted again."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        fit().write.mode("overwrite").parquet(path)
+    return read_vocab(spark, path)
+
+
 def _csv_ready(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tonalert.functions import labels as L
 from tonalert.operators.alerts import alerts_from_text
+from tonalert.operators.metrics import bce_with_logits
 
 
 def stream_alerts(stream: DataFrame, key: str = "doc_id", text: str = "text", tags: str = "ner_tags",
@@ -32,6 +34,39 @@ def sentiment_windows(df: DataFrame, ts: str = "ts", label: str = "label", every
     return df.groupBy(F.window(ts, every).alias("w"), F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def bursts(df: DataFrame, ts: str = "ts", label: str = "label", gap: str = "1 hour", late: str | None = "1 day") -> DataFrame:
+    """R3 as bursts: per label, runs of rows with no pause of more than ``gap`` between them: (label, first, last, n). On a
+    stream rows later than ``late`` behind the newest event time are dropped and closed runs leave the state."""
+    if late is not None and df.isStreaming:
+        df = df.withWatermark(ts, late)
+    runs = df.where(F.col(ts).isNotNull()).groupBy(F.session_window(ts, gap).alias("s"), F.col(label).alias("label"))
+    return runs.agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("n")).select("label", "first", "last", "n")
+
+
+def metric_states(df: DataFrame, step: str, x: str, y: str) -> DataFrame:
+    """Per step the sums behind accuracy and loss (G1, G4): rows, hits, rows with a loss, losses. Sums of parts add up."""
+    right = F.when(L.class_binary(L.sigmoid(x)) == F.col(y), 1).otherwise(0)
+    loss = bce_with_logits(x, L.loss_label(y))
+    return df.groupBy(step).agg(F.count(F.lit(1)).alias("n"), F.sum(right).alias("right"), F.count(loss).alias("n_loss"), F.sum(loss).alias("loss"))
+
+
+def log_metrics_stream(stream: DataFrame, path: str, checkpoint: str, step: str, x: str, y: str) -> StreamingQuery:
+    """G10 as rows come in: each micro-batch writes its sums to a folder of its own number under ``path``. A batch that is
+    run again after a failure overwrites its own folder, so nothing counts twice. Runs what is available, then stops."""
+    def write(batch: DataFrame, number: int) -> None:
+        metric_states(batch, step, x, y).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
+def metric_log(spark: SparkSession, path: str, step: str) -> DataFrame:
+    """The log so far (step, accuracy, loss, n), as ``metrics.log_metrics`` gives it over all rows seen."""
+    s = spark.read.parquet(path).groupBy(step).agg(*[F.sum(c).alias(c) for c in ("n", "right", "n_loss", "loss")])
+    return s.select(step, (F.col("right") / F.col("n")).alias("accuracy"), (F.col("loss") / F.col("n_loss")).alias("loss"), "n")
+
+
 def windows_flat(df: DataFrame) -> DataFrame:
     """Window start as text (engine-neutral), label and count."""
     return df.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "label", "n")

@@ -78,23 +78,30 @@ def test_ranks_file_is_bounded(tmp_path, monkeypatch):
         bpe.read_ranks(str(tmp_path / "r"))
 
 
-def plain_scores(rows, mass):
+def plain_scores(rows):
+    """Token by token from plain counts, by the formulas."""
     low = {c: c + 32 for c in range(65, 91)}
     toks = [(WORD.findall((t or "").translate(low)) + [None], zlib.crc32(str("" if i is None else i).encode()) % 5 != 1) for i, t in rows]
-    uni, bi, starts = Counter(), Counter(), sum(train for _, train in toks)
+    uni, bi, tri, starts = Counter(), Counter(), Counter(), sum(train for _, train in toks)
     for w, train in toks:
         if train:
             uni.update(w)
             bi.update(zip(["<s>", *w], w))
+            tri.update(zip([("<s>",), *[(x,) for x in w]], w, w[1:]))
     n, v = sum(uni.values()), len(uni)
     out = []
     for (i, _), (w, train) in zip(rows, toks):
         base = model = 0.0
-        for a, b in zip([0, *w], w):
-            p0 = (uni[b] + 0.5) / (n + 0.5 * (v + 1))
-            before, pair = (starts, bi["<s>", b]) if a == 0 else (uni[a], bi[a, b])
-            base += math.log10(p0)
-            model += math.log10((pair + mass * p0) / (before + mass))
+        for k, x in enumerate(w):
+            p = (uni[x] + 0.5) / (n + 0.5 * (v + 1))
+            base += math.log10(p)
+            one = w[k - 1] if k else "<s>"
+            p = (bi[one, x] + lm.MASS * p) / ((uni[one] if k else starts) + lm.MASS)
+            if k:
+                two = w[k - 2] if k > 1 else "<s>"
+                if bi[two, one] >= lm.MIN_CONTEXT:
+                    p = (tri[(two,), one, x] + lm.MASS_TWO * p) / (bi[two, one] + lm.MASS_TWO)
+            model += math.log10(p)
         out.append((i, train, len(w), sum(uni[x] > 0 for x in w), n, round(base, 6), round(model, 6)))
     return sorted(out, key=repr)
 
@@ -106,10 +113,51 @@ def test_lm_scores_match_brute_force(spark, monkeypatch, block):
     rng = random.Random(4)
     rows = [(None, None), (1, ""), (2, " \n"), (3, "A a A"), (3, "A a A")]
     rows += [(i, " ".join(rng.choice(["the", "THE", "of", "é", "x1", f"w{rng.randint(0, 60)}"]) for _ in range(rng.randint(0, 90)))) for i in range(10, 60)]
-    rows += [(99, "long " * 5000)]
+    rows += [(99, "long " * 5000), (100, "the of the"), (102, "the of the end"), (103, "the of x1")]
     d = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, block int")
     got = lm.scored(d, doc_fold(5) != 1).collect()
-    assert sorted(((r["doc_id"], r["train"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=repr) == plain_scores(rows, lm.MASS)
+    assert sorted(((r["doc_id"], r["train"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=repr) == plain_scores(rows)
+
+
+def block_of(texts, train):
+    """A block and the totals of its own training texts."""
+    import numpy as np
+
+    raw = [t.encode() for t in texts]
+    hashes, first = lm.text_tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(r) for r in raw]).astype(np.int64))
+    vocabulary, token = np.unique(hashes, return_inverse=True)
+    row = {"doc_ids": lm.pack(np.arange(len(texts))), "id_null": lm.pack(np.zeros(len(texts), bool)), "train": lm.pack(np.array(train)),
+           "first": lm.pack(first), "vocabulary": lm.pack_sorted(vocabulary), "token": lm.pack(token.astype("u4"))}
+    b = lm.Block(row)
+    flags = b.training()
+    words, pairs = np.bincount(b.token[flags], minlength=len(vocabulary)), np.bincount(b.pair_of[flags], minlength=len(b.pair))
+    triple, _, ends, of = b.triples(pairs)
+    return b, words, pairs, np.bincount(of[flags[ends]], minlength=len(triple)), int(flags.sum())
+
+
+def test_failure_arcs_of_more_than_one_step_are_walked(monkeypatch):
+    """'a b' has a state; 'c' never follows it, nor 'b', so the way leads from 'a b' over 'b' to the state without memory."""
+    import numpy as np
+
+    texts = ["a b d"] * 5 + ["c e", "a b c"]
+    b, words, pairs, triples, tokens = block_of(texts, [True] * 6 + [False])
+    m = lm.Automaton(b, words, pairs, triples, tokens, int((words > 0).sum()), 6)
+    at = int(b.first[6]) + 2  # the token 'c' of the last text
+    assert b.vocabulary[b.token[at]] == b.vocabulary[b.token[b.first[5]]]
+    assert (m.arc[2][at], m.arc[1][at]) == (-1, -1) and m.arc[0][at] >= 0
+    state = m.target[m.arc[1][at - 1]]  # after 'a b'
+    chain = [int(state)]
+    while chain[-1]:
+        chain.append(int(m.fail[chain[-1]]))
+    assert [int(m.order[s]) for s in chain] == [2, 1, 0]
+    only = m.read()[6]
+    p0 = lambda c: (c + 0.5) / (tokens + 0.5 * (int((words > 0).sum()) + 1))
+    after_start = (5 + lm.MASS * p0(5)) / (6 + lm.MASS)
+    b_after_a = (5 + lm.MASS_TWO * (5 + lm.MASS * p0(5)) / (5 + lm.MASS)) / (5 + lm.MASS_TWO)  # '<start> a' has a state as well
+    c_after_ab = lm.MASS_TWO / (5 + lm.MASS_TWO) * lm.MASS / (5 + lm.MASS) * p0(1)
+    end_after_c = lm.MASS / (1 + lm.MASS) * p0(6)
+    assert only == pytest.approx(sum(map(math.log10, (after_start, b_after_a, c_after_ab, end_after_c))), abs=1e-9)
+    assert np.all(m.weight <= 1e-12) and np.all(m.fail_weight <= 0)
 
 
 def test_lm_without_rows_or_training(spark):

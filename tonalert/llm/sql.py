@@ -157,16 +157,22 @@ WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t
     {crc32_sql("coalesce(doc_id::VARCHAR, '')")} % 5 <> 1 AS train FROM documents),
 tk AS (SELECT rid, list_append(list_filter(string_split_regex(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''), ' end') AS ws FROM src),
-tok AS MATERIALIZED (SELECT rid, train, unnest(ws) AS w, unnest(list_prepend(' start', ws)[:len(ws)]) AS v FROM tk JOIN src USING (rid)),
+tok AS MATERIALIZED (SELECT rid, train, unnest(ws) AS w, unnest(list_prepend(' start', ws)[:len(ws)]) AS v,
+    unnest(list_prepend(NULL, list_prepend(' start', ws))[:len(ws)]) AS u FROM tk JOIN src USING (rid)),
 uni AS MATERIALIZED (SELECT w, count(*) AS c FROM tok WHERE train GROUP BY w),
 big AS MATERIALIZED (SELECT v, w, count(*) AS c FROM tok WHERE train GROUP BY v, w),
+tri AS MATERIALIZED (SELECT u, v, w, count(*) AS c FROM tok WHERE train AND u IS NOT NULL GROUP BY u, v, w),
 tot AS (SELECT sum(c)::DOUBLE AS n, count(*) AS k, (SELECT count(*) FROM src WHERE train) AS starts FROM uni),
-val AS (SELECT rid, u.c IS NOT NULL AS known, (coalesce(u.c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (k + 1)) AS p0,
-    coalesce(b.c, 0)::DOUBLE AS cb, CASE WHEN tok.v = ' start' THEN starts ELSE coalesce(s.c, 0) END::DOUBLE AS cs
-  FROM tok CROSS JOIN tot LEFT JOIN uni u ON u.w = tok.w LEFT JOIN uni s ON s.w = tok.v LEFT JOIN big b ON b.v = tok.v AND b.w = tok.w)
+val AS (SELECT rid, u1.c IS NOT NULL AS known, (coalesce(u1.c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (k + 1)) AS p0,
+    coalesce(b.c, 0)::DOUBLE AS cb, CASE WHEN tok.v = ' start' THEN starts ELSE coalesce(s.c, 0) END::DOUBLE AS cs,
+    coalesce(t.c, 0)::DOUBLE AS ct, coalesce(x.c, 0)::DOUBLE AS cx
+  FROM tok CROSS JOIN tot LEFT JOIN uni u1 ON u1.w = tok.w LEFT JOIN uni s ON s.w = tok.v LEFT JOIN big b ON b.v = tok.v AND b.w = tok.w
+  LEFT JOIN big x ON x.v = tok.u AND x.w = tok.v LEFT JOIN tri t ON t.u = tok.u AND t.v = tok.v AND t.w = tok.w),
+one AS (SELECT *, (cb + {lm.MASS}::DOUBLE * p0) / (cs + {lm.MASS}::DOUBLE) AS p1 FROM val),
+two AS (SELECT *, CASE WHEN cx >= {lm.MIN_CONTEXT} THEN (ct + {lm.MASS_TWO}::DOUBLE * p1) / (cx + {lm.MASS_TWO}::DOUBLE) ELSE p1 END AS p2 FROM one)
 SELECT doc_id, NOT train AS held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_known, any_value(n)::BIGINT AS train_tokens,
-  round(sum(log10(p0)), 6) AS base_score, round(sum(log10((cb + {lm.MASS}::DOUBLE * p0) / (cs + {lm.MASS}::DOUBLE))), 6) AS score
-FROM val JOIN src USING (rid) CROSS JOIN tot GROUP BY rid, doc_id, train"""
+  round(sum(log10(p0)), 6) AS base_score, round(sum(log10(p2)), 6) AS score
+FROM two JOIN src USING (rid) CROSS JOIN tot GROUP BY rid, doc_id, train"""
 
 
 # Every document through every order: the first filter of the order that it fails removes it.

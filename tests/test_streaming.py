@@ -144,3 +144,68 @@ def test_bursts_of_a_stream_close_behind_the_watermark(spark, tmp_dir):
     out, ckpt = os.path.join(tmp_dir, "bursts-out"), os.path.join(tmp_dir, "bursts-ckpt")
     ST.run_available(ST.bursts(stream, gap="20 minutes", late="1 day"), out, ckpt)
     assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == batch[:-1]  # the last one is still open
+
+
+MENTIONS = "ts timestamp, entity string, tag string, negative int"
+
+
+def test_shift_alerts_of_a_stream_equal_batch(spark, tmp_dir):
+    import random
+
+    rng = random.Random(4)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(hours=h, minutes=rng.randrange(60)), rng.choice("ab"), "PER", int(rng.random() < (0.8 if h // 24 % 3 == 0 else 0.1))) for h in range(24 * 12) for _ in range(2)]
+    rows += [(base + dt.timedelta(days=d), "gone", "LOC", 1) for d in (0, 0, 0, 0, 0, 1, 1, 1, 1, 1)] + [(base + dt.timedelta(hours=3), None, None, None)]
+    rows += [(base + dt.timedelta(days=40), "end", "PER", 0)]
+    rows.sort(key=lambda r: r[0])
+    src = os.path.join(tmp_dir, "mentions")
+    for k in range(0, len(rows), 50):  # in time order but for a shuffle within each file
+        part = rows[k:k + 50]
+        rng.shuffle(part)
+        spark.createDataFrame(part, MENTIONS).coalesce(1).write.parquet(os.path.join(src, f"{k:05d}"))
+    every = spark.read.schema(MENTIONS).parquet(os.path.join(src, "*"))
+    batch = sorted(map(tuple, ST.shift_alerts(every).select(*[c.split()[0] for c in ST.SHIFT_SCHEMA.split(", ")]).collect()), key=repr)
+    assert len(batch) > 5
+    out, ckpt = os.path.join(tmp_dir, "shift-out"), os.path.join(tmp_dir, "shift-ckpt")
+    for _ in range(2):  # the second run starts again from the checkpoint
+        stream = spark.readStream.schema(MENTIONS).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+        q = ST.run_available(ST.shift_alerts_stream(stream), out, ckpt)
+    got = sorted(map(tuple, spark.read.schema(ST.SHIFT_SCHEMA).parquet(out).collect()), key=repr)
+    assert got == batch
+
+
+def test_state_of_an_entity_is_bounded():
+    """Only open windows and the last closed one are kept, whatever the number of mentions; idle entities go."""
+    import pandas as pd
+
+    class State:
+        def __init__(self):
+            self.value, self.exists, self.hasTimedOut, self.watermark, self.removed, self.due = None, False, False, 0, False, None
+
+        get = property(lambda self: self.value)
+
+        def getCurrentWatermarkMs(self):
+            return self.watermark
+
+        def update(self, v):
+            self.value, self.exists = v, True
+
+        def remove(self):
+            self.value, self.exists, self.removed = None, False, True
+
+        def setTimeoutTimestamp(self, ms):
+            assert ms > self.watermark
+            self.due = ms
+
+    state, hour = State(), 3600
+    for k in range(500):
+        t = pd.Timestamp(k * hour, unit="s")
+        list(ST._close_windows(("a", "PER"), [pd.DataFrame({"ts": [t] * 20, "negative": [k % 2] * 20})], state, hour, 5, 0.3, 10))
+        state.watermark = max(0, (k - 3) * hour * 1000)
+        assert len(state.value[0]) <= 6 and len(state.value[3]) <= 3
+    for _ in range(20):
+        state.hasTimedOut, state.watermark = True, state.due
+        list(ST._close_windows(("a", "PER"), [], state, hour, 5, 0.3, 10))
+        if state.removed:
+            break
+    assert state.removed and not state.exists

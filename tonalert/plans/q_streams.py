@@ -12,7 +12,7 @@ from tonalert.plans import fixtures as fx
 from tonalert.plans import sqltext as q
 from tonalert.plans.registry import normalise, register, with_ctes
 from tonalert.session import reliable_checkpoint
-from tonalert.streaming.streams import bursts, sentiment_windows, windows_flat
+from tonalert.streaming.streams import bursts, shift_alerts, sentiment_windows, windows_flat
 
 
 def _stream_rows(spark, sf_dir):
@@ -69,6 +69,30 @@ def r03_sentiment_windows(spark, sf_dir):
     return normalise(windows_flat(sentiment_windows(ev, "ts", "label", "1 day")))
 
 
+# Mentions with a time: every entity of an alert is mentioned at an hour that follows from the document's number.
+_MENTION_HOURS = 13
+
+
+@register(
+    "r02_shift_alerts",
+    with_ctes(q.tagged_docs_cte(), q.doc_sentiment_cte(), q.entity_spans_cte(), q.clean_spans_cte())
+    + f", m AS (SELECT entity, tag, TIMESTAMP '2024-01-01 00:00:00' + to_hours((doc_id * {_MENTION_HOURS})::BIGINT % 480) AS ts, "
+    "(sentiment = 'negative')::INT AS negative FROM clean_spans JOIN doc_sentiment USING (doc_id)), "
+    "per AS (SELECT entity, tag, date_trunc('day', ts) AS w, count(*) AS mentions, sum(negative)::BIGINT AS negatives FROM m GROUP BY ALL), "
+    "pairs AS (SELECT *, lag(mentions) OVER o AS before_mentions, lag(negatives) OVER o AS before_negatives FROM per WINDOW o AS (PARTITION BY entity, tag ORDER BY w)) "
+    "SELECT entity, tag, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, mentions, negatives, before_mentions, before_negatives FROM pairs "
+    "WHERE mentions >= 2 AND before_mentions >= 2 AND abs(negatives / mentions - before_negatives / before_mentions) >= 0.3 - 1e-12",
+)
+def r02_shift_alerts(spark, sf_dir):
+    """R2's alerts in batch form: days in which the tone about an entity shifts."""
+    a = fx.tagged(spark, sf_dir, with_sentiment=True).select("doc_id", "sentiment", F.explode(E.clean_entities(E.extract_entities("tokens", "ner_tags"))).alias("e"))
+    hour = F.pmod(F.col("doc_id") * _MENTION_HOURS, F.lit(480)).cast("int")
+    m = a.select(F.make_dt_interval(hours=hour).alias("h"), "e.entity", "e.tag", (F.col("sentiment") == "negative").cast("int").alias("negative"))
+    m = m.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp") + F.col("h"))
+    s = shift_alerts(m, least=2)
+    return normalise(s.select("entity", "tag", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "mentions", "negatives", "before_mentions", "before_negatives"))
+
+
 @register(
     "r03_bursts",
     "WITH e AS (SELECT event_type AS label, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before FROM events WHERE ts IS NOT NULL), "

@@ -2,6 +2,7 @@ import os
 import struct
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,3 +136,29 @@ def test_scorers_keep_rows_without_a_reference(spark):
     ref = spark.createDataFrame([(1, "positive")], "doc_id long, sentiment string")
     got = {r["doc_id"]: r["agree"] for r in MD.compare_scorers(scored, ref).collect()}
     assert got == {1: 1, 2: None}
+
+
+def test_poison_rows_cost_a_few_calls_each():
+    calls = []
+
+    def model(values):
+        calls.append(len(values))
+        if any(v % 100 == 7 for v in values):
+            raise KeyError(7)
+        return [(v + 1,) for v in values]
+
+    out = MD._scored_rows(model, list(range(1024)))
+    assert [r for r, e in out if e is None] == [(v + 1,) for v in range(1024) if v % 100 != 7]
+    assert [i for i, (r, e) in enumerate(out) if e] == [v for v in range(1024) if v % 100 == 7] and out[7] == (None, "KeyError: 7")
+    assert len(calls) <= 1 + 2 * 10 * 11  # two calls for each halving, ten halvings for each of eleven rows
+    assert MD._scored_rows(lambda v: [(0,)], [1, 2]) == [(( 0,), None)] * 2 and MD._scored_rows(model, []) == []
+
+
+def test_failing_rows_end_the_job_only_without_an_error_column(spark):
+    df = spark.createDataFrame([(1, "ok"), (2, None), (3, "fine")], "id long, t string")
+    fields = [T.StructField("n", T.LongType()), T.StructField("s", T.StringType())]
+    loader = lambda: lambda xs: [(len(x), x.upper()) for x in xs]
+    rows = {r["id"]: (r["n"], r["s"], r["why"]) for r in MD.score_batches(df, loader, "t", fields, error="why").collect()}
+    assert rows[1] == (2, "OK", None) and rows[3] == (4, "FINE", None) and rows[2][:2] == (None, None) and "NoneType" in rows[2][2]
+    with pytest.raises(Exception, match="NoneType"):
+        MD.score_batches(df, loader, "t", fields).collect()

@@ -40,18 +40,36 @@ def _model(loader: Callable, key: str):
     return cache[1]
 
 
+def _scored_rows(model: Callable, values: list) -> list:
+    """(result, error) of each value. A list that fails is halved until single values remain: one that fails alone costs
+    two calls for each halving, and does no harm to the others."""
+    try:
+        out = list(model(values))
+        if len(out) != len(values):
+            raise ValueError(f"{len(out)} results for {len(values)} rows")
+        return [(r, None) for r in out]
+    except Exception as e:  # whatever a user's model raises
+        if len(values) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+        half = len(values) // 2
+        return _scored_rows(model, values[:half]) + _scored_rows(model, values[half:])
+
+
 def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], col: str,
                   out_fields: list[T.StructField], batch: int = SCORING_BATCH,
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, error: str | None = None) -> DataFrame:
     """Distributed batch inference.
 
     ``loader()`` returns ``model(values: list) -> list`` of tuples (one per value, matching
     ``out_fields``); it runs once per Python worker, and the model sees ``batch`` rows at a time.
     ``keep``: columns that go through Python and come back beside the result (all by default).
+    ``error``: name of a column for the error of a row that the model fails on; its results are NULL and the job goes
+    on. Without it a failing row ends the job.
     """
     df = df if keep is None else df.select(*dict.fromkeys([*keep, col]))
-    schema = T.StructType(df.schema.fields + out_fields)
-    names = [f.name for f in out_fields]
+    fields = out_fields + ([T.StructField(error, T.StringType())] if error else [])
+    schema = T.StructType(df.schema.fields + fields)
+    names = [f.name for f in fields]
     key = uuid.uuid4().hex
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -59,8 +77,13 @@ def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], c
         for pdf in frames:
             for start in range(0, len(pdf), batch):
                 chunk = pdf.iloc[start:start + batch]
-                results = model(chunk[col].tolist())
-                out = pd.DataFrame(list(results), columns=names, index=chunk.index)
+                values = chunk[col].tolist()
+                if error:
+                    nothing = (None,) * len(out_fields)
+                    results = [(*(nothing if e else r), e) for r, e in _scored_rows(model, values)]
+                else:
+                    results = list(model(values))
+                out = pd.DataFrame(results, columns=names, index=chunk.index)
                 yield pd.concat([chunk, out], axis=1)
 
     return df.mapInPandas(run, schema)

@@ -31,7 +31,7 @@ def s02_read_table_csv(spark, sf_dir):
     """K1 as CSV with a header, then S2: whole texts, with quotes, commas and line breaks."""
     path = scratch_path(spark, "documents-csv")
     io.write_table(fx.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), path, fmt="csv")
-    return normalise(io.read_table_csv(spark, path, DOC_SCHEMA))
+    return normalise(io.read_table_csv(spark, path, DOC_SCHEMA, multi_line=True))
 
 
 @register(
@@ -48,7 +48,7 @@ def s03_read_captions(spark, sf_dir):
         F.pmod("item_id", F.lit(5)).cast("string").alias("comment_number"),
         F.col("text").alias("comment"))
     caps.write.option("header", True).option("sep", "|").option("escape", '"').option("quoteAll", True).csv(path)
-    out = io.read_captions(spark, path)
+    out = io.read_captions(spark, path, multi_line=True)
     return normalise(out.select(F.col("image_name").cast("bigint").alias("image_name"), "comment_number", "comment"))
 
 
@@ -127,6 +127,46 @@ def s08_read_vocab(spark, sf_dir):
                                  F.size("vector").alias("dim")))
 
 
+@register(
+    "k04_ingest_new",
+    "SELECT doc_id, lang, 1::BIGINT AS copies FROM documents",
+)
+def k04_ingest_new(spark, sf_dir):
+    """K4 over a growing folder: files are added twice, and each is ingested once; a call without new files adds nothing."""
+    source, target = scratch_path(spark, "incoming"), scratch_path(spark, "ingested")
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    half = F.xxhash64("doc_id") % 2 == 0
+    for part in (docs.where(half), docs.where(~half), None):
+        if part is not None:
+            part.write.mode("append").parquet(source)
+        io.ingest_new(spark, f"{source}/*.parquet", target, lambda paths: spark.read.parquet(*paths))
+    return normalise(io.read_ingested(spark, target).groupBy("doc_id", "lang").agg(F.count(F.lit(1)).alias("copies")))
+
+
+# Lines as another program might write them: some without a number, some cut short.
+_BROKEN = ("CASE WHEN doc_id % 11 = 0 THEN doc_id::VARCHAR || ',' || lang WHEN doc_id % 7 = 0 THEN doc_id::VARCHAR || ',' || lang || ',n/a' "
+           "ELSE doc_id::VARCHAR || ',' || lang || ',' || n_chars::VARCHAR END")
+
+
+@register(
+    "s02_rejects",
+    "SELECT doc_id, lang, CASE WHEN doc_id % 11 <> 0 AND doc_id % 7 <> 0 THEN n_chars END AS n_chars, "
+    f"CASE WHEN doc_id % 11 = 0 OR doc_id % 7 = 0 THEN {_BROKEN} END AS line FROM documents",
+)
+def s02_rejects(spark, sf_dir):
+    """S2 with a quarantine: broken lines are found, with their text; the other rows are as they were."""
+    path = scratch_path(spark, "lines")
+    docs = fx.table(spark, sf_dir, "documents")
+    number = F.when(F.col("doc_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("n_chars").cast("string"))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), "lang", F.when(F.col("doc_id") % 11 != 0, number))
+    docs.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("n_chars", T.LongType())])
+    rows, rejects = io.read_with_rejects(spark, path, schema)
+    held = rejects.select(F.split("line", ",")[0].cast("bigint").alias("doc_id"), F.split("line", ",")[1].alias("lang"),
+                          F.when(F.lit(False), F.col("parsed.n_chars")).alias("n_chars"), "line")
+    return normalise(rows.withColumn("line", F.lit(None).cast("string")).unionByName(held))
+
+
 @register(
     "s01_read_tweets",
     "SELECT CAST((doc_id % 2) * 4 AS BIGINT) AS target, doc_id AS ids, lang AS date, 'NO_QUERY' AS flag, source AS user, "

@@ -56,6 +56,28 @@ def m01_score_batches(spark, sf_dir):
     return normalise(s.select("doc_id", "sentiment", F.round("sentiment_score", 6).alias("sentiment_score")))
 
 
+def brittle_model():
+    """A stand-in for a scorer that some rows break: it raises on a batch with a sentence of a length divisible by nine."""
+    def model(texts):
+        if any(len(t) % 9 == 0 for t in texts):
+            raise ValueError("length not supported")
+        return [(len(t),) for t in texts]
+
+    return model
+
+
+@register(
+    "m01_poison_rows",
+    with_ctes(q.tagged_docs_cte())
+    + ", s AS (SELECT doc_id, length(array_to_string(toks, ' ')) AS n FROM tok_lists) "
+    "SELECT doc_id, CASE WHEN n % 9 <> 0 THEN n END AS size, CASE WHEN n % 9 = 0 THEN 'ValueError: length not supported' END AS error FROM s",
+)
+def m01_poison_rows(spark, sf_dir):
+    """M1 with rows that the model fails on: they get an error, all others their result."""
+    s = MD.score_batches(_sentences(spark, sf_dir), brittle_model, "sentence", [T.StructField("size", T.LongType())], batch=100, error="error")
+    return normalise(s.select("doc_id", "size", "error"))
+
+
 def _train_data(spark, sf_dir):
     """Labelled documents with their mean word vector and split, written once."""
     tw = split_exact(fx.tweets(spark, sf_dir), "doc_id", fx.TRAIN_FRACTION, fx.SPLIT_SEED)

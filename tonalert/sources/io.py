@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -65,14 +66,14 @@ def read_tweets(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
             .option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
-def read_table_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """CSV with a header row. With ``multi_line`` quoted fields may span lines and a file is one
-    task (write many files); without it, files are split among tasks."""
+def read_table_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row. Files are split among tasks; with ``multi_line`` quoted fields may span
+    lines and a file is one task (write many files)."""
     return (spark.read.schema(schema).option("header", True).option("escape", '"')
             .option("multiLine", multi_line).csv(path))
 
 
-def read_captions(spark: SparkSession, path: str, schema: T.StructType = CAPTIONS_SCHEMA, multi_line: bool = True) -> DataFrame:
+def read_captions(spark: SparkSession, path: str, schema: T.StructType = CAPTIONS_SCHEMA, multi_line: bool = False) -> DataFrame:
     """S3: ``|``-separated CSV with a header; spaces around unquoted fields are trimmed, quoted
     fields are kept as written and, with ``multi_line``, may span lines (see S2)."""
     return (spark.read.schema(schema).option("header", True).option("sep", "|").option("escape", '"')
@@ -125,8 +126,7 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 def read_vocab_or_fit(spark: SparkSession, path: str, fit: Callable[[], DataFrame]) -> DataFrame:
     """The prepared table, or, where there is none, the table that ``fit`` makes (``vocab.fit_vectors``), written to
     ``path`` for the next time. A folder that a failed write left without its marker is fitted again."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if not is_complete(spark, path):
         fit().write.mode("overwrite").parquet(path)
     return read_vocab(spark, path)
 
@@ -165,9 +165,74 @@ def write_by_split(df: DataFrame, path: str, split: str = "split", fmt: str = "p
     w.format(fmt).save(path)
 
 
+def _file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write into ``path`` has ended (its marker is there)."""
+    fs, marker = _file(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(marker)
+
+
 def ingest_once(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K4: write only if the target does not exist yet (a second call leaves the first write)."""
-    df.write.mode("ignore").format(fmt).save(path)
+    """K4: write only if no ended write is there yet (a second call leaves the first write); what a write
+    that did not end has left is replaced."""
+    if not is_complete(df.sparkSession, path):
+        df.write.mode("overwrite").format(fmt).save(path)
+
+
+FILE_SCHEMA = "path string, length bigint, modificationTime timestamp"
+
+
+def ingest_new(spark: SparkSession, source: str, target: str, read: Callable[[list[str]], DataFrame]) -> int:
+    """K4 for a growing folder: reads the files of ``source`` that no earlier call has ingested (by path, length and time)
+    and adds them to ``target``; returns how many. ``read``: paths -> DataFrame.
+
+    Rows and the list of their files go to a staging folder, and one rename of that folder commits both. A call that is lost
+    before it leaves nothing that is read (``read_ingested``), and the next one takes the same files."""
+    files = spark.read.format("binaryFile").load(source).select("path", "length", "modificationTime")  # contents are not read
+    fs, batches = _file(spark, f"{target.rstrip('/')}/batches")
+    if fs.exists(batches):
+        known = spark.read.schema(FILE_SCHEMA).parquet(f"{batches}/*/files")
+        files = files.join(known, ["path", "length", "modificationTime"], "left_anti")
+    new = files.collect()  # names, as many as Spark lists on the driver anyway
+    if not new:
+        return 0
+    name = uuid.uuid4().hex
+    staging = f"{target.rstrip('/')}/staging/{name}"
+    read([r["path"] for r in new]).write.parquet(f"{staging}/rows")
+    spark.createDataFrame(new, FILE_SCHEMA).coalesce(1).write.parquet(f"{staging}/files")
+    fs.mkdirs(batches)
+    if not fs.rename(_file(spark, staging)[1], _file(spark, f"{batches}/{name}")[1]):
+        raise OSError(f"{staging} was not committed")
+    return len(new)
+
+
+def read_ingested(spark: SparkSession, target: str) -> DataFrame:
+    """All rows that ``ingest_new`` has committed to ``target``."""
+    return spark.read.parquet(f"{target.rstrip('/')}/batches/*/rows")
+
+
+def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType, header: str | None = None, encoding: str = "UTF-8",
+                      **options) -> tuple[DataFrame, DataFrame]:
+    """S1 / S2 with a quarantine, for files with a row per line: (rows, rejects). A line that does not fit ``schema`` (a value of
+    another type, too few or too many fields) is no row with NULLs but a reject: ``file``, ``line`` (its text) and ``parsed`` (what could
+    be read of it). ``header``: the text of a header line, left out wherever it stands. Options as for CSV."""
+    wide = T.StructType([*schema.fields, T.StructField("_reject", T.StringType())])
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.decode(F.col("value").cast("binary"), encoding).alias("line"))
+    lines = text.where((F.btrim("line") != "") & ((F.col("line") != header) if header else F.lit(True)))
+    settings = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_reject", **options}
+    parsed = lines.select("file", "line", F.from_csv("line", F.lit(wide.toDDL()), settings).alias("r"))
+    fields = [F.col(f"r.`{f.name}`").alias(f.name) for f in schema.fields]
+    rejects = parsed.where(F.col("r._reject").isNotNull()).select("file", "line", F.struct(*fields).alias("parsed"))
+    return parsed.where(F.col("r._reject").isNull()).select(*fields), rejects
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(file, n): rejected lines per file."""
+    return rejects.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
 
 
 def write_images_by_split(images: DataFrame, splits: DataFrame, path: str, name: str = "image_name",

@@ -129,6 +129,62 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
     assert [found[r] for r in rows] == [(10, True), (10, True), (10, False), (10, False), (5, True), (5, False), (40, True)]
 
 
+def unit(sets):
+    """The arrays of a unit of the given sets, all in one band."""
+    n_bands, n_rows, _ = sm.BANDING[85]
+    first = np.append(0, np.cumsum([len(x) for x in sets]))
+    bits = sm.mix(sm.signatures(np.concatenate(sets), first).view(np.uint64))
+    two = np.zeros((len(sets), 128), np.uint64)
+    two[:, :n_bands * n_rows] = bits & np.uint64(3)
+    sketch = (two.reshape(len(sets), 4, 32) << (2 * np.arange(32)).astype(np.uint64)).sum(axis=2, dtype=np.uint64)
+    return list(range(len(sets))), np.zeros(len(sets), np.int64), np.zeros((len(sets), n_bands), np.int64), sketch, sets
+
+
+def joined(links, n):
+    label = list(range(n))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in links:
+        label[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(x) for x in range(n)]
+
+
+def test_units_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sets = []
+    for _ in range(25):  # chains whose ends are not near each other
+        at = int(rng.integers(0, 3800))
+        for step in range(int(rng.integers(1, 9))):
+            sets.append(np.unique(pool[at + 6 * step:at + 6 * step + 100]))
+    sets = [sets[i] for i in rng.permutation(len(sets))]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))]
+    ids, own, bands, sketch, sets = unit(sets)
+    assert joined(sm.unit_links(0, ids, own, bands, sketch, sets, True), len(sets)) == joined(pairs, len(sets))
+    half = np.arange(len(sets)) % 2
+    across = joined([(a, b) for a, b in pairs if half[a] != half[b]], len(sets))
+    got = joined(sm.unit_links(0, ids, half, bands, sketch, sets, False), len(sets))
+    whole = joined(pairs, len(sets))
+    assert all(got[x] == got[y] for x in range(len(sets)) for y in range(x) if across[x] == across[y])  # nothing across is lost
+    assert all(whole[x] == whole[y] for x in range(len(sets)) for y in range(x) if got[x] == got[y])  # nothing wrong is added
+
+
+def test_a_bucket_of_near_copies_takes_linear_time(monkeypatch):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    n = 20_000
+    sets = [np.unique(np.append(base, np.uint64(i))) for i in range(n)]  # all different, 60 of 62 shared
+    calls, plain = [], np.intersect1d
+    monkeypatch.setattr(np, "intersect1d", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    ids, own, bands, sketch, sets = unit(sets)
+    links = sm.unit_links(0, ids, own, bands, sketch, sets, True)
+    assert len(links) == n - 1 and len(set(joined(links, n))) == 1 and len(calls) < 1.2 * n
+
+
 def test_near_duplicates_of_few_rows(spark):
     schema = "doc_id bigint, text string"
     assert sm.near_duplicates(spark.createDataFrame([], schema)).count() == 0

@@ -11,9 +11,9 @@ stops as soon as each place has a rank (early stopping); its later levels could
 3. Classes that share a band hash are a bucket. Each member brings its full set to its buckets. A
    bucket with many or long sets is cut into blocks, and each pair of blocks is a unit of work of bounded size,
    so no bucket has to fit in one task.
-4. A unit of work verifies its pairs with a union-find of its own: pairs in the first band that
-   they share, whose set sizes and sketches (two bits of each place) leave the threshold possible, and which are
-   not connected yet, are compared on their full sets. Only links that connect something are returned, at most
+4. A unit of work verifies its pairs with groups of its own: a member meets the first member of every group, then
+   the members of groups that it did not join. Pairs whose set sizes and sketches (two bits of each place) leave the threshold
+   possible, in the first band that they share, are compared on their full sets. Only links that connect something are returned, at most
    one per member and unit, never all pairs. A pair at the threshold fails the sketch test at most twice in
    about 100,000 times.
 5. The links are grouped by union-find as DataFrame steps: hooking on the smallest neighbour and
@@ -218,34 +218,64 @@ def _units(classes: DataFrame) -> DataFrame:
 
 def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent: int = PERCENT) -> list:
     """Links that connect the members of a unit. ``own``: each member's block; within one block
-    all pairs count, between two blocks only those across."""
-    parent = list(range(len(ids)))
-    max_differ = BANDING[percent][2]
-
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    all pairs count, between two blocks only those across.
 
+    A member meets the first member of every component so far, and then only the members of components that it did
+    not join. So a connected bucket takes one comparison a member, whatever its size; only members that are
+    not connected are compared pair by pair."""
+    max_differ = BANDING[percent][2]
     sizes = np.array([len(s) for s in sets])
     odd = _U(0x5555555555555555)
+    label = np.arange(len(ids))  # each member's component, by the number of one of its members
+    groups: dict = {}  # component -> its members
+    heads, place, n_heads = np.empty(len(ids), np.int64), {}, 0  # the components' numbers, and where each stands among them
+    biggest = 0
     links = []
-    for x in range(len(ids) - 1):
-        diff = sketches[x + 1:] ^ sketches[x]
+
+    def maybe(x, others):
+        """Those of ``others`` that may be near ``x``, the likeliest first."""
+        diff = sketches[others] ^ sketches[x]
         differ = np.bitwise_count((diff | (diff >> _U(1))) & odd).sum(axis=1)
-        small, large = np.minimum(sizes[x + 1:], sizes[x]), np.maximum(sizes[x + 1:], sizes[x])
-        maybe = (differ <= max_differ) & (100 * small >= percent * large) & ((bands[x + 1:] == bands[x]).argmax(axis=1) == band)
+        small, large = np.minimum(sizes[others], sizes[x]), np.maximum(sizes[others], sizes[x])
+        ok = (differ <= max_differ) & (100 * small >= percent * large)
+        return others[ok][np.argsort(differ[ok], kind="stable")]
+
+    def join(x, y):
+        nonlocal n_heads, biggest
+        both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        if 100 * both < percent * (sizes[x] + sizes[y] - both):
+            return
+        links.append((ids[y], ids[x]))
+        a, b = sorted((int(label[x]), int(label[y])), key=lambda g: -len(groups[g]))  # the smaller group moves
+        label[groups[b]] = a
+        groups[a] += groups.pop(b)
+        n_heads -= 1
+        last, at = int(heads[n_heads]), place.pop(b)
+        heads[at] = last
+        if last != b:
+            place[last] = at
+        if len(groups[a]) > len(groups.get(biggest, ())):
+            biggest = a
+
+    for x in range(len(ids)):
+        others = heads[:n_heads].copy()
+        groups[x], place[x], heads[n_heads] = [x], n_heads, x
+        n_heads += 1
+        for y in maybe(x, others).tolist():
+            if label[x] != label[y]:
+                join(x, y)
+        if n_heads == 1:
+            continue
+        if label[x] == biggest:
+            others = np.concatenate([groups[g] for g in heads[:n_heads].tolist() if g != biggest])
+        else:
+            others = np.flatnonzero(label[:x] != label[x])
         if not within:
-            maybe &= own[x + 1:] != own[x]
-        at = np.flatnonzero(maybe)
-        for y in (at[np.argsort(differ[at], kind="stable")] + x + 1).tolist():
-            a, b = root(x), root(y)
-            if a != b:
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * both >= percent * (sizes[x] + sizes[y] - both):
-                    parent[max(a, b)] = min(a, b)
-                    links.append((ids[x], ids[y]))
+            others = others[own[others] != own[x]]
+        first = (bands[others] == bands[x]).argmax(axis=1) == band  # pairs that share an earlier band meet in its unit
+        for y in maybe(x, others[first]).tolist():
+            if label[x] != label[y]:
+                join(x, y)
     return links
 
 

@@ -229,6 +229,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
     label = np.arange(len(ids))  # each member's component, by the number of one of its members
     groups: dict = {}  # component -> its members
     heads, place, n_heads = np.empty(len(ids), np.int64), {}, 0  # the components' numbers, and where each stands among them
+    is_head = np.zeros(len(ids), bool)
     biggest = 0
     links = []
 
@@ -251,7 +252,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
         groups[a] += groups.pop(b)
         n_heads -= 1
         last, at = int(heads[n_heads]), place.pop(b)
-        heads[at] = last
+        heads[at], is_head[b] = last, False
         if last != b:
             place[last] = at
         if len(groups[a]) > len(groups.get(biggest, ())):
@@ -259,7 +260,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
 
     for x in range(len(ids)):
         others = heads[:n_heads].copy()
-        groups[x], place[x], heads[n_heads] = [x], n_heads, x
+        groups[x], place[x], heads[n_heads], is_head[x] = [x], n_heads, x, True
         n_heads += 1
         for y in maybe(x, others).tolist():
             if label[x] != label[y]:
@@ -270,6 +271,7 @@ def unit_links(band: int, ids, own, bands, sketches, sets, within: bool, percent
             others = np.concatenate([groups[g] for g in heads[:n_heads].tolist() if g != biggest])
         else:
             others = np.flatnonzero(label[:x] != label[x])
+        others = others[~is_head[others]]  # x has met these
         if not within:
             others = others[own[others] != own[x]]
         first = (bands[others] == bands[x]).argmax(axis=1) == band  # pairs that share an earlier band meet in its unit

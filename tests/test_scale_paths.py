@@ -27,13 +27,22 @@ def test_checked_broadcast_falls_back_to_shuffle_join(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_words_to_idx_same_result_with_shuffle_join(spark, monkeypatch):
-    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "word string, idx int")
-    docs = spark.createDataFrame([(1, ["b", "a", "z"]), (2, ["z"])], "doc_id long, tokens array<string>")
-    small = {r["doc_id"]: list(r["ids"]) for r in V.words_to_idx(docs, vocab).collect()}
-    monkeypatch.setattr(V, "checked_broadcast", lambda df, **options: J.checked_broadcast(df, limit=0, **options))
-    big = {r["doc_id"]: list(r["ids"]) for r in V.words_to_idx(docs, vocab).collect()}
-    assert small == big == {1: [1, 0], 2: [0]}
+def test_known_words_are_the_same_in_place_and_joined(spark):
+    """Also where keys repeat or are NULL."""
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("é", 7), (None, 3), ("c", None), ("b", 5)], "word string, idx int")
+    rows = [(1, ["b", "a", "z"]), (2, ["z"]), (1, ["a", "a"]), (None, ["é", None, "b"]), (None, []), (3, None), (None, ["a"])]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>").repartition(3)
+    want = sorted([(1, [1, 0]), (2, []), (1, [0, 0]), (None, [7, 1]), (None, []), (3, []), (None, [0])], key=repr)
+    for limit in (1 << 20, 0):
+        assert sorted(map(tuple, V.known_indices(docs, vocab, limit=limit).collect()), key=repr) == want
+
+
+def test_top_words_are_those_of_the_whole_vocabulary(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(i % 7))) for i in range(50)], "doc_id long, text string")
+    whole = sorted(map(tuple, V.build_vocab(docs).where("idx < 4").collect()))
+    assert sorted(map(tuple, V.top_vocab(docs, 4).collect())) == whole
+    monkeypatch.setattr(V, "TOP_WORDS", 3)
+    assert sorted(map(tuple, V.top_vocab(docs, 4).collect())) == whole and V.top_vocab(docs, 0).count() == 0
 
 
 def test_spread_only_when_too_few_partitions(spark):

@@ -29,7 +29,7 @@ TRIE_LIMIT_BYTES = 16 * 1024 * 1024  # measured bytes of a table that goes to th
 JOINED_WORDS = 8  # words of a phrase that are joined one by one; the rest of a longer one is compared as a whole
 LOG_UNIT = 1_000_000
 ROOT = 0
-_ROW = "_tag_row"
+ROW = "_tag_row"
 
 
 def _listed(phrases: DataFrame, phrase: str, kind: str) -> DataFrame:
@@ -52,7 +52,7 @@ def phrase_trie(phrases: DataFrame, phrase: str = "tok", kind: str = "kind") ->
 
 def numbered_rows(df: DataFrame) -> DataFrame:
     """``df`` with a number of its own for each row, written once: the numbers stay as they are."""
-    return reliable_checkpoint(df.withColumn(_ROW, F.monotonically_increasing_id()))
+    return reliable_checkpoint(df.withColumn(ROW, F.monotonically_increasing_id()))
 
 
 class Gazetteer:
@@ -78,30 +78,30 @@ class Gazetteer:
         longest = max(sizes, default=1)
         levels = min(longest, JOINED_WORDS)
         after = F.transform(tokens, lambda w, i: F.slice(tokens, i + 1, F.lit(levels)))
-        found = rows.select(_ROW, F.posexplode(after).alias("pos", "words")).withColumn("state", F.lit(ROOT).cast("bigint"))
+        found = rows.select(ROW, F.posexplode(after).alias("pos", "words")).withColumn("state", F.lit(ROOT).cast("bigint"))
         hits = []
         for n in range(1, levels + 1):
             level = self.trie.where(F.col("n") == n).select("state", "word", "next", "kind", "more")
             here = found.withColumn("word", F.get("words", F.lit(n - 1))).join(checked_broadcast(level, materialize=False), ["state", "word"])
-            hits.append(here.where("kind IS NOT NULL").select(_ROW, "pos", F.lit(n).alias("n"), "kind"))
-            found = here.where("more").select(_ROW, "pos", "words", F.col("next").alias("state"))
+            hits.append(here.where("kind IS NOT NULL").select(ROW, "pos", F.lit(n).alias("n"), "kind"))
+            found = here.where("more").select(ROW, "pos", "words", F.col("next").alias("state"))
         if longest > levels:
             hits.append(self._long_hits(rows, found, tokens))
         every = hits[0]
         for h in hits[1:]:
             every = every.unionByName(h)
-        at = every.groupBy(_ROW, "pos").agg(F.max(F.struct("n", "kind")).alias("m")).select(_ROW, F.struct("pos", "m.n", "m.kind").alias("h"))
-        at = at.groupBy(_ROW).agg(F.sort_array(F.collect_list("h")).alias("_hits"))  # at most one per token
-        return _from_hits(rows.join(at, _ROW, "left"), tokens, col, sizes).drop(_ROW, "_hits")
+        at = every.groupBy(ROW, "pos").agg(F.max(F.struct("n", "kind")).alias("m")).select(ROW, F.struct("pos", "m.n", "m.kind").alias("h"))
+        at = at.groupBy(ROW).agg(F.sort_array(F.collect_list("h")).alias("_hits"))  # at most one per token
+        return _from_hits(rows.join(at, ROW, "left"), tokens, col, sizes).drop(ROW, "_hits")
 
     def _long_hits(self, rows: DataFrame, found: DataFrame, tokens: str) -> DataFrame:
         """Hits of phrases of more than JOINED_WORDS words among the places where as many of their words match: the whole
         phrase is compared with the row's tokens."""
         long = _listed(self.phrases, self.phrase, self.kind).where(F.size("w") > JOINED_WORDS).groupBy("w").agg(
             F.min("kind").alias("kind"), F.first(F.get("states", F.lit(JOINED_WORDS))).alias("state"))
-        pairs = found.select(_ROW, "pos", "state").join(checked_broadcast(long), "state")
-        pairs = pairs.join(rows.select(_ROW, F.col(tokens).alias("_all")), _ROW)
-        return pairs.where(F.slice("_all", F.col("pos") + 1, F.size("w")) == F.col("w")).select(_ROW, "pos", F.size("w").alias("n"), "kind")
+        pairs = found.select(ROW, "pos", "state").join(checked_broadcast(long), "state")
+        pairs = pairs.join(rows.select(ROW, F.col(tokens).alias("_all")), ROW)
+        return pairs.where(F.slice("_all", F.col("pos") + 1, F.size("w")) == F.col("w")).select(ROW, "pos", F.size("w").alias("n"), "kind")
 
 
 def _tag_lists(lists, trie: dict):
@@ -236,12 +236,12 @@ class Hmm:
             path = F.arrow_udf(lambda lists: _best_paths(lists, known.value, tags, steps, unknown), "array<string>")
             return df.withColumn(col, path(F.col(tokens)))
         rows = numbered_rows(df)
-        found = rows.select(_ROW, F.posexplode(tokens).alias("pos", "word")).join(checked_broadcast(self.emissions, materialize=False), "word")
-        hits = found.groupBy(_ROW).agg(F.sort_array(F.collect_list(F.struct("pos", "scores"))).alias("_hits"))
+        found = rows.select(ROW, F.posexplode(tokens).alias("pos", "word")).join(checked_broadcast(self.emissions, materialize=False), "word")
+        hits = found.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("pos", "scores"))).alias("_hits"))
         path = F.arrow_udf(lambda sizes, hits: _best_paths_of_hits(sizes, hits, tags, steps, unknown), "array<string>")
-        out = rows.join(hits, _ROW, "left")
+        out = rows.join(hits, ROW, "left")
         return out.withColumn(col, path(F.size(tokens), F.col("_hits"))).withColumn(
-            col, F.when(F.col(tokens).isNotNull(), F.col(col))).drop(_ROW, "_hits")
+            col, F.when(F.col(tokens).isNotNull(), F.col(col))).drop(ROW, "_hits")
 
 
 VITERBI_TOKENS = 100_000  # tokens whose scores are held at a time; a longer row is one such piece

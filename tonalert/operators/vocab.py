@@ -1,9 +1,8 @@
 """Vocabulary operators (J3, J4, A5, A6): word -> index, index -> vector, padded batches.
 
-Plan shape of ``words_to_idx``: tokens are exploded where the documents already are and joined inner
-with the vocabulary (broadcast when its measured size allows, else a shuffle join whose hot words AQE
-splits), so only hits move on; they are regrouped per row (partial aggregation first, a row's group
-is bounded by the row's own token count) and put back beside the row keys.
+Plan shape of ``words_to_idx``: a vocabulary of small measured size is looked up in the row, in Arrow batches, without a
+shuffle. Beyond that tokens are exploded and joined inner (a shuffle join whose hot words AQE splits), so only hits move on, and
+regrouped by a row number (partial aggregation first; a row's group is bounded by its own token count).
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tonalert.functions import arrays as A
 from tonalert.functions import text as TX
-from tonalert.operators.joins import checked_broadcast
+from tonalert.operators.joins import checked_broadcast, measured_bytes
+from tonalert.operators.taggers import ROW, TRIE_LIMIT_BYTES, numbered_rows
 from tonalert.session import reliable_checkpoint
 
 _PART_BITS = 33  # monotonically_increasing_id: partition number above, row number below
@@ -40,6 +40,20 @@ def build_vocab(docs: DataFrame, text: str = "text") -> DataFrame:
     return number_rows(counts, F.col("cnt").desc(), F.col("word")).select("word", "idx", "cnt")
 
 
+TOP_WORDS = 200_000  # words that are kept in order while counting; more are numbered by a range sort
+
+
+def top_vocab(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
+    """The first ``n`` rows of ``build_vocab``. Of up to TOP_WORDS words only these are sorted (each task keeps its best), not all."""
+    if n > TOP_WORDS:
+        return build_vocab(docs, text).where(F.col("idx") < n)
+    words = TX.words(F.coalesce(F.col(text), F.lit("")))
+    counts = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    order = [F.col("cnt").desc(), F.col("word")]
+    best = counts.orderBy(*order).limit(n)  # bounded by TOP_WORDS
+    return best.select("word", (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("idx"), "cnt")
+
+
 def attach_vectors(vocab: DataFrame, vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                    known_only: bool = False) -> DataFrame:
     """Vocabulary rows with their vector (``vectors.vec_id = vocab.idx``); ``known_only``: words that
@@ -48,18 +62,39 @@ def attach_vectors(vocab: DataFrame, vectors: DataFrame, id_col: str = "vec_id",
     return vocab.join(v, "idx", "inner" if known_only else "left")
 
 
-def _hits(df: DataFrame, key: str, toks: str, table: DataFrame, *cols: str) -> DataFrame:
-    """(key, pos, *cols) of the tokens that ``table`` (word, *cols) knows."""
-    exploded = df.select(key, F.posexplode(toks).alias("pos", "word"))
-    return exploded.join(checked_broadcast(table.select("word", *cols), materialize=False), "word").select(key, "pos", *cols)
-
-
-def known_indices(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: str = "tokens") -> DataFrame:
-    """Indices of the known words of each row, in token order (possibly empty): ``(key, ids)``.
-    ``key`` is unique; a NULL key has no hits."""
-    hits = _hits(df, key, toks, vocab, "idx").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("_hits"))
-    j = df.select(key).join(hits, key, "left")
-    return j.select(key, F.coalesce(F.transform("_hits", lambda p: p["idx"]), F.array().cast("array<bigint>")).alias("ids"))
+def _known_lists(lists, known: dict):
+    """The numbers of the known words of a batch of token lists, in order; equal words are looked up once."""
+    import numpy as np
+    import pyarrow as pa
+
+    lists = lists.cast(pa.list_(pa.string()))
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    number = np.array([known.get(w, -1) for w in coded.dictionary.to_pylist()] + [-1], np.int64)
+    found = number[coded.indices.fill_null(len(number) - 1).to_numpy(zero_copy_only=False)]
+    hit = found >= 0
+    before = np.concatenate(([0], np.cumsum(hit)))
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    return pa.ListArray.from_arrays(pa.array(before[ends], pa.int32()), pa.array(found[hit]))
+
+
+def known_indices(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: str = "tokens", limit: int = TRIE_LIMIT_BYTES) -> DataFrame:
+    """Indices of the known words of each row, in token order (possibly empty): ``(key, ids)``; keys may repeat or be NULL.
+
+    A vocabulary of at most ``limit`` measured bytes goes to the tasks once and rows are looked up where they are. Beyond that
+    rows get numbers of their own, the tokens are joined inner with the vocabulary, so only hits move on, and these are regrouped by
+    row. A word that the vocabulary lists twice has its smallest index."""
+    words = vocab.where("word IS NOT NULL AND idx IS NOT NULL").groupBy("word").agg(F.min("idx").cast("bigint").alias("idx"))
+    words = reliable_checkpoint(words)
+    if measured_bytes(words) <= limit:
+        known = df.sparkSession.sparkContext.broadcast({r["word"]: r["idx"] for r in words.collect()})  # measured
+        lookup = F.arrow_udf(lambda lists: _known_lists(lists, known.value), "array<bigint>")
+        return df.select(key, lookup(F.col(toks)).alias("ids"))
+    rows = numbered_rows(df.select(key, toks))
+    hits = rows.select(ROW, F.posexplode(toks).alias("pos", "word")).join(checked_broadcast(words, materialize=False), "word")
+    hits = hits.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("pos", "idx"))).alias("_hits"))  # a row's own tokens
+    ids = F.coalesce(F.transform("_hits", lambda p: p["idx"]), F.array().cast("array<bigint>"))
+    return rows.join(hits, ROW, "left").select(key, ids.alias("ids"))
 
 
 def words_to_idx(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: str = "tokens") -> DataFrame:

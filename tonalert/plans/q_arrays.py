@@ -84,8 +84,12 @@ def vocab(spark, sf_dir):
 
 
 def known_vocab(spark, sf_dir):
-    """The words that have a row in ``embeddings``, with their vector; written once and read again."""
-    return reliable_checkpoint(V.attach_vectors(vocab(spark, sf_dir), fx.table(spark, sf_dir, "embeddings"), known_only=True))
+    """The words that have a row in ``embeddings``, with their vector; written once and read again. Only as many words
+    are numbered as the largest number of a row asks for."""
+    rows = fx.table(spark, sf_dir, "embeddings")
+    last = rows.agg(F.max("vec_id").alias("n")).first()["n"]
+    words = V.top_vocab(fx.table(spark, sf_dir, "documents"), 0 if last is None else last + 1)
+    return reliable_checkpoint(V.attach_vectors(words, rows, known_only=True))
 
 
 def _vocab_cte():

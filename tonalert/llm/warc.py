@@ -184,6 +184,16 @@ def _page(urn: str):
     return int(name) if name else None
 
 
+BATCH_ROWS, BATCH_BYTES = 256, 1_000_000  # rows held as Python objects; payload bytes of a returned batch
+
+
+def _rows(batches):
+    """Rows of Arrow batches as dictionaries, a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield from batch.slice(at, BATCH_ROWS).to_pylist()
+
+
 def write_archives(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """Write ``pages`` (page_id, url, html) to packages; returns the manifest (path, size, records)."""
     payload = F.coalesce("html", F.lit("")).cast("binary")
@@ -216,22 +226,21 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
             out.close()
             return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "size": [pack.at], "records": [len(lines)], "data_bytes": [data_end]})
 
-        for batch in batches:
-            for r in batch.to_pylist():
-                if pack is None:
-                    name, lines = f"{uuid.uuid4().hex}.wacz", []
-                    out = fs.open_output_stream(f"{base}/{name}")
-                    pack = ZipWriter(out)
-                    pack.begin(DATA)
-                revisit = r["refers_to"] is not None
-                deflate = zlib.compressobj(1, zlib.DEFLATED, 31)
-                packed = deflate.compress(record_bytes(r["page_id"], r["url"], r["payload"], r["refers_to"], revisit)) + deflate.flush()
-                at = {"filename": DATA.split("/")[1], "offset": pack.at - pack.data, "length": len(packed)}
-                lines.append(f"page:{r['page_id']} 19700101000000 {json.dumps(at)}\n")  # pages carry no time
-                pack.write(packed)
-                if pack.at >= ROLL_BYTES:
-                    yield close()
-                    pack = None
+        for r in _rows(batches):
+            if pack is None:
+                name, lines = f"{uuid.uuid4().hex}.wacz", []
+                out = fs.open_output_stream(f"{base}/{name}")
+                pack = ZipWriter(out)
+                pack.begin(DATA)
+            revisit = r["refers_to"] is not None
+            deflate = zlib.compressobj(1, zlib.DEFLATED, 31)
+            packed = deflate.compress(record_bytes(r["page_id"], r["url"], r["payload"], r["refers_to"], revisit)) + deflate.flush()
+            at = {"filename": DATA.split("/")[1], "offset": pack.at - pack.data, "length": len(packed)}
+            lines.append(f"page:{r['page_id']} 19700101000000 {json.dumps(at)}\n")  # pages carry no time
+            pack.write(packed)
+            if pack.at >= ROLL_BYTES:
+                yield close()
+                pack = None
         if pack is not None:
             yield close()
 
@@ -298,16 +307,17 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 fs, path = open_fs(r["path"])
                 with fs.open_input_file(path) as f:
                     members = zip_members(f, r["size"])
-                    out = []
+                    out, held = [], 0
                     for archive, offset, length in index_entries(read_range(f, r["at"], r["bytes"])):
                         data = stored_member(members, archive)[0]
                         x = parse_record(zlib.decompress(read_range(f, data + offset, length), 31))
                         out.append({"page_id": _page(x["warc-record-id"]), "url": x["warc-target-uri"], "payload_bytes": x["http-length"],
                                     "payload_digest": x["warc-payload-digest"].removeprefix("sha1:"), "record_type": x["warc-type"],
                                     "refers_to": _page(x["warc-refers-to"]) if "warc-refers-to" in x else None, "payload": x["payload"]})
-                        if len(out) == 256:
+                        held += len(x["payload"] or b"")
+                        if len(out) == BATCH_ROWS or held >= BATCH_BYTES:
                             yield pa.RecordBatch.from_pylist(out, schema=schema())
-                            out = []
+                            out, held = [], 0
                     if out:
                         yield pa.RecordBatch.from_pylist(out, schema=schema())
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tonalert.operators.joins import checked_broadcast, measured_bytes
 from tonalert.session import reliable_checkpoint
 
-TRIE_LIMIT_BYTES = 16 * 1024 * 1024  # measured bytes of a table that goes to the tasks whole
+TRIE_LIMIT_BYTES = 48 * 1024 * 1024  # measured bytes of a table that goes to the tasks whole (about three times that in a Python worker)
 JOINED_WORDS = 8  # words of a phrase that are joined one by one; the rest of a longer one is compared as a whole
 LOG_UNIT = 1_000_000
 ROOT = 0

@@ -124,3 +124,29 @@ def test_phrases_of_more_words_than_are_joined(spark, monkeypatch):
     rows = [(k % 5, [rng.choice("abcde") if rng.random() < 0.2 else "abcde"[j % 5] for j in range(25)], k) for k in range(150)]
     want = sorted(((i, t, plain_tags(t, listed)) for i, t, _ in rows), key=repr)
     assert tagged(spark, rows, gazetteer(spark, listed, 0)) == want == tagged(spark, rows, gazetteer(spark, listed, 1 << 20))
+
+
+def test_a_phrase_of_many_words_makes_one_small_row_a_word(spark):
+    """The trie's rows hold a step each; with the whole phrase in every row this one took minutes and gigabytes."""
+    import time
+
+    n = 30_000
+    words = [f"w{i % 7919}" for i in range(n)]
+    began = time.time()
+    trie = TG.phrase_trie(spark.createDataFrame([(" ".join(words), "PER"), ("w0 w1", "LOC")], "tok string, kind string"))
+    rows = {r["n"]: r for r in trie.collect()}
+    assert time.time() - began < 60
+    assert len(rows) == n and all(rows[k]["next"] == rows[k + 1]["state"] and rows[k]["word"] == words[k - 1] for k in range(1, n))
+    assert rows[2]["kind"] == "LOC" and rows[2]["more"] and rows[n]["kind"] == "PER" and not rows[n]["more"]
+    state = TG.ROOT
+    for k in range(1, 200):  # the fold by blocks gives the plain chain of hashes
+        assert rows[k]["state"] == state
+        state = spark.range(1).select(F.xxhash64(F.lit(state).cast("bigint"), F.lit(words[k - 1]))).first()[0] if k in (1, 63, 64, 65, 128) else rows[k]["next"]
+
+
+def test_a_phrase_longer_than_the_joined_levels_is_found_beyond_them(spark):
+    words = [f"w{i}" for i in range(3 * TG.STATE_BLOCK + 5)]
+    listed = {" ".join(words): "PER", " ".join(words[:TG.JOINED_WORDS + 1]): "LOC", words[2]: "ORG"}
+    rows = [(1, ["a", *words, "b"], 1), (2, words[:-1], 1), (3, words[:TG.JOINED_WORDS], 1)]
+    for limit in WAYS:
+        assert tagged(spark, rows, gazetteer(spark, listed, limit)) == sorted(((i, t, plain_tags(t, listed)) for i, t, _ in rows), key=repr)

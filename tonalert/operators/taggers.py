@@ -19,14 +19,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonalert.functions.core import bind
 from tonalert.operators.joins import checked_broadcast, measured_bytes
 from tonalert.session import reliable_checkpoint
 
 TRIE_LIMIT_BYTES = 48 * 1024 * 1024  # measured bytes of a table that goes to the tasks whole (about three times that in a Python worker)
 JOINED_WORDS = 8  # words of a phrase that are joined one by one; the rest of a longer one is compared as a whole
+STATE_BLOCK = 64  # words whose states are folded together
 LOG_UNIT = 1_000_000
 ROOT = 0
 ROW = "_tag_row"
@@ -37,17 +39,33 @@ def _listed(phrases: DataFrame, phrase: str, kind: str) -> DataFrame:
     folds in word after word."""
     words = F.filter(F.split(F.col(phrase), " "), lambda w: w != "")
     rows = phrases.select(words.alias("w"), F.col(kind).alias("kind")).where((F.size("w") > 0) & F.col("kind").isNotNull())
-    start = F.array(F.lit(ROOT).cast("bigint"))
-    return rows.withColumn("states", F.aggregate("w", start, lambda a, w: F.concat(a, F.array(F.xxhash64(F.element_at(a, -1), w)))))
+    return rows.withColumn("states", _states("w"))
+
+
+def _states(words: str) -> Column:
+    """ROOT and the state after each of ``words``. They are folded by blocks: a block's states are appended word by word, the
+    blocks one by one, so a phrase of many thousand words copies no long list at every word."""
+    root = F.lit(ROOT).cast("bigint")
+
+    def block(acc, b):
+        own = F.slice(words, b * STATE_BLOCK + 1, F.lit(STATE_BLOCK))
+        states = F.aggregate(own, F.array(acc["last"]), lambda a, w: F.concat(a, F.array(F.xxhash64(F.element_at(a, -1), w))))
+        return bind(states, lambda v: F.struct(F.element_at(v, -1).alias("last"), F.concat(acc["blocks"], F.array(F.slice(v, 2, STATE_BLOCK))).alias("blocks")))
+
+    start = F.struct(root.alias("last"), F.array(F.array(root)).alias("blocks"))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / STATE_BLOCK).cast("int"))
+    return F.aggregate(blocks, start, block, lambda acc: F.flatten(acc["blocks"]))
 
 
 def phrase_trie(phrases: DataFrame, phrase: str = "tok", kind: str = "kind") -> DataFrame:
     """The trie (n, state, word, next, kind, more): the n-th word leads from ``state`` to ``next``; ``kind`` where a
     phrase ends (the smallest on conflict), ``more`` where a longer one goes on. Words are separated by blanks."""
-    rows = _listed(phrases, phrase, kind).select("w", "kind", "states", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("n"))
-    ends = F.col("n") == F.size("w")
-    return rows.groupBy("n", F.get("states", F.col("n") - 1).alias("state"), F.get("w", F.col("n") - 1).alias("word")).agg(
-        F.first(F.get("states", F.col("n"))).alias("next"), F.min(F.when(ends, F.col("kind"))).alias("kind"), F.max(~ends).alias("more"))
+    # Each word's row holds that word's own step alone, so a long phrase is not copied once per word.
+    step = F.transform("w", lambda w, i: F.struct(
+        (i + 1).alias("n"), F.get("states", i).alias("state"), w.alias("word"), F.get("states", i + 1).alias("next"),
+        F.when(i + 1 == F.size("w"), F.col("kind")).alias("kind"), (i + 1 < F.size("w")).alias("more")))
+    rows = _listed(phrases, phrase, kind).select(F.explode(step).alias("s")).select("s.*")
+    return rows.groupBy("n", "state", "word").agg(F.first("next").alias("next"), F.min("kind").alias("kind"), F.max("more").alias("more"))
 
 
 def numbered_rows(df: DataFrame) -> DataFrame:
@@ -82,15 +100,20 @@ class Gazetteer:
         hits = []
         for n in range(1, levels + 1):
             level = self.trie.where(F.col("n") == n).select("state", "word", "next", "kind", "more")
-            here = found.withColumn("word", F.get("words", F.lit(n - 1))).join(checked_broadcast(level, materialize=False), ["state", "word"])
+            left = found.select(ROW, "pos", "state", F.get("words", F.lit(0)).alias("word"), F.slice("words", 2, levels).alias("words"))
+            here = left.join(checked_broadcast(level, materialize=False), ["state", "word"])
+            # Written once: both its hits and the next level read it. Words go along where a longer phrase may follow.
+            here = reliable_checkpoint(here.where("kind IS NOT NULL OR more").select(
+                ROW, "pos", "kind", F.when(F.col("more"), F.struct("next", "words")).alias("on")))
             hits.append(here.where("kind IS NOT NULL").select(ROW, "pos", F.lit(n).alias("n"), "kind"))
-            found = here.where("more").select(ROW, "pos", "words", F.col("next").alias("state"))
+            found = here.where("on IS NOT NULL").select(ROW, "pos", "on.words", F.col("on.next").alias("state"))
         if longest > levels:
             hits.append(self._long_hits(rows, found, tokens))
         every = hits[0]
         for h in hits[1:]:
             every = every.unionByName(h)
-        at = every.groupBy(ROW, "pos").agg(F.max(F.struct("n", "kind")).alias("m")).select(ROW, F.struct("pos", "m.n", "m.kind").alias("h"))
+        # Dealt by row once: the longest hit at each place, a row's hits and the row itself then meet without another shuffle.
+        at = every.repartition(ROW).groupBy(ROW, "pos").agg(F.max(F.struct("n", "kind")).alias("m")).select(ROW, F.struct("pos", "m.n", "m.kind").alias("h"))
         at = at.groupBy(ROW).agg(F.sort_array(F.collect_list("h")).alias("_hits"))  # at most one per token
         return _from_hits(rows.join(at, ROW, "left"), tokens, col, sizes).drop(ROW, "_hits")
 

@@ -162,3 +162,21 @@ def test_failing_rows_end_the_job_only_without_an_error_column(spark):
     assert rows[1] == (2, "OK", None) and rows[3] == (4, "FINE", None) and rows[2][:2] == (None, None) and "NoneType" in rows[2][2]
     with pytest.raises(Exception, match="NoneType"):
         MD.score_batches(df, loader, "t", fields).collect()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_doc_vectors_are_added_up_where_the_row_is(spark):
+    vocab = spark.createDataFrame([("a", 0, [1.0, 3.0]), ("b", 1, [3.0, 5.0]), ("b", 2, [5.0, 9.0]), ("c", 3, [0.0, -4.0])], "word string, idx long, vector array<float>")
+    rows = [(1, ["a", "b", "z", None]), (1, ["c"]), (None, ["a"]), (None, ["c", "c"]), (2, ["z"]), (3, None), (4, []), (5, ["a", "c"] * 50_000)]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    want = {1: ([2.25, 3.25], 4), None: ([1 / 3, -5 / 3], 3), 5: ([0.5, -0.5], 100_000)}
+    for limit in (MD.VECTOR_LIMIT_BYTES, 150, 0):  # all in place, the first words in place, all joined
+        got = {r["doc_id"]: (list(r["features"].toArray()), r["n_known"]) for r in MD.doc_vectors(df, vocab, limit=limit).collect()}
+        assert got.keys() == want.keys()
+        for k, (v, n) in want.items():
+            assert got[k][1] == n and got[k][0] == pytest.approx(v, abs=1e-9)
+    assert "explode" not in _plan(MD.doc_vectors(df, vocab)) and "explode" in _plan(MD.doc_vectors(df, vocab, limit=0))
+    assert MD.doc_vectors(df, vocab.limit(0)).count() == 0

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from tonalert.constants import SCORING_BATCH
 from tonalert.functions import entities as E
 from tonalert.functions import labels as L
-from tonalert.operators.joins import checked_broadcast
+from tonalert.operators.joins import checked_broadcast, measured_bytes
 from tonalert.operators.taggers import TRIE_LIMIT_BYTES, Gazetteer
 
 def _model(loader: Callable, key: str):
@@ -89,12 +89,82 @@ def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], c
     return df.mapInPandas(run, schema)
 
 
-def doc_vectors(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", col: str = "features") -> DataFrame:
-    """Mean vector of each row's known words, ``(key, col, n_known)``; rows without a known word have
-    none. ``vocab``: (word, vector), broadcast only if measured small. Sums are partial per task."""
-    words = df.select(key, F.explode(tokens).alias("word"))
-    known = words.join(checked_broadcast(vocab.select("word", array_to_vector("vector").alias("_v")), materialize=False), "word")
-    return known.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias(col), F.count(F.lit(1)).alias("n_known"))
+VECTOR_LIMIT_BYTES = 256 * 1024 * 1024  # measured bytes of word vectors that go to the tasks (as one matrix)
+VECTOR_TOKENS = 65_536  # tokens whose vectors are held at a time
+
+
+def doc_vectors(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens", col: str = "features",
+                limit: int = VECTOR_LIMIT_BYTES) -> DataFrame:
+    """Mean vector of each key's known words, ``(key, col, n_known)``; keys without a known word have none; keys may
+    repeat or be NULL. ``vocab``: (word, vector), with ``idx`` (the most frequent word first) if known.
+
+    Words of up to ``limit`` measured bytes go to the tasks as a matrix; a row's vectors are added up where the row is, so
+    one vector a row is shuffled. Of a larger vocabulary with ``idx`` the first words go there, and the tokens of the
+    rest alone are joined with their vectors; without ``idx`` all are."""
+    listed = vocab.where("word IS NOT NULL AND vector IS NOT NULL")
+    size = measured_bytes(listed.select("word", "vector"))
+    here, rest = listed, None
+    if size > limit:
+        first = F.lit(False)
+        if "idx" in vocab.columns:
+            words = int(listed.count() * limit / size)
+            last = listed.orderBy("idx").limit(words).agg(F.max("idx").alias("i")).first()["i"]
+            first = F.coalesce(F.col("idx") <= last, F.lit(False)) if last is not None else first
+        here, rest = listed.where(first), listed.where(~first)
+    sums = _row_means(df, here, key, tokens)
+    if rest is not None:
+        words = df.select(key, F.explode(tokens).alias("word"))
+        known = words.join(checked_broadcast(rest.select("word", array_to_vector("vector").alias("_v")), materialize=False), "word")
+        sums = sums.unionByName(known.select(key, "_v", F.lit(1).cast("bigint").alias("_n")))
+    return sums.groupBy(key).agg(Summarizer.mean(F.col("_v"), F.col("_n").cast("double")).alias(col), F.sum("_n").alias("n_known"))
+
+
+def _row_means(df: DataFrame, vocab: DataFrame, key: str, tokens: str) -> DataFrame:
+    """(key, _v, _n) of each row with a word of ``vocab``: the mean of their vectors and their number. A word that is listed
+    twice counts twice."""
+    import numpy as np
+    import pyarrow as pa
+
+    table = vocab.select("word", "vector").toArrow()  # measured by the caller
+    matrix = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    matrix = matrix.reshape(table.num_rows, -1) if table.num_rows else np.zeros((0, 1), np.float32)
+    coded = table.column("word").combine_chunks().cast(pa.string()).dictionary_encode()
+    times = np.ones(table.num_rows, np.int64)
+    if len(coded.dictionary) < table.num_rows:
+        at, each = coded.indices.to_numpy(), matrix
+        matrix, times = np.zeros((len(coded.dictionary), each.shape[1])), np.bincount(at, minlength=len(coded.dictionary))
+        np.add.at(matrix, at, each)
+    held = df.sparkSession.sparkContext.broadcast((coded.dictionary, matrix, times))
+
+    def means(lists):
+        return _means_of_lists(lists, *held.value)
+
+    found = df.select(key, F.arrow_udf(means, "struct<v: array<double>, n: bigint>")(F.col(tokens)).alias("_m"))
+    return found.where("_m.n > 0").select(key, array_to_vector("_m.v").alias("_v"), F.col("_m.n").alias("_n"))
+
+
+def _means_of_lists(lists, words, matrix, times):
+    """Mean vector and number of the known words of each token list, VECTOR_TOKENS at a time."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = lists.cast(pa.list_(pa.string()))
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    place = pc.index_in(coded.dictionary, value_set=words).fill_null(-1).to_numpy(zero_copy_only=False) if len(coded.dictionary) else np.zeros(0, np.int64)
+    token = np.append(place, -1)[coded.indices.fill_null(len(place)).to_numpy(zero_copy_only=False)]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    hit = token >= 0
+    token, row = token[hit], row[hit]
+    sums, n = np.zeros((len(sizes), matrix.shape[1])), np.bincount(row, times[token], len(sizes)).astype(np.int64)
+    for a in range(0, len(token), VECTOR_TOKENS):
+        part = row[a:a + VECTOR_TOKENS]
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        sums[part[starts]] += np.add.reduceat(matrix[token[a:a + VECTOR_TOKENS]], starts, axis=0, dtype=np.float64)
+    means = sums / np.maximum(n, 1)[:, None]
+    offsets = pa.array(np.arange(len(sizes) + 1) * matrix.shape[1], pa.int32())
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(means.ravel())), pa.array(n)], names=["v", "n"])
 
 
 def with_features(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:

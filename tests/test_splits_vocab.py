@@ -149,3 +149,11 @@ def test_fitted_vectors_of_synonyms_lie_close(spark, tmp_path):
     for a, b in pairs:
         near = max((w for w in vec if w != a), key=lambda w: sum(x * y for x, y in zip(vec[a], vec[w])))
         assert near == b
+
+
+def test_context_sums_shuffle_no_pairs_of_words(spark):
+    rows = [(["a", "b", None, "a"],), (None,), ([],), (["x"],), (["a", "b"] * 20_000,)]
+    out = V.context_sums(spark.createDataFrame(rows, "tokens array<string>"))
+    assert "near" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = out.groupBy("word").agg(F.sum(F.abs("total")).alias("t"), F.count(F.lit(1)).alias("n")).collect()
+    assert {r["word"] for r in got} == {"a", "b"} and all(r["n"] <= 2 for r in got)

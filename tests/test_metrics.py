@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tonalert.operators import metrics as M
@@ -168,3 +169,34 @@ def test_poisson_numbers_have_mean_and_variance_one(spark):
     w = [x for r in spark.range(500).select(M.poisson_weights(F.col("id").cast("string"), 101).alias("w")).collect() for x in r["w"]]
     mean = sum(w) / len(w)
     assert len(w) == 500 * 101 and abs(mean - 1) < 0.02 and abs(sum((x - mean) ** 2 for x in w) / len(w) - 1) < 0.04
+
+
+def test_lcs_takes_a_batch_in_slices(spark, monkeypatch):
+    """Arrow lists in, a few tokens at a time as Python values; common ends are not walked by the recurrence."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    pairs = [([rng.choice("abcd") for _ in range(rng.randint(0, 30))], [rng.choice("abcd") for _ in range(rng.randint(0, 30))]) for _ in range(300)]
+    pairs += [(None, ["a"]), (["a"], None), ([], []), (["a"] * 50, ["a"] * 20)]
+
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = _next(row, x, b)
+        return row[-1]
+
+    def _next(row, x, b):
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        return new
+
+    monkeypatch.setattr(M, "TOKENS_AT_ONCE", 40)
+    got = M._lcs_f1(*(pa.array(side, pa.list_(pa.string())) for side in zip(*pairs))).to_pylist()
+    for (a, b), f in zip(pairs, got):
+        n = plain(a or [], b or [])
+        assert f == pytest.approx(2 * n / (len(a) + len(b)) if n else 0.0)
+    stems = M.stem_columns(spark.createDataFrame([(["running", "cat", "running"],), (None,), ([],)], "t array<string>"), ["t"], lambda t: t.upper())
+    assert [r["t"] for r in stems.collect()] == [["RUNNING", "cat", "RUNNING"], [], []]

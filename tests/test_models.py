@@ -180,3 +180,14 @@ def test_doc_vectors_are_added_up_where_the_row_is(spark):
             assert got[k][1] == n and got[k][0] == pytest.approx(v, abs=1e-9)
     assert "explode" not in _plan(MD.doc_vectors(df, vocab)) and "explode" in _plan(MD.doc_vectors(df, vocab, limit=0))
     assert MD.doc_vectors(df, vocab.limit(0)).count() == 0
+
+
+def test_score_batches_sends_back_what_is_kept(spark):
+    df = spark.createDataFrame([(1, None, "a good day"), (None, 2.5, None), (3, float("nan"), "x")], "k long, v double, t string").repartition(1)
+    fields = [T.StructField("label", T.StringType()), T.StructField("score", T.DoubleType())]
+    out = MD.score_batches(df, toy_loader, "t", fields, batch=2, keep=["k"])
+    assert out.columns == ["k", "label", "score"]
+    assert sorted((r["k"] or 0, r["label"], r["score"]) for r in out.collect()) == [(0, "negative", 0.0), (1, "positive", 10.0), (3, "negative", 1.0)]
+    assert MD.score_batches(df, toy_loader, "t", fields).columns == ["k", "v", "t", "label", "score"]
+    with pytest.raises(Exception, match="1 results for 3 rows"):
+        MD.score_batches(df, lambda: lambda values: [("a", 1.0)], "t", fields).collect()

@@ -1,6 +1,6 @@
 """Model steps as Spark jobs.
 
-* User models (sentiment scorer, captioner, alert generator) run inside ``mapInPandas``: Arrow
+* User models (sentiment scorer, captioner, alert generator) run inside ``mapInArrow``: Arrow
   batches in, the model loaded once per Python worker, called on fixed-size slices (L9).
 * The trainable sentiment model is logistic regression (MLlib, trained on the executors with tree
   aggregation) over the mean of a text's prepared word vectors, in place of a recurrent network. The
@@ -11,9 +11,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -62,31 +61,38 @@ def score_batches(df: DataFrame, loader: Callable[[], Callable[[list], list]], c
 
     ``loader()`` returns ``model(values: list) -> list`` of tuples (one per value, matching
     ``out_fields``); it runs once per Python worker, and the model sees ``batch`` rows at a time.
-    ``keep``: columns that go through Python and come back beside the result (all by default).
+    ``keep``: columns that come back beside the result (all by default).
     ``error``: name of a column for the error of a row that the model fails on; its results are NULL and the job goes
     on. Without it a failing row ends the job.
     """
-    df = df if keep is None else df.select(*dict.fromkeys([*keep, col]))
+    kept = df.columns if keep is None else list(dict.fromkeys(keep))
+    df = df if keep is None else df.select(*dict.fromkeys([*kept, col]))
     fields = out_fields + ([T.StructField(error, T.StringType())] if error else [])
-    schema = T.StructType(df.schema.fields + fields)
-    names = [f.name for f in fields]
+    schema = T.StructType([df.schema[c] for c in kept] + fields)
     key = uuid.uuid4().hex
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
         model = _model(loader, key)
-        for pdf in frames:
-            for start in range(0, len(pdf), batch):
-                chunk = pdf.iloc[start:start + batch]
-                values = chunk[col].tolist()
+        types = [to_arrow_type(f.dataType) for f in fields]
+        for arrived in batches:
+            # Only the rows that the model sees at a time become Python values; the kept columns stay as they are.
+            for start in range(0, arrived.num_rows, batch):
+                chunk = arrived.slice(start, batch)
+                values = chunk.column(col).to_pandas().tolist()
                 if error:
                     nothing = (None,) * len(out_fields)
                     results = [(*(nothing if e else r), e) for r, e in _scored_rows(model, values)]
                 else:
                     results = list(model(values))
-                out = pd.DataFrame(results, columns=names, index=chunk.index)
-                yield pd.concat([chunk, out], axis=1)
+                    if len(results) != len(values):
+                        raise ValueError(f"{len(results)} results for {len(values)} rows")
+                out = [pa.array([r[i] for r in results], t, from_pandas=True) for i, t in enumerate(types)]
+                yield pa.RecordBatch.from_arrays([*[chunk.column(c) for c in kept], *out], names=schema.names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 VECTOR_LIMIT_BYTES = 256 * 1024 * 1024  # measured bytes of word vectors that go to the tasks (as one matrix)
@@ -229,7 +235,7 @@ def compare_scorers(scored: DataFrame, reference: DataFrame, key: str = "doc_id"
 def caption_images(images: DataFrame, loader: Callable[[], Callable[[list], list]], batch: int = 1) -> DataFrame:
     """M7: bytes -> caption, one row per image (``binaryFile`` rows in, ``image_name, caption`` out)."""
     named = images.select(F.element_at(F.split("path", "/"), -1).alias("image_name"), "content")
-    scored = score_batches(named, loader, "content", [T.StructField("caption", T.StringType())], batch)
+    scored = score_batches(named, loader, "content", [T.StructField("caption", T.StringType())], batch, keep=["image_name"])
     return scored.select("image_name", "caption")
 
 

@@ -52,7 +52,7 @@ def _sentences(spark, sf_dir):
 )
 def m01_score_batches(spark, sf_dir):
     fields = [T.StructField("sentiment", T.StringType()), T.StructField("sentiment_score", T.DoubleType())]
-    s = MD.score_batches(_sentences(spark, sf_dir), lexicon_model, "sentence", fields, batch=100)
+    s = MD.score_batches(_sentences(spark, sf_dir), lexicon_model, "sentence", fields, batch=100, keep=["doc_id"])
     return normalise(s.select("doc_id", "sentiment", F.round("sentiment_score", 6).alias("sentiment_score")))
 
 
@@ -74,7 +74,7 @@ def brittle_model():
 )
 def m01_poison_rows(spark, sf_dir):
     """M1 with rows that the model fails on: they get an error, all others their result."""
-    s = MD.score_batches(_sentences(spark, sf_dir), brittle_model, "sentence", [T.StructField("size", T.LongType())], batch=100, error="error")
+    s = MD.score_batches(_sentences(spark, sf_dir), brittle_model, "sentence", [T.StructField("size", T.LongType())], batch=100, keep=["doc_id"], error="error")
     return normalise(s.select("doc_id", "size", "error"))
 
 

@@ -7,6 +7,7 @@ import zlib
 from array import array
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -271,3 +272,25 @@ def test_restore_keeps_a_rare_beginning_until_the_end():
         for i in range(len(w) - 2):
             grams[w[i:i + 3]] += n
     assert tx.restore("**ts", tx.CharModel(grams)) == "uots"
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only a few of many thousand toxic texts hold is in the lexicon, as are words at the end of a long text."""
+    n = 9_000
+    rows = [(i, f"some plain words {i}" + (" dreadword" if i % 2 else " goodword"), i % 2) for i in range(n)]
+    rows += [(n + i, "some plain words " * 3_000 + "rarebadword", 1) for i in range(6)] + [(n + 5, "again the same id", 1)]
+    d = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model, odds, _ = tx.fit(d, labels, F.lit(True))
+    assert {"=dreadword", "=rarebadword"} <= odds.keys() and "=goodword" not in odds and "=plain" not in odds
+    assert model.tri["pla"] == model.tri["^pl"] >= n + 5 * 3_000
+
+
+def test_logistic_of_rows_equals_the_one_in_memory(spark):
+    from tonalert.llm.training import Logistic
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 3)) * [1, 5, 0] + [0, 2, 7]
+    y = (x[:, 0] + rng.normal(size=400) > 0.3).astype(int)
+    rows = spark.createDataFrame([(*map(float, a), int(b)) for a, b in zip(x, y)], "x0 double, x1 double, x2 double, y int").repartition(3)
+    assert np.allclose(Logistic.of_rows(rows, ["x0", "x1", "x2"], "y")(x), Logistic(x, y)(x), atol=1e-6)

@@ -9,8 +9,8 @@
    characters. Log-odds of these come from labelled texts; the score is a logistic
    calibration of the strongest ones in the text, fitted on texts that the log-odds have not seen (two-fold).
 
-Models are fitted on at most SAMPLE_ROWS labelled rows per class, of long texts on pieces of SAMPLE_BYTES
-in all; the lexicon holds every entry of this sample that speaks for the toxic class. Whole texts are scored.
+Models are fitted on the whole texts of all allowed labelled rows: trigrams, lexicon and calibration are sums over the tasks.
+Only entries that two toxic texts hold are counted in the other class. Whole texts are scored.
 
 Edge cases: NULL and empty texts have no tokens and get the score of that. With one class of labels
 only (or none) every score is that class's share (0 without labels). Repeated rows and NULL ids are
@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonalert.llm.common import stored
-from tonalert.llm.training import Logistic, labelled_sample
+from tonalert.llm.training import Logistic, labelled_ids, labelled_rows
+from tonalert.operators.joins import measured_bytes
 
-SAMPLE_ROWS = 4_000
-SAMPLE_BYTES = 16_384
 MIN_TEXTS = 3  # texts of the toxic class that hold a lexicon entry
 LEAST_ODDS = 1.5
 MEMO = 200_000
+HELD = 300_000  # entries that a task counts before it passes them on
+CANDIDATE_LIMIT_BYTES = 64 * 1024 * 1024  # measured bytes of lexicon entries that go to the tasks
 
 # The letters that a character may stand for.
 LOOK_ALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
@@ -139,17 +140,24 @@ def tokens(text: str, decode) -> set:
     out = set()
     for m in _SPACED.finditer(text):
         out.update(decode(part) for part in spaced(m.group()))
-    for raw in set(_TOKEN.findall(text)):
-        token = raw.strip(_STRIP)
-        # A token of letters alone is only disguised if a letter repeats.
-        if _PLAIN.fullmatch(token) and not _repeats(token) and (len(raw) == len(token) or not disguised(raw)):
-            out.add(token)
-        elif token:
-            lead = raw.lstrip("\"'([{<")  # a look-alike may stand first
-            out.add(decode(lead.rstrip(_STRIP)) if disguised(lead) or _repeats(token) else token)
+    read = getattr(decode, "of_raw", None) or (lambda raw: _read(raw, decode))
+    out.update(map(read, set(_TOKEN.findall(text))))
+    out.discard(None)
     return out
 
 
+def _read(raw: str, decode):
+    """The restored token of a piece between blanks, None where only marks are left."""
+    token = raw.strip(_STRIP)
+    # A token of letters alone is only disguised if a letter repeats.
+    if _PLAIN.fullmatch(token) and not _repeats(token) and (len(raw) == len(token) or not disguised(raw)):
+        return token
+    if token:
+        lead = raw.lstrip("\"'([{<")  # a look-alike may stand first
+        return decode(lead.rstrip(_STRIP)) if disguised(lead) or _repeats(token) else token
+    return None
+
+
 _APART = re.compile(rf"[{_SEPARATOR}]{{1,3}}")
 
 
@@ -174,46 +182,84 @@ def described(token: str) -> list:
     return ["=" + token] + [token[:n] for n in range(4, min(8, len(token)) + 1)]
 
 
-def _trigrams(batches):
-    """Letter trigrams of all plain tokens, summed per task."""
+def _passed(counts: dict, key: str):
     import pyarrow as pa
 
-    counts: dict = {}
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=[key, "n"])
+
+
+def _trigrams(batches):
+    """Letter trigrams of all plain tokens, summed per task; equal tokens are taken apart once."""
+    from collections import Counter
+
+    def grams(words):
+        counts: dict = {}
+        for w, n in words.items():
+            w = f"^^{w}^"
+            for i in range(len(w) - 2):
+                counts[w[i:i + 3]] = counts.get(w[i:i + 3], 0) + n
+        return _passed(counts, "gram")
+
+    words: Counter = Counter()
     for batch in batches:
-        for t in batch.column("text").to_pylist():
-            for w in _PLAIN.findall((t or "").lower()):
-                w = f"^^{w}^"
-                for i in range(len(w) - 2):
-                    counts[w[i:i + 3]] = counts.get(w[i:i + 3], 0) + 1
-    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["gram", "n"])
+        for t in batch.column("text"):
+            words.update(_PLAIN.findall((t.as_py() or "").lower()))
+            if len(words) > HELD:
+                yield grams(words)
+                words = Counter()
+    yield grams(words)
 
 
 def char_model(texts: DataFrame) -> CharModel:
-    """The trigram model of the sample; the letters of _PLAIN bound the number of rows."""
+    """The trigram model of the labelled texts; the letters of _PLAIN bound the number of rows."""
     rows = texts.select("text").mapInArrow(_trigrams, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     return CharModel({r["gram"]: r["n"] for r in rows})
 
 
 def _memo(model: CharModel):
-    return lru_cache(MEMO)(lambda token: restore(token, model))
+    """Restores a disguised token; ``of_raw`` does so for a piece between blanks."""
+    decode = lru_cache(MEMO)(lambda token: restore(token, model))
+    decode.of_raw = lru_cache(MEMO)(lambda raw: _read(raw, decode))
+    return decode
 
 
-def lexicon_counts(sample: DataFrame, model: CharModel) -> DataFrame:
-    """key, half, y, n: in how many sample texts of each half and class a key occurs."""
-
-    def keys(batches):
+def _key_counts(texts: DataFrame, model: CharModel, only=None) -> DataFrame:
+    """key, half, n: in how many texts of each half a key occurs, summed per task; ``only``: a broadcast set of keys."""
+    def counted(batches):
         import pyarrow as pa
+        from collections import Counter
+
+        decode, wanted = _memo(model), None if only is None else only.value
+        counts = (Counter(), Counter())
+        keys = lru_cache(MEMO)(lambda w: tuple(k for k in described(w) if wanted is None or k in wanted))
+
+        def passed():
+            for h in (0, 1):
+                part = _passed(counts[h], "key")
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([h] * part.num_rows, pa.int32()), part.column(1)], names=["key", "half", "n"])
+                counts[h].clear()
 
-        decode = _memo(model)
         for batch in batches:
-            halves, ys = batch.column("half").to_pylist(), batch.column("y").to_pylist()
-            for t, h, y in zip(batch.column("text").to_pylist(), halves, ys):
-                own = {k for w in tokens(t or "", decode) for k in described(w)}
-                yield pa.RecordBatch.from_pydict({"key": pa.array(list(own), pa.string()), "half": pa.array([h] * len(own), pa.int32()),
-                                                  "y": pa.array([y] * len(own), pa.int32())})
+            for t, h in zip(batch.column("text"), batch.column("half").to_pylist()):
+                counts[h].update({k for w in tokens(t.as_py() or "", decode) for k in keys(w)})
+                if len(counts[0]) + len(counts[1]) > HELD:
+                    yield from passed()
+        yield from passed()
+
+    return texts.select("text", "half").mapInArrow(counted, "key string, half int, n bigint")
+
 
-    return sample.select("text", "half", "y").mapInArrow(keys, "key string, half int, y int").groupBy("key").agg(
-        *[F.sum(((F.col("half") == h) & (F.col("y") == y)).cast("bigint")).alias(f"n{h}{y}") for h in (0, 1) for y in (0, 1)])
+def lexicon_counts(rows: DataFrame, model: CharModel) -> DataFrame:
+    """key, n00, n01, n10, n11: in how many texts of each half and class a key occurs, of the keys that two toxic texts hold."""
+    def by_half(counts, y):
+        return counts.groupBy("key").agg(*[F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}{y}") for h in (0, 1)])
+
+    toxic = stored(by_half(_key_counts(rows.where("y = 1"), model), 1).where("n01 + n11 >= 2"), "toxic-keys")
+    only = None
+    if measured_bytes(toxic.select("key")) <= CANDIDATE_LIMIT_BYTES:
+        only = rows.sparkSession.sparkContext.broadcast({r["key"] for r in toxic.select("key").collect()})  # measured
+    clean = by_half(_key_counts(rows.where("y = 0"), model, only), 0)
+    return toxic.join(clean, "key", "left").fillna(0, ["n00", "n10"])
 
 
 def log_odds(rows, counts, halves) -> dict:
@@ -235,39 +281,49 @@ def inputs(found: list) -> list:
     return [best[0] if best else 0.0, sum(best), math.log1p(len(found))]
 
 
-def weights_in(text: str, decode, odds: dict) -> list:
-    out = []
-    for w in tokens(text, decode):
-        best = max((odds.get(k, 0.0) for k in described(w)), default=0.0)
-        if best:
-            out.append(best)
-    return out
+def _weigher(odds: dict):
+    """The strongest weight of a token's keys, 0 for none."""
+    return lru_cache(MEMO)(lambda w: max((odds.get(k, 0.0) for k in described(w)), default=0.0))
+
+
+def weights_in(text: str, decode, weigh) -> list:
+    return [best for best in map(weigh, tokens(text, decode)) if best]
+
+
+def _found(rows: DataFrame, model: CharModel, odds: list) -> DataFrame:
+    """x0, x1, x2, y of every row: what the calibration sees by the log-odds of the other half."""
+    def seen(batches):
+        import pyarrow as pa
+
+        decode, weigh = _memo(model), [_weigher(o) for o in odds]
+        for batch in batches:
+            x = [inputs(weights_in(t.as_py() or "", decode, weigh[1 - h])) for t, h in zip(batch.column("text"), batch.column("half").to_pylist())]
+            columns = np.array(x, float).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*[pa.array(columns[:, i]) for i in range(3)], batch.column("y")], names=["x0", "x1", "x2", "y"])
+
+    return rows.select("text", "half", "y").mapInArrow(seen, "x0 double, x1 double, x2 double, y int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column):
-    """(character model, log-odds, calibration), or the constant score where a class is missing."""
-    sample = labelled_sample(docs, labels, "toxic", allowed, SAMPLE_ROWS, SAMPLE_BYTES)
-    sample = stored(sample.withColumn("half", F.pmod(F.col("_order"), F.lit(2)).cast("int")).withColumn("y", F.col("y").cast("int")), "toxic-sample")
-    counts = {(r["half"], r["y"]): r["n"] for r in sample.groupBy("half", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """(character model, log-odds, calibration) of all labelled rows, or the constant score where a class is missing."""
+    half = F.pmod(F.col("_order"), F.lit(2)).cast("int")
+    chosen = stored(labelled_ids(docs, labels, "toxic", allowed), "toxic-rows")
+    counts = {(r["half"], r["y"]): r["n"] for r in chosen.groupBy(half.alias("half"), "y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = {y: counts.get((0, y), 0) + counts.get((1, y), 0) for y in (0, 1)}
     if min(n.values()) < 2 or min(counts.get((h, y), 0) for h in (0, 1) for y in (0, 1)) < 1:
         return n[1] / max(1, n[0] + n[1])
-    model = char_model(sample)
-    # Entries that ``log_odds`` could take from some halves; the sample bounds their number.
+    rows = labelled_rows(docs, chosen).withColumn("half", half)
+    model = char_model(rows)
+    # Entries that ``log_odds`` could take from some halves: the lexicon, whose size follows the words of toxic texts.
     least = math.exp(LEAST_ODDS - 0.01)
     speaks = F.lit(False)
     for halves in ((0,), (1,), (0, 1)):
         t, c = (sum(F.col(f"n{h}{k}") for h in halves) for k in (1, 0))
         of_t, of_c = (sum(counts.get((h, k), 0) for h in halves) for k in (1, 0))
         speaks = speaks | ((t + 0.5) * (of_c + 1) > least * (c + 0.5) * (of_t + 1))
-    rows = lexicon_counts(sample, model).where(F.expr("n01 + n11 >= 2") & speaks).collect()
-    x, y = [], []
-    for h in (0, 1):  # each half by the log-odds of the other
-        odds, decode = log_odds(rows, counts, (1 - h,)), _memo(model)
-        for r in sample.where(F.col("half") == h).select("text", "y").toLocalIterator():
-            x.append(inputs(weights_in(r["text"], decode, odds)))
-            y.append(r["y"])
-    return model, log_odds(rows, counts, (0, 1)), Logistic(x, y)
+    entries = lexicon_counts(rows, model).where(speaks).collect()
+    found = stored(_found(rows, model, [log_odds(entries, counts, (h,)) for h in (0, 1)]), "toxic-inputs")
+    return model, log_odds(entries, counts, (0, 1)), Logistic.of_rows(found, ["x0", "x1", "x2"], "y")
 
 
 def scored(docs: DataFrame, labels: DataFrame, allowed: Column) -> DataFrame:
@@ -278,14 +334,14 @@ def scored(docs: DataFrame, labels: DataFrame, allowed: Column) -> DataFrame:
         import pyarrow as pa
 
         constant = isinstance(model, float)
-        decode = None if constant else _memo(model[0])
+        decode, weigh = (None, None) if constant else (_memo(model[0]), _weigher(model[1]))
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 if constant:
                     p = np.full(part.num_rows, model)
                 else:
-                    p = model[2]([inputs(weights_in(t or "", decode, model[1])) for t in part.column("text").to_pylist()])
+                    p = model[2]([inputs(weights_in(t or "", decode, weigh)) for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(score, "doc_id bigint, score double")

@@ -1,4 +1,4 @@
-"""Bounded samples of labelled rows, and a small logistic calibration."""
+"""Labelled rows, bounded samples of them, and a small logistic calibration."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonalert.operators.joins import checked_broadcast
 
 PIECES = 16  # parts of a long text that a sample holds
 
@@ -31,6 +32,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     return sample.dropDuplicates(["doc_id"]).select("doc_id", spread_pieces(F.col("text"), max_bytes).alias("text"), "y", "_order")
 
 
+def labelled_ids(docs: DataFrame, labels: DataFrame, label: str, allowed: Column) -> DataFrame:
+    """(doc_id, row_hash, y, _order, copies) of every labelled document that is ``allowed`` and has a text. Of rows with the same id
+    those of one text count, ``copies`` of them."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & allowed)
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y")).withColumn("_order", F.xxhash64(F.lit(7), "doc_id"))
+    usable = docs.where("octet_length(text) > 0").select("doc_id", F.xxhash64("text").alias("row_hash"))
+    usable = usable.groupBy("doc_id").agg(F.min("row_hash").alias("row_hash"), F.count(F.lit(1)).alias("copies"))
+    return usable.join(known, "doc_id")
+
+
+def labelled_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, text, y, _order): the whole texts of the rows of ``chosen`` (``labelled_ids``, written), each doc_id once. The texts are
+    shuffled only if ``chosen`` outgrows a broadcast, or for ids that are there twice."""
+    texts = docs.where("octet_length(text) > 0").select("doc_id", "text", F.xxhash64("text").alias("row_hash"))
+    rows = texts.join(checked_broadcast(chosen, materialize=False), ["doc_id", "row_hash"])
+    out = rows.where("copies = 1")
+    if not chosen.where("copies > 1").isEmpty():
+        out = out.unionByName(rows.where("copies > 1").dropDuplicates(["doc_id"]))
+    return out.select("doc_id", "text", "y", "_order")
+
+
 class Logistic:
     """Ridge logistic regression on a few standardised inputs, fitted by Newton steps."""
 
@@ -51,6 +73,30 @@ class Logistic:
             if np.abs(step).max() < 1e-8:
                 break
 
+    @classmethod
+    def of_rows(cls, rows: DataFrame, inputs: list[str], y: str, ridge: float = 1e-2) -> Logistic:
+        """The same fit over the rows of a table: each step is one aggregate of sums, no row leaves the tasks."""
+        self, k = cls.__new__(cls), len(inputs) + 1
+        stats = rows.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(inputs) for f in (F.avg, F.stddev_pop)]).first()
+        self.mean, spread = np.array(stats[0::2], float), np.array(stats[1::2], float)
+        self.spread = np.where(spread > 1e-9, spread, 1.0)
+        a = [F.lit(1.0), *[(F.col(c) - F.lit(float(m))) / F.lit(float(d)) for c, m, d in zip(inputs, self.mean, self.spread)]]
+        self.w, penalty = np.zeros(k), ridge * np.eye(k)
+        penalty[0, 0] = 1e-6
+        for _ in range(50):
+            z = sum((x * F.lit(float(w)) for x, w in zip(a[1:], self.w[1:])), F.lit(float(self.w[0])))
+            z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
+            p = rows.select(F.col(y).cast("double").alias("_y"), (1 / (1 + F.exp(-z))).alias("_p"), *[x.alias(f"_a{i}") for i, x in enumerate(a)])
+            v = F.col("_p") * (1 - F.col("_p")) + 1e-6
+            sums = p.agg(*[F.sum(F.col(f"_a{i}") * (F.col("_y") - F.col("_p"))).alias(f"g{i}") for i in range(k)],
+                         *[F.sum(F.col(f"_a{i}") * F.col(f"_a{j}") * v).alias(f"h{i}{j}") for i in range(k) for j in range(k)]).first()
+            h = np.array(sums[k:], float).reshape(k, k) + penalty
+            step = np.linalg.solve(h, np.array(sums[:k], float) - penalty @ self.w)
+            self.w += np.clip(step, -4, 4)
+            if np.abs(step).max() < 1e-8:
+                break
+        return self
+
     def __call__(self, x) -> np.ndarray:
         z = ((np.asarray(x, float) - self.mean) / self.spread) @ self.w[1:] + self.w[0]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))

@@ -191,3 +191,14 @@ def test_score_batches_sends_back_what_is_kept(spark):
     assert MD.score_batches(df, toy_loader, "t", fields).columns == ["k", "v", "t", "label", "score"]
     with pytest.raises(Exception, match="1 results for 3 rows"):
         MD.score_batches(df, lambda: lambda values: [("a", 1.0)], "t", fields).collect()
+
+
+def test_doc_vectors_over_rows_that_come_from_a_join(spark):
+    from pyspark.sql.functions import broadcast
+
+    vocab = spark.createDataFrame([("a", [1.0]), ("b", [3.0])], "word string, vector array<float>")
+    docs = spark.createDataFrame([(1, "A b"), (1, "a"), (2, "z")], "doc_id long, raw string")
+    split = spark.createDataFrame([(1, "train"), (2, "test")], "doc_id long, split string")
+    rows = docs.join(broadcast(split), "doc_id").select("doc_id", "split", F.split(F.lower("raw"), " ").alias("tokens"))
+    got = sorted((r["doc_id"], r["split"], round(float(r["features"][0]), 6)) for r in MD.with_features(rows, vocab).collect())
+    assert got == [(1, "train", 1.666667), (1, "train", 1.666667), (2, "test", 0.0)]

@@ -142,11 +142,16 @@ def _row_means(df: DataFrame, vocab: DataFrame, key: str, tokens: str) -> DataFr
         np.add.at(matrix, at, each)
     held = df.sparkSession.sparkContext.broadcast((coded.dictionary, matrix, times))
 
-    def means(lists):
-        return _means_of_lists(lists, *held.value)
+    def means(batches):
+        for batch in batches:
+            v, n = _means_of_lists(batch.column(1), *held.value)
+            own = pa.RecordBatch.from_arrays([batch.column(0), v, n], names=[key, "v", "n"])
+            yield own.filter(pa.array(n.to_numpy() > 0))
 
-    found = df.select(key, F.arrow_udf(means, "struct<v: array<double>, n: bigint>")(F.col(tokens)).alias("_m"))
-    return found.where("_m.n > 0").select(key, array_to_vector("_m.v").alias("_v"), F.col("_m.n").alias("_n"))
+    schema = T.StructType([df.schema[key], T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType())])
+    # Not a UDF: a filter on its result would be moved below the joins that make ``df``.
+    found = df.select(key, tokens).mapInArrow(means, schema)
+    return found.select(key, array_to_vector("v").alias("_v"), F.col("n").alias("_n"))
 
 
 def _means_of_lists(lists, words, matrix, times):
@@ -170,7 +175,7 @@ def _means_of_lists(lists, words, matrix, times):
         sums[part[starts]] += np.add.reduceat(matrix[token[a:a + VECTOR_TOKENS]], starts, axis=0, dtype=np.float64)
     means = sums / np.maximum(n, 1)[:, None]
     offsets = pa.array(np.arange(len(sizes) + 1) * matrix.shape[1], pa.int32())
-    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(means.ravel())), pa.array(n)], names=["v", "n"])
+    return pa.ListArray.from_arrays(offsets, pa.array(means.ravel())), pa.array(n)
 
 
 def with_features(df: DataFrame, vocab: DataFrame, key: str = "doc_id", tokens: str = "tokens") -> DataFrame:

@@ -47,7 +47,6 @@ _LETTER = "a-zß-öø-ÿœ"
 _HIDDEN = re.escape("".join(k for k in LOOK_ALIKE if not k.isalnum()))
 _SEPARATOR = re.escape("".join(sorted(_MARKS)))
 _SPACED = re.compile(rf"(?<![^\s])(?:[{_LETTER}0-9{_HIDDEN}][{_SEPARATOR}]{{1,3}}){{2,}}[{_LETTER}0-9{_HIDDEN}](?![{_LETTER}0-9])")
-_TOKEN = re.compile(r"\S+")
 _STRIP = "\"'.,;:?%&#*<>()[]{}~^=/\\|!-_"
 _PLAIN = re.compile(rf"[{_LETTER}]+")
 _ONE_LETTER = re.compile(f"[{_LETTER}]")
@@ -141,7 +140,7 @@ def tokens(text: str, decode) -> set:
     for m in _SPACED.finditer(text):
         out.update(decode(part) for part in spaced(m.group()))
     read = getattr(decode, "of_raw", None) or (lambda raw: _read(raw, decode))
-    out.update(map(read, set(_TOKEN.findall(text))))
+    out.update(map(read, set(text.split())))
     out.discard(None)
     return out
 
@@ -282,8 +281,10 @@ def inputs(found: list) -> list:
 
 
 def _weigher(odds: dict):
-    """The strongest weight of a token's keys, 0 for none."""
-    return lru_cache(MEMO)(lambda w: max((odds.get(k, 0.0) for k in described(w)), default=0.0))
+    """The strongest weight of a token's keys, 0 for none. Most tokens begin like no key at all."""
+    heads = {part for k in odds for part in (k[:4], k[1:5])}
+    weigh = lru_cache(MEMO)(lambda w: max((odds.get(k, 0.0) for k in described(w)), default=0.0))
+    return lambda w: weigh(w) if w[:4] in heads else 0.0
 
 
 def weights_in(text: str, decode, weigh) -> list:

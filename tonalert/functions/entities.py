@@ -1,6 +1,7 @@
 """Entity spans, prompts and alerts as Column functions.
 
-All of them are single-row expressions: no shuffle, safe in Structured Streaming.
+All of them are row-wise: no shuffle, safe in Structured Streaming. Spans are decoded (E1) and cleaned (E2) in Arrow
+batches, the rest are native expressions.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from tonalert.constants import (
     NO_ENTITIES,
     ORG_PHRASES,
     PERSON_PHRASES,
-    WS,
 )
 
 ENTITY_TYPE = T.ArrayType(
@@ -44,30 +44,75 @@ def bio_label(code) -> Column:
 
 def strip_ws(c) -> Column:
     """Python's ``str.strip()``: trim every Unicode white-space character at both ends."""
-    return F.regexp_replace(_col(c), "^" + WS + "+|" + WS + "+$", "")
+    return F.btrim(_col(c), F.lit(_WS_ENDS))
 
 
-# One letter per tag: upper case opens a span of that kind, lower case continues it.
-_LETTER_OF_NAME = {"B-PER": "P", "I-PER": "p", "B-ORG": "G", "I-ORG": "g",
-                   "B-LOC": "L", "I-LOC": "l", "B-MISC": "M", "I-MISC": "m"}
-_KIND_OF_LETTER = {"P": "PER", "G": "ORG", "L": "LOC", "M": "MISC"}
-# Possessive quantifiers: the matcher loops over a span instead of recursing once per token.
-_SPAN = "|".join(f"{u}\\d++(?:,{u.lower()}\\d++)*+" for u in _KIND_OF_LETTER)
+# Every white-space character of ``WS``, to trim both ends without a pattern.
+_WS_ENDS = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                             0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
+# Each tag name as (number of its kind, 1 where it opens a span); any other tag is (0, 0).
+_PART_OF_NAME = {f"{mark}-{kind}": (i + 1, int(mark == "B")) for i, kind in enumerate(ENTITY_KINDS) for mark in "BI"}
+_PART_OF_CODE = [_PART_OF_NAME.get(BIO_LABELS.get(i, "O"), (0, 0)) for i in range(max(BIO_LABELS) + 1)]
 
-# Letter of each tag code 0..max (derived from the two tables above): a coded tag is one array
-# access instead of two map-literal scans per token.
-_LETTER_OF_CODE = [_LETTER_OF_NAME.get(BIO_LABELS.get(i, "O"), "O") for i in range(max(BIO_LABELS) + 1)]
 
+def _tag_parts(tags, coded: bool):
+    """Kind numbers and opening marks of a batch of tags; an out-of-range, unknown or NULL one reads as O."""
+    import numpy as np
 
-def _tag_letter(tag: Column, coded: bool) -> Column:
     if coded:
-        # Range-checked before the cast (a huge BIGINT code must not overflow under ANSI); an
-        # out-of-range or NULL code reads as O.
-        letters = F.array(*[F.lit(x) for x in _LETTER_OF_CODE])
-        known = tag.between(0, len(_LETTER_OF_CODE) - 1)
-        return F.coalesce(F.when(known, F.get(letters, tag.cast("int"))), F.lit("O"))
-    return F.coalesce(F.element_at(_map_literal(_LETTER_OF_NAME), tag), F.lit("O"))
+        codes = tags.fill_null(0).to_numpy(zero_copy_only=False)
+        known = (codes >= 0) & (codes < len(_PART_OF_CODE))
+        parts, at = np.array(_PART_OF_CODE), np.where(known, codes, 0).astype(np.int64)
+    else:
+        names = tags.dictionary_encode()
+        words = names.dictionary.to_pylist()
+        parts = np.array([_PART_OF_NAME.get(w, (0, 0)) for w in words] + [(0, 0)])
+        at = names.indices.fill_null(len(words)).to_numpy(zero_copy_only=False)
+    return parts[at, 0], parts[at, 1]
+
+
+def _ranges(starts, sizes):
+    """The numbers from each start on, ``sizes`` of them, one range after another."""
+    import numpy as np
+
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def _lists_of_spans(toks, tags, coded: bool):
+    """E1 over a batch of rows: all their tokens are decoded together."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    toks = toks.cast(pa.list_(pa.string()))
+    sizes = [x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (toks, tags)]
+    n = np.minimum(*sizes)
+    at_tok, at_tag = (_ranges(x.offsets.to_numpy()[:-1].astype(np.int64), n) for x in (toks, tags))
+    kind, opens = _tag_parts(tags.values.take(pa.array(at_tag)), coded)
+    # A run begins with a row, with a B- tag and where the kind changes; it is a span if it begins with a B- tag.
+    begins = opens.astype(bool)
+    begins[1:] |= kind[1:] != kind[:-1]
+    rows_at = (np.cumsum(n) - n)[n > 0]
+    begins[rows_at] = True
+    runs = np.flatnonzero(begins)
+    lengths = np.diff(np.append(runs, len(kind)))
+    is_span = opens[runs] == 1
+    first, lengths = runs[is_span], lengths[is_span]
+    words = toks.values.take(pa.array(_ranges(at_tok[first], lengths)))
+    if words.null_count:  # a NULL token leaves no trace in the joined text
+        there = words.is_valid().to_numpy(zero_copy_only=False)
+        lengths = np.diff(np.append(0, np.cumsum(there))[np.append(0, np.cumsum(lengths))])
+        words = words.drop_null()
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), words), " ")
+    # A span whose joined text is empty is never emitted; the rest are stripped of white space.
+    some = pc.greater(pc.binary_length(text), 0)
+    row = np.repeat(np.arange(len(n)), n)[first][some.to_numpy(zero_copy_only=False)]
+    kinds = pa.array([None, *ENTITY_KINDS]).take(pa.array(kind[first])).filter(some)
+    spans = pa.StructArray.from_arrays([pc.utf8_trim(text.filter(some), characters=_WS_ENDS), kinds], names=["entity", "tag"])
+    offsets = np.append(0, np.cumsum(np.bincount(row, minlength=len(n))))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans, mask=tags.is_null() if tags.null_count else None)
 
 
 def extract_entities(toks, tags, coded: bool = True) -> Column:
@@ -75,47 +120,42 @@ def extract_entities(toks, tags, coded: bool = True) -> Column:
 
     B-X opens a span (closing any open one); I-X extends only an open span of the same X;
     anything else closes; an I- with no open span is dropped; the end closes. Tokens and tags are
-    zipped to the shorter length. ``coded`` tags are codes 0-8, otherwise names like ``B-PER``.
+    zipped to the shorter length. ``coded`` tags are codes 0-8, otherwise names like ``B-PER``. NULL tags have NULL
+    entities, NULL tokens none.
 
-    The tag sequence is written as one string (``,P0,p1,O2,...``: a letter per tag and the token
-    index); spans are then the regex matches ``P\\d+(,p\\d+)*`` and likewise for G, L, M. This is
-    linear in the number of tokens and runs in the JVM, where a fold with an array accumulator
-    would copy the accumulator at every token.
+    Runs in Arrow batches: the tokens of all rows of a batch are compared with their neighbours at once, so the time is
+    linear in the number of tokens and no expression is evaluated token by token.
     """
-    kind = _map_literal(_KIND_OF_LETTER)
+    return F.arrow_udf(lambda toks, tags: _lists_of_spans(toks, tags, coded), ENTITY_TYPE)(_col(toks), _col(tags))
 
-    def decode(toks, tags):
-        n = F.coalesce(F.least(F.size(toks), F.size(tags)), F.lit(0))
-        coded_tags = F.transform(
-            F.slice(tags, 1, F.greatest(n, F.lit(0))),
-            lambda t, i: F.concat(_tag_letter(t, coded), i.cast("string")),
-        )
-        spans = F.regexp_extract_all(F.array_join(coded_tags, ","), F.lit(_SPAN), 0)
 
-        def to_entity(s):
-            idx = F.transform(F.split(s, ","), lambda x: F.substring(x, 2, 1 << 30).cast("int"))
-            raw = F.array_join(F.transform(idx, lambda j: F.get(toks, j)), " ")
-            return F.struct(raw.alias("entity"), F.element_at(kind, F.substring(s, 1, 1)).alias("tag"))
+def _clean_lists(lists):
+    """E2 over a batch of entity lists."""
+    import unicodedata
 
-        # A span whose joined text is empty is never emitted; the rest are stripped of white space.
-        found = F.filter(F.transform(spans, to_entity), lambda e: F.length(e["entity"]) > 0)
-        return F.transform(found, lambda e: F.struct(strip_ws(e["entity"]).alias("entity"), e["tag"].alias("tag")))
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    # Tokens are read once per span token: bind them (and the tags) so an expression argument
-    # such as split(text) is evaluated once per row.
-    return bind(toks, lambda tk: bind(tags, lambda tg: decode(tk, tg)))
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ents = lists.flatten()
+    text, tag = (pc.struct_field(ents, i).cast(pa.string()) for i in (0, 1))
+    text = pc.utf8_trim(text, characters=_WS_ENDS)
+    signs = pc.invert(pc.match_substring_regex(text, "[A-Za-z0-9]")).fill_null(False)
+    if pc.any(signs).as_py():  # others may have letters or digits of any script
+        none = [not any(unicodedata.category(c)[0] in "LN" for c in t) for t in text.filter(signs).to_pylist()]
+        signs = pc.replace_with_mask(signs, signs, pa.array(none, pa.bool_()))
+    stop = pc.is_in(pc.utf8_lower(text), value_set=pa.array(ENTITY_STOPWORDS))
+    keep = pc.and_(pc.greater_equal(pc.utf8_length(text), 2).fill_null(False), pc.invert(pc.or_(signs, stop)))
+    before = np.append(0, np.cumsum(keep.to_numpy(zero_copy_only=False)))
+    offsets = before[np.append(0, np.cumsum(sizes))]
+    kept = pa.StructArray.from_arrays([text.filter(keep), tag.filter(keep)], names=["entity", "tag"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), kept, mask=lists.is_null() if lists.null_count else None)
 
 
 def clean_entities(ents) -> Column:
-    """Trim; drop empty, shorter than 2 characters, no letter or digit, or a stop word."""
-    stop = F.array(*[F.lit(w) for w in ENTITY_STOPWORDS])
-    trimmed = F.transform(_col(ents), lambda e: F.struct(strip_ws(e["entity"]).alias("entity"), e["tag"].alias("tag")))
-    return F.filter(
-        trimmed,
-        lambda e: (F.char_length(e["entity"]) >= 2)
-        & ~e["entity"].rlike(r"^[^\p{L}\p{N}]+$")
-        & ~F.array_contains(stop, F.lower(e["entity"])),
-    )
+    """Trim; drop empty, shorter than 2 characters, no letter or digit, or a stop word. Runs in Arrow batches, as E1."""
+    return F.arrow_udf(_clean_lists, ENTITY_TYPE)(_col(ents))
 
 
 def group_entities(ents, kind: str) -> Column:

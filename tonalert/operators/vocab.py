@@ -103,10 +103,11 @@ def words_to_idx(df: DataFrame, vocab: DataFrame, key: str = "doc_id", toks: str
     return k.select(key, F.when(F.size("ids") == 0, F.array(F.lit(0).cast("bigint"))).otherwise(F.col("ids")).alias("ids"))
 
 
-def idx_to_vector(ids: DataFrame, vocab_vectors: DataFrame, key: str = "doc_id", col: str = "ids") -> DataFrame:
-    """One row per position with its vector: ``(key, pos, idx, vector)``."""
+def idx_to_vector(ids: DataFrame, vocab_vectors: DataFrame, key: str = "doc_id", col: str = "ids", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per position with its vector: ``(key, pos, idx, vector)``. ``carry``: columns of ``vocab_vectors`` that
+    go along, such as what is worked out of a vector once instead of at every place of its word."""
     e = ids.select(key, F.posexplode(col).alias("pos", "idx"))
-    return e.join(checked_broadcast(vocab_vectors.select("idx", "vector"), materialize=False), "idx", "left")
+    return e.join(checked_broadcast(vocab_vectors.select("idx", "vector", *carry), materialize=False), "idx", "left")
 
 
 def pad_sequences(ids: DataFrame, batch_col: str = "batch", col: str = "ids") -> DataFrame:

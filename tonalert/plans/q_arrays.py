@@ -140,12 +140,12 @@ def j03_words_to_idx(spark, sf_dir):
 def j04_idx_to_vector(spark, sf_dir):
     voc = known_vocab(spark, sf_dir)
     ids = V.words_to_idx(fx.tagged(spark, sf_dir), voc)
-    out = V.idx_to_vector(ids, voc)
-    vsum = F.aggregate("vector", F.lit(0.0).cast("float"), lambda a, x: a + x)
+    vsum = F.aggregate("vector", F.lit(0.0).cast("float"), lambda a, x: a + x)  # once per word
+    out = V.idx_to_vector(ids, reliable_checkpoint(voc.withColumn("vsum", vsum)), carry=("vsum",))
     return normalise(out.select(
         "doc_id", "pos", "idx",
         F.round(F.get("vector", 0).cast("double"), 6).alias("v0"),
-        F.round(vsum.cast("double"), 4).alias("vsum"),
+        F.round(F.col("vsum").cast("double"), 4).alias("vsum"),
         F.size("vector").alias("dim"),
     ))
 

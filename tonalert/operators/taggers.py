@@ -210,6 +210,54 @@ def _from_hits(df: DataFrame, tokens: str, col: str, sizes: list[int]) -> DataFr
 
 
 START = ""
+COUNTED_TOKENS = 2_000_000  # tokens that a task counts at a time
+
+
+def _tag_counts(batches):
+    """Of batches of (tokens, tags): how often a word has a tag (word, NULL, tag, n) and a tag follows another one or the
+    start of a row (NULL, before, tag, n)."""
+    import pyarrow as pa
+
+    for batch in batches:
+        toks, tags = (batch.column(i).cast(pa.list_(pa.string())) for i in (0, 1))
+        sizes = [x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype("int64") for x in (toks, tags)]
+        ends, a = sizes[0].cumsum(), 0
+        while a < len(toks):
+            b = max(a + 1, int(ends.searchsorted((ends[a - 1] if a else 0) + COUNTED_TOKENS, side="right")))
+            yield _counted_tags(toks.slice(a, b - a), tags.slice(a, b - a), sizes[0][a:b], sizes[1][a:b])
+            a = b
+
+
+def _counted_tags(toks, tags, n_toks, n_tags):
+    import numpy as np
+    import pyarrow as pa
+
+    def coded(lists):
+        values = lists.flatten().dictionary_encode()
+        return values.dictionary, values.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    (words, word), (names, name) = coded(toks), coded(tags)
+    n = np.minimum(n_toks, n_tags)  # a token without a tag, or the other way round, is not counted
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    word = word[np.repeat(np.cumsum(n_toks) - n_toks, n) + at]
+    of = np.repeat(np.cumsum(n_tags) - n_tags, n) + at
+    tag = name[of]
+    k = len(names)  # the number of a row's start
+    before = np.where(at == 0, k, name[np.maximum(of - 1, 0)]) if len(name) else tag
+    known = (word >= 0) & (tag >= 0)
+
+    def summed(left, right):
+        cell, many = np.unique(left * k + right, return_counts=True) if k else (left[:0], left[:0])
+        return cell // max(k, 1), names.take(pa.array(cell % max(k, 1))), many
+
+    w, t, m = summed(word[known], tag[known])
+    chained = known & (before >= 0)
+    b, u, c = summed(before[chained], tag[chained])
+    starts = pa.concat_arrays([names, pa.array([START], pa.string())])
+    columns = [pa.concat_arrays([words.take(pa.array(w)), pa.nulls(len(b), pa.string())]),
+               pa.concat_arrays([pa.nulls(len(w), pa.string()), starts.take(pa.array(b))]),
+               pa.concat_arrays([t, u]), pa.array(np.append(m, c), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["word", "before", "tag", "n"])
 
 
 class Hmm:
@@ -225,11 +273,11 @@ class Hmm:
     def fit(cls, df: DataFrame, tokens: str = "tokens", tags: str = "tags", alpha: float = 1.0, limit: int = TRIE_LIMIT_BYTES) -> Hmm:
         """Counts over all rows, smoothed by ``alpha``. Sent to the driver: the tag names, their counts and the counts of
         their pairs, whose number depends on the tag set only. A token without a tag, or the other way round, is not counted."""
-        before = F.concat(F.array(F.lit(START)), F.col(tags))
-        zipped = F.arrays_zip(F.col(tokens).alias("word"), F.col(tags).alias("tag"), before.alias("before"))
-        pairs = df.select(F.explode(zipped).alias("z")).select("z.*").where("word IS NOT NULL AND tag IS NOT NULL")
-        counts = reliable_checkpoint(pairs.groupBy("word", "tag").agg(F.count(F.lit(1)).alias("n")))
-        chain = {(r["before"], r["tag"]): r["n"] for r in pairs.where("before IS NOT NULL").groupBy("before", "tag").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # Added up in the tasks, in one pass over the rows: what is shuffled are sums by word and tag and by pairs of tags.
+        sums = df.select(F.col(tokens).cast("array<string>"), F.col(tags).cast("array<string>")).mapInArrow(_tag_counts, "word string, before string, tag string, n bigint")
+        sums = reliable_checkpoint(sums.groupBy("word", "before", "tag").agg(F.sum("n").alias("n")))
+        counts = sums.where("word IS NOT NULL").select("word", "tag", "n")
+        chain = {(r["before"], r["tag"]): r["n"] for r in sums.where("word IS NULL").select("before", "tag", "n").collect()}
         total = {r["tag"]: r["n"] for r in counts.groupBy("tag").agg(F.sum("n").alias("n")).collect()}
         names = sorted(total)
         words = counts.select("word").distinct().count()
@@ -267,7 +315,7 @@ class Hmm:
             col, F.when(F.col(tokens).isNotNull(), F.col(col))).drop(ROW, "_hits")
 
 
-VITERBI_TOKENS = 100_000  # tokens whose scores are held at a time; a longer row is one such piece
+VITERBI_TOKENS = 500_000  # tokens whose scores are held at a time; a longer row is one such piece
 
 
 def _viterbi(sizes, scores, steps):
@@ -277,7 +325,7 @@ def _viterbi(sizes, scores, steps):
 
     order = np.argsort(-sizes, kind="stable")
     sizes, starts = sizes[order], (np.cumsum(sizes) - sizes)[order]
-    step, out = np.array(steps[:-1], np.int64), np.empty(len(scores), np.int64)
+    step, out = np.array(steps[:-1], np.int64).T.copy(), np.empty(len(scores), np.int64)  # (tag, before)
     back = np.empty(scores.shape, np.int16)
     live = int(np.count_nonzero(sizes))
     best, last = np.zeros((len(sizes), scores.shape[1]), np.int64), int(sizes[0]) if len(sizes) else 0
@@ -287,9 +335,10 @@ def _viterbi(sizes, scores, steps):
         if t == 0:
             best[:live] = np.array(steps[-1], np.int64) + scores[at]
             continue
-        ways = best[:live, :, None] + step  # (row, before, tag)
-        back[at] = ways.argmax(axis=1)
-        best[:live] = ways.max(axis=1) + scores[at]
+        ways = best[:live, None, :] + step  # (row, tag, before)
+        chosen = ways.argmax(axis=2)
+        back[at] = chosen
+        best[:live] = np.take_along_axis(ways, chosen[:, :, None], 2)[:, :, 0] + scores[at]
     tag = best.argmax(axis=1)
     for t in range(last - 1, -1, -1):
         live = int(np.searchsorted(-sizes, -t, side="left"))

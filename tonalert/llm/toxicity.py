@@ -34,6 +34,7 @@ from tonalert.operators.joins import measured_bytes
 MIN_TEXTS = 3  # texts of the toxic class that hold a lexicon entry
 LEAST_ODDS = 1.5
 MEMO = 200_000
+LOGS = 200_000  # trigrams whose logarithm a task holds
 HELD = 300_000  # entries that a task counts before it passes them on
 CANDIDATE_LIMIT_BYTES = 64 * 1024 * 1024  # measured bytes of lexicon entries that go to the tasks
 
@@ -82,8 +83,17 @@ class CharModel:
             one[g[1]] = one.get(g[1], 0) + n
             self.uni[g[2]] = self.uni.get(g[2], 0) + n
         self.two, self.one, self.all = two, one, sum(self.uni.values())
+        self.known: dict = {}  # logarithms worked out before, LOGS at most
 
     def log(self, before: str, c: str) -> float:
+        found = self.known.get(before + c)
+        if found is None:
+            if len(self.known) >= LOGS:
+                self.known.clear()
+            found = self.known[before + c] = self._log(before, c)
+        return found
+
+    def _log(self, before: str, c: str) -> float:
         p = 0.02 * (self.uni.get(c, 0) + 1) / (self.all + 64)
         n = self.one.get(before[1])
         if n:
@@ -107,23 +117,24 @@ def restore(token: str, model: CharModel) -> str:
     states = {("^^"): (0.0, None)}  # last two letters -> (score, (letter, earlier path))
     for i, ch in enumerate(token):
         new: dict = {}
-
-        def offer(state, score, path):
-            if state not in new or score > new[state][0]:
-                new[state] = (score, path)
-
-        letters = LOOK_ALIKE.get(ch, "")
+        log, repeat = model.log, runs[i] > 1 and long_run[i]
+        # The ways of a character: (letter, cost).
+        ways = [(ch, KEEP_REPEAT if ch.isalpha() else AS_ITSELF)]
+        drop = DROP_MARK if ch in _MARKS and not ch.isalpha() else None
+        ways += [(c, AS_LETTER) for c in LOOK_ALIKE.get(ch, "")]
         for state, (score, path) in states.items():
-            if ch.isalpha():
-                offer(state[1] + ch, score + KEEP_REPEAT + model.log(state, ch), (ch, path))
-            else:
-                offer(state[1] + ch, score + AS_ITSELF + model.log(state, ch), (ch, path))
-                if ch in _MARKS:
-                    offer(state, score + DROP_MARK, path)
-            for c in letters:
-                offer(state[1] + c, score + AS_LETTER + model.log(state, c), (c, path))
-            if runs[i] > 1 and long_run[i]:
-                offer(state, score + DROP_REPEAT, path)
+            for k, (c, cost) in enumerate(ways):
+                to, s = state[1] + c, score + cost + log(state, c)
+                if to not in new or s > new[to][0]:
+                    new[to] = (s, (c, path))
+                if k == 0 and drop is not None:
+                    s = score + drop
+                    if state not in new or s > new[state][0]:
+                        new[state] = (s, path)
+            if repeat:
+                s = score + DROP_REPEAT
+                if state not in new or s > new[state][0]:
+                    new[state] = (s, path)
         states = new  # at most the square of what a character may stand for
     _, (_, path) = max(states.items(), key=lambda kv: kv[1][0] + model.log(kv[0], "^"))
     out = []
@@ -148,8 +159,8 @@ def tokens(text: str, decode) -> set:
 def _read(raw: str, decode):
     """The restored token of a piece between blanks, None where only marks are left."""
     token = raw.strip(_STRIP)
-    # A token of letters alone is only disguised if a letter repeats.
-    if _PLAIN.fullmatch(token) and not _repeats(token) and (len(raw) == len(token) or not disguised(raw)):
+    # A token of letters alone is only disguised if a letter repeats; marks behind it hide nothing.
+    if _PLAIN.fullmatch(token) and not _repeats(token) and (raw.startswith(token) or not disguised(raw)):
         return token
     if token:
         lead = raw.lstrip("\"'([{<")  # a look-alike may stand first

@@ -262,12 +262,18 @@ def gazetteer_from_spans(spans: DataFrame, entity: str = "entity", tag: str = "t
     """A single-word gazetteer ``(tok, kind)`` from decoded spans: every word of a span, one kind
     per word (the smallest kind name on conflict)."""
     words = spans.select(F.explode(F.split(entity, " ")).alias("tok"), F.col(tag).alias("kind"))
-    return words.filter(F.col("tok") != "").groupBy("tok").agg(F.min("kind").alias("kind"))
+    return _smallest_kind(words.filter(F.col("tok") != ""))
 
 
 def phrases_from_spans(spans: DataFrame, entity: str = "entity", tag: str = "tag") -> DataFrame:
     """A gazetteer of whole names ``(tok, kind)`` from decoded spans, one kind per name (the smallest on conflict)."""
-    return spans.groupBy(F.col(entity).alias("tok")).agg(F.min(tag).alias("kind"))
+    return _smallest_kind(spans.select(F.col(entity).alias("tok"), F.col(tag).alias("kind")))
+
+
+def _smallest_kind(rows: DataFrame) -> DataFrame:
+    # A minimum of texts is aggregated by sorting, so pairs are made distinct before, by hashing (a plain distinct() is planned away).
+    pairs = rows.groupBy("tok", "kind").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    return pairs.groupBy("tok").agg(F.min("kind").alias("kind"))
 
 
 def tag_rows(df: DataFrame, tagger, tokens: str = "tokens", col: str = "tags", limit: int = TRIE_LIMIT_BYTES) -> DataFrame:

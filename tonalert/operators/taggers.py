@@ -8,9 +8,8 @@
   of ten), so that sums do not depend on the order of additions; ties go to the first tag name.
 
 Both have two ways with the same result. A table of small measured size goes to the tasks once and each
-row is tagged in one pass where it is. Beyond that the rows get numbers of their own, written once, so NULL and
-repeated keys do no harm; their tokens are joined with the table (prefix length by prefix length, or word by word), only
-hits are regrouped by row number, and the row is tagged from its hits.
+row is tagged in one pass where it is. Beyond that rows are tagged in blocks (``lookup``): a block asks once for each of its
+words, and for each run of words that can begin a phrase, and tags its rows from the answers.
 
 A NULL token list has NULL tags, an empty one has none. NULL tokens are never listed.
 """
@@ -19,15 +18,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonalert.functions.core import bind
-from tonalert.operators.joins import checked_broadcast, measured_bytes
-from tonalert.session import reliable_checkpoint
+from tonalert.operators import lookup as LK
+from tonalert.operators.joins import measured_bytes
+from tonalert.session import release_shuffles, reliable_checkpoint
 
 TRIE_LIMIT_BYTES = 48 * 1024 * 1024  # measured bytes of a table that goes to the tasks whole (about three times that in a Python worker)
-JOINED_WORDS = 8  # words of a phrase that are joined one by one; the rest of a longer one is compared as a whole
+JOINED_WORDS = 8  # words of a phrase that are looked up one by one; a longer one is then compared as a whole
 STATE_BLOCK = 64  # words whose states are folded together
 LOG_UNIT = 1_000_000
 ROOT = 0
@@ -74,62 +76,179 @@ def numbered_rows(df: DataFrame) -> DataFrame:
 
 
 class Gazetteer:
-    """Tags from listed phrases (``phrase``, ``kind``); runs a job to measure the list."""
+    """Tags from listed phrases (``phrase``, ``kind``); runs jobs that write the list and measure it. The names of the kinds are
+    sent to the driver."""
 
     def __init__(self, phrases: DataFrame, phrase: str = "tok", kind: str = "kind", limit: int = TRIE_LIMIT_BYTES):
-        self.phrases, self.phrase, self.kind = phrases, phrase, kind
-        self.trie = reliable_checkpoint(phrase_trie(phrases, phrase, kind))
-        self.small = measured_bytes(self.trie) <= limit
+        self.phrases = reliable_checkpoint(phrases.select(F.col(phrase).alias("tok"), F.col(kind).alias("kind")))  # read several times
+        release_shuffles(phrases.sparkSession)
+        self.small = False
+        if measured_bytes(self.phrases) <= limit:  # the trie's rows are more than the phrases
+            self.trie = reliable_checkpoint(phrase_trie(self.phrases))
+            self.small = measured_bytes(self.trie) <= limit
 
     def tag(self, df: DataFrame, tokens: str = "tokens", col: str = "tags") -> DataFrame:
         """``df`` with ``col``, one tag name per token."""
-        return df.withColumn(col, self._in_place(df)(F.col(tokens))) if self.small else self._joined(df, tokens, col)
+        return df.withColumn(col, self._in_place(df)(F.col(tokens))) if self.small else self._looked_up(df, tokens, col)
 
     def _in_place(self, df: DataFrame) -> Callable:
         rows = self.trie.select("state", "word", "next", "kind", "more").collect()  # measured above
         trie = df.sparkSession.sparkContext.broadcast({(r["state"], r["word"]): (r["next"], r["kind"], r["more"]) for r in rows})
         return F.arrow_udf(lambda lists: _tag_lists(lists, trie.value), "array<string>")
 
-    def _joined(self, df: DataFrame, tokens: str, col: str) -> DataFrame:
-        rows = numbered_rows(df)
-        sizes = [r["n"] for r in self.trie.where("kind IS NOT NULL").select("n").distinct().orderBy("n").collect()]  # one row per length of a phrase
-        longest = max(sizes, default=1)
-        levels = min(longest, JOINED_WORDS)
-        after = F.transform(tokens, lambda w, i: F.slice(tokens, i + 1, F.lit(levels)))
-        found = rows.select(ROW, F.posexplode(after).alias("pos", "words")).withColumn("state", F.lit(ROOT).cast("bigint"))
-        hits = []
-        for n in range(1, levels + 1):
-            level = self.trie.where(F.col("n") == n).select("state", "word", "next", "kind", "more")
-            left = found.select(ROW, "pos", "state", F.get("words", F.lit(0)).alias("word"), F.slice("words", 2, levels).alias("words"))
-            here = left.join(checked_broadcast(level, materialize=False), ["state", "word"])
-            # Written once: both its hits and the next level read it. Words go along where a longer phrase may follow.
-            here = reliable_checkpoint(here.where("kind IS NOT NULL OR more").select(
-                ROW, "pos", "kind", F.when(F.col("more"), F.struct("next", "words")).alias("on")))
-            hits.append(here.where("kind IS NOT NULL").select(ROW, "pos", F.lit(n).alias("n"), "kind"))
-            found = here.where("on IS NOT NULL").select(ROW, "pos", "on.words", F.col("on.next").alias("state"))
-        if longest > levels:
-            hits.append(self._long_hits(rows, found, tokens))
-        every = hits[0]
-        for h in hits[1:]:
-            every = every.unionByName(h)
-        # Dealt by row once: the longest hit at each place, a row's hits and the row itself then meet without another shuffle.
-        at = every.repartition(ROW).groupBy(ROW, "pos").agg(F.max(F.struct("n", "kind")).alias("m")).select(ROW, F.struct("pos", "m.n", "m.kind").alias("h"))
-        at = at.groupBy(ROW).agg(F.sort_array(F.collect_list("h")).alias("_hits"))  # at most one per token
-        return _from_hits(rows.join(at, ROW, "left"), tokens, col, sizes).drop(ROW, "_hits")
-
-    def _long_hits(self, rows: DataFrame, found: DataFrame, tokens: str) -> DataFrame:
-        """Hits of phrases of more than JOINED_WORDS words among the places where as many of their words match: the whole
-        phrase is compared with the row's tokens."""
-        long = _listed(self.phrases, self.phrase, self.kind).where(F.size("w") > JOINED_WORDS).groupBy("w").agg(
-            F.min("kind").alias("kind"), F.first(F.get("states", F.lit(JOINED_WORDS))).alias("state"))
-        pairs = found.select(ROW, "pos", "state").join(checked_broadcast(long), "state")
-        pairs = pairs.join(rows.select(ROW, F.col(tokens).alias("_all")), ROW)
-        return pairs.where(F.slice("_all", F.col("pos") + 1, F.size("w")) == F.col("w")).select(ROW, "pos", F.size("w").alias("n"), "kind")
+    def _looked_up(self, df: DataFrame, tokens: str, col: str) -> DataFrame:
+        blocks = LK.token_blocks(df, tokens)
+        bits = LK.range_bits(blocks)
+        kinds = sorted(r["kind"] for r in self.phrases.where("kind IS NOT NULL").select("kind").distinct().collect())
+        # Words of the longest phrase, or more where blanks stand together.
+        blanks = self.phrases.agg(F.max(F.char_length("tok") - F.char_length(F.replace("tok", F.lit(" "), F.lit(""))))).first()[0] or 0
+        levels, number = min(blanks + 1, JOINED_WORDS), {k: i + 1 for i, k in enumerate(kinds)}
+        table = LK.entries(self.phrases, lambda batch: _phrase_entries(batch, number, levels), 1, bits)
+        # Words are all asked for, runs of words only where the filter lets them pass.
+        own = LK.entry_filter(table, bits) if levels > 1 else None
+        shared = df.sparkSession.sparkContext.broadcast((own.data, own.bits)) if own else None  # bounded by LK.FILTER_BITS
+
+        def runs(block):
+            return list(_runs(block, LK.Filter(*shared.value), levels)) if shared else []
+
+        def asks(block):
+            return _asked(block, runs(block))
+
+        def tags(block, hit, values, extra):
+            return _tags_of_runs(block, runs(block), levels, hit, values, extra, kinds)
+
+        found = LK.answered(LK.asked(blocks, asks, bits), table, 1)
+        return LK.finished(df, tokens, col, T.ArrayType(T.StringType()), blocks, found, 1, tags)
+
+
+_PLACE = 0x9E3779B97F4A7C15
+
+
+def _places(starts, sizes):
+    """The places from each start on, as many as its size."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _whole_hash(words, sizes):
+    """Hashes of whole runs of words, whose hashes follow one another."""
+    starts = np.cumsum(sizes) - sizes
+    place = (np.arange(len(words)) - np.repeat(starts, sizes) + 1).astype(np.uint64) * np.uint64(_PLACE)
+    return np.add.reduceat(LK.mix(words + place), starts) if len(sizes) else np.empty(0, np.uint64)
+
+
+def _phrase_entries(batch, number: dict, levels: int):
+    """Of a batch of (phrase, kind): the hash of every run of up to ``levels`` words that a phrase begins with, with its kind's number if
+    it is a phrase, else 0; of longer phrases (that hash, words, hash of all, kind)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.split_pattern(batch.column(0).cast(pa.string()), " ")
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    some = np.array([w != "" for w in coded.dictionary.to_pylist()], bool)[code]
+    words = LK.word_hashes(coded.dictionary)[code[some]]
+    before = np.append(0, np.cumsum(some))
+    ends = before[np.cumsum(sizes)]
+    starts = before[np.cumsum(sizes) - sizes]
+    kind = np.array([number.get(k, 0) for k in batch.column(1).cast(pa.string()).to_pylist()], np.int64)
+    listed = (ends > starts) & (kind > 0)
+    at, n, kind = starts[listed], (ends - starts)[listed], kind[listed]
+    state, hashes, values = words[at], [], []
+    extra = np.empty((0, LK.EXTRA), np.uint64)
+    for k in range(1, levels + 1):
+        hashes.append(state)
+        values.append(np.where(n == k, kind, 0))
+        on = n > k
+        at, n, kind, state = at[on], n[on], kind[on], state[on]
+        if k < levels:
+            state = LK.longer(state, words[at + k])
+        elif len(at):
+            extra = np.stack([state, n.astype(np.uint64), _whole_hash(words[_places(at, n)], n), kind.astype(np.uint64)], axis=1)
+    return np.concatenate(hashes), np.concatenate(values).reshape(-1, 1), extra
+
+
+def _runs(block, passes, levels: int):
+    """(n, places, hashes): the runs of n words, from two on, that can begin a phrase."""
+    known = block.codes < len(block.hashes)
+    word = np.append(block.hashes, np.uint64(0))[block.codes]
+    ends = np.repeat(np.cumsum(block.sizes), block.sizes)
+    at = np.flatnonzero(np.append(passes(block.hashes), False)[block.codes])
+    state = word[at]
+    for n in range(2, levels + 1):
+        on = (at + n - 1 < ends[at])
+        on[on] = known[at[on] + n - 1]
+        at = at[on]
+        state = LK.longer(state[on], word[at + n - 1])
+        on = passes(state)
+        at, state = at[on], state[on]
+        if not len(at):
+            return
+        yield n, at, state
+
+
+def _asked(block, runs: list):
+    return LK.distinct(np.concatenate([block.hashes, *[state for _, _, state in runs]]))
+
+
+def _tags_of_runs(block, runs: list, levels: int, hit, values, extra, kinds: list):
+    """The tags of a block's tokens: the longest phrase at each place that has one, from the left, without overlaps."""
+    import pyarrow as pa
+
+    asked = _asked(block, runs)
+    number = np.zeros(len(asked), np.int64)
+    number[np.flatnonzero(hit)] = values[:, 0]
+    kind = np.append(number[np.searchsorted(asked, block.hashes)], 0)[block.codes]
+    size = (kind > 0).astype(np.int64)
+    for n, at, state in runs:
+        own = number[np.searchsorted(asked, state)]
+        at, own = at[own > 0], own[own > 0]
+        kind[at], size[at] = own, n
+    if len(extra) and runs and runs[-1][0] == levels:
+        _longer_phrases(block, runs[-1][1], runs[-1][2], extra, kind, size)
+    # Only phrases of several words take places away from others: they are walked from the left.
+    several, busy, kept = np.flatnonzero(size > 1), 0, []
+    for p, end in zip(several.tolist(), (several + size[several]).tolist()):
+        if p >= busy:
+            kept.append(p)
+            busy = end
+    kept = np.array(kept, np.int64)
+    free = size == 1
+    free[_places(kept, size[kept])] = False
+    free[kept] = True
+    taken = np.flatnonzero(free)
+    n, kind = size[taken], kind[taken]
+    row = np.repeat(np.arange(len(block.sizes)), block.sizes)[taken]
+    follows = np.zeros(len(taken), bool)
+    follows[1:] = (taken[1:] == taken[:-1] + n[:-1]) & (row[1:] == row[:-1]) & (kind[1:] == kind[:-1])
+    out = np.zeros(len(block.codes), np.int32)
+    out[_places(taken, n)] = np.repeat(kind + len(kinds), n)
+    out[taken[~follows]] = kind[~follows]
+    names = pa.array(["O", *[f"B-{k}" for k in kinds], *[f"I-{k}" for k in kinds]], pa.string())
+    return block.lists(names.take(pa.array(out)))
+
+
+def _longer_phrases(block, places, states, extra, kind, size) -> None:
+    """Phrases of more words than are looked up, at the places where as many of their words stand: the whole run is compared."""
+    word = np.append(block.hashes, np.uint64(0))[block.codes]
+    missing = np.append(0, np.cumsum(block.codes == len(block.hashes)))
+    ends = np.repeat(np.cumsum(block.sizes), block.sizes)
+    order = np.argsort(states, kind="stable")
+    places, states = places[order], states[order]
+    seen = {}  # hashes of the runs at a place
+    for state, n, whole, k in np.unique(extra, axis=0):
+        n, k = int(n), int(k)
+        for p in places[np.searchsorted(states, state):np.searchsorted(states, state, side="right")].tolist():
+            if p + n > ends[p] or n < size[p] or missing[p + n] > missing[p]:
+                continue
+            if (p, n) not in seen:
+                seen[p, n] = _whole_hash(word[p:p + n], np.array([n]))[0]
+            if seen[p, n] == whole and (n > size[p] or k < kind[p]):
+                kind[p], size[p] = k, n
 
 
 def _tag_lists(lists, trie: dict):
     """Tags of a batch of token lists, in one pass over the tokens of each. Equal tokens are looked up once."""
-    import numpy as np
     import pyarrow as pa
 
     lists = lists.cast(pa.list_(pa.string()))
@@ -175,40 +294,6 @@ def _tag_lists(lists, trie: dict):
     return pa.ListArray.from_arrays(pa.array(offsets - first, pa.int32()), tags, mask=lists.is_null() if lists.null_count else None)
 
 
-def _from_hits(df: DataFrame, tokens: str, col: str, sizes: list[int]) -> DataFrame:
-    """``df`` with its tags, from ``_hits`` (pos, n, kind: the longest phrase at each place that has one).
-
-    Overlaps are settled by one regular expression: each token is a character that stands for the length of the
-    phrase that starts there, and a character that is matched takes as many with it as its phrase has words."""
-    none = "-"
-    letter = {n: chr(0x100 + k) for k, n in enumerate(sizes)}
-    code = F.create_map(*[F.lit(x) for n, c in letter.items() for x in (n, c)]) if letter else F.lit(None).cast("map<int,string>")
-
-    def gap(h, i):
-        return h["pos"] - F.coalesce(F.get("_hits", i - 1)["pos"], F.lit(-1)) - 1
-
-    last = F.coalesce(F.get("_hits", F.size("_hits") - 1)["pos"], F.lit(-1))
-    left = F.greatest(F.size(tokens) - last - 1, F.lit(0))
-    chars = F.concat(F.array_join(F.transform("_hits", lambda h, i: F.concat(F.repeat(F.lit(none), gap(h, i)), F.element_at(code, h["n"]))), ""), F.repeat(F.lit(none), left))
-    kinds = F.concat(F.flatten(F.transform("_hits", lambda h, i: F.concat(F.array_repeat(F.lit(None).cast("string"), gap(h, i)), F.array(h["kind"])))),
-                     F.array_repeat(F.lit(None).cast("string"), left))
-    taken = "|".join([none, *[c + (f".{{{n - 1}}}" if n > 1 else "") for n, c in letter.items()]])
-    runs = F.regexp_extract_all("_chars", F.lit(f"({taken})"), F.lit(1))
-    # Per token: its place in the phrase that took it, -1 for none.
-    inside = F.flatten(F.transform(runs, lambda r: F.when(r == none, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.char_length(r) - 1))))
-    rows = df.withColumns({"_chars": chars, "_kinds": kinds}).withColumn("_in", inside)
-
-    def kind(i):
-        return F.get("_kinds", i - F.get("_in", i))
-
-    def tag(at, i):
-        goes_on = (at > 0) | ((F.coalesce(F.get("_in", i - 1), F.lit(-1)) >= 0) & (kind(i - 1) == kind(i)))
-        return F.when(at < 0, F.lit("O")).when(F.coalesce(goes_on, F.lit(False)), F.concat(F.lit("I-"), kind(i))).otherwise(F.concat(F.lit("B-"), kind(i)))
-
-    found = F.when(F.col("_hits").isNull(), F.array_repeat(F.lit("O"), F.size(tokens))).otherwise(F.transform("_in", tag))
-    return rows.withColumn(col, F.when(F.col(tokens).isNull(), F.lit(None)).otherwise(found)).drop("_chars", "_kinds", "_in")
-
-
 START = ""
 COUNTED_TOKENS = 2_000_000  # tokens that a task counts at a time
 
@@ -229,7 +314,6 @@ def _tag_counts(batches):
 
 
 def _counted_tags(toks, tags, n_toks, n_tags):
-    import numpy as np
     import pyarrow as pa
 
     def coded(lists):
@@ -306,13 +390,26 @@ class Hmm:
             known = df.sparkSession.sparkContext.broadcast({r["word"]: r["scores"] for r in rows})
             path = F.arrow_udf(lambda lists: _best_paths(lists, known.value, tags, steps, unknown), "array<string>")
             return df.withColumn(col, path(F.col(tokens)))
-        rows = numbered_rows(df)
-        found = rows.select(ROW, F.posexplode(tokens).alias("pos", "word")).join(checked_broadcast(self.emissions, materialize=False), "word")
-        hits = found.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("pos", "scores"))).alias("_hits"))
-        path = F.arrow_udf(lambda sizes, hits: _best_paths_of_hits(sizes, hits, tags, steps, unknown), "array<string>")
-        out = rows.join(hits, ROW, "left")
-        return out.withColumn(col, path(F.size(tokens), F.col("_hits"))).withColumn(
-            col, F.when(F.col(tokens).isNotNull(), F.col(col))).drop(ROW, "_hits")
+        blocks = LK.token_blocks(df, tokens)
+        bits, k = LK.range_bits(blocks), len(tags)
+        table = LK.entries(self.emissions.where("word IS NOT NULL").select("word", "scores"), lambda batch: _emission_entries(batch, k), k, bits)
+        found = LK.answered(LK.asked(blocks, lambda block: LK.distinct(block.hashes), bits), table, k)
+
+        def path(block, hit, values, extra):
+            import pyarrow as pa
+
+            asked, place = np.unique(block.hashes, return_inverse=True)
+            scores = np.tile(np.array(unknown, np.int64), (len(asked) + 1, 1))
+            scores[np.flatnonzero(hit)] = values
+            code = np.append(place, len(asked))[block.codes]  # NULL tokens are unknown
+            return _paths(block.sizes, lambda i, j, a, b: scores[code[a:b]], tags, steps, pa.array(block.lengths < 0))
+
+        return LK.finished(df, tokens, col, T.ArrayType(T.StringType()), blocks, found, k, path)
+
+
+def _emission_entries(batch, k: int):
+    scores = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, k)
+    return LK.word_hashes(batch.column(0)), scores, np.empty((0, LK.EXTRA), np.uint64)
 
 
 VITERBI_TOKENS = 500_000  # tokens whose scores are held at a time; a longer row is one such piece
@@ -321,8 +418,6 @@ VITERBI_TOKENS = 500_000  # tokens whose scores are held at a time; a longer row
 def _viterbi(sizes, scores, steps):
     """Tag numbers of the best paths of rows of ``sizes`` tokens, whose emission scores follow one another in ``scores``
     (tokens, tags). All rows go forward together, longest first; ties go to the smaller number."""
-    import numpy as np
-
     order = np.argsort(-sizes, kind="stable")
     sizes, starts = sizes[order], (np.cumsum(sizes) - sizes)[order]
     step, out = np.array(steps[:-1], np.int64).T.copy(), np.empty(len(scores), np.int64)  # (tag, before)
@@ -351,7 +446,6 @@ def _viterbi(sizes, scores, steps):
 
 def _paths(sizes, scores_of, tags, steps, missing):
     """Tag lists of rows of ``sizes`` tokens; ``scores_of(first, last, first token, last token)`` gives a piece's scores."""
-    import numpy as np
     import pyarrow as pa
 
     ends = np.cumsum(sizes)
@@ -367,7 +461,6 @@ def _paths(sizes, scores_of, tags, steps, missing):
 
 
 def _best_paths(lists, known, tags, steps, unknown):
-    import numpy as np
     import pyarrow as pa
 
     lists = lists.cast(pa.list_(pa.string()))
@@ -377,22 +470,3 @@ def _best_paths(lists, known, tags, steps, unknown):
     code = coded.indices.fill_null(len(words)).to_numpy(zero_copy_only=False)
     scores = np.array([known.get(w, unknown) for w in words] + [unknown], np.int64)
     return _paths(sizes, lambda i, j, a, b: scores[code[a:b]], tags, steps, lists.is_null())
-
-
-def _best_paths_of_hits(sizes, hits, tags, steps, unknown):
-    import numpy as np
-
-    counts = hits.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    found = hits.flatten()
-    pos = found.field("pos").to_numpy(zero_copy_only=False)
-    own = found.field("scores").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(tags))
-    sizes = np.maximum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), 0)
-    starts, of_hits = np.cumsum(sizes) - sizes, np.append(0, np.cumsum(counts))
-
-    def scores_of(i, j, a, b):
-        out = np.tile(np.array(unknown, np.int64), (b - a, 1))
-        h = slice(int(of_hits[i]), int(of_hits[j]))
-        out[np.repeat(starts[i:j], counts[i:j]) + pos[h] - a] = own[h]
-        return out
-
-    return _paths(sizes, scores_of, tags, steps, None)

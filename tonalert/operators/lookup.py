@@ -23,7 +23,7 @@ from tonalert.session import release_shuffles, reliable_checkpoint
 
 BLOCK_TOKENS = 1_200_000
 RANGE_TOKENS = 2_000_000  # tokens of all rows for each range of hashes
-MIN_RANGE_BITS = 6
+MIN_RANGE_BITS = 4
 HELD_ENTRIES = 2_000_000  # entries that a task gathers before it sends them on
 FILTER_BITS = 28  # a filter's bits at most (32 MB, sent to the tasks): beyond 2 ** 24 entries more asks pass that have no answer
 _U = np.uint64
@@ -282,28 +282,33 @@ def asked(blocks: DataFrame, hashes_of: Callable, bits: int) -> DataFrame:
 
 
 def answered(asks: DataFrame, table: DataFrame, width: int) -> DataFrame:
-    """The answers to the blocks: which hashes have an entry, the values of these, and the extra entries of all hashes asked."""
+    """The answers to the blocks: which hashes have an entry, the different values of these and which of them each has, and the extra
+    entries of all hashes asked."""
 
     def answer(left, right):
         import pyarrow as pa
 
-        out = {c: [] for c in ("block", "range", "hit", "vals", "extra")}
+        out = {c: [] for c in ("block", "range", "hit", "vals", "which", "extra")}
         rows = right.to_pylist()
         known, values, extra = np.empty(0, _U), np.empty((0, width), np.int64), np.empty((0, EXTRA), _U)
         if rows:
             known, values = unpack_sorted(rows[0]["hashes"]), unpack(rows[0]["vals"], np.int64).reshape(-1, width)
             extra = unpack(rows[0]["extra"], _U).reshape(-1, EXTRA)
+        values, of = np.unique(values, axis=0, return_inverse=True) if width > 1 else (values, np.arange(len(values)))
+        of = of.reshape(-1)
         for row in left.to_pylist():
             hashes = unpack_sorted(row["hashes"])
             at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
             hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
             more = extra[np.isin(extra[:, 0], hashes)] if len(extra) else extra
-            for c, v in zip(out, (row["block"], row["range"], pack(hit), pack(values[at[hit]]), pack(more))):
+            some, which = np.unique(of[at[hit]], return_inverse=True) if width > 1 else np.unique(values[at[hit]], return_inverse=True)
+            sent = values[some] if width > 1 else some
+            for c, v in zip(out, (row["block"], row["range"], pack(hit), pack(sent), pack(which.reshape(-1).astype("u4")), pack(more))):
                 out[c].append(v)
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
         return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
-    schema = "block bigint, range bigint, hit binary, vals binary, extra binary"
+    schema = "block bigint, range bigint, hit binary, vals binary, which binary, extra binary"
     out = reliable_checkpoint(asks.groupBy("range").cogroup(table.groupBy("range")).applyInArrow(answer, schema))
     release_shuffles(table.sparkSession)
     return out
@@ -321,7 +326,7 @@ def finished(df: DataFrame, tokens: str, col: str, kind: T.DataType, blocks: Dat
 
         parts = right.sort_by("range").to_pylist()
         hit = np.concatenate([unpack(p["hit"], bool) for p in parts]) if parts else np.empty(0, bool)
-        values = np.concatenate([unpack(p["vals"], np.int64) for p in parts]).reshape(-1, width) if parts else np.empty((0, width), np.int64)
+        values = np.concatenate([unpack(p["vals"], np.int64).reshape(-1, width)[unpack(p["which"], "u4")] for p in parts]) if parts else np.empty((0, width), np.int64)
         extra = np.concatenate([unpack(p["extra"], _U) for p in parts]).reshape(-1, EXTRA) if parts else np.empty((0, EXTRA), _U)
         block = Block(left.to_pylist()[0])
         rest = block.rows()

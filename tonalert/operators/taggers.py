@@ -360,6 +360,7 @@ class Hmm:
         # Added up in the tasks, in one pass over the rows: what is shuffled are sums by word and tag and by pairs of tags.
         sums = df.select(F.col(tokens).cast("array<string>"), F.col(tags).cast("array<string>")).mapInArrow(_tag_counts, "word string, before string, tag string, n bigint")
         sums = reliable_checkpoint(sums.groupBy("word", "before", "tag").agg(F.sum("n").alias("n")))
+        release_shuffles(df.sparkSession)
         counts = sums.where("word IS NOT NULL").select("word", "tag", "n")
         chain = {(r["before"], r["tag"]): r["n"] for r in sums.where("word IS NULL").select("before", "tag", "n").collect()}
         total = {r["tag"]: r["n"] for r in counts.groupBy("tag").agg(F.sum("n").alias("n")).collect()}
@@ -378,7 +379,9 @@ class Hmm:
                          *[score(F.lit(0), total[t], words + 1) for t in names]).first() if names else []
         k = len(names)
         steps = [list(row[i * k:(i + 1) * k]) for i in range(k + 1)]
-        return cls(names, steps, reliable_checkpoint(emissions), list(row[k * (k + 1):]), limit)
+        emissions = reliable_checkpoint(emissions)
+        release_shuffles(df.sparkSession)
+        return cls(names, steps, emissions, list(row[k * (k + 1):]), limit)
 
     def tag(self, df: DataFrame, tokens: str = "tokens", col: str = "tags") -> DataFrame:
         """``df`` with ``col``: the best path's tag names."""
